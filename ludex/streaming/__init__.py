@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The behaviour log the library models is a batch table with no event-time
+semantics beyond ordering inside a user, and the analyses it serves (rating
+derivation, model fitting, RMSE) are whole-table computations. There is no
+stream source, watermark or stateful operator to rebuild, so none is
+provided.
+"""
