@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludex.functions.columns import (
-    conversion_weight, rating_ladder, transition_keep,
+    conversion_weight, exact_mean, rating_ladder, transition_keep,
 )
 
 # The lag splits one user's history into calendar-day slices; see
@@ -63,8 +63,8 @@ def transitions(lagged: DataFrame, profile: str, keep_first: bool = False) -> Da
 
 
 def item_means(rows: DataFrame, value: str = "hours", out: str = "mean_hours") -> DataFrame:
-    """Mean of ``value`` per item (partial + final aggregate)."""
-    return rows.groupBy("item").agg(F.avg(value).alias(out),
+    """Order-independent mean of ``value`` per item (partial + final aggregate)."""
+    return rows.groupBy("item").agg(exact_mean(F.col(value)).alias(out),
                                     F.count(F.lit(1)).alias("n_rows"))
 
 

@@ -24,8 +24,11 @@ def dense_index(df: DataFrame, col: str, out: str = "code",
     fracs = [i / slices for i in range(1, slices)]
     cuts = vals.select(
         F.array_distinct(F.percentile_approx(col, fracs, 10_000)).alias("c")).scalar()
-    sl = vals.withColumn(
-        "_slice", F.size(F.filter(cuts, lambda c: c < F.col(col))))
+    # The cut array is first bound to a column: a subquery may not sit
+    # inside a higher-order function.
+    sl = (vals.withColumn("_cuts", cuts)
+              .withColumn("_slice", F.size(F.filter("_cuts", lambda c: c < F.col(col))))
+              .drop("_cuts"))
     local = sl.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_slice").orderBy(col)))
     counts = sl.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))

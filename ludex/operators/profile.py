@@ -113,7 +113,9 @@ def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float],
     n = df.select(F.count(c)).scalar()
     fracs = [i / slices for i in range(1, slices)]
     cuts = vals.select(F.array_distinct(F.percentile_approx(col, fracs, 10_000)).alias("x")).scalar()
-    sl = vals.withColumn("_slice", F.size(F.filter(cuts, lambda x: x < F.col(col))))
+    sl = (vals.withColumn("_cuts", cuts)   # no subquery inside a lambda
+              .withColumn("_slice", F.size(F.filter("_cuts", lambda x: x < F.col(col))))
+              .drop("_cuts"))
     tot = sl.groupBy("_slice").agg(F.sum("_c").alias("_t"))
     off = tot.select("_slice", (F.sum("_t").over(Window.orderBy("_slice")) - F.col("_t")).alias("_off"))
     w = (Window.partitionBy("_slice").orderBy(col)

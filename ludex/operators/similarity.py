@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ludex.functions.columns import safe_div
+from ludex.functions.columns import rank_key, safe_div
 
 # Fixed value: damping added to the denominator of the centred similarity.
 DAMPING = 0.5
@@ -120,7 +120,7 @@ def top_k(sims: DataFrame, k: int = TOP_K, digits: int | None = RANK_DIGITS) ->
     ``row_number() <= k`` is planned as a WindowGroupLimit before the
     shuffle, so each map task forwards at most k rows per item.
     """
-    key = F.round(F.col("similarity"), digits) if digits is not None else F.col("similarity")
+    key = rank_key(F.col("similarity"), digits) if digits is not None else F.col("similarity")
     w = Window.partitionBy("i1").orderBy(key.desc(), F.col("i2").asc())
     return (sims.withColumn("rank", F.row_number().over(w))
                 .filter(F.col("rank") <= F.lit(k))

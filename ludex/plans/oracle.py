@@ -60,7 +60,8 @@ def rated(src: str, name: str, profile: str, keep_first: bool = False) -> str:
   FROM (SELECT *, lag(behaviour) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev
         FROM {src})),
 {name}_kept AS (SELECT * FROM {name}_lag WHERE {keep}),
-{name}_means AS (SELECT item, avg(hours) AS mean_hours FROM {name}_kept GROUP BY item),
+{name}_means AS (SELECT item, CAST(sum(CAST(hours AS DECIMAL(18,6))) AS DOUBLE) / count(hours) AS mean_hours
+                 FROM {name}_kept GROUP BY item),
 {name} AS (
   SELECT k.*, m.mean_hours,
          CASE WHEN k.hours = m.mean_hours * k.weight THEN 1
@@ -242,7 +243,8 @@ FROM dlog d, bounds b GROUP BY b.q1, b.median, b.q3"""
     for name, prof in (("q16_transitions_als", "als"), ("q17_transitions_knn", "knn")):
         q[name] = with_(LOG, lagged("log", "lg")) + \
             f"SELECT event_id, user_id, item, behaviour, prev, weight FROM lg WHERE {KEEP[prof]}"
-    q["q18_item_mean"] = with_(LOG, lagged("log", "lg")) + f"""SELECT item, {R('avg(hours)')} AS mean_hours,
+    q["q18_item_mean"] = with_(LOG, lagged("log", "lg")) + f"""SELECT item,
+  {R('CAST(sum(CAST(hours AS DECIMAL(18,6))) AS DOUBLE) / count(hours)')} AS mean_hours,
   count(*) AS n_rows FROM lg WHERE {KEEP['knn']} GROUP BY item"""
     q["q19_ratings"] = with_(LOG, RATED_KNN) + f"""SELECT event_id, user_id, item, behaviour, hours, weight,
   {R('mean_hours')} AS mean_hours, rating FROM rknn"""
