@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ludex.session import ensure_checkpoint_dir
 from ludex.functions.columns import (
     conversion_weight, exact_mean, rating_ladder, transition_keep,
 )
@@ -68,13 +69,24 @@ def item_means(rows: DataFrame, value: str = "hours", out: str = "mean_hours") -
                                     F.count(F.lit(1)).alias("n_rows"))
 
 
-def rated_log(log: DataFrame, profile: str = "knn", keep_first: bool = False) -> DataFrame:
+def rated_log(log: DataFrame, profile: str = "knn", keep_first: bool = False,
+              materialize: bool = True) -> DataFrame:
     """Lag -> weight -> transition filter -> item mean hours -> 0..5 rating.
 
+    The kept rows feed two consumers (the item-mean aggregate and the join
+    back), and the rated log itself is read several times by every model.
+    Without a cut, each consumer would re-run the lag windows (a full
+    shuffle and sort of the log). With ``materialize`` the kept rows are
+    checkpointed once to the shared folder named by ``spark.checkpoint.dir``
+    (reliable: a lost executor costs a re-read, not a re-derivation).
+
     The item means are joined back (one row per item): AQE broadcasts them
     when they are small and otherwise keeps a sort-merge join.
     """
     kept = transitions(lagged_log(log), profile, keep_first)
+    if materialize:
+        ensure_checkpoint_dir(kept.sparkSession)
+        kept = kept.checkpoint(eager=True)
     means = item_means(kept).drop("n_rows")
     rated = kept.join(means, "item", "inner")
     return rated.withColumn("rating", rating_ladder(F.col("hours"), F.col("mean_hours"),

@@ -13,11 +13,19 @@ Plan shape (for every similarity):
 3. group by (i1, i2) and sum. Spark runs the partial aggregate inside the
    join's stage, so matched pairs are summed in the task that makes them and
    only one partial row per (task, pair) is shuffled.
-4. mirror the half to both orders.
-
-A user with a very long history makes a skewed join partition; the join
-inputs are plain shuffles, so AQE's skew-join rule splits that partition
-into several tasks (``spark.sql.adaptive.skewJoin.enabled``).
+4. emit both orders of each pair in one pass (an explode, no second
+   evaluation of the sums).
+
+Hot users. A user with m items makes m^2/2 pairs, all in the join task that
+holds the user. Each user's cells are therefore cut into
+ceil(m / PAIR_SLICE_ITEMS) slices by a hash of the item (the salt); the left
+side keeps one salt per cell, the right side is repeated once per slice of
+its user (only users above the slice size are repeated at all), and the
+join key is (user, salt). A slice task makes at most PAIR_SLICE_ITEMS * m
+pairs, and a user holding a third of the log is spread over many tasks.
+The join inputs are hash-partitioned explicitly on (user, salt) with the
+session's shuffle partition count, so the expanding join keeps its
+parallelism even when its input is small.
 """
 
 from __future__ import annotations
@@ -26,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludex.functions.columns import rank_key, safe_div
+from ludex.session import shuffle_partitions
 
 # Fixed value: damping added to the denominator of the centred similarity.
 DAMPING = 0.5
@@ -34,6 +43,9 @@ TOP_K = 5
 # Decimal places similarities and scores are rounded to before ranking, so
 # that sums taken in another order rank the same.
 RANK_DIGITS = 9
+# Largest number of a user's items that one pair task joins against the
+# user's whole list (see "Hot users" above).
+PAIR_SLICE_ITEMS = 2048
 
 
 def cells(rows: DataFrame, value: str) -> DataFrame:
@@ -43,14 +55,32 @@ def cells(rows: DataFrame, value: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum(v).alias("s"), F.sum(v * v).alias("q"))
 
 
-def pair_rows(c: DataFrame) -> DataFrame:
+def salted_self_join(c: DataFrame, left: list, right: list,
+                     slice_items: int = PAIR_SLICE_ITEMS) -> DataFrame:
+    """Join the per-user table ``c`` (user_id, item, ...) with itself on the
+    user, every user's left side cut into slices of at most ``slice_items``
+    items; ``left`` / ``right`` are the column expressions kept per side."""
+    n = shuffle_partitions(c.sparkSession)
+    per_user = c.groupBy("user_id").agg(F.count(F.lit(1)).alias("_m"))
+    cs = c.join(per_user, "user_id", "inner").withColumn(
+        "_s", F.greatest(F.lit(1), F.ceil(F.col("_m") / F.lit(slice_items))).cast("int"))
+    a = (cs.select("user_id", *left,
+                   F.pmod(F.xxhash64("item"), F.col("_s")).cast("int").alias("_salt"))
+           .repartition(n, "user_id", "_salt"))
+    b = (cs.select("user_id", *right,
+                   F.explode(F.sequence(F.lit(0), F.col("_s") - F.lit(1))).alias("_salt"))
+           .repartition(n, "user_id", "_salt"))
+    return a.join(b, ["user_id", "_salt"], "inner").drop("_salt")
+
+
+def pair_rows(c: DataFrame, slice_items: int = PAIR_SLICE_ITEMS) -> DataFrame:
     """One row per (user, i1 < i2) co-rating, with its contributions
     ``xx, yy, xy`` to the pair sums. ``c`` comes from ``cells``."""
-    a = c.select("user_id", F.col("item").alias("i1"), F.col("n").alias("n1"),
-                 F.col("s").alias("s1"), F.col("q").alias("q1"))
-    b = c.select("user_id", F.col("item").alias("i2"), F.col("n").alias("n2"),
-                 F.col("s").alias("s2"), F.col("q").alias("q2"))
-    j = a.join(b, "user_id", "inner").filter(F.col("i1") < F.col("i2"))
+    left = [F.col("item").alias("i1"), F.col("n").alias("n1"),
+            F.col("s").alias("s1"), F.col("q").alias("q1")]
+    right = [F.col("item").alias("i2"), F.col("n").alias("n2"),
+             F.col("s").alias("s2"), F.col("q").alias("q2")]
+    j = salted_self_join(c, left, right, slice_items).filter(F.col("i1") < F.col("i2"))
     return j.select("user_id", "i1", "i2",
                     (F.col("q1") * F.col("n2")).alias("xx"),
                     (F.col("n1") * F.col("q2")).alias("yy"),
@@ -67,12 +97,15 @@ def pair_sums(rows: DataFrame, value: str) -> DataFrame:
 
 def mirror(half: DataFrame, swap: dict[str, str] | None = None) -> DataFrame:
     """Both orders of each pair: (i1, i2) and (i2, i1); columns in ``swap``
-    are exchanged in the second copy."""
+    are exchanged in the second copy. One pass: each row explodes into its
+    two orders, so the half is evaluated once."""
     swap = swap or {}
     cols = [c for c in half.columns if c not in ("i1", "i2")]
-    flipped = half.select(F.col("i2").alias("i1"), F.col("i1").alias("i2"),
-                          *[F.col(swap.get(c, c)).alias(c) for c in cols])
-    return half.unionByName(flipped)
+    fwd = F.struct(F.col("i1").alias("i1"), F.col("i2").alias("i2"),
+                   *[F.col(c).alias(c) for c in cols])
+    rev = F.struct(F.col("i2").alias("i1"), F.col("i1").alias("i2"),
+                   *[F.col(swap.get(c, c)).alias(c) for c in cols])
+    return half.select(F.explode(F.array(fwd, rev)).alias("_p")).select("_p.*")
 
 
 def cosine_from_sums(sx, sy, sxy) -> F.Column:
@@ -152,8 +185,8 @@ def full_cosine(ratings: DataFrame) -> DataFrame:
     """Cosine of whole item vectors (norms over all users, not only the
     co-rating ones): sum over shared users of the normalised entries."""
     nv = l2_normalised(ratings).select("user_id", "item", F.col("norm_value").alias("v"))
-    a = nv.select("user_id", F.col("item").alias("i1"), F.col("v").alias("v1"))
-    b = nv.select("user_id", F.col("item").alias("i2"), F.col("v").alias("v2"))
-    half = (a.join(b, "user_id", "inner").filter(F.col("i1") < F.col("i2"))
+    j = salted_self_join(nv, [F.col("item").alias("i1"), F.col("v").alias("v1")],
+                         [F.col("item").alias("i2"), F.col("v").alias("v2")])
+    half = (j.filter(F.col("i1") < F.col("i2"))
              .groupBy("i1", "i2").agg(F.sum(F.col("v1") * F.col("v2")).alias("similarity")))
     return mirror(half)

@@ -196,11 +196,14 @@ def q26_als_predict(spark, d):
 
 
 def q27_als_rmse(spark, d):
+    """RMSE on the rating scale and on the raw residual scale, one pass."""
     p = als_op.predictions(_als_run(spark, d))
-    a = ev.rmse(p, "prediction", "rating").select(F.lit("rating_scale").alias("mode"), "rmse", "n")
-    b = ev.rmse(p, "residual_prediction", "rating").select(F.lit("residual_scale").alias("mode"),
-                                                           "rmse", "n")
-    return a.unionByName(b).select("mode", rnd(F.col("rmse")).alias("rmse"), "n")
+    r = F.col("rating").cast("double")
+    e1, e2 = F.col("prediction") - r, F.col("residual_prediction") - r
+    wide = p.agg(F.sqrt(F.avg(e1 * e1)).alias("rating_scale"),
+                 F.sqrt(F.avg(e2 * e2)).alias("residual_scale"), F.count(F.lit(1)).alias("n"))
+    long = wide.unpivot(["n"], ["rating_scale", "residual_scale"], "mode", "rmse")
+    return long.select("mode", rnd(F.col("rmse")).alias("rmse"), "n")
 
 
 def q28_als_topn(spark, d):
