@@ -93,6 +93,17 @@ def rated_log(log: DataFrame, profile: str = "knn", keep_first: bool = False,
                                                      F.col("weight")))
 
 
+def rated_purchases(log: DataFrame) -> DataFrame:
+    """``rated_log(log, 'als', keep_first=True)`` for a log whose rows are
+    all purchases (the basket adapter): every transition is then kept and
+    every weight is 1, so the lag is skipped. Same ratings, no window."""
+    kept = log.withColumn("weight", F.lit(1))
+    means = item_means(kept).drop("n_rows")
+    rated = kept.join(means, "item", "inner")
+    return rated.withColumn("rating", rating_ladder(F.col("hours"), F.col("mean_hours"),
+                                                     F.col("weight")))
+
+
 def user_means(ratings: DataFrame, value: str = "rating", out: str = "user_mean") -> DataFrame:
     return ratings.groupBy("user_id").agg(F.avg(value).alias(out))
 

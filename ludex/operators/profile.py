@@ -110,21 +110,22 @@ def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float],
     """
     c = F.col(col)
     vals = df.where(c.isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
-    n = df.select(F.count(c)).scalar()
     fracs = [i / slices for i in range(1, slices)]
     cuts = vals.select(F.array_distinct(F.percentile_approx(col, fracs, 10_000)).alias("x")).scalar()
     sl = (vals.withColumn("_cuts", cuts)   # no subquery inside a lambda
               .withColumn("_slice", F.size(F.filter("_cuts", lambda x: x < F.col(col))))
               .drop("_cuts"))
     tot = sl.groupBy("_slice").agg(F.sum("_c").alias("_t"))
-    off = tot.select("_slice", (F.sum("_t").over(Window.orderBy("_slice")) - F.col("_t")).alias("_off"))
+    off = tot.select("_slice",
+                     (F.sum("_t").over(Window.orderBy("_slice")) - F.col("_t")).alias("_off"),
+                     F.sum("_t").over(Window.partitionBy()).alias("_n"))
     w = (Window.partitionBy("_slice").orderBy(col)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     cum = (sl.join(F.broadcast(off), "_slice", "inner")
              .withColumn("_cum", F.col("_off") + F.sum("_c").over(w)))
     aggs = []
     for name, p in probs.items():
-        k = F.greatest(F.lit(1).cast("double"), F.ceil(F.lit(float(p)) * n).cast("double"))
+        k = F.greatest(F.lit(1).cast("double"), F.ceil(F.lit(float(p)) * F.col("_n")).cast("double"))
         hit = (F.col("_cum") >= k) & ((F.col("_cum") - F.col("_c")) < k)
         aggs.append(F.min(F.when(hit, c)).alias(name))
     return cum.agg(*aggs)

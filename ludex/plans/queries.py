@@ -53,7 +53,10 @@ def rated(spark, d, profile: str = "knn") -> DataFrame:
 
 
 def rated_basket(spark, d, with_priority: bool = False) -> DataFrame:
-    return fe.rated_log(basket_log(spark, d, with_priority), "als", keep_first=True)
+    """The basket rated with the ALS profile, first purchases kept. All its
+    rows are purchases, so this equals ``fe.rated_log(basket, 'als',
+    keep_first=True)`` without the lag (checked in the tests)."""
+    return fe.rated_purchases(basket_log(spark, d, with_priority))
 
 
 def knn_train_test(spark, d) -> tuple[DataFrame, DataFrame]:

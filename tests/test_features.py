@@ -96,3 +96,13 @@ def test_residuals_average_zero(spark, sf_small):
     train, _ = train_test(rated_basket(spark, sf_small))
     m = fe.residuals(train).agg(F.avg("interaction")).first()[0]
     assert abs(m) < 0.5
+
+
+def test_purchase_log_fast_path_equals_general_pipeline(spark, sf_small):
+    from ludex.sources.adapters import basket_log
+    b = basket_log(spark, sf_small)
+    cols = ["rkey", "user_id", "item", "hours", "weight", "mean_hours", "rating"]
+    fast = fe.rated_purchases(b).select(*cols)
+    full = fe.rated_log(b, "als", keep_first=True, materialize=False).select(*cols)
+    assert fast.count() == full.count() == b.count()
+    assert fast.exceptAll(full).count() == 0 and full.exceptAll(fast).count() == 0
