@@ -115,14 +115,21 @@ def centred(ratings: DataFrame) -> DataFrame:
             .withColumn("deviation", F.col("rating") - F.col("user_mean")))
 
 
-def residuals(train: DataFrame, item_col: str = "item") -> DataFrame:
+def train_means(train: DataFrame, item_col: str = "item"):
+    """Per-user mean, per-item mean (small tables) and the global mean (a
+    scalar subquery column) of the train ratings."""
+    um = train.groupBy("user_id").agg(F.avg("rating").alias("user_mean"))
+    im = train.groupBy(item_col).agg(F.avg("rating").alias("item_mean"))
+    gm = train.select(F.avg("rating")).scalar()
+    return um, im, gm
+
+
+def residuals(train: DataFrame, item_col: str = "item", means=None) -> DataFrame:
     """``rating - (user_mean + item_mean - global_mean)`` over the train rows.
 
     The global mean is a scalar subquery, evaluated once; no cross join.
     """
-    um = train.groupBy("user_id").agg(F.avg("rating").alias("user_mean"))
-    im = train.groupBy(item_col).agg(F.avg("rating").alias("item_mean"))
-    gm = train.select(F.avg("rating")).scalar()
+    um, im, gm = means or train_means(train, item_col)
     out = (train.join(um, "user_id", "inner").join(im, item_col, "inner")
            .withColumn("global_mean", gm))
     return out.withColumn(
