@@ -215,19 +215,14 @@ def q28_als_topn(spark, d):
 
 
 def q29_als_topn_named(spark, d, n: int = rc.TOP_N):
-    """Top-n unseen items per user with the part name.
-
-    Asking the model for n + (largest number of items any user owns) per
-    user is exact: after removing a user's own items at least n remain."""
+    """Top-n unseen items per user with the part name (exact; see
+    ``als.recommend_unseen``)."""
     rb = rated_basket(spark, d)
     run = als_op.fit(rb)
-    owned = rb.select("user_id", "item").distinct()
-    max_owned = owned.groupBy("user_id").count().agg(F.max("count")).first()[0] or 0
-    recs = als_op.recommend_all(run, n + int(max_owned))
-    users = rb.select("user_id").distinct()
-    top = rc.unseen_top_n(recs.drop("rank").withColumn("score", F.col("score").cast("double")),
-                          owned, n)
-    top = top.join(users, "user_id", "left_semi")
+    owned = rb.select("user_id", "item")
+    cand = als_op.recommend_unseen(run, owned, n)
+    top = rc.unseen_top_n(cand, owned, n)
+    top = top.join(rb.select("user_id").distinct(), "user_id", "left_semi")
     parts = read_table(spark, d, "part").select(F.col("p_partkey").alias("item"), "p_name")
     return top.join(parts, "item", "left").select(
         "user_id", "rank", "item", "p_name", rnd(F.col("score")).alias("score"))

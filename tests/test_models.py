@@ -46,3 +46,16 @@ def test_model_comparison(spark, sf_small):
     assert set(rows) == {"als", "cosine", "pearson"}
     for r in rows.values():
         assert r.n > 0 and math.isfinite(r.rmse) and r.rmse >= 0
+
+
+def test_recommend_unseen_heavy_users_exact(spark, sf_small):
+    """With a tiny light limit every user is 'heavy'; the result must equal
+    scoring each user for n + (its owned count) directly."""
+    run = als_op.fit(q.rated_basket(spark, sf_small))
+    owned = q.rated_basket(spark, sf_small).select("user_id", "item")
+    from ludex.operators import recommend as rc
+    a = rc.unseen_top_n(als_op.recommend_unseen(run, owned, 5, light_owned=1), owned, 5)
+    b = rc.unseen_top_n(als_op.recommend_unseen(run, owned, 5, light_owned=10_000), owned, 5)
+    cols = ["user_id", "item", "rank"]
+    assert a.select(*cols).exceptAll(b.select(*cols)).count() == 0
+    assert b.select(*cols).exceptAll(a.select(*cols)).count() == 0
