@@ -11,21 +11,29 @@ from ludex.functions.columns import (
     conversion_weight, exact_mean, rating_ladder, transition_keep,
 )
 
-# The lag splits one user's history into calendar-day slices; see
-# ``with_previous``.
+# The lag splits one user's history into time slices of LAG_SLICE_SECONDS
+# (one day); see ``with_previous``. Finer slices spread a user who is hot
+# within a day over more tasks, at the price of a larger carry table.
+LAG_SLICE_SECONDS = 24 * 3600
 # Rows per slice when a log has no time column (ordered by event_id only).
 LAG_SLICE_ROWS = 1 << 20
 
 
-def _slice(df: DataFrame) -> F.Column:
-    by_time = F.unix_date(F.to_date(F.col("ts"))).cast("bigint")
+def _slice(df: DataFrame, seconds: int = LAG_SLICE_SECONDS) -> F.Column:
+    # Seconds since the epoch of the wall-clock time; works for timestamps
+    # with and without time zone.
+    secs = (F.unix_date(F.to_date(F.col("ts"))).cast("bigint") * F.lit(86400)
+            + F.hour(F.col("ts")) * F.lit(3600) + F.minute(F.col("ts")) * F.lit(60)
+            + F.second(F.col("ts")))
+    by_time = F.floor(secs / F.lit(seconds))
     by_id = F.floor(F.col("event_id") / F.lit(LAG_SLICE_ROWS))
     return F.coalesce(by_time, by_id)
 
 
 def with_previous(log: DataFrame, value: str = "behaviour", out: str = "prev",
                   part: tuple[str, ...] = ("user_id",),
-                  order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
+                  order: tuple[str, ...] = ("ts", "event_id"),
+                  slice_seconds: int = LAG_SLICE_SECONDS) -> DataFrame:
     """``lag(value)`` inside each user, ordered by time then event id.
 
     Equal to ``lag(value) OVER (PARTITION BY user ORDER BY ts, event_id)``
@@ -35,7 +43,7 @@ def with_previous(log: DataFrame, value: str = "behaviour", out: str = "prev",
     day, map-side combined). A user holding a third of the log is thus spread
     over as many tasks as it has active days.
     """
-    sl = log.withColumn("_slice", _slice(log))
+    sl = log.withColumn("_slice", _slice(log, slice_seconds))
     keys = [*part, "_slice"]
     w = Window.partitionBy(*keys).orderBy(*order)
     local = (sl.withColumn("_prev", F.lag(value).over(w))

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ludex.session import shuffle_partitions
+
 # Number of range slices for the distributed dense rank.
 INDEX_SLICES = 256
 
 
 def dense_index(df: DataFrame, col: str, out: str = "code",
-                slices: int = INDEX_SLICES) -> DataFrame:
+                slices: int | None = None) -> DataFrame:
     """Distinct values of a numeric ``col`` with ``out`` = dense rank - 1.
 
     ``dense_rank() OVER (ORDER BY col)`` would pull every value into one task.
@@ -18,8 +20,10 @@ def dense_index(df: DataFrame, col: str, out: str = "code",
     slices (one scalar subquery, a bounded array); the rank inside a slice is
     a window per slice; each slice's offset is a running sum over the slice
     counts, a table of at most ``slices`` rows. The codes do not depend on
-    where the cuts fall, only on the order, so they are exact.
+    where the cuts fall, only on the order, so they are exact. ``slices``
+    defaults to the larger of INDEX_SLICES and the shuffle partition count.
     """
+    slices = slices or max(INDEX_SLICES, shuffle_partitions(df.sparkSession))
     vals = df.select(col).where(F.col(col).isNotNull()).distinct()
     fracs = [i / slices for i in range(1, slices)]
     cuts = vals.select(

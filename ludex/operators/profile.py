@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ludex.functions.columns import rnd
+from ludex.session import shuffle_partitions
 
 # Fixed value: the whisker / outlier multiple of the interquartile range.
 IQR_FACTOR = 1.5
@@ -96,7 +97,7 @@ def describe(df: DataFrame, col: str) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float],
-                    slices: int = QUANTILE_SLICES) -> DataFrame:
+                    slices: int | None = None) -> DataFrame:
     """Exact discrete quantiles (``percentile_disc``) of ``col``; one row with
     a column per entry of ``probs``.
 
@@ -106,8 +107,11 @@ def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float],
     array from one scalar subquery), the running count inside a slice is a
     window per slice, and the slice offsets come from a table of at most
     ``slices`` rows. The value of rank ``max(1, ceil(p * n))`` is then picked
-    in one aggregate. Exact whatever the cuts are.
+    in one aggregate. Exact whatever the cuts are. ``slices`` defaults to the
+    larger of QUANTILE_SLICES and the shuffle partition count, so a slice
+    stays small as the data grows.
     """
+    slices = slices or max(QUANTILE_SLICES, shuffle_partitions(df.sparkSession))
     c = F.col(col)
     vals = df.where(c.isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
     fracs = [i / slices for i in range(1, slices)]

@@ -58,12 +58,13 @@ def test_keep_first_keeps_opening_purchases(spark):
     assert got[1][0] is None and got[4][0] is None
 
 
-def test_split_lag_equals_plain_window(spark, sf_small):
+@pytest.mark.parametrize("seconds", [60, 3600, 24 * 3600])
+def test_split_lag_equals_plain_window(spark, sf_small, seconds):
     from ludex.sources.adapters import behaviour_log
     log = behaviour_log(spark, sf_small)
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     plain = log.withColumn("p2", F.lag("behaviour").over(w))
-    both = fe.with_previous(log).join(plain.select("event_id", "p2"), "event_id")
+    both = fe.with_previous(log, slice_seconds=seconds).join(plain.select("event_id", "p2"), "event_id")
     bad = both.filter(~F.col("prev").eqNullSafe(F.col("p2"))).count()
     assert bad == 0
     assert both.count() == log.count()
