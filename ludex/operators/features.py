@@ -91,7 +91,7 @@ def rated_log(log: DataFrame, profile: str = "knn", keep_first: bool = False,
     The item means are joined back (one row per item): AQE broadcasts them
     when they are small and otherwise keeps a sort-merge join.
     """
-    kept = transitions(lagged_log(log), profile, keep_first)
+    kept = transitions(lagged_log(log), profile, keep_first).drop("ts")
     if materialize:
         ensure_checkpoint_dir(kept.sparkSession)
         kept = kept.checkpoint(eager=True)

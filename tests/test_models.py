@@ -45,7 +45,7 @@ def test_model_comparison(spark, sf_small):
     rows = {r.model: r for r in q.q46_model_comparison(spark, sf_small).collect()}
     assert set(rows) == {"als", "cosine", "pearson"}
     for r in rows.values():
-        assert r.n > 0 and math.isfinite(r.rmse) and r.rmse >= 0
+        assert r.n > 0 and math.isfinite(r.rmse) and r.rmse >= 0 and r.train_seconds >= 0
 
 
 def test_recommend_unseen_heavy_users_exact(spark, sf_small):
