@@ -50,7 +50,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Point the SparkContext at the shared checkpoint folder.
 
     The folder is read from ``spark.checkpoint.dir`` (set by the cluster).
-    Only when it is unset, as in local tests, a fresh scratch folder is made.
+    Only when it is unset on a local master, as in tests, a fresh scratch
+    folder is made; on a cluster a machine-local folder would not survive
+    the loss of an executor, so an unset folder is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...)")
         path = tempfile.mkdtemp(prefix="ludex-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
