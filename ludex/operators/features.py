@@ -101,11 +101,16 @@ def rated_log(log: DataFrame, profile: str = "knn", keep_first: bool = False,
                                                      F.col("weight")))
 
 
-def rated_purchases(log: DataFrame) -> DataFrame:
+def rated_purchases(log: DataFrame, materialize: bool = True) -> DataFrame:
     """``rated_log(log, 'als', keep_first=True)`` for a log whose rows are
     all purchases (the basket adapter): every transition is then kept and
-    every weight is 1, so the lag is skipped. Same ratings, no window."""
-    kept = log.withColumn("weight", F.lit(1))
+    every weight is 1, so the lag is skipped. Same ratings, no window.
+    The rows feed the item means and the join back, so they are
+    checkpointed once (see ``rated_log``)."""
+    kept = log.drop("ts").withColumn("weight", F.lit(1))
+    if materialize:
+        ensure_checkpoint_dir(kept.sparkSession)
+        kept = kept.checkpoint(eager=True)
     means = item_means(kept).drop("n_rows")
     rated = kept.join(means, "item", "inner")
     return rated.withColumn("rating", rating_ladder(F.col("hours"), F.col("mean_hours"),

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludex.functions.columns import rank_key, safe_div
-from ludex.session import shuffle_partitions
+from ludex.session import ensure_checkpoint_dir, shuffle_partitions
 
 # Fixed value: damping added to the denominator of the centred similarity.
 DAMPING = 0.5
@@ -64,6 +64,10 @@ def salted_self_join(c: DataFrame, left: list, right: list,
     per_user = c.groupBy("user_id").agg(F.count(F.lit(1)).alias("_m"))
     cs = c.join(per_user, "user_id", "inner").withColumn(
         "_s", F.greatest(F.lit(1), F.ceil(F.col("_m") / F.lit(slice_items))).cast("int"))
+    # Both sides read the cells: materialise them once (reliable checkpoint
+    # in the shared folder) instead of aggregating the ratings twice.
+    ensure_checkpoint_dir(c.sparkSession)
+    cs = cs.checkpoint(eager=True)
     a = (cs.select("user_id", *left,
                    F.pmod(F.xxhash64("item"), F.col("_s")).cast("int").alias("_salt"))
            .repartition(n, "user_id", "_salt"))
