@@ -46,6 +46,8 @@ RANK_DIGITS = 9
 # Largest number of a user's items that one pair task joins against the
 # user's whole list (see "Hot users" above).
 PAIR_SLICE_ITEMS = 2048
+# Ordered pairs per partition of the pair join.
+PAIR_PARTITION_PAIRS = 2_000_000
 
 
 def cells(rows: DataFrame, value: str) -> DataFrame:
@@ -60,7 +62,6 @@ def salted_self_join(c: DataFrame, left: list, right: list,
     """Join the per-user table ``c`` (user_id, item, ...) with itself on the
     user, every user's left side cut into slices of at most ``slice_items``
     items; ``left`` / ``right`` are the column expressions kept per side."""
-    n = shuffle_partitions(c.sparkSession)
     per_user = c.groupBy("user_id").agg(F.count(F.lit(1)).alias("_m"))
     cs = c.join(per_user, "user_id", "inner").withColumn(
         "_s", F.greatest(F.lit(1), F.ceil(F.col("_m") / F.lit(slice_items))).cast("int"))
@@ -68,6 +69,13 @@ def salted_self_join(c: DataFrame, left: list, right: list,
     # in the shared folder) instead of aggregating the ratings twice.
     ensure_checkpoint_dir(c.sparkSession)
     cs = cs.checkpoint(eager=True)
+    # Partitions for the pair join, from the work it will do: every cell
+    # carries its user's item count m, so sum(m) over the cells is the
+    # number of (ordered) pairs, sum over users of m^2. One partition per
+    # PAIR_PARTITION_PAIRS pairs, at most the shuffle partition count. The
+    # exchange is by number, so AQE keeps it as sized.
+    pairs_n = cs.agg(F.sum("_m")).first()[0] or 0
+    n = int(max(1, min(shuffle_partitions(c.sparkSession), -(-pairs_n // PAIR_PARTITION_PAIRS))))
     a = (cs.select("user_id", *left,
                    F.pmod(F.xxhash64("item"), F.col("_s")).cast("int").alias("_salt"))
            .repartition(n, "user_id", "_salt"))
