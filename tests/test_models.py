@@ -59,3 +59,15 @@ def test_recommend_unseen_heavy_users_exact(spark, sf_small):
     cols = ["user_id", "item", "rank"]
     assert a.select(*cols).exceptAll(b.select(*cols)).count() == 0
     assert b.select(*cols).exceptAll(a.select(*cols)).count() == 0
+
+
+def test_dense_encoding_path_is_a_bijection(spark, sf_small):
+    coded, n = als_op.encode(q.rated_basket(spark, sf_small), force_dense=True)
+    assert coded.count() == n
+    users = coded.select("user_id", "ucode").distinct()
+    items = coded.select("item", "icode").distinct()
+    nu = coded.select("user_id").distinct().count()
+    ni = coded.select("item").distinct().count()
+    assert users.count() == nu and users.select("ucode").distinct().count() == nu
+    assert items.count() == ni and items.select("icode").distinct().count() == ni
+    assert items.agg(F.min("icode"), F.max("icode")).first() == (0, ni - 1)
