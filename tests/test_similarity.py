@@ -107,3 +107,29 @@ def test_recommendations_exclude_owned(spark, sf_small):
     assert recs.join(owned, ["user_id", "item"]).count() == 0
     assert recs.groupBy("user_id").count().filter(F.col("count") > rc.TOP_N).count() == 0
     assert recs.count() > 0
+
+
+@pytest.mark.parametrize("slice_items", [1, 2, 5])
+def test_salted_pairs_equal_unsalted(spark, sf_small, slice_items):
+    """Cut every user's items into tiny slices (many salts per user): the
+    pair rows must be exactly those of the one-slice join."""
+    from ludex.plans.queries import knn_train_test
+    train, _ = knn_train_test(spark, sf_small)
+    c = si.cells(train, "rating")
+    cols = ["user_id", "i1", "i2", "xx", "yy", "xy"]
+    a = si.pair_rows(c, slice_items=slice_items).select(*cols)
+    b = si.pair_rows(c, slice_items=10**9).select(*cols)
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_salted_pairs_hot_user(spark):
+    """One user rating every item (a hot user, cut into 13 slices of 3)
+    next to light users: same pair rows as the one-slice join."""
+    rows = [(1, i, (i % 5) + 1) for i in range(1, 40)] + \
+           [(u, i, (u + i) % 5) for u in range(2, 12) for i in range(u, u + 4)]
+    df = spark.createDataFrame(rows, "user_id bigint, item bigint, rating int")
+    a = si.pair_rows(si.cells(df, "rating"), slice_items=3)
+    b = si.pair_rows(si.cells(df, "rating"), slice_items=10**9)
+    assert a.count() == b.count() == 39 * 38 // 2 + 10 * 6
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
