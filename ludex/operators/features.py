@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ludex.session import ensure_checkpoint_dir
 from ludex.functions.columns import (
-    conversion_weight, exact_mean, rating_ladder, transition_keep,
+    conversion_weight, exact_mean, in_train, rating_ladder, transition_keep,
 )
 
 # The lag splits one user's history into time slices of LAG_SLICE_SECONDS
@@ -71,6 +71,15 @@ def transitions(lagged: DataFrame, profile: str, keep_first: bool = False) -> Da
                                          profile, keep_first))
 
 
+def with_train_flag(rows: DataFrame, key: str = "rkey") -> DataFrame:
+    """Add ``is_train`` (md5 bucket of the row key < 80) once, before the
+    rows are materialised, so later splits read a flag instead of hashing
+    the key on every pass."""
+    if key not in rows.columns:
+        return rows
+    return rows.withColumn("is_train", in_train(F.col(key)))
+
+
 def item_means(rows: DataFrame, value: str = "hours", out: str = "mean_hours") -> DataFrame:
     """Order-independent mean of ``value`` per item (partial + final aggregate)."""
     return rows.groupBy("item").agg(exact_mean(F.col(value)).alias(out),
@@ -91,7 +100,7 @@ def rated_log(log: DataFrame, profile: str = "knn", keep_first: bool = False,
     The item means are joined back (one row per item): AQE broadcasts them
     when they are small and otherwise keeps a sort-merge join.
     """
-    kept = transitions(lagged_log(log), profile, keep_first).drop("ts")
+    kept = with_train_flag(transitions(lagged_log(log), profile, keep_first).drop("ts"))
     if materialize:
         ensure_checkpoint_dir(kept.sparkSession)
         kept = kept.checkpoint(eager=True)
@@ -107,7 +116,7 @@ def rated_purchases(log: DataFrame, materialize: bool = True) -> DataFrame:
     every weight is 1, so the lag is skipped. Same ratings, no window.
     The rows feed the item means and the join back, so they are
     checkpointed once (see ``rated_log``)."""
-    kept = log.drop("ts").withColumn("weight", F.lit(1))
+    kept = with_train_flag(log.drop("ts").withColumn("weight", F.lit(1)))
     if materialize:
         ensure_checkpoint_dir(kept.sparkSession)
         kept = kept.checkpoint(eager=True)

@@ -12,15 +12,23 @@ def train_test(rows: DataFrame, key: str = "rkey", train_pct: int = 80) -> tuple
     """80/20 split by the md5 bucket of a row key.
 
     A row lands on the same side in every recomputation and in every engine,
-    so the split survives executor loss and can be checked against SQL.
+    so the split survives executor loss and can be checked against SQL. A
+    precomputed ``is_train`` flag (see ``features.with_train_flag``) is used
+    when present and the split is the default 80/20.
     """
-    flag = in_train(F.col(key), train_pct)
-    return rows.filter(flag), rows.filter(~flag)
+    flag = _flag(rows, key, train_pct)
+    return rows.filter(flag).drop("is_train"), rows.filter(~flag).drop("is_train")
+
+
+def _flag(rows: DataFrame, key: str, train_pct: int):
+    if "is_train" in rows.columns and key == "rkey" and train_pct == 80:
+        return F.col("is_train")
+    return in_train(F.col(key), train_pct)
 
 
 def with_split(rows: DataFrame, key: str = "rkey", train_pct: int = 80) -> DataFrame:
     return rows.withColumn(
-        "split", F.when(in_train(F.col(key), train_pct), F.lit("train")).otherwise(F.lit("test")))
+        "split", F.when(_flag(rows, key, train_pct), F.lit("train")).otherwise(F.lit("test")))
 
 
 def capped_per_key(rows: DataFrame, group: str, cap: int, key: str = "rkey") -> DataFrame:
