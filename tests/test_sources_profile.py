@@ -13,10 +13,10 @@ from ludex.sources.adapters import basket_log, behaviour_log, csv_log
 from ludex.sources.readers import read_behaviour_csv
 
 CSV = (
-    '151603712,"The Elder Scrolls V, Skyrim",purchase,1.0,0\n'
-    'abc,Fallout 4,play,x,0\n'
-    '187131847,Dota 2,play,0.5,0\n'
-    '59945701,Portal,purchase,1.0\n'
+    '1001,"Title One, Deluxe",purchase,1.0,0\n'
+    'abc,Title Two,play,x,0\n'
+    '1002,Title Three,play,0.5,0\n'
+    '1003,Title Four,purchase,1.0\n'
 )
 
 
@@ -29,9 +29,9 @@ def test_csv_reader(spark):
     assert df.columns == ["user_id", "item", "behaviour", "hours"]
     rows = df.collect()
     assert len(rows) == 4
-    assert rows[0].item == "The Elder Scrolls V, Skyrim" and rows[0].hours == 1.0
+    assert rows[0].item == "Title One, Deluxe" and rows[0].hours == 1.0
     assert rows[1].user_id is None and rows[1].hours is None
-    assert rows[3].user_id == 59945701 and rows[3].behaviour == "purchase"
+    assert rows[3].user_id == 1003 and rows[3].behaviour == "purchase"
     log = csv_log(df)
     assert log.count() == 4 and "title" in log.columns
 
@@ -59,7 +59,7 @@ def test_split_is_a_partition(spark, sf_small):
 def test_split_matches_duckdb_hash(spark):
     import duckdb
     from ludex.functions.columns import hash_bucket
-    keys = ["1", "1|2", "abc", "151603712|7"]
+    keys = ["1", "1|2", "abc", "987654321|7"]
     got = [r[0] for r in spark.createDataFrame([(k,) for k in keys], "k string")
            .select(hash_bucket(F.col("k"))).collect()]
     want = [duckdb.sql(f"SELECT CAST('0x' || substr(md5('{k}'), 1, 8) AS BIGINT) % 100").fetchall()[0][0]
