@@ -12,38 +12,61 @@ from ludex.functions.columns import (
 )
 
 # The lag splits one user's history into time slices of LAG_SLICE_SECONDS
-# (one day); see ``with_previous``. Finer slices spread a user who is hot
-# within a day over more tasks, at the price of a larger carry table.
+# (one day); a slice holding more than LAG_SLICE_TARGET_ROWS rows is cut
+# further into equal time sub-slices. See ``with_previous``.
 LAG_SLICE_SECONDS = 24 * 3600
+LAG_SLICE_TARGET_ROWS = 1_000_000
 # Rows per slice when a log has no time column (ordered by event_id only).
 LAG_SLICE_ROWS = 1 << 20
-
-
-def _slice(df: DataFrame, seconds: int = LAG_SLICE_SECONDS) -> F.Column:
-    # Seconds since the epoch of the wall-clock time; works for timestamps
-    # with and without time zone.
-    secs = (F.unix_date(F.to_date(F.col("ts"))).cast("bigint") * F.lit(86400)
-            + F.hour(F.col("ts")) * F.lit(3600) + F.minute(F.col("ts")) * F.lit(60)
-            + F.second(F.col("ts")))
-    by_time = F.floor(secs / F.lit(seconds))
-    by_id = F.floor(F.col("event_id") / F.lit(LAG_SLICE_ROWS))
-    return F.coalesce(by_time, by_id)
+# Sub-slices per slice are numbered below this bound (keeps slice ids ordered).
+_SUB_MAX = 1 << 20
+
+
+def _micros(c: F.Column) -> F.Column:
+    # Works for timestamps with and without time zone.
+    return F.unix_micros(c.cast("timestamp"))
+
+
+def _sliced(log: DataFrame, part: list[str], seconds: int, target_rows: int) -> DataFrame:
+    """``log`` + ``_slice``: an id that grows with (ts, event_id) inside a
+    user. Base slices are fixed time windows; a base slice of one user with
+    more than ``target_rows`` rows (found by a map-side-combined count, one
+    row per hot slice joined back) is cut into ceil(rows / target_rows)
+    equal time sub-slices."""
+    us = _micros(F.col("ts"))
+    base = F.coalesce(F.floor(us / F.lit(seconds * 1_000_000)),
+                      F.floor(F.col("event_id") / F.lit(LAG_SLICE_ROWS)))
+    sl = log.withColumn("_us", us).withColumn("_base", base)
+    hot = (sl.groupBy(*part, "_base")
+             .agg(F.count(F.lit(1)).alias("_c"), F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
+             .filter(F.col("_c") > F.lit(target_rows))
+             .select(*part, "_base",
+                     F.least(F.ceil(F.col("_c") / F.lit(target_rows)), F.lit(_SUB_MAX)).alias("_k"),
+                     "_lo", "_hi"))
+    sl = sl.join(hot, [*part, "_base"], "left")
+    width = (F.col("_hi") - F.col("_lo") + F.lit(1)) / F.col("_k")
+    sub = F.coalesce(F.least(F.col("_k") - F.lit(1),
+                             F.floor((F.col("_us") - F.col("_lo")) / width)), F.lit(0))
+    return (sl.withColumn("_slice", F.col("_base") * F.lit(_SUB_MAX) + sub)
+              .drop("_us", "_base", "_c", "_k", "_lo", "_hi"))
 
 
 def with_previous(log: DataFrame, value: str = "behaviour", out: str = "prev",
                   part: tuple[str, ...] = ("user_id",),
                   order: tuple[str, ...] = ("ts", "event_id"),
-                  slice_seconds: int = LAG_SLICE_SECONDS) -> DataFrame:
+                  slice_seconds: int = LAG_SLICE_SECONDS,
+                  target_rows: int = LAG_SLICE_TARGET_ROWS) -> DataFrame:
     """``lag(value)`` inside each user, ordered by time then event id.
 
     Equal to ``lag(value) OVER (PARTITION BY user ORDER BY ts, event_id)``
-    but a user's history is never one task: the window runs per (user, day
-    slice), and the first row of a slice takes the last value of the user's
-    previous non-empty slice from a per-slice aggregate (one row per user and
-    day, map-side combined). A user holding a third of the log is thus spread
-    over as many tasks as it has active days.
+    but a user's history is never one task: the window runs per (user,
+    slice), slices being days cut further where a user-day is hot (see
+    ``_sliced``), and the first row of a slice takes the last value of the
+    user's previous non-empty slice from a per-slice aggregate (one row per
+    user and slice, map-side combined). A user holding a third of the log
+    is thus spread over slices of at most about ``target_rows`` rows.
     """
-    sl = log.withColumn("_slice", _slice(log, slice_seconds))
+    sl = _sliced(log, list(part), slice_seconds, target_rows)
     keys = [*part, "_slice"]
     w = Window.partitionBy(*keys).orderBy(*order)
     local = (sl.withColumn("_prev", F.lag(value).over(w))

@@ -58,13 +58,17 @@ def test_keep_first_keeps_opening_purchases(spark):
     assert got[1][0] is None and got[4][0] is None
 
 
-@pytest.mark.parametrize("seconds", [60, 3600, 24 * 3600])
-def test_split_lag_equals_plain_window(spark, sf_small, seconds):
+@pytest.mark.parametrize("seconds,target", [(60, 10**6), (3600, 10**6), (24 * 3600, 10**6),
+                                            (24 * 3600, 1), (24 * 3600, 2), (30 * 24 * 3600, 3)])
+def test_split_lag_equals_plain_window(spark, sf_small, seconds, target):
+    """Any slice width and any hot-slice row target (tiny targets cut every
+    user-day into sub-slices) give the plain window's lag."""
     from ludex.sources.adapters import behaviour_log
     log = behaviour_log(spark, sf_small)
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     plain = log.withColumn("p2", F.lag("behaviour").over(w))
-    both = fe.with_previous(log, slice_seconds=seconds).join(plain.select("event_id", "p2"), "event_id")
+    both = fe.with_previous(log, slice_seconds=seconds, target_rows=target) \
+        .join(plain.select("event_id", "p2"), "event_id")
     bad = both.filter(~F.col("prev").eqNullSafe(F.col("p2"))).count()
     assert bad == 0
     assert both.count() == log.count()
