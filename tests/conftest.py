@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -12,13 +11,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
+    # get_session reads spark.checkpoint.dir from the configuration and makes
+    # a scratch folder only when it is unset (local master).
     from ludex.session import get_session
-    extra = {}
-    # Tests set their own checkpoint folder only when none is configured.
-    if not os.environ.get("SPARK_CONF_DIR") and not os.path.exists("/tmp/checkpoints"):
-        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="ludex-test-ckpt-")
-    s = get_session("local[4]", 4, app_name="ludex-tests", extra=extra)
-    yield s
+    return get_session("local[4]", 4, app_name="ludex-tests")
 
 
 @pytest.fixture(scope="session")
