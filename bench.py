@@ -39,7 +39,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     from ludex.plans.queries import QUERIES
-    from ludex.session import get_session
+    from ludex.session import get_session, release_checkpoints
 
     spark = get_session(f"local[{cpus}]", max(cpus, 8), app_name="ludex-bench",
                         extra={"spark.driver.memory": "16g"})
@@ -75,6 +75,7 @@ def main() -> None:
         "rmse": rmse,
         "cpus": cpus,
     }))
+    release_checkpoints(spark)
     spark.stop()
 
 

@@ -74,3 +74,17 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def data_dir(default: str = "/root/testdata/sf0.01") -> str:
     return os.environ.get("LUDEX_SF_DIR", default)
+
+
+def release_checkpoints(spark: SparkSession) -> None:
+    """Delete this application's own checkpoint subfolder (Spark makes one
+    per SparkContext under ``spark.checkpoint.dir``) at the end of a job.
+    Reference-tracked cleanup only covers DataFrames collected while the
+    application runs; this removes what is left."""
+    sc = spark.sparkContext
+    path = sc.getCheckpointDir()
+    if not path:
+        return
+    jvm = sc._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)

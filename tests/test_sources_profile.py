@@ -101,3 +101,16 @@ def test_profile_shapes(spark, sf_small):
     assert all(0 <= r.sparsity_pct <= 100 for r in sp)
     flags = q.q12_outlier_flags(spark, sf_small)
     assert flags.count() == q.q04_distinct_rows(spark, sf_small).count()
+
+
+def test_outlier_flag_null_hours_is_no(spark):
+    rows = [(1, 1, "play", float(h)) for h in (1, 2, 3, 4, 5, 6, 7, 8, 100)] + \
+           [(2, 2, "play", None)]
+    df = spark.createDataFrame(rows, "user_id bigint, item bigint, behaviour string, hours double")
+    flags = {(r.user_id, r.hours): r.hours_outlier
+             for r in pr.outlier_flags(df, "hours", ["user_id"]).collect()}
+    assert flags[(2, None)] == "no"
+    assert flags[(1, 100.0)] == "yes"
+    assert sum(v == "yes" for v in flags.values()) == 1
+    b = pr.quartile_bounds(df, "hours").first()
+    assert (b.q1, b.median, b.q3) == (3.0, 5.0, 7.0)
