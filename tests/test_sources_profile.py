@@ -114,3 +114,21 @@ def test_outlier_flag_null_hours_is_no(spark):
     assert sum(v == "yes" for v in flags.values()) == 1
     b = pr.quartile_bounds(df, "hours").first()
     assert (b.q1, b.median, b.q3) == (3.0, 5.0, 7.0)
+
+
+def test_csv_log_rates_in_file_order(spark):
+    """A CSV log has no time column: the lag follows the file order."""
+    from ludex.operators import features as fe
+    d = tempfile.mkdtemp(prefix="ludex-csv-")
+    p = os.path.join(d, "log.csv")
+    lines = ["1,A,purchase,1.0", "1,A,play,10.0", "1,B,purchase,1.0",
+             "2,A,purchase,1.0", "2,A,play,4.0", "2,C,purchase,1.0", "2,D,purchase,1.0"]
+    with open(p, "w") as f:
+        f.write("\n".join(lines) + "\n")
+    log = csv_log(read_behaviour_csv(spark, p).coalesce(1))
+    got = {(r.user_id, r.title, r.behaviour): (r.prev, r.rating)
+           for r in fe.rated_log(log, "als").collect()}
+    # Golden table T1 of FIXTURES.md, keyed by (user, title, behaviour).
+    assert got == {(1, "A", "play"): ("purchase", 4), (1, "B", "purchase"): ("play", 1),
+                   (2, "A", "play"): ("purchase", 2), (2, "C", "purchase"): ("play", 1),
+                   (2, "D", "purchase"): ("purchase", 1)}
