@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from ludex.session import shuffle_partitions
 
-# Number of range slices for the distributed dense rank.
+# Number of range slices for the distributed dense rank: at least
+# INDEX_SLICES, else one per shuffle partition, at most MAX_SLICES (the cut
+# points are literals in the plan).
 INDEX_SLICES = 256
+MAX_SLICES = 16_384
 
 
 def dense_index(df: DataFrame, col: str, out: str = "code",
@@ -23,11 +26,11 @@ def dense_index(df: DataFrame, col: str, out: str = "code",
     where the cuts fall, only on the order, so they are exact. ``slices``
     defaults to the larger of INDEX_SLICES and the shuffle partition count.
     """
-    slices = slices or max(INDEX_SLICES, shuffle_partitions(df.sparkSession))
+    slices = slices or min(MAX_SLICES, max(INDEX_SLICES, shuffle_partitions(df.sparkSession)))
     vals = df.select(col).where(F.col(col).isNotNull()).distinct()
     fracs = [i / slices for i in range(1, slices)]
     cuts = vals.select(
-        F.array_distinct(F.percentile_approx(col, fracs, 10_000)).alias("c")).scalar()
+        F.array_distinct(F.percentile_approx(col, fracs, 4 * max(slices, 2_500))).alias("c")).scalar()
     # The cut array is first bound to a column: a subquery may not sit
     # inside a higher-order function.
     sl = (vals.withColumn("_cuts", cuts)

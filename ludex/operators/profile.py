@@ -18,8 +18,11 @@ from ludex.session import shuffle_partitions
 
 # Fixed value: the whisker / outlier multiple of the interquartile range.
 IQR_FACTOR = 1.5
-# Ordered slices used by the distributed exact quantile.
+# Ordered slices used by the distributed exact quantile: at least
+# QUANTILE_SLICES, else one per shuffle partition, at most MAX_SLICES (the
+# cut points are literals in the plan).
 QUANTILE_SLICES = 256
+MAX_SLICES = 16_384
 
 
 def null_profile(df: DataFrame, table: str) -> DataFrame:
@@ -111,11 +114,12 @@ def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float],
     larger of QUANTILE_SLICES and the shuffle partition count, so a slice
     stays small as the data grows.
     """
-    slices = slices or max(QUANTILE_SLICES, shuffle_partitions(df.sparkSession))
+    slices = slices or min(MAX_SLICES, max(QUANTILE_SLICES, shuffle_partitions(df.sparkSession)))
     c = F.col(col)
     vals = df.where(c.isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
     fracs = [i / slices for i in range(1, slices)]
-    cuts = vals.select(F.array_distinct(F.percentile_approx(col, fracs, 10_000)).alias("x")).scalar()
+    cuts = vals.select(F.array_distinct(
+        F.percentile_approx(col, fracs, 4 * max(slices, 2_500))).alias("x")).scalar()
     sl = (vals.withColumn("_cuts", cuts)   # no subquery inside a lambda
               .withColumn("_slice", F.size(F.filter("_cuts", lambda x: x < F.col(col))))
               .drop("_cuts"))
