@@ -138,21 +138,22 @@ def co_rated_cosine(ratings: DataFrame, value: str = "rating") -> DataFrame:
 
 
 def damped_pearson(centred_rows: DataFrame, mode: str = "intended",
-                   damping: float = DAMPING) -> DataFrame:
+                   damping: float = DAMPING, sums: DataFrame | None = None) -> DataFrame:
     """Damped cosine of user-centred ratings (column ``deviation``).
 
     mode 'intended': x = deviation on i1, y = deviation on i2 (symmetric).
     mode 'faithful': x = y = deviation on i1, as when the left deviation is
     selected twice; then similarity(i1 -> i2) = sx / (sx + damping) with sx
     over the users who also rated i2, which is not symmetric.
+    ``sums`` (from ``pair_sums(centred_rows, 'deviation')``) lets several
+    modes share one pair computation.
     """
-    s = pair_sums(centred_rows, "deviation")
+    s = sums if sums is not None else pair_sums(centred_rows, "deviation")
+    # Both orders; i2 -> i1 takes i2's own squares (sy) as its sx.
+    both = mirror(s, {"sx": "sy", "sy": "sx"})
     if mode == "intended":
-        both = mirror(s, {"sx": "sy", "sy": "sx"})
         sim = damped_from_sums(F.col("sx"), F.col("sy"), F.col("sxy"), damping)
     elif mode == "faithful":
-        # i1 -> i2 uses i1's own squares (sx); i2 -> i1 uses i2's (sy).
-        both = mirror(s, {"sx": "sy", "sy": "sx"})
         sim = damped_from_sums(F.col("sx"), F.col("sx"), F.col("sx"), damping)
     else:
         raise ValueError(mode)

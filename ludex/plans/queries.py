@@ -329,9 +329,10 @@ def pearson_neighbours(train: DataFrame, mode: str = "intended") -> DataFrame:
 def q40_damped_pearson(spark, d):
     train, _ = knn_train_test(spark, d)
     c = fe.centred(train)
+    sums = si.pair_sums(c, "deviation")
     out = None
     for mode in ("intended", "faithful"):
-        s = si.damped_pearson(c, mode).select(
+        s = si.damped_pearson(c, mode, sums=sums).select(
             F.lit(mode).alias("mode"), "i1", "i2", rnd(F.col("similarity")).alias("similarity"))
         out = s if out is None else out.unionByName(s)
     return out
@@ -343,8 +344,9 @@ def q41_pearson_topk(spark, d):
         "i1", "i2", rnd(F.col("similarity")).alias("similarity"), "rank")
 
 
-def _pearson_items(train):
-    s = rc.neighbour_sums(train, pearson_neighbours(train), factor=2.0)
+def _pearson_items(train, nn=None):
+    nn = nn if nn is not None else pearson_neighbours(train)
+    s = rc.neighbour_sums(train, nn, factor=2.0)
     return s.withColumn("prediction", F.try_divide(F.col("total_ratings"), F.col("sim_total")))
 
 
@@ -363,7 +365,7 @@ def _pearson_rmse(train, test, nn=None):
     user = ev.rmse(test.join(sc, ["user_id", "item"], "inner"), "prediction", "rating")
     # Item mode: each (item, neighbour) value predicts every held-out rating
     # of the neighbour; a missing value counts as 0.
-    it = _pearson_items(train).filter(F.col("item_nn").isNotNull()).select(
+    it = _pearson_items(train, nn).filter(F.col("item_nn").isNotNull()).select(
         F.col("item_nn").alias("item"), F.coalesce(F.col("prediction"), F.lit(0.0)).alias("p"))
     item = ev.rmse_all_pairs(it, test.select("item", F.col("rating").alias("t")), "item", "p", "t")
     return user, item
