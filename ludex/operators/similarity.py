@@ -23,9 +23,9 @@ side keeps one salt per cell, the right side is repeated once per slice of
 its user (only users above the slice size are repeated at all), and the
 join key is (user, salt). A slice task makes at most PAIR_SLICE_ITEMS * m
 pairs, and a user holding a third of the log is spread over many tasks.
-The join inputs are hash-partitioned explicitly on (user, salt) with the
-session's shuffle partition count, so the expanding join keeps its
-parallelism even when its input is small.
+The repeated side is hash-partitioned explicitly on (user, salt) into a
+partition count sized from the exact pair count, so the expanding join
+keeps its parallelism even when its input is small.
 """
 
 from __future__ import annotations
@@ -76,9 +76,11 @@ def salted_self_join(c: DataFrame, left: list, right: list,
     # exchange is by number, so AQE keeps it as sized.
     pairs_n = cs.agg(F.sum("_m")).first()[0] or 0
     n = int(max(1, min(shuffle_partitions(c.sparkSession), -(-pairs_n // PAIR_PARTITION_PAIRS))))
-    a = (cs.select("user_id", *left,
-                   F.pmod(F.xxhash64("item"), F.col("_s")).cast("int").alias("_salt"))
-           .repartition(n, "user_id", "_salt"))
+    # Only the repeated side is pinned to n partitions: when AQE broadcasts
+    # it (it is small), the left side is not shuffled at all; otherwise the
+    # left is shuffled to the same n partitions for the sort-merge join.
+    a = cs.select("user_id", *left,
+                  F.pmod(F.xxhash64("item"), F.col("_s")).cast("int").alias("_salt"))
     b = (cs.select("user_id", *right,
                    F.explode(F.sequence(F.lit(0), F.col("_s") - F.lit(1))).alias("_salt"))
            .repartition(n, "user_id", "_salt"))
