@@ -132,3 +132,15 @@ def test_csv_log_rates_in_file_order(spark):
     assert got == {(1, "A", "play"): ("purchase", 4), (1, "B", "purchase"): ("play", 1),
                    (2, "A", "play"): ("purchase", 2), (2, "C", "purchase"): ("play", 1),
                    (2, "D", "purchase"): ("purchase", 1)}
+
+
+def test_job_wrapper_writes_parquet(spark, sf_small):
+    """S4: a query result written by the job wrapper reads back whole."""
+    from ludex.plans import queries as q
+    from ludex.plans.run import run
+    out = os.path.join(tempfile.mkdtemp(prefix="ludex-out-"), "recs")
+    run(spark, "q45_recommend", sf_small, out)
+    back = spark.read.parquet(out)
+    want = q.q45_recommend(spark, sf_small)
+    assert back.columns == want.columns
+    assert back.exceptAll(want).count() == 0 and want.exceptAll(back).count() == 0
