@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ludex.session import shuffle_partitions
+from ludex.session import ensure_checkpoint_dir, shuffle_partitions
 
 # Number of range slices for the distributed dense rank: at least
 # INDEX_SLICES, else one per shuffle partition, at most MAX_SLICES (the cut
@@ -28,6 +28,9 @@ def dense_index(df: DataFrame, col: str, out: str = "code",
     """
     slices = slices or min(MAX_SLICES, max(INDEX_SLICES, shuffle_partitions(df.sparkSession)))
     vals = df.select(col).where(F.col(col).isNotNull()).distinct()
+    # Read by the cut subquery, the ranking and the slice counts: once.
+    ensure_checkpoint_dir(df.sparkSession)
+    vals = vals.checkpoint(eager=True)
     fracs = [i / slices for i in range(1, slices)]
     cuts = vals.select(
         F.array_distinct(F.percentile_approx(col, fracs, 4 * max(slices, 2_500))).alias("c")).scalar()

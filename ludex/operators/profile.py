@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ludex.functions.columns import rnd
-from ludex.session import shuffle_partitions
+from ludex.session import ensure_checkpoint_dir, shuffle_partitions
 
 # Fixed value: the whisker / outlier multiple of the interquartile range.
 IQR_FACTOR = 1.5
@@ -117,6 +117,9 @@ def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float],
     slices = slices or min(MAX_SLICES, max(QUANTILE_SLICES, shuffle_partitions(df.sparkSession)))
     c = F.col(col)
     vals = df.where(c.isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
+    # Read by the cut subquery and by the ranking: materialise once.
+    ensure_checkpoint_dir(df.sparkSession)
+    vals = vals.checkpoint(eager=True)
     fracs = [i / slices for i in range(1, slices)]
     cuts = vals.select(F.array_distinct(
         F.percentile_approx(col, fracs, 4 * max(slices, 2_500))).alias("x")).scalar()
