@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+# Used only where the session names no folder (a path of fs.defaultFS).
+DEFAULT_CHECKPOINT_DIR = "/tmp/checkpoints"
 
 # Settings every job relies on. AQE re-plans joins at runtime: a side is
 # broadcast only when its measured size is under the threshold, otherwise
@@ -47,33 +49,44 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Point the SparkContext at the shared checkpoint folder.
+    """The shared checkpoint folder of this application.
 
-    The folder is read from ``spark.checkpoint.dir`` (set by the cluster).
-    Only when it is unset on a local master, as in tests, a fresh scratch
-    folder is made; on a cluster a machine-local folder would not survive
-    the loss of an executor, so an unset folder is an error there.
+    ``spark.checkpoint.dir`` is read from the session. Where it is unset (as
+    in tests) the folder is ``/tmp/checkpoints`` of the default file system:
+    a shared folder when that is HDFS or an object store, the local disk in
+    a single-process session. A cluster whose default file system is local
+    has no shared folder unless it names one, which is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        if not sc.master.startswith("local"):
+    path = spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_CHECKPOINT_DIR
+    if path == DEFAULT_CHECKPOINT_DIR and not sc.master.split("[")[0] == "local":
+        if sc._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///").startswith("file:"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS, S3, ...)")
-        path = tempfile.mkdtemp(prefix="ludex-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new path under the shared checkpoint folder; it goes away with
+    ``release_checkpoints``."""
+    return f"{ensure_checkpoint_dir(spark)}/tables/{label}-{uuid.uuid4().hex}"
 
 
-def data_dir(default: str = "/root/testdata/sf0.01") -> str:
-    return os.environ.get("LUDEX_SF_DIR", default)
+def stage_table(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it
+    back: cuts the lineage like ``checkpoint()``, compressed and by column.
+    The write is an action; lost executors only rerun their own tasks."""
+    spark = df.sparkSession
+    path = shared_path(spark, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def release_checkpoints(spark: SparkSession) -> None:

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -11,10 +12,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    # get_session reads spark.checkpoint.dir from the configuration and makes
-    # a scratch folder only when it is unset (local master).
     from ludex.session import get_session
-    return get_session("local[4]", 4, app_name="ludex-tests")
+    return get_session("local[4]", 4, app_name="ludex-tests",
+                       extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="ludex-tests-")})
 
 
 @pytest.fixture(scope="session")
