@@ -29,6 +29,20 @@ def row_key(*cols: str) -> Column:
     return F.unhex(F.md5(F.concat(*parts)))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, changed until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def columns_of(df: DataFrame, **new: Column) -> list[Column]:
+    """All columns of ``df``, those named in ``new`` as given there."""
+    return [new[c].alias(c) if c in new else F.col("`" + c.replace("`", "``") + "`")
+            for c in df.columns]
+
+
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str,
                 max_bytes: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into slices of about ``max_bytes`` of one column (a
