@@ -7,8 +7,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ludex.llm.decontaminate import op5_decontamination
+from ludex.llm.licenses import op1_license_scan
+from ludex.llm.mixing import op8_mixing
+from ludex.llm.perspectives import op4_chat_perspectives
+from ludex.llm.pii import op9_pii
+from ludex.llm.quality import op10_quality_rules
 from ludex.llm.setsketch import op3_near_dedup
+from ludex.llm.tokens import op2_token_output
+from ludex.llm.warc import op6_warc
+from ludex.llm.windows import op7_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op3_near_dedup": op3_near_dedup,
+    f.__name__: f for f in (
+        op1_license_scan, op2_token_output, op3_near_dedup, op4_chat_perspectives,
+        op5_decontamination, op6_warc, op7_substring_dedup, op8_mixing, op9_pii,
+        op10_quality_rules)
 }
