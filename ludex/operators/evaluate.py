@@ -14,24 +14,31 @@ def rmse(df: DataFrame, prediction: str, label: str) -> DataFrame:
     return df.agg(F.sqrt(F.avg(d * d)).alias("rmse"), F.count(F.lit(1)).alias("n"))
 
 
-def rmse_all_pairs(pred: DataFrame, label: DataFrame, key: str,
-                   prediction: str, target: str) -> DataFrame:
-    """RMSE over every (prediction, label) pair that shares ``key``, as an
-    equi-join of the two tables on ``key`` would produce them, without
-    making the pairs: per key, count, sum and sum of squares of each side,
-    then sum (p - t)^2 = n_t*Sp2 - 2*Sp*St + n_p*St2 over keys.
-    One row: rmse, n (the number of pairs).
-    """
-    p = F.col(prediction).cast("double")
-    t = F.col(target).cast("double")
-    ps = pred.groupBy(key).agg(F.count(F.lit(1)).alias("np"), F.sum(p).alias("sp"),
-                               F.sum(p * p).alias("sp2"))
-    ts = label.groupBy(key).agg(F.count(F.lit(1)).alias("nt"), F.sum(t).alias("st"),
-                                F.sum(t * t).alias("st2"))
-    j = ps.join(ts, key, "inner")
-    sq = (F.col("nt") * F.col("sp2") - F.lit(2.0) * F.col("sp") * F.col("st")
-          + F.col("np") * F.col("st2"))
-    agg = j.agg(F.sum(sq).alias("_sq"), F.sum(F.col("np") * F.col("nt")).alias("n"))
+def side_sums(df: DataFrame, key: str, value: str, times: F.Column | None = None) -> DataFrame:
+    """Per key: number of rows, sum and sum of squares of ``value``, each row
+    counted ``times`` times (a column that is constant per key)."""
+    v = F.col(value).cast("double")
+    t = F.lit(1) if times is None else times
+    return df.groupBy(key).agg(F.sum(t).alias("n"), F.sum(v * t).alias("s"),
+                               F.sum(v * v * t).alias("q"))
+
+
+def rmse_of_sums(pred: DataFrame, label: DataFrame, key: str) -> DataFrame:
+    """RMSE over every (prediction, label) pair that shares ``key``, from the
+    ``side_sums`` of both sides, without making the pairs:
+    sum (p - t)^2 = n_t * Sp2 - 2 * Sp * St + n_p * St2 per key.
+    One row: rmse, n (the number of pairs)."""
+    p = pred.select(key, *[F.col(c).alias(f"p{c}") for c in "nsq"])
+    j = p.join(label, key, "inner")
+    sq = (F.col("n") * F.col("pq") - F.lit(2.0) * F.col("ps") * F.col("s")
+          + F.col("pn") * F.col("q"))
+    agg = j.agg(F.sum(sq).alias("_sq"), F.sum(F.col("pn") * F.col("n")).alias("n"))
     return agg.select(F.sqrt(F.greatest(safe_div(F.col("_sq"), F.col("n").cast("double")),
                                         F.lit(0.0))).alias("rmse"),
                       F.col("n").cast("bigint").alias("n"))
+
+
+def rmse_all_pairs(pred: DataFrame, label: DataFrame, key: str,
+                   prediction: str, target: str) -> DataFrame:
+    """``rmse_of_sums`` of two tables of rows."""
+    return rmse_of_sums(side_sums(pred, key, prediction), side_sums(label, key, target), key)

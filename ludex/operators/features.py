@@ -6,80 +6,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ludex.session import ensure_checkpoint_dir
 from ludex.functions.columns import (
-    conversion_weight, exact_mean, in_train, rating_ladder, transition_keep,
+    conversion_weight, in_train, rating_ladder, steady_mean, transition_keep,
 )
-
-# The lag splits one user's history into time slices of LAG_SLICE_SECONDS
-# (one day); a slice holding more than LAG_SLICE_TARGET_ROWS rows is cut
-# further into equal time sub-slices. See ``with_previous``.
-LAG_SLICE_SECONDS = 24 * 3600
-LAG_SLICE_TARGET_ROWS = 1_000_000
-# Rows per slice when a log has no time column (ordered by event_id only).
-LAG_SLICE_ROWS = 1 << 20
-# Sub-slices per slice are numbered below this bound (keeps slice ids ordered).
-_SUB_MAX = 1 << 20
-
-
-def _micros(c: F.Column) -> F.Column:
-    # Works for timestamps with and without time zone.
-    return F.unix_micros(c.cast("timestamp"))
-
-
-def _sliced(log: DataFrame, part: list[str], seconds: int, target_rows: int) -> DataFrame:
-    """``log`` + ``_slice``: an id that grows with (ts, event_id) inside a
-    user. Base slices are fixed time windows; a base slice of one user with
-    more than ``target_rows`` rows (found by a map-side-combined count, one
-    row per hot slice joined back) is cut into ceil(rows / target_rows)
-    equal time sub-slices."""
-    us = _micros(F.col("ts"))
-    base = F.coalesce(F.floor(us / F.lit(seconds * 1_000_000)),
-                      F.floor(F.col("event_id") / F.lit(LAG_SLICE_ROWS)))
-    sl = log.withColumn("_us", us).withColumn("_base", base)
-    hot = (sl.groupBy(*part, "_base")
-             .agg(F.count(F.lit(1)).alias("_c"), F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
-             .filter(F.col("_c") > F.lit(target_rows))
-             .select(*part, "_base",
-                     F.least(F.ceil(F.col("_c") / F.lit(target_rows)), F.lit(_SUB_MAX)).alias("_k"),
-                     "_lo", "_hi"))
-    sl = sl.join(hot, [*part, "_base"], "left")
-    width = (F.col("_hi") - F.col("_lo") + F.lit(1)) / F.col("_k")
-    sub = F.coalesce(F.least(F.col("_k") - F.lit(1),
-                             F.floor((F.col("_us") - F.col("_lo")) / width)), F.lit(0))
-    return (sl.withColumn("_slice", F.col("_base") * F.lit(_SUB_MAX) + sub)
-              .drop("_us", "_base", "_c", "_k", "_lo", "_hi"))
+from ludex.operators.ranged import PART, SEQ, range_parts
+from ludex.session import stage_table
 
 
 def with_previous(log: DataFrame, value: str = "behaviour", out: str = "prev",
                   part: tuple[str, ...] = ("user_id",),
-                  order: tuple[str, ...] = ("ts", "event_id"),
-                  slice_seconds: int = LAG_SLICE_SECONDS,
-                  target_rows: int = LAG_SLICE_TARGET_ROWS) -> DataFrame:
-    """``lag(value)`` inside each user, ordered by time then event id.
-
-    Equal to ``lag(value) OVER (PARTITION BY user ORDER BY ts, event_id)``
-    but a user's history is never one task: the window runs per (user,
-    slice), slices being days cut further where a user-day is hot (see
-    ``_sliced``), and the first row of a slice takes the last value of the
-    user's previous non-empty slice from a per-slice aggregate (one row per
-    user and slice, map-side combined). A user holding a third of the log
-    is thus spread over slices of at most about ``target_rows`` rows.
-    """
-    sl = _sliced(log, list(part), slice_seconds, target_rows)
-    keys = [*part, "_slice"]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    local = (sl.withColumn("_prev", F.lag(value).over(w))
-               .withColumn("_rn", F.row_number().over(w)))
-    last = sl.groupBy(*keys).agg(
-        F.max_by(F.col(value), F.struct(*order)).alias("_last"))
-    wb = Window.partitionBy(*part).orderBy("_slice")
-    carry = last.select(*keys, F.lag("_last").over(wb).alias("_carry"))
-    joined = local.join(carry, keys, "left")
-    return (joined
-            .withColumn(out, F.when(F.col("_rn") == 1, F.col("_carry"))
-                        .otherwise(F.col("_prev")))
-            .drop("_slice", "_prev", "_rn", "_carry"))
+                  order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
+    """``lag(value)`` inside each user, ordered by time then event id: equal to
+    ``lag(value) OVER (PARTITION BY user ORDER BY ts, event_id)``, NULL users
+    and NULL times included (rows that are equal in user and order may follow
+    each other either way, as in the window).
+
+    The log is read once and range-partitioned by (user, order), so a user of
+    any size is spread over partitions, as are rows of one time. The lag runs
+    inside a partition; the first row of a partition takes the last value of
+    the one before (one row per partition). Eager: the partitioned log is
+    written to the shared folder."""
+    keys = [F.col(c).asc_nulls_first() for c in (*part, *order)]
+    cut = range_parts(log, keys, "lag")
+    inside = Window.partitionBy(PART).orderBy(SEQ)
+    user = F.struct(*part)
+    last = cut.groupBy(PART).agg(F.max_by(F.struct(user.alias("u"), F.col(value).alias("v")),
+                                          SEQ).alias("_last"))
+    # At most one row per partition.
+    carry = F.broadcast(last.select(
+        F.col(PART).alias("_at"), F.lag("_last").over(Window.orderBy(PART)).alias("_carry")))
+    rows = (cut.withColumn("_before", F.lag(F.struct(user.alias("u"), F.col(value).alias("v")))
+                           .over(inside))
+            .join(carry, F.col(PART) == F.col("_at"), "left")
+            .withColumn("_before", F.coalesce("_before", "_carry")))
+    same = F.col("_before").isNotNull()
+    for c in part:
+        same &= F.col(f"_before.u.{c}").eqNullSafe(F.col(c))
+    return rows.select(*log.columns, F.when(same, F.col("_before.v")).alias(out))
 
 
 def lagged_log(log: DataFrame) -> DataFrame:
@@ -104,49 +67,37 @@ def with_train_flag(rows: DataFrame, key: str = "rkey") -> DataFrame:
 
 
 def item_means(rows: DataFrame, value: str = "hours", out: str = "mean_hours") -> DataFrame:
-    """Order-independent mean of ``value`` per item (partial + final aggregate)."""
-    return rows.groupBy("item").agg(exact_mean(F.col(value)).alias(out),
+    """Mean of ``value`` per item (partial + final aggregate)."""
+    return rows.groupBy("item").agg(steady_mean(F.col(value)).alias(out),
                                     F.count(F.lit(1)).alias("n_rows"))
 
 
+def _rated(kept: DataFrame, materialize: bool) -> DataFrame:
+    rated = (kept.join(item_means(kept).drop("n_rows"), "item", "inner")
+             .withColumn("rating", rating_ladder(F.col("hours"), F.col("mean_hours"),
+                                                 F.col("weight"))))
+    return stage_table(rated, "rated") if materialize else rated
+
+
 def rated_log(log: DataFrame, profile: str = "knn", keep_first: bool = False,
               materialize: bool = True) -> DataFrame:
     """Lag -> weight -> transition filter -> item mean hours -> 0..5 rating.
 
-    The kept rows feed two consumers (the item-mean aggregate and the join
-    back), and the rated log itself is read several times by every model.
-    Without a cut, each consumer would re-run the lag windows (a full
-    shuffle and sort of the log). With ``materialize`` the kept rows are
-    checkpointed once to the shared folder named by ``spark.checkpoint.dir``
-    (reliable: a lost executor costs a re-read, not a re-derivation).
-
-    The item means are joined back (one row per item): AQE broadcasts them
-    when they are small and otherwise keeps a sort-merge join.
-    """
+    Eager: the lag writes the partitioned log, and with ``materialize`` the
+    rows are written with their rating, as every model reads them several
+    times (means, join and ladder then run once). The item means are joined
+    back (one row per item): AQE broadcasts them when they are small and
+    otherwise keeps a sort-merge join, whose output is written before any
+    aggregate by item."""
     kept = with_train_flag(transitions(lagged_log(log), profile, keep_first).drop("ts"))
-    if materialize:
-        ensure_checkpoint_dir(kept.sparkSession)
-        kept = kept.checkpoint(eager=True)
-    means = item_means(kept).drop("n_rows")
-    rated = kept.join(means, "item", "inner")
-    return rated.withColumn("rating", rating_ladder(F.col("hours"), F.col("mean_hours"),
-                                                     F.col("weight")))
+    return _rated(kept, materialize)
 
 
 def rated_purchases(log: DataFrame, materialize: bool = True) -> DataFrame:
     """``rated_log(log, 'als', keep_first=True)`` for a log whose rows are
     all purchases (the basket adapter): every transition is then kept and
-    every weight is 1, so the lag is skipped. Same ratings, no window.
-    The rows feed the item means and the join back, so they are
-    checkpointed once (see ``rated_log``)."""
-    kept = with_train_flag(log.drop("ts").withColumn("weight", F.lit(1)))
-    if materialize:
-        ensure_checkpoint_dir(kept.sparkSession)
-        kept = kept.checkpoint(eager=True)
-    means = item_means(kept).drop("n_rows")
-    rated = kept.join(means, "item", "inner")
-    return rated.withColumn("rating", rating_ladder(F.col("hours"), F.col("mean_hours"),
-                                                     F.col("weight")))
+    every weight is 1, so the lag is skipped. Same ratings, no window."""
+    return _rated(with_train_flag(log.drop("ts").withColumn("weight", F.lit(1))), materialize)
 
 
 def user_means(ratings: DataFrame, value: str = "rating", out: str = "user_mean") -> DataFrame:

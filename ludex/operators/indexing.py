@@ -2,48 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ludex.session import ensure_checkpoint_dir, shuffle_partitions
+from ludex.operators.ranged import PART, SEQ, part_offsets, range_parts
 
-# Number of range slices for the distributed dense rank: at least
-# INDEX_SLICES, else one per shuffle partition, at most MAX_SLICES (the cut
-# points are literals in the plan).
-INDEX_SLICES = 256
-MAX_SLICES = 16_384
 
+def dense_index(df: DataFrame, col: str, out: str = "code") -> DataFrame:
+    """Distinct non-NULL values of ``col`` (of any orderable type: numbers,
+    titles) with ``out`` = dense rank - 1.
 
-def dense_index(df: DataFrame, col: str, out: str = "code",
-                slices: int | None = None) -> DataFrame:
-    """Distinct values of a numeric ``col`` with ``out`` = dense rank - 1.
-
-    ``dense_rank() OVER (ORDER BY col)`` would pull every value into one task.
-    Instead: approximate quantiles cut the distinct values into ordered
-    slices (one scalar subquery, a bounded array); the rank inside a slice is
-    a window per slice; each slice's offset is a running sum over the slice
-    counts, a table of at most ``slices`` rows. The codes do not depend on
-    where the cuts fall, only on the order, so they are exact. ``slices``
-    defaults to the larger of INDEX_SLICES and the shuffle partition count.
-    """
-    slices = slices or min(MAX_SLICES, max(INDEX_SLICES, shuffle_partitions(df.sparkSession)))
-    vals = df.select(col).where(F.col(col).isNotNull()).distinct()
-    # Read by the cut subquery, the ranking and the slice counts: once.
-    ensure_checkpoint_dir(df.sparkSession)
-    vals = vals.checkpoint(eager=True)
-    fracs = [i / slices for i in range(1, slices)]
-    cuts = vals.select(
-        F.array_distinct(F.percentile_approx(col, fracs, 4 * max(slices, 2_500))).alias("c")).scalar()
-    # The cut array is first bound to a column: a subquery may not sit
-    # inside a higher-order function.
-    sl = (vals.withColumn("_cuts", cuts)
-              .withColumn("_slice", F.size(F.filter("_cuts", lambda c: c < F.col(col))))
-              .drop("_cuts"))
-    local = sl.withColumn(
-        "_local", F.row_number().over(Window.partitionBy("_slice").orderBy(col)))
-    counts = sl.groupBy("_slice").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_slice",
-        (F.sum("_n").over(Window.orderBy("_slice")) - F.col("_n")).alias("_off"))
-    return (local.join(F.broadcast(offsets), "_slice", "inner")
-            .select(col, (F.col("_off") + F.col("_local") - F.lit(1)).cast("bigint").alias(out)))
+    The distinct values are range-partitioned; a value's code is its rank in
+    its partition plus the number of values in earlier partitions (one row per
+    partition). Eager: the partitioned values are written."""
+    values = df.select(col).where(F.col(col).isNotNull()).distinct()
+    parts = range_parts(values, [F.col(col).asc()], "codes")
+    # At most one row per partition.
+    before = F.broadcast(part_offsets(parts, F.lit(1), "_before"))
+    return parts.join(before, PART).select(
+        col, (F.col("_before") + F.col(SEQ)).cast("bigint").alias(out))

@@ -14,16 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ludex.functions.columns import rnd
-from ludex.session import ensure_checkpoint_dir, shuffle_partitions
+from ludex.operators.ranged import PART, SEQ, part_offsets, range_parts
 
 # Fixed value: the whisker / outlier multiple of the interquartile range.
 IQR_FACTOR = 1.5
-# Ordered slices used by the distributed exact quantile: at least
-# QUANTILE_SLICES, else one per shuffle partition, at most MAX_SLICES (the
-# cut points are literals in the plan).
-QUANTILE_SLICES = 256
-MAX_SLICES = 16_384
-
 
 def null_profile(df: DataFrame, table: str) -> DataFrame:
     """(table_name, column_name, n_missing): NULL, plus NaN on float columns.
@@ -99,47 +93,33 @@ def describe(df: DataFrame, col: str) -> DataFrame:
     return long.select("statistic", rnd(F.col("value")).alias("value"))
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float],
-                    slices: int | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float]) -> DataFrame:
     """Exact discrete quantiles (``percentile_disc``) of ``col``; one row with
-    a column per entry of ``probs``.
+    a column per entry of ``probs`` (NULL without values).
 
     The built-in exact percentile merges a map of every distinct value in one
-    final task. Here the work stays distributed: distinct values with their
-    counts are cut into ordered slices by approximate quantiles (a bounded
-    array from one scalar subquery), the running count inside a slice is a
-    window per slice, and the slice offsets come from a table of at most
-    ``slices`` rows. The value of rank ``max(1, ceil(p * n))`` is then picked
-    in one aggregate. Exact whatever the cuts are. ``slices`` defaults to the
-    larger of QUANTILE_SLICES and the shuffle partition count, so a slice
-    stays small as the data grows.
-    """
-    slices = slices or min(MAX_SLICES, max(QUANTILE_SLICES, shuffle_partitions(df.sparkSession)))
+    final task. Here the distinct values with their counts are
+    range-partitioned; the running count inside a partition is a window per
+    partition, and a table of one row per partition gives what earlier ones
+    hold. The value of rank ``max(1, ceil(p * n))`` is picked in one
+    aggregate. Eager: the partitioned values are written."""
     c = F.col(col)
-    vals = df.where(c.isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
-    # Read by the cut subquery and by the ranking: materialise once.
-    ensure_checkpoint_dir(df.sparkSession)
-    vals = vals.checkpoint(eager=True)
-    fracs = [i / slices for i in range(1, slices)]
-    cuts = vals.select(F.array_distinct(
-        F.percentile_approx(col, fracs, 4 * max(slices, 2_500))).alias("x")).scalar()
-    sl = (vals.withColumn("_cuts", cuts)   # no subquery inside a lambda
-              .withColumn("_slice", F.size(F.filter("_cuts", lambda x: x < F.col(col))))
-              .drop("_cuts"))
-    tot = sl.groupBy("_slice").agg(F.sum("_c").alias("_t"))
-    off = tot.select("_slice",
-                     (F.sum("_t").over(Window.orderBy("_slice")) - F.col("_t")).alias("_off"),
-                     F.sum("_t").over(Window.partitionBy()).alias("_n"))
-    w = (Window.partitionBy("_slice").orderBy(col)
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    cum = (sl.join(F.broadcast(off), "_slice", "inner")
-             .withColumn("_cum", F.col("_off") + F.sum("_c").over(w)))
+    values = df.where(c.isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_c"))
+    parts = range_parts(values, [c.asc()], "quantiles")
+    # At most one row per partition.
+    before = part_offsets(parts, F.col("_c"), "_off")
+    total = parts.agg(F.sum("_c")).scalar()
+    inside = Window.partitionBy(PART).orderBy(SEQ).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    run = (parts.withColumn("_run", F.sum("_c").over(inside)).join(F.broadcast(before), PART)
+           .select(c, "_c", (F.col("_off") + F.col("_run")).alias("_cum"))
+           .withColumn("_n", total))
     aggs = []
     for name, p in probs.items():
         k = F.greatest(F.lit(1).cast("double"), F.ceil(F.lit(float(p)) * F.col("_n")).cast("double"))
         hit = (F.col("_cum") >= k) & ((F.col("_cum") - F.col("_c")) < k)
         aggs.append(F.min(F.when(hit, c)).alias(name))
-    return cum.agg(*aggs)
+    return run.agg(*aggs)
 
 
 def quartile_bounds(df: DataFrame, col: str) -> DataFrame:
@@ -155,33 +135,28 @@ def quartile_bounds(df: DataFrame, col: str) -> DataFrame:
 def outlier_flags(df: DataFrame, col: str, keep: list[str]) -> DataFrame:
     """Every row, with ``{col}_outlier`` = 'yes' outside the fences else 'no'.
 
-    The fences are scalar subqueries (one-row aggregate, computed once).
-    NULL values compare to NULL and fall to 'no'.
-    """
-    b = quartile_bounds(df, col)
-    lo = b.select("lower").scalar()
-    hi = b.select("upper").scalar()
-    flag = F.when(~F.col(col).between(lo, hi), F.lit("yes")).otherwise(F.lit("no"))
-    return df.select(*keep, col, flag.alias(f"{col}_outlier"))
+    The fences are one scalar subquery. NULL values compare to NULL and fall
+    to 'no'."""
+    b = quartile_bounds(df, col).select(F.struct("lower", "upper")).scalar()
+    rows = df.select(*keep, col).withColumn("_b", b)
+    flag = F.when(~F.col(col).between(F.col("_b.lower"), F.col("_b.upper")), F.lit("yes")) \
+        .otherwise(F.lit("no"))
+    return rows.select(*keep, col, flag.alias(f"{col}_outlier"))
 
 
 def box_summary(df: DataFrame, col: str) -> DataFrame:
     """Figures of a box plot: quartiles, whiskers (most extreme values
     inside the fences), outlier count and row count; one row."""
-    b = quartile_bounds(df, col)
-    lo = b.select("lower").scalar()
-    hi = b.select("upper").scalar()
     c = F.col(col)
-    inside = c.between(lo, hi)
-    agg = df.agg(
+    b = quartile_bounds(df, col).select(F.struct("*")).scalar()
+    rows = df.select(col).withColumn("_b", b)
+    inside = c.between(F.col("_b.lower"), F.col("_b.upper"))
+    return rows.agg(
+        *[F.max(f"_b.{q}").alias(q) for q in ("q1", "median", "q3")],
         F.min(F.when(inside, c)).alias("whisker_low"),
         F.max(F.when(inside, c)).alias("whisker_high"),
         F.sum(F.when(c.isNotNull() & ~inside, F.lit(1)).otherwise(F.lit(0))).cast("bigint").alias("n_outliers"),
         F.count(c).alias("n"))
-    return agg.select(b.select("q1").scalar().alias("q1"),
-                      b.select("median").scalar().alias("median"),
-                      b.select("q3").scalar().alias("q3"),
-                      "whisker_low", "whisker_high", "n_outliers", "n")
 
 
 def low_hours(df: DataFrame, col: str = "hours", below: float = 1.0) -> DataFrame:

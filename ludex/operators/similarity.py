@@ -16,16 +16,14 @@ Plan shape (for every similarity):
 4. emit both orders of each pair in one pass (an explode, no second
    evaluation of the sums).
 
-Hot users. A user with m items makes m^2/2 pairs, all in the join task that
-holds the user. Each user's cells are therefore cut into
-ceil(m / PAIR_SLICE_ITEMS) slices by a hash of the item (the salt); the left
-side keeps one salt per cell, the right side is repeated once per slice of
-its user (only users above the slice size are repeated at all), and the
-join key is (user, salt). A slice task makes at most PAIR_SLICE_ITEMS * m
-pairs, and a user holding a third of the log is spread over many tasks.
-The repeated side is hash-partitioned explicitly on (user, salt) into a
-partition count sized from the exact pair count, so the expanding join
-keeps its parallelism even when its input is small.
+Hot users. A user with m items makes m^2/2 pairs. Each user's cells are cut
+into slices of about half of PAIR_SLICE_ITEMS items by a hash of the item, and
+the join key is (user, left slice, right slice): the left side is repeated for
+every right slice of its user and the other way round, so no key holds more
+than PAIR_SLICE_ITEMS items on either side, nor more than PAIR_SLICE_ITEMS^2
+pairs, whatever the user. Users of one slice are not repeated. Both sides are
+hash-partitioned by number on that key, so the expanding join keeps its
+parallelism even when its input is small.
 """
 
 from __future__ import annotations
@@ -34,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludex.functions.columns import rank_key, safe_div
-from ludex.session import ensure_checkpoint_dir, shuffle_partitions
+from ludex.session import shuffle_partitions, stage_table
 
 # Fixed value: damping added to the denominator of the centred similarity.
 DAMPING = 0.5
@@ -43,11 +41,9 @@ TOP_K = 5
 # Decimal places similarities and scores are rounded to before ranking, so
 # that sums taken in another order rank the same.
 RANK_DIGITS = 9
-# Largest number of a user's items that one pair task joins against the
-# user's whole list (see "Hot users" above).
+# Largest number of a user's items on either side of one key of the pair join
+# (see "Hot users" above).
 PAIR_SLICE_ITEMS = 2048
-# Ordered pairs per partition of the pair join.
-PAIR_PARTITION_PAIRS = 2_000_000
 
 
 def cells(rows: DataFrame, value: str) -> DataFrame:
@@ -58,52 +54,54 @@ def cells(rows: DataFrame, value: str) -> DataFrame:
 
 
 def salted_self_join(c: DataFrame, left: list, right: list,
-                     slice_items: int = PAIR_SLICE_ITEMS) -> DataFrame:
+                     slice_items: int = PAIR_SLICE_ITEMS, centre: bool = False) -> DataFrame:
     """Join the per-user table ``c`` (user_id, item, ...) with itself on the
-    user, every user's left side cut into slices of at most ``slice_items``
-    items; ``left`` / ``right`` are the column expressions kept per side."""
-    per_user = c.groupBy("user_id").agg(F.count(F.lit(1)).alias("_m"))
+    user, by pairs of slices (columns _a, _b); ``left`` / ``right`` are the
+    column expressions kept per side. ``centre`` turns the sums of ``cells``
+    into sums of deviations from the user's mean, which comes from the same
+    per-user table, so a user's rows meet in no aggregate by user alone.
+
+    Eager: both sides read the cells, which are written once."""
+    stats = [F.count(F.lit(1)).alias("_m")]
+    if centre:
+        stats.append((F.sum("s") / F.sum("n")).alias("_mu"))
+    per_user = c.groupBy("user_id").agg(*stats)
     cs = c.join(per_user, "user_id", "inner").withColumn(
-        "_s", F.greatest(F.lit(1), F.ceil(F.col("_m") / F.lit(slice_items))).cast("int"))
-    # Both sides read the cells: materialise them once (reliable checkpoint
-    # in the shared folder) instead of aggregating the ratings twice.
-    ensure_checkpoint_dir(c.sparkSession)
-    cs = cs.checkpoint(eager=True)
-    # Partitions for the pair join, from the work it will do: every cell
-    # carries its user's item count m, so sum(m) over the cells is the
-    # number of (ordered) pairs, sum over users of m^2. One partition per
-    # PAIR_PARTITION_PAIRS pairs, at most the shuffle partition count. The
-    # exchange is by number, so AQE keeps it as sized.
-    pairs_n = cs.agg(F.sum("_m")).first()[0] or 0
-    n = int(max(1, min(shuffle_partitions(c.sparkSession), -(-pairs_n // PAIR_PARTITION_PAIRS))))
-    # Only the repeated side is pinned to n partitions: when AQE broadcasts
-    # it (it is small), the left side is not shuffled at all; otherwise the
-    # left is shuffled to the same n partitions for the sort-merge join.
-    a = cs.select("user_id", *left,
-                  F.pmod(F.xxhash64("item"), F.col("_s")).cast("int").alias("_salt"))
-    b = (cs.select("user_id", *right,
-                   F.explode(F.sequence(F.lit(0), F.col("_s") - F.lit(1))).alias("_salt"))
-           .repartition(n, "user_id", "_salt"))
-    return a.join(b, ["user_id", "_salt"], "inner").drop("_salt")
-
-
-def pair_rows(c: DataFrame, slice_items: int = PAIR_SLICE_ITEMS) -> DataFrame:
+        "_k", F.when(F.col("_m") <= slice_items, 1)
+        .otherwise(F.ceil(F.lit(2) * F.col("_m") / F.lit(slice_items))).cast("int"))
+    if centre:
+        n, s, q, mu = (F.col(x) for x in ("n", "s", "q", "_mu"))
+        cs = cs.withColumns({"s": s - n * mu, "q": q - F.lit(2.0) * mu * s + n * mu * mu})
+    cs = stage_table(cs, "cells")
+    parts = shuffle_partitions(c.sparkSession)
+    own = F.pmod(F.xxhash64("item"), F.col("_k")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("_k") - F.lit(1)))
+    a = (cs.select("user_id", *left, own.alias("_a"), every.alias("_b"))
+           .repartition(parts, "user_id", "_a", "_b"))
+    b = (cs.select("user_id", *right, own.alias("_b"), every.alias("_a"))
+           .repartition(parts, "user_id", "_a", "_b"))
+    return a.join(b, ["user_id", "_a", "_b"], "inner")
+
+
+def pair_rows(c: DataFrame, slice_items: int = PAIR_SLICE_ITEMS,
+              centre: bool = False) -> DataFrame:
     """One row per (user, i1 < i2) co-rating, with its contributions
     ``xx, yy, xy`` to the pair sums. ``c`` comes from ``cells``."""
     left = [F.col("item").alias("i1"), F.col("n").alias("n1"),
             F.col("s").alias("s1"), F.col("q").alias("q1")]
     right = [F.col("item").alias("i2"), F.col("n").alias("n2"),
              F.col("s").alias("s2"), F.col("q").alias("q2")]
-    j = salted_self_join(c, left, right, slice_items).filter(F.col("i1") < F.col("i2"))
+    j = salted_self_join(c, left, right, slice_items, centre).filter(F.col("i1") < F.col("i2"))
     return j.select("user_id", "i1", "i2",
                     (F.col("q1") * F.col("n2")).alias("xx"),
                     (F.col("n1") * F.col("q2")).alias("yy"),
                     (F.col("s1") * F.col("s2")).alias("xy"))
 
 
-def pair_sums(rows: DataFrame, value: str) -> DataFrame:
-    """(i1 < i2, sx, sy, sxy, n_users): sums over the users who rated both."""
-    p = pair_rows(cells(rows, value))
+def pair_sums(rows: DataFrame, value: str, centre: bool = False) -> DataFrame:
+    """(i1 < i2, sx, sy, sxy, n_users): sums over the users who rated both, of
+    ``value`` or (``centre``) of its deviation from the user's mean."""
+    p = pair_rows(cells(rows, value), centre=centre)
     return p.groupBy("i1", "i2").agg(
         F.sum("xx").alias("sx"), F.sum("yy").alias("sy"), F.sum("xy").alias("sxy"),
         F.count(F.lit(1)).alias("n_users"))
@@ -139,18 +137,19 @@ def co_rated_cosine(ratings: DataFrame, value: str = "rating") -> DataFrame:
     return both.withColumn("similarity", cosine_from_sums(F.col("sx"), F.col("sy"), F.col("sxy")))
 
 
-def damped_pearson(centred_rows: DataFrame, mode: str = "intended",
+def damped_pearson(ratings: DataFrame | None, mode: str = "intended",
                    damping: float = DAMPING, sums: DataFrame | None = None) -> DataFrame:
-    """Damped cosine of user-centred ratings (column ``deviation``).
+    """Damped cosine of user-centred ratings (the deviation of ``rating`` from
+    the user's mean).
 
     mode 'intended': x = deviation on i1, y = deviation on i2 (symmetric).
     mode 'faithful': x = y = deviation on i1, as when the left deviation is
     selected twice; then similarity(i1 -> i2) = sx / (sx + damping) with sx
     over the users who also rated i2, which is not symmetric.
-    ``sums`` (from ``pair_sums(centred_rows, 'deviation')``) lets several
+    ``sums`` (from ``pair_sums(ratings, 'rating', centre=True)``) lets several
     modes share one pair computation.
     """
-    s = sums if sums is not None else pair_sums(centred_rows, "deviation")
+    s = sums if sums is not None else pair_sums(ratings, "rating", centre=True)
     # Both orders; i2 -> i1 takes i2's own squares (sy) as its sx.
     both = mirror(s, {"sx": "sy", "sy": "sx"})
     if mode == "intended":
@@ -159,7 +158,9 @@ def damped_pearson(centred_rows: DataFrame, mode: str = "intended",
         sim = damped_from_sums(F.col("sx"), F.col("sx"), F.col("sx"), damping)
     else:
         raise ValueError(mode)
-    return both.withColumn("similarity", sim)
+    # Rounding noise of centred sums is no similarity.
+    return both.withColumn("similarity", F.when(F.abs(sim) < F.lit(1e-12), F.lit(0.0))
+                           .otherwise(sim))
 
 
 def top_k(sims: DataFrame, k: int = TOP_K, digits: int | None = RANK_DIGITS) -> DataFrame:

@@ -60,7 +60,7 @@ def rated(src: str, name: str, profile: str, keep_first: bool = False) -> str:
   FROM (SELECT *, lag(behaviour) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev
         FROM {src})),
 {name}_kept AS (SELECT * FROM {name}_lag WHERE {keep}),
-{name}_means AS (SELECT item, CAST(sum(CAST(hours AS DECIMAL(18,6))) AS DOUBLE) / count(hours) AS mean_hours
+{name}_means AS (SELECT item, avg(hours) AS mean_hours
                  FROM {name}_kept GROUP BY item),
 {name} AS (
   SELECT k.*, m.mean_hours,
@@ -136,7 +136,7 @@ PEA_ITEMS = """pitems AS (
 
 def _q_recommend() -> str:
     return KNN.rstrip("\n") + ",\n" + COSINE + ",\n" + COS_SCORES + """,
-owned AS (SELECT DISTINCT user_id, item FROM rknn),
+owned AS (SELECT DISTINCT user_id, item FROM log),
 cand AS (SELECT s.* FROM cscored s
          WHERE s.score IS NOT NULL
            AND NOT EXISTS (SELECT 1 FROM owned o WHERE o.user_id = s.user_id AND o.item = s.item)),
@@ -188,10 +188,6 @@ UNION ALL
 SELECT 'item' AS mode, {R('sqrt(avg((p - t) * (p - t)))')} AS rmse, count(*) AS n FROM ({item_sql})"""
 
 
-PRIORITIES = [("1-URGENT", "p_urgent"), ("2-HIGH", "p_high"), ("3-MEDIUM", "p_medium"),
-              ("4-NOT SPECIFIED", "p_not_specified"), ("5-LOW", "p_low")]
-
-
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["q01_log_project"] = with_(LOG) + "SELECT event_id, user_id, item, behaviour, hours FROM log"
@@ -244,7 +240,7 @@ FROM dlog d, bounds b GROUP BY b.q1, b.median, b.q3"""
         q[name] = with_(LOG, lagged("log", "lg")) + \
             f"SELECT event_id, user_id, item, behaviour, prev, weight FROM lg WHERE {KEEP[prof]}"
     q["q18_item_mean"] = with_(LOG, lagged("log", "lg")) + f"""SELECT item,
-  {R('CAST(sum(CAST(hours AS DECIMAL(18,6))) AS DOUBLE) / count(hours)')} AS mean_hours,
+  {R('avg(hours)')} AS mean_hours,
   count(*) AS n_rows FROM lg WHERE {KEEP['knn']} GROUP BY item"""
     q["q19_ratings"] = with_(LOG, RATED_KNN) + f"""SELECT event_id, user_id, item, behaviour, hours, weight,
   {R('mean_hours')} AS mean_hours, rating FROM rknn"""
@@ -271,12 +267,10 @@ SELECT t.user_id, t.item, t.rkey, t.rating, {R('um.user_mean')} AS user_mean,
   {R('t.rating - (um.user_mean + im.item_mean - gm.global_mean)')} AS interaction
 FROM train t JOIN um ON t.user_id = um.user_id JOIN im ON t.item = im.item, gm"""
 
-    pivots = ",\n  ".join(
-        f"{R(f'coalesce(avg(rating) FILTER (WHERE priority = {chr(39)}{v}{chr(39)}), 0)')} AS {name}"
-        for v, name in PRIORITIES)
-    q["q30_utility_pivot"] = with_(BASKET, RATED_BASKET) + f"""SELECT item,
-  {pivots}
-FROM rbas WHERE user_id IS NOT NULL AND item IS NOT NULL AND rating IS NOT NULL GROUP BY item"""
+    q["q30_utility_pivot"] = with_(BASKET, RATED_BASKET) + f"""SELECT item, priority,
+  {R('avg(rating)')} AS rating
+FROM rbas WHERE user_id IS NOT NULL AND item IS NOT NULL AND rating IS NOT NULL
+GROUP BY item, priority"""
     norm = """u AS (SELECT item, user_id, avg(rating) AS value FROM rals
        WHERE user_id IS NOT NULL AND item IS NOT NULL AND rating IS NOT NULL GROUP BY item, user_id),
 nrm AS (SELECT item, sqrt(sum(value * value)) AS norm FROM u GROUP BY item),
@@ -288,9 +282,8 @@ nv AS (SELECT u.item, u.user_id, u.value, n.norm, coalesce(u.value / nullif(n.no
   {R('sum(a.norm_value * b.norm_value)')} AS similarity
 FROM nv a JOIN nv b ON a.user_id = b.user_id AND a.item <> b.item GROUP BY a.item, b.item"""
 
-    q["q33_capped_history"] = with_(LOG, RATED_KNN) + """SELECT item, user_id, event_id, rating FROM (
-  SELECT *, row_number() OVER (PARTITION BY item ORDER BY md5(rkey), rkey) AS rn FROM rknn)
-WHERE rn <= 10"""
+    q["q33_item_history"] = with_(LOG, RATED_KNN) + \
+        "SELECT item, user_id, event_id, rating FROM rknn"
     q["q34_item_pairs"] = KNN + """SELECT a.user_id, a.item AS i1, b.item AS i2,
   sum(CAST(a.rating AS DOUBLE) * a.rating) AS xx, sum(CAST(b.rating AS DOUBLE) * b.rating) AS yy,
   sum(CAST(a.rating AS DOUBLE) * b.rating) AS xy
@@ -310,6 +303,8 @@ FROM train t LEFT JOIN cos_nn n ON t.item = n.i1 GROUP BY t.item, n.i2"""
         "AND x.item = s.item WHERE s.score IS NOT NULL",
         "SELECT r.rating AS p, x.rating AS t FROM (SELECT t.item, t.rating FROM train t "
         "LEFT JOIN cos_nn n ON t.item = n.i1) r JOIN test x ON r.item = x.item")
+    cosine_user = ("SELECT s.score AS p, x.rating AS t FROM test x JOIN cscored s "
+                   "ON x.user_id = s.user_id AND x.item = s.item WHERE s.score IS NOT NULL")
     knn_c = KNN.rstrip("\n") + ",\n" + CENTRED + "\n"
     q["q39_centred"] = knn_c + f"""SELECT user_id, item, event_id, rating, {R('user_mean')} AS user_mean,
   {R('deviation')} AS deviation FROM centred"""
@@ -321,16 +316,40 @@ SELECT 'faithful' AS mode, i1, i2, {R('faithful')} AS similarity FROM pea"""
         f"SELECT i1, i2, {R('similarity')} AS similarity, CAST(rank AS BIGINT) AS rank FROM pea_nn"
     q["q42_pearson_items"] = knn_p.rstrip("\n") + ",\n" + PEA_ITEMS + \
         f"\nSELECT item, item_nn, {R('prediction')} AS prediction FROM pitems"
-    q["q43_pearson_rmse"] = knn_p.rstrip("\n") + ",\n" + PEA_ITEMS + """,
-pdev AS (
+    pdev = """pdev AS (
   SELECT c.user_id, n.i2 AS item, sum(c.deviation * n.similarity) / nullif(sum(abs(n.similarity)), 0) AS score
   FROM centred c JOIN pea_nn n ON c.item = n.i1 GROUP BY c.user_id, n.i2)
-""" + _rmse_modes(
-        "SELECT u.user_mean + s.score AS p, x.rating AS t FROM test x JOIN pdev s ON x.user_id = s.user_id "
-        "AND x.item = s.item JOIN umean u ON s.user_id = u.user_id WHERE s.score IS NOT NULL",
+"""
+    pearson_user = ("SELECT u.user_mean + s.score AS p, x.rating AS t FROM test x JOIN pdev s "
+                    "ON x.user_id = s.user_id AND x.item = s.item "
+                    "JOIN umean u ON s.user_id = u.user_id WHERE s.score IS NOT NULL")
+    q["q43_pearson_rmse"] = knn_p.rstrip("\n") + ",\n" + PEA_ITEMS + ",\n" + pdev + _rmse_modes(
+        pearson_user,
         "SELECT coalesce(pi.prediction, 0) AS p, x.rating AS t FROM pitems pi JOIN test x "
         "ON pi.item_nn = x.item")
     q["q44_user_summary"] = KNN + f"""SELECT user_id, count(*) AS n_ratings, {R('avg(rating)')} AS user_mean,
   {R('(SELECT avg(rating) FROM train)')} AS global_mean FROM train GROUP BY user_id"""
     q["q45_recommend"] = _q_recommend()
+    one = "SELECT '{}' AS model, " + R("sqrt(avg((p - t) * (p - t)))") + " AS rmse, count(*) AS n FROM ({})"
+    q["q46_model_comparison"] = (
+        KNN.rstrip("\n") + ",\n" + COSINE + ",\n" + COS_SCORES + ",\n" + CENTRED + ",\n" + PEARSON
+        + ",\n" + pdev + one.format("cosine", cosine_user) + "\nUNION ALL\n"
+        + one.format("pearson", pearson_user))
+    bias = with_(BASKET, RATED_BASKET, split("rbas")) + """, um AS (
+  SELECT user_id, avg(rating) AS user_mean FROM train GROUP BY user_id),
+im AS (SELECT item, avg(rating) AS item_mean FROM train GROUP BY item),
+gm AS (SELECT avg(rating) AS global_mean FROM train),
+scored AS (SELECT t.*, um.user_mean + im.item_mean - gm.global_mean AS bias
+           FROM test t JOIN um ON t.user_id = um.user_id JOIN im ON t.item = im.item, gm)
+"""
+    q["q48_als_scored"] = bias + f"SELECT user_id, item, rkey, rating, {R('bias')} AS bias FROM scored"
+    q["q49_bias_rmse"] = bias + (f"SELECT {R('sqrt(avg((bias - rating) * (bias - rating)))')} AS rmse, "
+                                 "count(*) AS n FROM scored")
+    q["q50_als_candidates"] = with_(BASKET) + """SELECT user_id, count(DISTINCT item) AS n_owned,
+  (SELECT count(DISTINCT item) FROM basket) - count(DISTINCT item) AS n_unseen
+FROM basket GROUP BY user_id"""
+    q["q51_name_codes"] = """SELECT p_name, CAST(dense_rank() OVER (ORDER BY p_name) - 1 AS BIGINT) AS code
+FROM (SELECT DISTINCT p_name FROM part WHERE p_name IS NOT NULL)"""
+    q["q52_recommend_named"] = f"""SELECT r.user_id, r.rank, r.item, p.p_name, r.score
+FROM ({q["q45_recommend"]}) r LEFT JOIN part p ON r.item = p.p_partkey"""
     return q

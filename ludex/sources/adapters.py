@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ludex.operators.indexing import dense_index
+from ludex.operators.ranged import PART, SEQ, part_offsets, range_parts
 from ludex.sources.readers import read_table
 
 
@@ -61,21 +63,29 @@ def basket_log(spark: SparkSession, sf_dir: str, with_priority: bool = False) ->
 
 
 def csv_log(raw: DataFrame) -> DataFrame:
-    """Normalise a behaviour CSV (see ``read_behaviour_csv``).
+    """Normalise a behaviour CSV read with ``read_behaviour_csv(..., ordered=
+    True)``: item titles become alphabetical 0-based codes (NULL stays NULL),
+    ``title`` keeps them.
 
-    The CSV has no time column; the file order stands in for it. The row id
-    comes from ``monotonically_increasing_id``, which is stable for the same
-    files and split size.
-    """
-    rid = F.monotonically_increasing_id()
-    return (raw.withColumn("event_id", rid)
-            .select(
-                "user_id",
-                F.xxhash64("item").alias("item"),
-                "behaviour",
-                "hours",
-                F.lit(None).cast("timestamp").alias("ts"),
-                "event_id",
-                F.concat_ws("|", F.col("event_id"), F.col("user_id")).alias("rkey"),
-                F.col("item").alias("title"),
-            ))
+    The CSV has no time column; the order of the files (by path) and of the
+    lines in them stands in for it: ``event_id`` is the line's number over all
+    files, whatever the splits. ``rkey`` comes from the row's values, so the
+    80/20 split does not depend on the file layout. Eager: the ordered lines
+    and the codes are written to the shared folder."""
+    order = [F.col("_file").asc(), F.col("_block").asc(), F.col("_line").asc()]
+    lines = range_parts(raw, order, "lines")
+    before = F.broadcast(part_offsets(lines, F.lit(1), "_before"))
+    codes = dense_index(lines, "item", "_code").withColumnRenamed("item", "_title")
+    rows = (lines.join(before, PART).withColumn("event_id", F.col("_before") + F.col(SEQ))
+            .join(codes, F.col("item") == F.col("_title"), "left"))
+    value = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\x01"))
+    return rows.select(
+        "user_id", F.col("_code").alias("item"), "behaviour", "hours",
+        F.lit(None).cast("timestamp").alias("ts"), F.col("event_id").cast("bigint"),
+        F.concat_ws("|", *map(value, ("user_id", "item", "behaviour", "hours"))).alias("rkey"),
+        F.col("item").alias("title"))
+
+
+def titles(log: DataFrame) -> DataFrame:
+    """The lookup of a ``csv_log``: item code and title."""
+    return log.where("item is not null").select("item", "title").distinct()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ludex.sources.schemas import BEHAVIOUR_CSV_SCHEMA
@@ -14,13 +15,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_behaviour_csv(spark: SparkSession, path: str,
-                       schema: T.StructType = BEHAVIOUR_CSV_SCHEMA) -> DataFrame:
+                       schema: T.StructType = BEHAVIOUR_CSV_SCHEMA,
+                       ordered: bool = False) -> DataFrame:
     """Headerless behaviour CSV with a fixed schema.
 
     PERMISSIVE mode: a field that does not parse becomes NULL; surplus fields
-    are cut off by the schema, missing trailing fields are NULL.
+    are cut off by the schema, missing trailing fields are NULL. ``ordered``
+    adds _file, _block (start of the split in the file) and _line (grows
+    inside a split), which together give the order of the lines.
     """
-    return (spark.read.schema(schema)
-            .option("header", "false")
-            .option("mode", "PERMISSIVE")
-            .csv(path))
+    raw = (spark.read.schema(schema)
+           .option("header", "false")
+           .option("mode", "PERMISSIVE")
+           .csv(path))
+    if not ordered:
+        return raw
+    return raw.select("*", F.col("_metadata.file_path").alias("_file"),
+                      F.col("_metadata.file_block_start").alias("_block"),
+                      F.monotonically_increasing_id().alias("_line"))

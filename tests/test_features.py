@@ -58,22 +58,53 @@ def test_keep_first_keeps_opening_purchases(spark):
     assert got[1][0] is None and got[4][0] is None
 
 
-@pytest.mark.parametrize("seconds,target", [(60, 10**6), (3600, 10**6), (24 * 3600, 10**6),
-                                            (24 * 3600, 1), (24 * 3600, 2), (30 * 24 * 3600, 3)])
-def test_split_lag_equals_plain_window(spark, sf_small, seconds, target):
-    """Any slice width and any hot-slice row target (tiny targets cut every
-    user-day into sub-slices) give the plain window's lag."""
+def test_lag_equals_plain_window(spark, sf_small):
     from ludex.sources.adapters import behaviour_log
-    log = behaviour_log(spark, sf_small)
+    same_as_window(behaviour_log(spark, sf_small))
+
+
+def same_as_window(log):
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     plain = log.withColumn("p2", F.lag("behaviour").over(w))
-    both = fe.with_previous(log, slice_seconds=seconds, target_rows=target) \
-        .join(plain.select("event_id", "p2"), "event_id")
-    bad = both.filter(~F.col("prev").eqNullSafe(F.col("p2"))).count()
-    assert bad == 0
+    both = fe.with_previous(log).join(plain.select("event_id", "p2"), "event_id")
+    assert both.filter(~F.col("prev").eqNullSafe(F.col("p2"))).count() == 0
     assert both.count() == log.count()
 
 
+def test_lag_with_null_users_null_times_and_one_time(spark):
+    """A hot user whose 1000 rows share one time, NULL times and NULL users;
+    the hot rows are spread over several partitions."""
+    base = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(3000):
+        user = (None, 1, 1, 2, 3)[i % 5]
+        ts = None if i % 7 == 0 else base if user == 1 else base + dt.timedelta(hours=i % 50)
+        rows.append((user, i, ("purchase", "play")[(i * 7919) % 3 % 2], ts))
+    log = spark.createDataFrame(rows, "user_id bigint, event_id bigint, behaviour string, "
+                                      "ts timestamp").repartition(5)
+    same_as_window(log)
+    from ludex.operators.ranged import PART, range_parts
+    cut = range_parts(log.where("user_id = 1"), [F.col("user_id").asc(), F.col("ts").asc()])
+    assert cut.select(PART).distinct().count() > 2
+
+
+def test_tiny_and_huge_hours(spark):
+    """Means are not cut to decimal places: hours equal to the mean rate 1,
+    in DuckDB's plain average too."""
+    import duckdb
+    rows = [(u, 1, "purchase", 4e-7) for u in range(7)] + [(u, 2, "purchase", 2e12) for u in range(7)] \
+        + [(u, 3, "purchase", h) for u, h in enumerate((0.1, 0.1, 0.1))]
+    df = spark.createDataFrame([(*r, dt.datetime(2024, 1, 1), i, f"{i}")
+                                for i, r in enumerate(rows)],
+                               "user_id bigint, item bigint, behaviour string, hours double, "
+                               "ts timestamp, event_id bigint, rkey string")
+    got = {(r.item, r.rating) for r in fe.rated_log(df, "als", keep_first=True).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1)}
+    for item, hours in ((1, 4e-7), (2, 2e12)):
+        mean = duckdb.sql(f"SELECT avg(h) FROM (SELECT CAST({hours} AS DOUBLE) h FROM range(7))")
+        assert abs(mean.fetchone()[0] / hours - 1) < 1e-12
+
+
 def test_null_hours_rate_zero(spark):
     rows = [(1, 1, "purchase", 1.0, dt.datetime(2024, 1, 1), 1, "a"),
             (1, 1, "purchase", None, dt.datetime(2024, 1, 2), 2, "b")]
@@ -110,4 +141,6 @@ def test_purchase_log_fast_path_equals_general_pipeline(spark, sf_small):
     fast = fe.rated_purchases(b).select(*cols)
     full = fe.rated_log(b, "als", keep_first=True, materialize=False).select(*cols)
     assert fast.count() == full.count() == b.count()
-    assert fast.exceptAll(full).count() == 0 and full.exceptAll(fast).count() == 0
+    near = lambda df: df.withColumn("mean_hours", F.round("mean_hours", 9))
+    assert near(fast).exceptAll(near(full)).count() == 0
+    assert near(full).exceptAll(near(fast)).count() == 0

@@ -5,7 +5,6 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from ludex.operators import features as fe
 from ludex.operators import recommend as rc
 from ludex.operators import similarity as si
 
@@ -37,12 +36,12 @@ def test_co_rated_cosine(ratings):
 
 
 def test_damped_intended(ratings):
-    got = sims(si.damped_pearson(fe.centred(ratings), "intended"))
+    got = sims(si.damped_pearson(ratings, "intended"))
     assert got == {k: v[1] for k, v in EXPECTED.items()}
 
 
 def test_damped_faithful(ratings):
-    got = sims(si.damped_pearson(fe.centred(ratings), "faithful"))
+    got = sims(si.damped_pearson(ratings, "faithful"))
     assert got == {k: v[2] for k, v in EXPECTED.items()}
 
 
@@ -94,16 +93,16 @@ def test_similarity_invariants(spark, sf_small):
     a = cos.select("i1", "i2", "similarity")
     b = cos.select(F.col("i2").alias("i1"), F.col("i1").alias("i2"), F.col("similarity").alias("s2"))
     assert a.join(b, ["i1", "i2"]).filter(F.abs(F.col("similarity") - F.col("s2")) > 1e-12).count() == 0
-    pea = si.damped_pearson(fe.centred(train), "intended")
+    pea = si.damped_pearson(train, "intended")
     assert pea.filter(F.abs("similarity") >= 1).count() == 0
     nn = si.top_k(cos)
     assert nn.groupBy("i1").count().filter(F.col("count") > si.TOP_K).count() == 0
 
 
 def test_recommendations_exclude_owned(spark, sf_small):
-    from ludex.plans.queries import rated, recommend
+    from ludex.plans.queries import log, recommend
     recs = recommend(spark, sf_small)
-    owned = rated(spark, sf_small, "knn").select("user_id", "item")
+    owned = log(spark, sf_small).select("user_id", "item")
     assert recs.join(owned, ["user_id", "item"]).count() == 0
     assert recs.groupBy("user_id").count().filter(F.col("count") > rc.TOP_N).count() == 0
     assert recs.count() > 0

@@ -32,7 +32,7 @@ def test_csv_reader(spark):
     assert rows[0].item == "Title One, Deluxe" and rows[0].hours == 1.0
     assert rows[1].user_id is None and rows[1].hours is None
     assert rows[3].user_id == 1003 and rows[3].behaviour == "purchase"
-    log = csv_log(df)
+    log = csv_log(read_behaviour_csv(spark, p, ordered=True))
     assert log.count() == 4 and "title" in log.columns
 
 
@@ -79,7 +79,7 @@ def test_cap_per_item(spark, sf_small):
 def test_dense_index(spark):
     vals = [5, 3, 3, 100, -2, 7, 7, 7, 42]
     df = spark.createDataFrame([(v,) for v in vals], "item bigint")
-    got = {r.item: r.code for r in dense_index(df, "item", slices=3).collect()}
+    got = {r.item: r.code for r in dense_index(df, "item").collect()}
     want = {v: i for i, v in enumerate(sorted(set(vals)))}
     assert got == want
 
@@ -87,7 +87,7 @@ def test_dense_index(spark):
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 7, 9, 10, 101])
 def test_exact_quantiles_match_percentile_disc(spark, n):
     df = spark.range(n).select(((F.col("id") * 7919) % 97).cast("double").alias("x"))
-    got = pr.exact_quantiles(df, "x", {"a": 0.25, "b": 0.5, "c": 0.75}, slices=4).first()
+    got = pr.exact_quantiles(df, "x", {"a": 0.25, "b": 0.5, "c": 0.75}).first()
     ref = df.selectExpr("percentile_disc(0.25) WITHIN GROUP (ORDER BY x) AS a",
                         "percentile_disc(0.5) WITHIN GROUP (ORDER BY x) AS b",
                         "percentile_disc(0.75) WITHIN GROUP (ORDER BY x) AS c").first()
@@ -125,7 +125,7 @@ def test_csv_log_rates_in_file_order(spark):
              "2,A,purchase,1.0", "2,A,play,4.0", "2,C,purchase,1.0", "2,D,purchase,1.0"]
     with open(p, "w") as f:
         f.write("\n".join(lines) + "\n")
-    log = csv_log(read_behaviour_csv(spark, p).coalesce(1))
+    log = csv_log(read_behaviour_csv(spark, p, ordered=True))
     got = {(r.user_id, r.title, r.behaviour): (r.prev, r.rating)
            for r in fe.rated_log(log, "als").collect()}
     # Golden table T1 of FIXTURES.md, keyed by (user, title, behaviour).
@@ -134,6 +134,56 @@ def test_csv_log_rates_in_file_order(spark):
                    (2, "D", "purchase"): ("purchase", 1)}
 
 
+def test_csv_order_over_files_null_titles_and_codes(spark):
+    """Files of different sizes: lines keep their order whatever the splits;
+    a NULL title stays NULL; codes are alphabetical."""
+    d = tempfile.mkdtemp(prefix="ludex-csv-")
+    rows = [("1,Zed,purchase,1.0\n",), ("1,Zed,play,2.0\n",), ("1,,play,3.0\n",)]
+    pad = "".join(f"{9 + i},Game {i:05d},purchase,1.0\n" for i in range(3000))
+    for name, text in (("a.csv", rows[0][0]), ("b.csv", pad + rows[1][0]), ("c.csv", rows[2][0])):
+        with open(os.path.join(d, name), "w") as f:
+            f.write(text)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        log = csv_log(read_behaviour_csv(spark, d, ordered=True))
+        mine = log.where("user_id = 1").orderBy("event_id").collect()
+        assert [(r.title, r.behaviour) for r in mine] == [
+            ("Zed", "purchase"), ("Zed", "play"), (None, "play")]
+        assert mine[0].event_id == 0 and mine[1].event_id == 3001 and mine[2].event_id == 3002
+        assert mine[0].item == 3000 and mine[2].item is None and log.count() == 3003
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_csv_to_recommendations_with_titles(spark):
+    """CSV -> rating -> neighbours -> unseen titles."""
+    from ludex.operators import features as fe
+    from ludex.operators import recommend as rc
+    from ludex.operators import similarity as si
+    from ludex.sources.adapters import titles
+    d = tempfile.mkdtemp(prefix="ludex-csv-")
+    lines = []
+    for u in range(30):
+        for k, t in enumerate(["Ash", "Birch", "Cedar", "Doum", "Elm"]):
+            if (u + k) % 3:
+                lines += [f"{u},{t},purchase,1.0", f"{u},{t},play,{(u * (k + 2)) % 9 + 1}.5"]
+    with open(os.path.join(d, "log.csv"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    log = csv_log(read_behaviour_csv(spark, d, ordered=True))
+    train, _ = train_test(fe.rated_log(log, "knn"))
+    scores = rc.neighbour_scores(train, si.top_k(si.co_rated_cosine(train)))
+    named = rc.unseen_top_n(scores, log, 5).join(titles(log), "item").collect()
+    owned = {tuple(x.split(",")[:2]) for x in lines}
+    assert named and all((str(r.user_id), r.title) not in owned for r in named)
+
+
+def test_codes_of_text(spark):
+    df = spark.createDataFrame([("pear",), ("fig",), (None,), ("fig",), ("apple",)], "t string")
+    assert {r.t: r.code for r in dense_index(df, "t").collect()} == {
+        "apple": 0, "fig": 1, "pear": 2}
+
+
 def test_job_wrapper_writes_parquet(spark, sf_small):
     """S4: a query result written by the job wrapper reads back whole."""
     from ludex.plans import queries as q
