@@ -102,7 +102,7 @@ def test_tiny_and_huge_hours(spark):
     assert got == {(1, 1), (2, 1), (3, 1)}
     for item, hours in ((1, 4e-7), (2, 2e12)):
         mean = duckdb.sql(f"SELECT avg(h) FROM (SELECT CAST({hours} AS DOUBLE) h FROM range(7))")
-        assert abs(mean.fetchone()[0] / hours - 1) < 1e-12
+        assert abs(mean.fetchall()[0][0] / hours - 1) < 1e-12
 
 
 def test_null_hours_rate_zero(spark):
