@@ -29,16 +29,18 @@ PRIOR_GOOD = 0.8
 SPACES = "\t\n\x0b\x0c\r "
 SYMBOLS = "#*$%&|<>"
 
-# Rules: (name, measure, good up to, bad from); a value between abstains.
+# Rules: (name, measure, good up to, bad from). A value between abstains, and
+# so does a rule without a good side where it sees nothing bad: that a document
+# lacks one kind of junk says little about the others.
 RULES = [
-    ("symbols", "n_symbols / n_words", 0.02, 0.10),
-    ("repeats", "n_repeat_words / n_words", 0.10, 0.30),
-    ("dup_lines", "n_dup_lines / n_lines", 0.10, 0.30),
-    ("capitals", "n_upper / n_letters", 0.15, 0.40),
-    ("marks", "n_marks / n_words", 0.30, 0.80),
-    ("distinct", "1 - n_distinct / n_words", 0.60, 0.85),
-    ("lone_marks", "n_lone / n_words", 0.02, 0.15),
-    ("short_words", "3.0 * n_words / word_chars", 1.20, 2.00),
+    ("symbols", "n_symbols / n_words", None, 0.10),
+    ("bars", "n_bars / n_words", None, 0.15),
+    ("other_characters", "(word_chars - n_letters) / word_chars", 0.06, 0.12),
+    ("capitals", "n_upper / n_letters", None, 0.40),
+    ("marks", "n_marks / n_words", None, 0.80),
+    ("repeats", "n_repeat_words / n_words", None, 0.30),
+    ("dup_lines", "n_dup_lines / n_lines", None, 0.30),
+    ("same_words", "(n_words - n_distinct) / n_words", None, 0.85),
 ]
 
 
@@ -93,33 +95,33 @@ def measures(docs: DataFrame) -> DataFrame:
         F.size("lines").alias("n_lines"), upper.alias("n_upper"), letters.alias("n_letters"),
         _count(F.col("text"), "!?.,;:").alias("n_marks"),
         F.size(F.array_distinct("words")).alias("n_distinct"),
-        _count(F.concat(F.lit(" "), F.col("text")), "|").alias("n_lone"))
+        _count(F.col("text"), "|").alias("n_bars"))
 
 
 def votes(measured: DataFrame) -> DataFrame:
     """Adds ``vote_<rule>``; a rule whose measure has no value abstains."""
     out = measured
     for name, measure, good, bad in RULES:
-        value = F.expr(f"try_divide({measure.replace(' / ', ', ')})") if measure[0] == "n" \
-            else F.expr(measure.replace("/ n_words", "/ nullif(n_words, 0)")
-                        .replace("/ word_chars", "/ nullif(word_chars, 0)"))
-        out = out.withColumn(f"vote_{name}", F.when(value <= good, 1).when(value >= bad, -1)
-                             .otherwise(0))
+        value = F.try_divide(*map(F.expr, measure.split(" / ")))
+        vote = F.when(value >= bad, -1)
+        vote = vote if good is None else vote.when(value <= good, 1)
+        out = out.withColumn(f"vote_{name}", vote.otherwise(0))
     return out
 
 
-def _log_odds(names: list[str], model: dict) -> Column:
-    """Log odds of good against bad for a row of votes."""
-    total = F.lit(math.log(model["good"] / (1 - model["good"])))
-    for name in names:
-        vote = F.col(f"vote_{name}")
-        step = F.lit(0.0)
-        for v in (1, -1):
-            p, q = model["p", name, v]
-            step = F.when(vote == v, F.lit(math.log(p / q))).otherwise(step)
-        p, q = (1 - sum(model["p", name, v][i] for v in (1, -1)) for i in (0, 1))
-        total = total + F.when(vote == 0, F.lit(math.log(p / q))).otherwise(step)
-    return total
+def _log_odds(votes_: Column, names: list[str], model: dict) -> Column:
+    """Log odds of good against bad for an array of votes."""
+    def weight(p: float, q: float) -> Column:
+        return F.lit(math.log(p / q))
+
+    shares = [[model["p", name, v] for v in (1, -1)] for name in names]
+    up = F.array(*[weight(*s[0]) for s in shares])
+    down = F.array(*[weight(*s[1]) for s in shares])
+    none = F.array(*[weight(*(1 - s[0][i] - s[1][i] for i in (0, 1))) for s in shares])
+    steps = F.transform(votes_, lambda v, i: F.when(v == 1, F.get(up, i)).when(
+        v == -1, F.get(down, i)).otherwise(F.get(none, i)))
+    start = F.lit(math.log(model["good"] / (1 - model["good"])))
+    return F.aggregate(steps, start, lambda total, step: total + step)
 
 
 def fit(voted: DataFrame, rounds: int = ROUNDS) -> dict:
@@ -127,38 +129,36 @@ def fit(voted: DataFrame, rounds: int = ROUNDS) -> dict:
     for each rule P(vote | good) and P(vote | bad). Pseudo-counts keep every
     probability off 0 and 1 and say which class is called good: a rule's votes
     are expected right. Each round is one aggregate over the pattern table;
-    only its sums (five per rule) come to the driver. Without documents the
-    prior is the answer."""
+    only its sums (one row per rule and vote) come to the driver. Without
+    documents the prior is the answer."""
     names = [r[0] for r in RULES]
-    columns = [f"vote_{n}" for n in names]
     patterns = stage_table(
-        voted.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
-        .coalesce(1).sortWithinPartitions(*columns), "patterns")
+        voted.groupBy(F.array(*[f"vote_{n}" for n in names]).alias("votes"))
+        .agg(F.count(F.lit(1)).alias("n")).coalesce(1).sortWithinPartitions("votes"), "patterns")
     right, wrong = PRIOR_RIGHT / 2, (1 - PRIOR_RIGHT) / 2
+    prior = {1: (right, wrong), -1: (wrong, right)}
     model: dict = {"good": PRIOR_GOOD}
-    for name in names:
-        model["p", name, 1], model["p", name, -1] = (right, wrong), (wrong, right)
+    model |= {("p", name, v): prior[v] for name in names for v in (1, -1)}
     for _ in range(rounds):
-        good = 1 / (1 + F.exp(-_log_odds(names, model)))
-        sums = [F.sum("n").alias("n"), F.sum(F.col("n") * good).alias("good")]
-        for name in names:
-            for v in (1, -1):
-                at = F.when(F.col(f"vote_{name}") == v, F.col("n")).otherwise(0)
-                sums += [F.sum(at * good).alias(f"{name}_{v}_g"), F.sum(at).alias(f"{name}_{v}")]
-        row = patterns.agg(*sums).first()
-        n, is_good = row["n"] or 0, row["good"] or 0.0
-        before = dict(model)
-        model["good"] = (is_good + PRIOR_WEIGHT * PRIOR_GOOD) / (n + PRIOR_WEIGHT)
+        good = 1 / (1 + F.exp(-_log_odds(F.col("votes"), names, model)))
+        rows = (patterns.select("n", (F.col("n") * good).alias("good"), F.posexplode("votes"))
+                .groupBy("pos", "col").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+                .collect())
+        sums = {(names[r["pos"]], r["col"]): (r["good"], r["n"]) for r in rows}
+        first = [sums.get((names[0], v), (0.0, 0)) for v in (1, 0, -1)]
+        is_good, n = sum(x[0] for x in first), sum(x[1] for x in first)
+        new: dict = {"good": (is_good + PRIOR_WEIGHT * PRIOR_GOOD) / (n + PRIOR_WEIGHT)}
         for name in names:
             for v in (1, -1):
-                g, all_ = row[f"{name}_{v}_g"] or 0.0, row[f"{name}_{v}"] or 0
-                prior = (right, wrong) if v == 1 else (wrong, right)
-                model["p", name, v] = (
-                    (g + PRIOR_WEIGHT * prior[0]) / (is_good + PRIOR_WEIGHT),
-                    (all_ - g + PRIOR_WEIGHT * prior[1]) / (n - is_good + PRIOR_WEIGHT))
-        if all(abs(x - y) < 1e-6 for k in model
-               for x, y in zip(*((m if isinstance(m, tuple) else (m,))
-                                 for m in (model[k], before[k])), strict=True)):
+                g, all_ = sums.get((name, v), (0.0, 0))
+                new["p", name, v] = (
+                    (g + PRIOR_WEIGHT * prior[v][0]) / (is_good + PRIOR_WEIGHT),
+                    (all_ - g + PRIOR_WEIGHT * prior[v][1]) / (n - is_good + PRIOR_WEIGHT))
+        moved = max([abs(new["good"] - model["good"])]
+                    + [abs(x - y) for k in new if k != "good"
+                       for x, y in zip(new[k], model[k], strict=True)])
+        model = new
+        if moved < 1e-5:
             break
     return model
 
@@ -174,7 +174,9 @@ def judge(docs: DataFrame) -> DataFrame:
     An empty table gives an empty table."""
     voted = stage_table(votes(measures(docs)), "votes")
     model = fit(voted.where(f"n_words >= {MIN_WORDS}"))
-    good = 1 / (1 + F.exp(-_log_odds([r[0] for r in RULES], model)))
+    names = [r[0] for r in RULES]
+    given = F.array(*[f"vote_{n}" for n in names])
+    good = 1 / (1 + F.exp(-_log_odds(given, names, model)))
     failed = ((F.col("n_words") < MIN_WORDS)
               | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
     return (voted.withColumn("p_good", good).withColumn("base_failed", failed)
