@@ -25,7 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ludex.llm.common import WordHashes, byte_texts, list_array, mix64, row_key, text_chunks
+from ludex.llm.common import (WordHashes, byte_texts, columns_of, free_name, list_array, mix64,
+                              read_table, row_key, text_chunks)
 from ludex.llm.components import connected_components
 from ludex.session import stage_table
 
@@ -40,6 +41,8 @@ BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2
 # A pair is dropped when its estimate is this far below the threshold: 6.5
 # standard deviations of an estimate from 240 registers at 0.85.
 SLACK = 0.15
+# Shingles of a block in the comparison of nodes that stars left apart.
+BLOCK_SHINGLES = 1 << 16
 
 _rng = np.random.default_rng(20240229)
 _XOR = _rng.integers(0, 1 << 63, REGISTERS, dtype=np.uint64) << np.uint64(1)
@@ -161,8 +164,7 @@ def _likely(percent: int):
     return run
 
 
-def _confirm(pairs: DataFrame, members: DataFrame, docs: DataFrame, size: int,
-             percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of set ids that are linked: sizes, then the estimate
     from the sketches, then the full sets."""
     side = lambda s: members.select(*[F.col(c).alias(f"{new}_{s}" if new else s)
@@ -173,12 +175,6 @@ def _confirm(pairs: DataFrame, members: DataFrame, docs: DataFrame, size: int,
     likely = stage_table(near.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b")
                          .mapInArrow(_likely(percent),
                                      "a binary, b binary, n_a bigint, n_b bigint"), "likely")
-    wanted = (likely.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-              .join(members.select("fp", "rep_tk"), "fp"))
-    sets = stage_table(
-        docs.join(wanted.withColumnRenamed("rep_tk", "tk"), "tk")
-        .select("fp", "text")
-        .mapInArrow(_set_rows(size), "fp binary, shingles array<bigint>"), "sets")
     full = lambda s: sets.select(F.col("fp").alias(s), F.col("shingles").alias(f"s_{s}"))
     shared = F.size(F.array_intersect("s_a", "s_b"))
     return stage_table(likely.join(full("a"), "a").join(full("b"), "b")
@@ -187,6 +183,68 @@ def _confirm(pairs: DataFrame, members: DataFrame, docs: DataFrame, size: int,
                        .select("a", "b").distinct(), "links")
 
 
+def _block_links(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Links between nodes of different components of two blocks, one for
+        each pair of components that they join."""
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        block = table.column("block").to_numpy()
+        fps, comps = table.column("fp").to_pylist(), table.column("comp").to_pylist()
+        sets = [x.values.to_numpy() for x in table.column("shingles")]
+        left, right = np.flatnonzero(block == i).tolist(), np.flatnonzero(block == j).tolist()
+        sizes = np.array([len(sets[r]) for r in right])
+        values, where = np.unique(np.concatenate([sets[r] for r in right]), return_inverse=True)
+        starts = np.concatenate([[0], np.cumsum(sizes[:-1])])
+        lead: dict[bytes, bytes] = {}
+
+        def top(c: bytes) -> bytes:
+            while c in lead:
+                c = lead[c]
+            return c
+
+        a, b = [], []
+        for x in left:
+            mark = np.zeros(len(values) + 1, np.int32)
+            at = np.searchsorted(values, sets[x])
+            at[at == len(values)] = 0
+            mark[at[values[at] == sets[x]]] = 1
+            shared = np.add.reduceat(mark[where], starts)
+            linked = 100 * shared >= percent * (len(sets[x]) + sizes - shared)
+            for k in np.flatnonzero(linked).tolist():
+                y = right[k]
+                one, two = top(comps[x]), top(comps[y])
+                if one != two:
+                    lead[one] = two
+                    a.append(min(fps[x], fps[y]))
+                    b.append(max(fps[x], fps[y]))
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
+
+    return run
+
+
+def _across(open_: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between different components (``comp``) of the nodes that share a
+    bucket of ``open_`` (band, fp, comp, hub). Nodes connected through buckets
+    are a family; a family is cut into blocks of about ``BLOCK_SHINGLES``
+    shingles, and each pair of its blocks is compared on full sets in a task
+    of its own, which puts out links only."""
+    ties = open_.where("fp <> hub").select(F.col("fp").alias("a"), F.col("hub").alias("b"))
+    family = connected_components(ties.distinct())
+    nodes = (open_.select("fp", "comp").distinct()
+             .join(family.select(F.col("node").alias("fp"), F.col("comp").alias("family")), "fp")
+             .join(members.select("fp", "n"), "fp"))
+    blocks = nodes.groupBy("family").agg(
+        F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    nodes = stage_table(nodes.join(blocks, "family").withColumn(
+        "block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")), "nodes")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    pairs = (nodes.select("fp", "comp", "family", "block", other.alias("other")).join(sets, "fp")
+             .select("fp", "comp", "family", "block", F.least("block", "other").alias("i"),
+                     F.greatest("block", "other").alias("j"), "shingles"))
+    return stage_table(pairs.groupBy("family", "i", "j").applyInArrow(
+        _block_links(percent), "a binary, b binary").distinct(), "links")
+
+
 def _grouped(docs: DataFrame, percent: int, size: int) -> DataFrame:
     """One row per document: doc_id, tk (row key), n, fp (set id, NULL without
     words), comp (set id of its component), least (its least doc_id)."""
@@ -205,6 +263,10 @@ def _grouped(docs: DataFrame, percent: int, size: int) -> DataFrame:
     buckets = stage_table(bands.join(shared, "band"), "buckets")
     weight = buckets.groupBy("fp").agg(F.sum("met").alias("weight"))
     members = stage_table(nodes.join(weight, "fp"), "members")
+    # The full sets of the nodes that share a bucket, from one document each.
+    sets = stage_table(docs.join(members.select("fp", F.col("rep_tk").alias("tk")), "tk")
+                       .select("fp", "text")
+                       .mapInArrow(_set_rows(size), "fp binary, shingles array<bigint>"), "sets")
     weighed = buckets.select("band", "fp").join(members.select("fp", "weight"), "fp")
     hubs = (weighed.groupBy("band").agg(
         F.max(F.struct("weight", "fp"))["fp"].alias("centre"),
@@ -214,22 +276,17 @@ def _grouped(docs: DataFrame, percent: int, size: int) -> DataFrame:
              .where("fp <> hub")
              .select(F.least("fp", "hub").alias("a"), F.greatest("fp", "hub").alias("b"))
              .distinct())
-    links = _confirm(stars, members, docs, size, percent)
+    links = _confirm(stars, members, sets, percent)
     first = connected_components(links)
 
     # Buckets whose nodes are not all in one component yet.
     placed = buckets.select("band", "fp").join(first.withColumnRenamed("node", "fp"), "fp", "left")
     placed = placed.select("band", "fp", F.coalesce("comp", "fp").alias("comp"))
-    parts = placed.groupBy("band", "comp").agg(F.count(F.lit(1)).alias("size"))
-    mixed = parts.groupBy("band").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    open_ = stage_table(placed.join(mixed.select("band"), "band"), "open")
-    part = open_.select("band", "comp").distinct()
-    across = (part.withColumnRenamed("comp", "ca")
-              .join(part.withColumnRenamed("comp", "cb"), "band").where("ca < cb"))
-    one = lambda c, s: open_.select("band", F.col("comp").alias(c), F.col("fp").alias(s))
-    pairs = (across.join(one("ca", "a"), ["band", "ca"]).join(one("cb", "b"), ["band", "cb"])
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    more = _confirm(pairs, members, docs, size, percent)
+    parts = placed.groupBy("band", "comp").agg(F.min("fp").alias("hub"))
+    mixed = parts.groupBy("band").agg(F.count(F.lit(1)).alias("parts"),
+                                      F.min("hub").alias("hub")).where("parts > 1")
+    open_ = stage_table(placed.join(mixed.select("band", "hub"), "band"), "open")
+    more = _across(open_, members, sets, percent)
     comps = connected_components(links.unionByName(more).distinct())
 
     # Least doc_id of each component, back to the documents by set id.
@@ -253,10 +310,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
        members only: the one whose bands meet the most nodes over all bands
        (the likely original) and a pseudo-random one. Links confirmed on full
        sets make first components.
-    3. In every bucket that still holds several components, all pairs of
-       nodes of different components are tested. Pairs inside a component
-       cannot change it, so the outcome is that of testing all pairs of each
-       bucket, without making them.
+    3. The nodes of buckets that still hold several components are compared
+       on full sets, in pairs of blocks of bounded size; only links between
+       different components are put out. Pairs inside a component cannot
+       change it, so the outcome is that of testing all pairs of each bucket.
 
     Cases: NULL and word-less texts have no shingles and are linked with
     nothing (component_id is their own doc_id). Texts of fewer than ``size``
@@ -275,19 +332,45 @@ def keep_one_per_group(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
     the least doc_id (NULL last), of equal rows one. Documents without words
     all stay."""
     found = stage_table(_grouped(docs, percent, size), "groups")
+    key = free_name(docs, "_lx_tk")
     lead = (found.where("fp is not null").groupBy("comp")
             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tk"))["tk"]
-                 .alias("_lx_tk")).select("_lx_tk"))
-    empty = found.where("fp is null").select(F.col("tk").alias("_lx_tk")).distinct()
-    keyed = docs.withColumn("_lx_tk", row_key("doc_id", "text"))
-    kept = keyed.join(lead, "_lx_tk", "left_semi")
+                 .alias(key)).select(key))
+    empty = found.where("fp is null").select(F.col("tk").alias(key)).distinct()
+    keyed = docs.withColumn(key, row_key("doc_id", "text"))
+    kept = keyed.join(lead, key, "left_semi")
     again = found.where("fp is not null").groupBy("tk").count().where("count > 1")
     if again.limit(1).count():  # only then is the shuffle of whole rows needed
-        kept = kept.dropDuplicates(["_lx_tk"])
-    return kept.unionByName(keyed.join(empty, "_lx_tk", "left_semi")).select(*docs.columns)
+        kept = kept.dropDuplicates([key])
+    return kept.unionByName(keyed.join(empty, key, "left_semi")).select(*columns_of(docs))
 
 
 def op3_near_dedup(spark, sf_dir: str) -> DataFrame:
-    from ludex.llm.common import read_table
-
     return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+OP3_SQL = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s:s + least(len(w), 5) - 1], ' ') AS h
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS s
+        FROM doc WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+both_ AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM sh a JOIN sh b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM both_ JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * k >= 85 * (x.n + y.n - k)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (
+  SELECT a AS node, a AS seen FROM edge
+  UNION SELECT node, b FROM reach JOIN edge ON seen = a),
+comp AS (SELECT node, min(seen) AS c FROM reach GROUP BY node)
+SELECT doc.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c, doc.doc_id) AS component_id,
+       doc.doc_id = coalesce(c, doc.doc_id) AS kept
+FROM doc LEFT JOIN n USING (doc_id) LEFT JOIN comp ON node = doc.doc_id
+"""
