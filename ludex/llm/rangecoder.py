@@ -22,9 +22,9 @@ import zlib
 
 import numpy as np
 
-BLOCK = 2048
+BLOCK = 1024
 # Lanes coded at once (blocks); bounds a worker's memory.
-LANES = 1536
+LANES = 2048
 ID_BITS = 20
 
 _U, _V = np.uint64, np.uint32
@@ -32,7 +32,7 @@ _PROB = 12
 _TOTAL = 1 << _PROB
 _LOW = _U(1 << 31)
 _WORD = _U(1 << 32)
-_TABLE_BITS = 12
+_TABLE_BITS = 10
 _SHIFT = _V(32 - _TABLE_BITS)
 _K1, _K2 = _V(0x9E3779B1), _V(0x85EBCA77)
 # Contexts: both confidences (0 to 3) and whether the predictions agree; the
