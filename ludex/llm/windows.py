@@ -127,11 +127,11 @@ def _window_rows(window: int, gram: int):
                 starts.append(at)
             sizes = [len(s) for s in starts]
             yield pa.RecordBatch.from_arrays(
-                [chunk.column("rk"), chunk.column("text"),
+                [chunk.column("row"), chunk.column("rk"), chunk.column("text"),
                  list_array(np.concatenate(found).view(np.int64), sizes, pa.int64()),
-                 list_array(np.concatenate(extra).view(np.int32), sizes, pa.int32()),
-                 list_array(np.concatenate(starts).astype(np.int32), sizes, pa.int32())],
-                names=["rk", "text", "hashes", "extra", "starts"])
+                 list_array((np.concatenate(extra).astype(np.int64) << 32)
+                            | np.concatenate(starts), sizes, pa.int64())],
+                names=["row", "rk", "text", "hashes", "places"])
 
     return run
 
@@ -182,17 +182,22 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
     repeated = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     wanted = (grams.join(repeated.select("gram"), "gram")
               .groupBy("rk").agg(F.collect_set("gram").alias("grams")))
-    found = stage_table(docs.join(wanted, "rk").select("rk", "text", "grams").mapInArrow(
-        _window_rows(window, gram), "rk binary, text string, hashes array<bigint>, "
-        "extra array<int>, starts array<int>"), "windows")
-    places = found.select("rk", F.explode(F.arrays_zip("hashes", "extra", "starts")).alias("w"))
-    places = places.select("rk", F.col("w.hashes").alias("hash"), F.col("w.extra").alias("extra"),
-                           F.col("w.starts").alias("start"))
-    twice = (places.groupBy("hash", "extra").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-             .select("hash", "extra"))
-    starts = (places.join(twice, ["hash", "extra"]).groupBy("rk")
-              .agg(F.collect_set("start").alias("starts")))
-    changed = (found.select("rk", "text").join(starts, "rk")
+    # Rows are numbered as they are written; a place is 32 more bits of the
+    # window's hash and the start, in one number, to keep the counted rows short.
+    held = docs.join(wanted, "rk").select(F.monotonically_increasing_id().alias("row"), "rk",
+                                          "text", "grams")
+    found = stage_table(held.mapInArrow(
+        _window_rows(window, gram), "row bigint, rk binary, text string, hashes array<bigint>, "
+        "places array<bigint>"), "windows")
+    places = found.select("row", F.explode(F.arrays_zip("hashes", "places")).alias("w"))
+    places = places.select("row", F.col("w.hashes").alias("hash"), F.col("w.places").alias("place"))
+    extra = F.shiftright("place", 32)
+    twice = (places.groupBy("hash", extra.alias("extra")).agg(F.count(F.lit(1)).alias("n"))
+             .where("n > 1").select(F.col("hash").alias("h"), "extra"))
+    starts = (places.join(twice, (F.col("hash") == F.col("h")) & (extra == F.col("extra")))
+              .groupBy("row").agg(F.collect_set(F.col("place").bitwiseAND(0xFFFFFFFF).cast("int"))
+                                  .alias("starts")))
+    changed = (found.select("row", "rk", "text").join(starts, "row").select("rk", "text", "starts")
                .mapInArrow(_removal(window, with_text),
                            "rk binary, n_removed bigint, sha_kept string, kept_text string, "
                            "spans array<int>").dropDuplicates(["rk"]))
