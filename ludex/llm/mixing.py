@@ -29,12 +29,12 @@ from ludex.session import stage_table
 # Labelled documents used to fit the classifier, at most about (a hash of the
 # id picks them), and the size of its feature space.
 MAX_LABELLED = 20_000
-FEATURES = 1 << 15
+FEATURES = 1 << 13
 # Target shares of the tokens by domain, out of a total of BUDGET times those
 # of the corpus. Domains that are not named share what is left by their size.
 TARGETS = {"good": 0.92, "good_toxic": 0.02, "bad": 0.05, "bad_toxic": 0.01}
 BUDGET = 1.0
-STEPS, TOLERANCE = 60, 1e-4
+STEPS, KEEP_STEPS, TOLERANCE = 48, 8, 2e-4
 
 # Fixed values.
 SPACES = "\t\n\x0b\x0c\r "
@@ -126,24 +126,33 @@ def target_shares(domains: list[str], sizes: list[float],
 
 
 def fit_rates(post: DataFrame, domains: list[str], targets: dict[str, float] | None = None,
-              budget: float = BUDGET, steps: int = STEPS) -> tuple[Column, list[float]]:
-    """(the rate of a row of ``post`` as an expression over p0, p1, ..., the
-    expected domain totals it gives, as shares of the corpus' tokens).
+              budget: float = BUDGET, steps: int = STEPS) -> tuple[DataFrame, list[float]]:
+    """(``post`` with the fitted ``rate`` of each row, the expected domain totals
+    it gives, as shares of the corpus' tokens).
 
     Minimises 1/2 sum_d w_d (T_d / N - target_d)^2 over r >= 0 with w_d the
     inverse of the domain's share, in the metric in which a document counts by
     its tokens. The gradient of a document then is sum_d w_d e_d P(d | i), the
-    Hessian's largest eigenvalue is 1, and a step of length 1 is safe."""
+    Hessian's largest eigenvalue is 1, and a step of length 1 is safe. The
+    rates are written every ``KEEP_STEPS`` steps; between, the steps taken are
+    an array in the plan (data, not code: every step runs the same plan)."""
     p = [F.col(f"p{i}") for i in range(len(domains))]
-
-    def totals(rate: Column) -> tuple[list[float], float]:
-        row = post.agg(F.sum("n_tokens"),
-                       *[F.sum(F.col("n_tokens") * rate * x) for x in p]).first()
+    rated, slopes = post.withColumn("rate", F.lit(1.0)), []
+
+    def stepped() -> DataFrame:
+        if not slopes:
+            return rated
+        rows = F.array(*[F.array(*map(F.lit, s)) for s in slopes])
+        return rated.withColumn("rate", F.aggregate(rows, F.col("rate"), lambda r, s: F.greatest(
+            F.lit(0.0), r - sum((s[i] * x for i, x in enumerate(p)), F.lit(0.0)))))
+
+    def totals() -> tuple[list[float], float]:
+        row = stepped().agg(F.sum("n_tokens"),
+                            *[F.sum(F.col("n_tokens") * F.col("rate") * x) for x in p]).first()
         n = float(row[0] or 0)
         return [float(x or 0.0) / n if n else 0.0 for x in row[1:]], n
 
-    rate = F.lit(1.0)
-    sizes, n = totals(rate)
+    sizes, n = totals()
     goal = [budget * t for t in target_shares(
         domains, sizes, TARGETS if targets is None else targets)]
     now = sizes
@@ -151,11 +160,11 @@ def fit_rates(post: DataFrame, domains: list[str], targets: dict[str, float] | N
         error = [a - b for a, b in zip(now, goal, strict=True)]
         if max(map(abs, error)) < TOLERANCE:
             break
-        slope = [e / s if s > 1e-9 else 0.0 for e, s in zip(error, sizes, strict=True)]
-        rate = F.greatest(F.lit(0.0), rate - sum(
-            (F.lit(c) * x for c, x in zip(slope, p, strict=True)), F.lit(0.0)))
-        now, _ = totals(rate)
-    return rate, now
+        slopes.append([e / s if s > 1e-9 else 0.0 for e, s in zip(error, sizes, strict=True)])
+        now, _ = totals()
+        if len(slopes) == KEEP_STEPS:
+            rated, slopes = stage_table(stepped(), "rates"), []
+    return stepped(), now
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None,
@@ -171,14 +180,13 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     all documents are of one domain. Equal rows have one rate, each. Other
     columns are ignored. An empty table gives an empty table."""
     post, domains = posteriors(docs, labels, max_labelled)
-    rate, _ = fit_rates(post, domains, targets, budget)
+    rated, _ = fit_rates(post, domains, targets, budget)
     best = F.greatest(*[F.col(f"p{i}") for i in range(len(domains))]) if len(domains) > 1 \
         else F.col("p0")
     domain = F.lit(domains[0])
     for i, name in enumerate(domains[1:], 1):
         domain = F.when(F.col(f"p{i}") == best, name).otherwise(domain)
     chance = F.pmod(F.xxhash64("rk"), F.lit(1 << 30)) / float(1 << 30)
-    rated = post.withColumn("rate", rate)
     return rated.select(
         "doc_id", "rk", "n_tokens", domain.alias("domain"), best.alias("p_domain"), "rate",
         (F.floor("rate") + F.when(chance < F.col("rate") - F.floor("rate"), 1).otherwise(0))
