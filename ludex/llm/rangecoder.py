@@ -24,7 +24,7 @@ import numpy as np
 
 BLOCK = 1024
 # Lanes coded at once (blocks); bounds a worker's memory.
-LANES = 2048
+LANES = 1024
 ID_BITS = 20
 
 _U, _V = np.uint64, np.uint32

@@ -12,6 +12,7 @@ files of committed tasks appear, in any file system.
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 import zlib
@@ -28,26 +29,33 @@ from ludex.llm.rangecoder import BLOCK, checksum, decode_blocks, encode_blocks
 from ludex.operators.ranged import PART, part_offsets
 from ludex.session import shared_path, shuffle_partitions
 
-FRAME_TOKENS = 2 << 20
+FRAME_TOKENS = 1 << 20
 END_ID = 2
 MAGIC = b"LXT1"
 # Entries of a worker's table of words and their ids.
-WORD_CACHE = 600_000
+WORD_CACHE = 300_000
 
-# A space next to other white space or at an end of the text.
+# White space next to white space, or a space at an end of the text.
 _BLANK = r"[\s\x1c-\x1f\x85\u180e\u200b\ufeff]"
-_ODD_SPACE = re.compile(f"{_BLANK} | {_BLANK}|^ | $|\x00")
+_ANY_BLANK = re.compile(_BLANK)
+_ODD_SPACE = re.compile(f"{_BLANK}{_BLANK}|^ | $|\x00")
+# Marks cut off the end of a part that is not known yet (no apostrophe: it may
+# start a contraction).
+_TAIL = ".,;:!?|$%&*#)"
 
 
 class Encoder:
     """The ids of whole texts, as of ``tokenizer.encode``.
 
-    A byte-level vocabulary whose pre-tokenizer starts a new piece at a single
-    space between other characters codes the parts between such spaces
-    independently, so their ids can be kept by part and looked up. A text in
-    which a space touches other white space is encoded whole."""
+    The pre-tokenizer of a byte-level vocabulary starts a new piece at a single
+    space or line break between other characters, and between a letter or digit
+    and a mark. The parts between such places are coded independently, so their
+    ids can be kept by part and looked up. A text in which white space touches
+    white space is encoded whole."""
 
     def __init__(self, path: str):
+        # Tasks run side by side already; threads would only cost memory.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -56,25 +64,54 @@ class Encoder:
             split = json.load(f).get("pre_tokenizer") or {}
         self.by_part = (split.get("type") == "ByteLevel" and split.get("use_regex", True)
                         and not split.get("add_prefix_space"))
+        (self.line_break,) = self.tokenizer.encode("\n").ids if self.by_part else (None,)
         self.parts: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _encode_lines(self, parts: list[str]) -> list[bytes]:
+        """The ids of parts without white space (but a space in front): they are
+        encoded as lines of one text, as a line break is a piece of its own."""
+        (found,) = self.tokenizer.encode_batch_fast(["\n".join(parts)], add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        breaks = (np.flatnonzero(ids == self.line_break) * 4).tolist()
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *(b + 4 for b in breaks)], [*breaks, len(raw)],
+                                         strict=True)]
+
+    def _learn(self, new: set[str]) -> None:
+        """Add the ids of parts."""
+        known = self.parts
+        split = {}
+        for part in new:
+            stem = part.rstrip(_TAIL)
+            if 0 < len(stem) < len(part) and stem[-1].isalnum():
+                split[part] = stem, part[len(stem):]
+        pieces = (new - split.keys()).union(*split.values()) if split else new
+        fresh = [p for p in pieces if p not in known]
+        plain = [p for p in fresh if (w := p.removeprefix(" ")).isalnum()
+                 or w and not _ANY_BLANK.search(w)]
+        for at in range(0, len(plain), 4096):
+            some = plain[at: at + 4096]
+            known.update(zip(some, self._encode_lines(some), strict=True))
+        rest = [p for p in fresh if p not in known]
+        known.update(zip(rest, self._encode(rest), strict=True))
+        for part, (stem, tail) in split.items():
+            known[part] = known[stem] + known[tail]
+
     def encode(self, texts: list[str], end_id: int) -> list[np.ndarray]:
         """The ids of each text, with ``end_id`` at its end."""
         cut: list[list[str] | None] = []
         for text in texts:
             odd = not self.by_part or _ODD_SPACE.search(text)
-            cut.append(None if odd else text.replace(" ", "\x00 ").split("\x00"))
+            cut.append(None if odd else
+                       text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00"))
         known = self.parts
         if len(known) > WORD_CACHE:
             known.clear()
-        new = list({p for parts in cut if parts for p in parts if p not in known})
-        for at in range(0, len(new), 4096):
-            some = new[at: at + 4096]
-            known.update(zip(some, self._encode(some), strict=True))
+        self._learn({p for parts in cut if parts for p in parts if p not in known})
         whole = iter(self._encode([t for t, parts in zip(texts, cut, strict=True)
                                    if parts is None]))
         end = struct.pack("<I", end_id)
@@ -83,6 +120,17 @@ class Encoder:
                               "<u4") for parts in cut]
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """One encoder per worker process, so that a task finds the parts that
+    earlier ones have learnt."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def pack_frame(docs: list[tuple[int | None, np.ndarray]]) -> dict:
     """A frame row of documents (doc_id, ids)."""
     ids = np.concatenate([d[1] for d in docs]).astype(np.uint32)
@@ -127,7 +175,7 @@ _FRAME_SQL = ("part int, frame bigint, first_doc bigint, last_doc bigint, n_toke
 
 def _frames(tokenizer: str, end_id: int, frame_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         held: list[tuple[int | None, np.ndarray]] = []
         size, part, number = 0, TaskContext.get().partitionId(), 0
 
