@@ -30,9 +30,9 @@ from ludex.session import stage_table
 # id picks them), and the size of its feature space.
 MAX_LABELLED = 20_000
 FEATURES = 1 << 13
-# Target shares of the tokens by domain, out of a total of BUDGET times those
-# of the corpus. Domains that are not named share what is left by their size.
-TARGETS = {"good": 0.92, "good_toxic": 0.02, "bad": 0.05, "bad_toxic": 0.01}
+# Target weight of each domain as a multiple of its own share (then scaled to
+# add up to 1), and the total as a multiple of the corpus' tokens.
+MULTIPLES = {"good": 1.0, "good_toxic": 0.4, "bad": 0.4, "bad_toxic": 0.2}
 BUDGET = 1.0
 STEPS, KEEP_STEPS, TOLERANCE = 48, 8, 2e-4
 
@@ -113,15 +113,18 @@ def posteriors(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABEL
 
 
 def target_shares(domains: list[str], sizes: list[float],
-                  targets: dict[str, float]) -> list[float]:
-    """Target share of each domain; they add up to 1. Unnamed domains share
-    what the named ones leave, by size; targets of absent domains fall away."""
-    named = sum(targets.get(d, 0.0) for d in domains)
-    free = sum(s for d, s in zip(domains, sizes, strict=True) if d not in targets)
-    left = max(0.0, 1.0 - sum(targets.values()))
-    raw = [targets[d] if d in targets else (left * s / free if free else 0.0)
-           for d, s in zip(domains, sizes, strict=True)]
-    total = sum(raw) if named or free else 0.0
+                  targets: dict[str, float] | None) -> list[float]:
+    """Target share of each domain; they add up to 1. ``targets`` are shares:
+    unnamed domains share what the named ones leave, by size; targets of absent
+    domains fall away. None: the multiples of ``MULTIPLES``."""
+    if targets is None:
+        raw = [s * MULTIPLES.get(d, 1.0) for d, s in zip(domains, sizes, strict=True)]
+    else:
+        free = sum(s for d, s in zip(domains, sizes, strict=True) if d not in targets)
+        left = max(0.0, 1.0 - sum(targets.values()))
+        raw = [targets[d] if d in targets else (left * s / free if free else 0.0)
+               for d, s in zip(domains, sizes, strict=True)]
+    total = sum(raw)
     return [x / total for x in raw] if total else [1.0 / len(domains)] * len(domains)
 
 
@@ -153,8 +156,7 @@ def fit_rates(post: DataFrame, domains: list[str], targets: dict[str, float] | N
         return [float(x or 0.0) / n if n else 0.0 for x in row[1:]], n
 
     sizes, n = totals()
-    goal = [budget * t for t in target_shares(
-        domains, sizes, TARGETS if targets is None else targets)]
+    goal = [budget * t for t in target_shares(domains, sizes, targets)]
     now = sizes
     for _ in range(steps if n else 0):
         error = [a - b for a, b in zip(now, goal, strict=True)]
