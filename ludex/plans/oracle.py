@@ -240,10 +240,10 @@ FROM dlog d, bounds b GROUP BY b.q1, b.median, b.q3"""
         q[name] = with_(LOG, lagged("log", "lg")) + \
             f"SELECT event_id, user_id, item, behaviour, prev, weight FROM lg WHERE {KEEP[prof]}"
     q["q18_item_mean"] = with_(LOG, lagged("log", "lg")) + f"""SELECT item,
-  {R('avg(hours)')} AS mean_hours,
+  {R('avg(hours)', 9)} AS mean_hours,
   count(*) AS n_rows FROM lg WHERE {KEEP['knn']} GROUP BY item"""
     q["q19_ratings"] = with_(LOG, RATED_KNN) + f"""SELECT event_id, user_id, item, behaviour, hours, weight,
-  {R('mean_hours')} AS mean_hours, rating FROM rknn"""
+  {R('mean_hours', 9)} AS mean_hours, rating FROM rknn"""
     q["q20_rating_histogram"] = with_(LOG, RATED_ALS) + \
         "SELECT rating, count(*) AS n FROM rals GROUP BY rating"
     q["q21_correlation"] = _corr()
