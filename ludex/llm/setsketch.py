@@ -185,11 +185,11 @@ def _confirm(pairs: DataFrame, members: DataFrame, sets: DataFrame, percent: int
 
 def _block_links(percent: int):
     def run(table: pa.Table) -> pa.Table:
-        """Links between nodes of different components of two blocks, one for
-        each pair of components that they join."""
+        """The pairs of components that links between nodes of two blocks
+        join (as many as it takes to connect them)."""
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         block = table.column("block").to_numpy()
-        fps, comps = table.column("fp").to_pylist(), table.column("comp").to_pylist()
+        comps = table.column("comp").to_pylist()
         sets = [x.values.to_numpy() for x in table.column("shingles")]
         left, right = np.flatnonzero(block == i).tolist(), np.flatnonzero(block == j).tolist()
         sizes = np.array([len(sets[r]) for r in right])
@@ -215,19 +215,19 @@ def _block_links(percent: int):
                 one, two = top(comps[x]), top(comps[y])
                 if one != two:
                     lead[one] = two
-                    a.append(min(fps[x], fps[y]))
-                    b.append(max(fps[x], fps[y]))
+                    a.append(min(comps[x], comps[y]))
+                    b.append(max(comps[x], comps[y]))
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return run
 
 
 def _across(open_: DataFrame, members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between different components (``comp``) of the nodes that share a
+    """Pairs (a, b) of components (``comp``) joined by links of nodes that share a
     bucket of ``open_`` (band, fp, comp, hub). Nodes connected through buckets
     are a family; a family is cut into blocks of about ``BLOCK_SHINGLES``
     shingles, and each pair of its blocks is compared on full sets in a task
-    of its own, which puts out links only."""
+    of its own, which puts out pairs of components only."""
     ties = open_.where("fp <> hub").select(F.col("fp").alias("a"), F.col("hub").alias("b"))
     family = connected_components(ties.distinct())
     nodes = (open_.select("fp", "comp").distinct()
@@ -239,7 +239,7 @@ def _across(open_: DataFrame, members: DataFrame, sets: DataFrame, percent: int)
         "block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")), "nodes")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     pairs = (nodes.select("fp", "comp", "family", "block", other.alias("other")).join(sets, "fp")
-             .select("fp", "comp", "family", "block", F.least("block", "other").alias("i"),
+             .select("comp", "family", "block", F.least("block", "other").alias("i"),
                      F.greatest("block", "other").alias("j"), "shingles"))
     return stage_table(pairs.groupBy("family", "i", "j").applyInArrow(
         _block_links(percent), "a binary, b binary").distinct(), "links")
@@ -270,7 +270,9 @@ def _grouped(docs: DataFrame, percent: int, size: int) -> DataFrame:
     weighed = buckets.select("band", "fp").join(members.select("fp", "weight"), "fp")
     hubs = (weighed.groupBy("band").agg(
         F.max(F.struct("weight", "fp"))["fp"].alias("centre"),
-        F.min(F.struct(F.xxhash64("fp", "band").alias("h"), "fp"))["fp"].alias("other")))
+        F.min(F.struct(F.xxhash64("fp", "band").alias("h"), "fp"))["fp"].alias("other"))
+        .withColumn("other", F.when(F.pmod("band", F.lit(4)) == 0, F.col("other"))
+                    .otherwise(F.col("centre"))))
     stars = (buckets.join(hubs, "band")
              .select("fp", F.explode(F.array("centre", "other")).alias("hub"))
              .where("fp <> hub")
@@ -287,11 +289,13 @@ def _grouped(docs: DataFrame, percent: int, size: int) -> DataFrame:
                                       F.min("hub").alias("hub")).where("parts > 1")
     open_ = stage_table(placed.join(mixed.select("band", "hub"), "band"), "open")
     more = _across(open_, members, sets, percent)
-    comps = connected_components(links.unionByName(more).distinct())
+    joined = connected_components(more)
 
     # Least doc_id of each component, back to the documents by set id.
-    of_node = nodes.select("fp", "low").join(comps.withColumnRenamed("node", "fp"), "fp", "left")
-    of_node = of_node.select("fp", "low", F.coalesce("comp", "fp").alias("comp"))
+    of_node = nodes.select("fp", "low").join(first.withColumnRenamed("node", "fp"), "fp", "left")
+    of_node = (of_node.select("fp", "low", F.coalesce("comp", "fp").alias("node"))
+               .join(joined, "node", "left")
+               .select("fp", "low", F.coalesce("comp", "node").alias("comp")))
     least = of_node.groupBy("comp").agg(F.min("low").alias("least"))
     ids = of_node.join(least, "comp").select("fp", "comp", "least")
     return sketched.select("doc_id", "tk", "n", "fp").join(ids, "fp", "left")
@@ -308,7 +312,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     2. The bands of the nodes' sketches are grouped; nodes sharing a band
        are candidates. In each bucket the nodes are paired with two of its
        members only: the one whose bands meet the most nodes over all bands
-       (the likely original) and a pseudo-random one. Links confirmed on full
+       (the likely original) and, in a quarter of the buckets, a
+       pseudo-random one. Links confirmed on full
        sets make first components.
     3. The nodes of buckets that still hold several components are compared
        on full sets, in pairs of blocks of bounded size; only links between
