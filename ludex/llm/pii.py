@@ -8,9 +8,9 @@ them away. Over the whole corpus, with document frequencies,
     PMI(c;t) = log2 p(c, t) / p(c) p(t)  what term t tells about it
 
 a term discloses the entity to the degree PMI / IC = 1 + log2 p(c | t) / IC(c):
-1 when the term occurs with that entity only. Terms near a mention that exceed
-the disclosure threshold, and that are backed by enough documents, become
-spans too. They are generalised to their class (number, name, word) where the
+1 when the term occurs with that entity only. In every document that names the
+entity, all occurrences of the terms that exceed the disclosure threshold, and
+that are backed by enough documents, become spans too. They are generalised to their class (number, name, word) where the
 class does not exceed the threshold itself, and removed otherwise.
 """
 
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,13 +30,13 @@ from pyspark.sql import functions as F
 from ludex.llm.common import columns_of, free_name, read_table, row_key, text_chunks
 from ludex.session import stage_table
 
-# Terms considered on either side of a mention, and how far they may be.
-NEAR_WORDS, NEAR_CHARS = 8, 160
 # A term is a span from this degree of disclosure on, if the entity and the
 # term occur together in at least SUPPORT documents.
 THRESHOLD, SUPPORT = 0.85, 3
 # Bits of the filter of candidate terms: 1 MB, whatever the corpus.
 FILTER_BITS = 1 << 23
+# Terms a worker adds up before it puts them out.
+TERMS_HELD = 100_000
 
 # The kinds in their order, and their patterns. The lookbehind
 # of ip changes no match (a match inside a run of digits could start earlier).
@@ -102,48 +103,49 @@ def term_class(word: str) -> str:
     return "<name>" if word[0].isupper() else "<word>"
 
 
-def mentions(text: str, spans: list[tuple[int, int, str]],
-             near: int = NEAR_WORDS) -> list[tuple[str, str, str, int, int]]:
-    """(entity, term, class, start, end) of the words around each span."""
-    found = []
+def words_of(text: str, spans: list[tuple[int, int, str]]) -> dict[tuple[str, str], list]:
+    """(term, class) -> the (start, end) of its occurrences outside the spans,
+    for all words of the document."""
+    found: dict[tuple[str, str], list] = {}
     held = bytearray(len(text))
     for a, b, _ in spans:
         held[a:b] = b"\x01" * (b - a)
-    for span in spans:
-        a, b = span[0], span[1]
-        before = list(_WORD.finditer(text, max(0, a - NEAR_CHARS), a))
-        after = list(_WORD.finditer(text, b, min(len(text), b + NEAR_CHARS)))
-        # A word cut by the edge of the reach is not a word.
-        if before and before[0].start() and _WORD.match(text, before[0].start() - 1):
-            before = before[1:]
-        if after and after[-1].end() < len(text) and _WORD.match(text, after[-1].end()):
-            after = after[:-1]
-        for m in before[-near:] + after[:near]:
-            if not any(held[m.start():m.end()]):
-                found.append((_entity(text, span), m[0].lower(), term_class(m[0]),
-                              m.start(), m.end()))
+    for m in _WORD.finditer(text):
+        at = found.setdefault((m[0].lower(), term_class(m[0])), [])
+        if held.find(1, m.start(), m.end()) < 0:
+            at.append(m.span())
     return found
 
 
+def mentions(text: str,
+             spans: list[tuple[int, int, str]]) -> list[tuple[str, str, str, int, int]]:
+    """(entity, term, class, start, end) of the words outside the spans, for
+    each entity of the document."""
+    entities = dict.fromkeys(_entity(text, s) for s in spans)
+    return [(e, term, kind, a, b) for e in entities
+            for (term, kind), at in words_of(text, spans).items() for a, b in at]
+
+
 def span_text(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for start, end, kind in spans)
 
 
 _SPAN = pa.struct([("start", pa.int32()), ("order", pa.int32()), ("end", pa.int32()),
                    ("kind", pa.string())])
-_MENTION = pa.struct([("entity", pa.string()), ("term", pa.string()), ("class", pa.string()),
-                      ("start", pa.int32()), ("end", pa.int32())])
+_AT = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+_MET = pa.struct([("term", pa.string()), ("class", pa.string()), ("at", pa.list_(_AT))])
 
 
 def _base_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for chunk in text_chunks(batches, "text"):
-        spans, near, counts, digests = [], [], {k: [] for k in KINDS[:4]}, []
+        spans, entities, words, counts, digests = [], [], [], {k: [] for k in KINDS[:4]}, []
         for text in chunk.column("text").to_pylist():
             found = base_spans(text or "")
             spans.append([{"start": a, "order": KINDS.index(k), "end": b, "kind": k}
                           for a, b, k in found])
-            near.append([dict(zip(("entity", "term", "class", "start", "end"), m, strict=True))
-                         for m in mentions(text, found)] if found else [])
+            entities.append(sorted({_entity(text, s) for s in found}))
+            words.append([{"term": t, "class": c, "at": [{"start": a, "end": b} for a, b in at]}
+                          for (t, c), at in words_of(text, found).items()] if found else [])
             for kind, n in counts.items():
                 n.append(sum(s[2] == kind for s in found))
             digests.append(hashlib.sha256(span_text(found).encode()).hexdigest())
@@ -151,9 +153,9 @@ def _base_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [chunk.column("doc_id"), chunk.column("rk"),
              *[pa.array(counts[k], pa.int64()) for k in KINDS[:4]],
              pa.array(digests, pa.string()), pa.array(spans, pa.list_(_SPAN)),
-             pa.array(near, pa.list_(_MENTION))],
+             pa.array(entities, pa.list_(pa.string())), pa.array(words, pa.list_(_MET))],
             names=["doc_id", "rk", *[f"n_{k}" for k in KINDS[:4]], "base_sha256", "base",
-                   "mentions"])
+                   "entities", "words"])
 
 
 class _Candidates(dict):
@@ -171,18 +173,27 @@ class _Candidates(dict):
         return value
 
 
+def _counted(counts: Counter) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()),
+                                       pa.array(list(counts.values()), pa.int64())],
+                                      names=["term", "n"])
+
+
 def _term_rows(filter_):
+    """(term, documents) of the candidate terms, added up over TERMS_HELD terms
+    at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(np.frombuffer(filter_.value, np.uint8), bitorder="little")
-        candidates = _Candidates(bits)
+        candidates, counts = _Candidates(bits), Counter()
         for chunk in text_chunks(batches, "text"):
-            terms = []
             for text in chunk.column("text").to_pylist():
                 words = set(_WORD.findall(text or ""))
-                found = {low for w in words if candidates[low := w.lower()]}
-                terms.append([*found, *{term_class(w) for w in words}])
-            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.list_(pa.string()))],
-                                             names=["terms"])
+                counts.update({low for w in words if candidates[low := w.lower()]})
+                counts.update({term_class(w) for w in words})
+                if len(counts) >= TERMS_HELD:
+                    yield _counted(counts)
+                    counts.clear()
+        yield _counted(counts)
 
     return run
 
@@ -219,42 +230,43 @@ def find(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT)
     base = stage_table(docs.mapInArrow(
         _base_rows, f"doc_id {kind}, rk binary, " + ", ".join(f"n_{k} bigint" for k in KINDS[:4])
         + ", base_sha256 string, base array<struct<start:int,order:int,end:int,kind:string>>, "
-        "mentions array<struct<entity:string,term:string,class:string,start:int,end:int>>"),
+        "entities array<string>, "
+        "words array<struct<term:string,class:string,at:array<struct<start:int,end:int>>>>"),
         "base")
     total = base.count()
-    held = base.where("size(mentions) > 0")
-    pair = lambda m, term: F.struct(m["entity"].alias("entity"), term.alias("term"))
-    met = F.explode(F.array_distinct(F.concat(
-        F.transform("mentions", lambda m: pair(m, m["term"])),
-        F.transform("mentions", lambda m: pair(m, m["class"])))))
-    pairs = stage_table(held.select(met.alias("p")).groupBy("p.entity", "p.term")
-                        .agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= support),
-                        "pairs")
-    entities = (held.select(F.explode(F.array_distinct(F.transform(
-        "mentions", lambda m: m["entity"]))).alias("entity"))
-        .groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")))
+    held = base.where("size(entities) > 0")
+    terms_of = F.explode(F.array_distinct(F.concat("words.term", "words.class")))
+    pairs = stage_table(held.select(terms_of.alias("term"), "entities")
+                        .select(F.explode("entities").alias("entity"), "term")
+                        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both"))
+                        .where(F.col("both") >= support), "pairs")
+    entities = (held.select(F.explode("entities").alias("entity"))
+                .groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")))
     bits = _filter_of(pairs.select("term").where("term not like '<%'").distinct(), FILTER_BITS)
-    terms = (docs.select("text").mapInArrow(_term_rows(bits), "terms array<string>")
-             .select(F.explode("terms").alias("term"))
-             .groupBy("term").agg(F.count(F.lit(1)).alias("n_term")))
+    terms = (docs.select("text").mapInArrow(_term_rows(bits), "term string, n bigint")
+             .groupBy("term").agg(F.sum("n").alias("n_term")))
     ic = -F.log2(F.col("n_entity") / F.lit(float(max(total, 1))))
     degree = F.when(ic > 0, 1 + F.log2(F.col("both") / F.col("n_term")) / ic)
     told = stage_table(
         pairs.join(entities, "entity").join(terms, "term")
         .select("entity", "term", degree.alias("degree")).where(F.col("degree") >= threshold),
         "told")
-    near = held.select("rk", F.explode("mentions").alias("m")).select("rk", "m.*")
+    met = (held.select("rk", "entities", F.explode("words").alias("w")).where("size(w.at) > 0")
+           .select("rk", F.explode("entities").alias("entity"), "w.*"))
     classes = told.where("term like '<%'").select("entity", F.col("term").alias("class"),
                                                   F.lit(True).alias("class_tells"))
-    spans = (near.join(told.select("entity", "term"), ["entity", "term"])
+    spans = (met.join(told.select("entity", "term"), ["entity", "term"])
              .join(classes, ["entity", "class"], "left")
-             .groupBy("rk", "start", "end", "class")
-             .agg(F.max(F.coalesce("class_tells", F.lit(False))).alias("remove"))
+             .groupBy("rk", "term", "class")
+             .agg(F.max(F.coalesce("class_tells", F.lit(False))).alias("remove"),
+                  F.first("at").alias("at"))
+             .select("rk", "class", "remove", F.explode("at").alias("w"))
+             .select("rk", "class", "remove", "w.*")
              .groupBy("rk").agg(F.array_sort(F.collect_list(F.struct(
                  "start", F.lit(KINDS.index("term")).alias("order"), "end",
                  F.lit("term").alias("kind"),
                  F.when(F.col("remove"), "").otherwise(F.col("class")).alias("to")))).alias("t")))
-    return base.drop("mentions").join(spans, "rk", "left").withColumn(
+    return base.drop("entities", "words").join(spans, "rk", "left").withColumn(
         "terms", F.coalesce("t", F.array().cast(
             "array<struct<start:int,order:int,end:int,kind:string,to:string>>"))).drop("t")
 

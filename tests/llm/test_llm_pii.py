@@ -118,3 +118,15 @@ def test_edges(edge_docs, edge_rows, no_docs, spark, tmp_path):
     edge_docs.write.parquet(f"{tmp_path}/documents.parquet")
     got = pii.op9_pii(spark, str(tmp_path)).collect()
     assert len(got) == len(edge_rows) and {r["spans"] for r in got} == {""}
+
+
+def test_terms_far_from_a_mention(make_docs):
+    far = "Zorbian " + "pad " * 60 + "{} zq@corp.example " + "pad " * 60 + "zorbian"
+    data = [(i, far.format(f"Quux{i}")) for i in range(4)] + [(9, "pad zq@corp.example")]
+    data += [(100 + i, f"pad of filler {i}") for i in range(200)]
+    out = {r["doc_id"]: r for r in pii.sanitise(make_docs(data)).collect()}
+    assert all("orbian" not in out[i]["text"] for i in range(4))
+    spans, terms = brute(data)
+    got = {r["doc_id"]: [(t["start"], t["end"], t["to"]) for t in r["terms"]]
+           for r in pii.find(make_docs(data)).collect()}
+    assert got == {i: t for (i, _), t in zip(data, terms, strict=True)}
