@@ -8,15 +8,18 @@ them away. Over the whole corpus, with document frequencies,
     PMI(c;t) = log2 p(c, t) / p(c) p(t)  what term t tells about it
 
 a term discloses the entity to the degree PMI / IC = 1 + log2 p(c | t) / IC(c):
-1 when the term occurs with that entity only. In every document that names the
-entity, all occurrences of the terms that exceed the disclosure threshold, and
-that are backed by enough documents, become spans too. They are generalised to their class (number, name, word) where the
+1 when the term occurs with that entity only. p(c | t) is shrunken towards p(c)
+by a few documents' weight, so that less evidence gives a lower degree, but no
+pair is left out for its count. In every document that names the
+entity, all occurrences of the terms that exceed the disclosure threshold
+become spans too. They are generalised to their class (number, name, word) where the
 class does not exceed the threshold itself, and removed otherwise.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -30,8 +33,9 @@ from pyspark.sql import functions as F
 from ludex.llm.common import columns_of, free_name, read_table, row_key, text_chunks
 from ludex.session import stage_table
 
-# A term is a span from this degree of disclosure on, if the entity and the
-# term occur together in at least SUPPORT documents.
+# A term is a span from this degree of disclosure on; ln(SUPPORT) documents in
+# which the entity is as frequent as in the corpus are added to those of a term
+# (none for a support of 1).
 THRESHOLD, SUPPORT = 0.85, 3
 # Bits of the filter of candidate terms: 1 MB, whatever the corpus.
 FILTER_BITS = 1 << 23
@@ -238,15 +242,16 @@ def find(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT)
     terms_of = F.explode(F.array_distinct(F.concat("words.term", "words.class")))
     pairs = stage_table(held.select(terms_of.alias("term"), "entities")
                         .select(F.explode("entities").alias("entity"), "term")
-                        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both"))
-                        .where(F.col("both") >= support), "pairs")
+                        .groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")), "pairs")
     entities = (held.select(F.explode("entities").alias("entity"))
                 .groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity")))
     bits = _filter_of(pairs.select("term").where("term not like '<%'").distinct(), FILTER_BITS)
     terms = (docs.select("text").mapInArrow(_term_rows(bits), "term string, n bigint")
              .groupBy("term").agg(F.sum("n").alias("n_term")))
-    ic = -F.log2(F.col("n_entity") / F.lit(float(max(total, 1))))
-    degree = F.when(ic > 0, 1 + F.log2(F.col("both") / F.col("n_term")) / ic)
+    share = F.col("n_entity") / F.lit(float(max(total, 1)))
+    ic, doubt = -F.log2(share), math.log(support)
+    degree = F.when(ic > 0, 1 + F.log2((F.col("both") + doubt * share)
+                                       / (F.col("n_term") + doubt)) / ic)
     told = stage_table(
         pairs.join(entities, "entity").join(terms, "term")
         .select("entity", "term", degree.alias("degree")).where(F.col("degree") >= threshold),
