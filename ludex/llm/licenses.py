@@ -1,17 +1,22 @@
 """License scans by conditional compression.
 
-Candidate blocks of a document (lines that speak of licences, neighbouring ones
-joined) are compressed with zstandard twice: plainly, and with the wording of
-a template as raw dictionary. The less is left of a block given a template, the
-more of its wording comes from it. Templates are ranked by that size reduction;
-the first one in rank whose wording differs from the block by few words, none
-of them a word that tells licences apart, is confirmed, with the differences.
+Candidate blocks of a document (words that speak of licences, with as many words
+on either side as the longest template has) are compressed with zstandard
+twice: plainly, and with the wording of a template as raw dictionary. The less
+is left of a block given a template, the more of its wording comes from it.
+Templates are ranked by that size reduction; the first one in rank whose wording
+differs from the block by few words, none of them a word that tells licences
+apart, is confirmed, with the differences. Its words are taken out of the block
+and the rest is judged again, until no template is confirmed.
 """
 
 from __future__ import annotations
 
 import difflib
+import math
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,10 +29,14 @@ from ludex.llm.common import read_table, text_chunks
 # A template is confirmed when at most this share of its words is missing or
 # changed.
 MAX_DIFFERENCE = 0.15
-# Trigger lines at most this many lines apart make one block; longer lines and
-# blocks are cut (the rest makes further blocks).
+# Triggers at most this many lines and characters apart are one mention; longer
+# mentions are cut.
 JOIN_LINES, MAX_LINE, MAX_BLOCK = 3, 1200, 6000
+# A long block is judged in windows of this many reaches that overlap by one.
+WINDOW = 5
 LEVEL = 9
+# Stands for words that are no longer compared.
+TAKEN = "\x00"
 
 # Words that mark a candidate line (in lower case) ...
 TRIGGERS = ["licen", "copyright", "permission", "public domain", "spdx", "warrant",
@@ -93,36 +102,81 @@ TEMPLATES = [
 ]
 
 _WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
+# Numbers of list items: after the start, a mark or "and" / "or", before a blank.
+_ITEM = re.compile(r"(?:\A|[.:;]|[;,]\s*(?:and|or)\b)[\s*/#>;%-]*"
+                   r"(\(?[0-9]{1,2}[.)]|\(?[A-Za-z]\))(?=[ \t])")
+# Triggers; those of two words may be parted by a line break (and comment signs).
+_BREAK = r"(?: |[ \t\r]*\n[\s*/#>;%-]*)"
+_TRIGGER = re.compile("|".join(_BREAK.join(map(re.escape, t.split(" "))) for t in TRIGGERS),
+                      re.IGNORECASE | re.ASCII)
+_BROKEN = re.compile("|".join((_BREAK.join(map(re.escape, t.split(" ")))) for t in TRIGGERS
+                              if " " in t))
+
+
+def word_spans(text: str) -> list[tuple[str, int, int]]:
+    """(word in lower case, start, end), without the numbers of list items."""
+    items = {m.start(1) + m[1].startswith("(") for m in _ITEM.finditer(text)}
+    return [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text)
+            if m.start() not in items]
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return [w for w, _, _ in word_spans(text)]
 
 
 def _plain(text: str) -> bytes:
     return " ".join(words_of(text)).encode()
 
 
-def candidate_blocks(text: str) -> list[tuple[int, int, str]]:
-    """(first line, last line, text) of the blocks that speak of licences;
-    lines from 0, pieces of a very long line share its number."""
+def reach_of(templates: list[tuple[str, str]], max_difference: float = MAX_DIFFERENCE) -> int:
+    """Words of the longest template, with those that may be put in."""
+    longest = max((len(words_of(w)) for _, w in templates), default=0)
+    return math.ceil(longest * (1 + max_difference)) + 1
+
+
+def _speaks(text: str) -> bool:
     low = text.lower()
-    if not any(t in low for t in TRIGGERS):
+    return any(t in low for t in TRIGGERS) or bool(_BROKEN.search(low))
+
+
+def _mentions(text: str, words: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
+    """(first, last word) of the triggers of each mention."""
+    if not words:
         return []
-    pieces = [(i, line[a:a + MAX_LINE]) for i, line in enumerate(text.split("\n"))
-              for a in range(0, max(len(line), 1), MAX_LINE)]
-    marked = [k for k, (_, piece) in enumerate(pieces)
-              if any(t in (p := piece.lower()) for t in TRIGGERS) and p]
+    starts = [a for _, a, _ in words]
+    found: list[list[int]] = []
+    for m in _TRIGGER.finditer(text):
+        a, b = (max(0, bisect_right(starts, at) - 1) for at in (m.start(), m.end() - 1))
+        last = found[-1] if found else None
+        if last and m.start() - last[3] <= MAX_LINE and m.end() - last[2] <= MAX_BLOCK and \
+                text.count("\n", last[3], m.start()) <= JOIN_LINES:
+            last[1], last[3] = max(last[1], b), m.end()
+        else:
+            found.append([a, b, m.start(), m.end()])
+    return [(a, b) for a, b, _, _ in found]
+
+
+def _blocks(mentions: list[tuple[int, int]], n: int, reach: int) -> list[tuple[int, int]]:
+    """(first, end word) of the blocks: mentions with their reach, joined where
+    they overlap."""
     blocks: list[list[int]] = []
-    for k in marked:
-        last = blocks[-1] if blocks else None
-        if last and k - last[1] <= JOIN_LINES and \
-                sum(len(p) for _, p in pieces[last[0]:k + 1]) <= MAX_BLOCK:
-            last[1] = k
+    for a, b in mentions:
+        a, b = max(0, a - reach), min(n, b + 1 + reach)
+        if blocks and a <= blocks[-1][1]:
+            blocks[-1][1] = max(b, blocks[-1][1])
         else:
-            blocks.append([k, k])
-    return [(pieces[a][0], pieces[b][0], "\n".join(p for _, p in pieces[a:b + 1]))
-            for a, b in blocks]
+            blocks.append([a, b])
+    return [(a, b) for a, b in blocks]
+
+
+def candidate_blocks(text: str, reach: int | None = None) -> list[tuple[int, int, str]]:
+    """(first line, last line, text) of the blocks that speak of licences, with
+    ``reach`` words on either side; lines from 0."""
+    reach = reach_of(TEMPLATES) if reach is None else reach
+    words = word_spans(text) if _speaks(text) else []
+    ends = [(words[a][1], words[b - 1][2]) for a, b in
+            _blocks(_mentions(text, words), len(words), reach)]
+    return [(text.count("\n", 0, a), text.count("\n", 0, b), text[a:b]) for a, b in ends]
 
 
 class Scanner:
@@ -134,56 +188,121 @@ class Scanner:
         options = {"level": LEVEL, "write_content_size": False, "write_checksum": False}
         self.alone = zstandard.ZstdCompressor(**options)
         self.templates = []
-        for name, wording in TEMPLATES if templates is None else templates:
+        templates = TEMPLATES if templates is None else templates
+        self.reach = reach_of(templates, max_difference)
+        for name, wording in templates:
             data = zstandard.ZstdCompressionDict(_plain(wording) + b" ",
                                                  dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self.templates.append((name, words_of(wording),
                                    zstandard.ZstdCompressor(dict_data=data, **options)))
+        self.bags = [Counter(wording) for _, wording, _ in self.templates]
         self.seen: dict[str, tuple] = {}
 
-    def reductions(self, block: str) -> list[tuple[float, int]]:
+    def reductions(self, words: list[str]) -> list[tuple[float, int]]:
         """(share of the compressed size saved, template number), best first;
         ties by template order."""
-        plain = _plain(block)
+        plain = " ".join(words).encode()
         alone = len(self.alone.compress(plain))
         return sorted(((1 - len(c.compress(plain)) / alone, i)
                        for i, (_, _, c) in enumerate(self.templates)),
                       key=lambda g: (-g[0], g[1]))
 
-    def differences(self, template: int, block: list[str]) -> tuple[int, list[str]]:
-        """(template words missing or changed, the differences as -old+new),
-        for the best alignment; text around the wording does not count."""
+    def differences(self, template: int,
+                    block: list[str]) -> tuple[int, list[str], int, int]:
+        """(template words missing or changed, the differences as -old+new,
+        first and end word that are equal) for the best alignment; text around
+        the wording does not count."""
         wording = self.templates[template][1]
         matcher = difflib.SequenceMatcher(None, wording, block, autojunk=False)
-        codes = [c for c in matcher.get_opcodes() if c[0] != "equal"]
-        lost, notes = 0, []
-        for kind, a, b, c, d in codes:
+        lost, notes, equal = 0, [], []
+        for kind, a, b, c, d in matcher.get_opcodes():
+            if kind == "equal":
+                equal += [c, d]
+                continue
             if kind == "insert" and (a == 0 or a == len(wording)):
                 continue
-            inner = block[c:d] if 0 < a and b < len(wording) else block[c:d][: b - a]
+            inner = block[c:d] if 0 < a and b < len(wording) else \
+                block[c:d][: b - a] if a else block[max(c, d - b + a):d]
             lost += max(b - a, len(inner) if kind == "insert" else 0)
             notes.append(f"-{' '.join(wording[a:b])}+{' '.join(inner)}")
-        return lost, notes
+        return lost, notes, *((equal[0], equal[-1]) if equal else (0, 0))
+
+    def aligned(self, template: int, block: list[str],
+                limit: int) -> tuple[int, int, list[str]] | None:
+        """(first, end word, differences) of a place of the block, first word
+        below ``limit``, that confirms the template. Places are tried from their
+        longest run of equal words, with the words that may belong to it."""
+        wording, bag = self.templates[template][1], self.bags[template]
+        may = self.max_difference * len(wording)
+        slack, left = math.ceil(may), list(block)
+        while len(wording) - (Counter(left) & bag).total() <= may:
+            run = difflib.SequenceMatcher(None, wording, left, autojunk=False).find_longest_match()
+            if not run.size:
+                return None
+            start = max(0, run.b - run.a - slack)
+            near = left[start:run.b + len(wording) - run.a + slack]
+            lost, notes, a, b = self.differences(template, near)
+            changed = {w for note in notes for w in re.split(r"[-+ ]", note)}
+            if b > a and start + a < limit and lost <= may and not (
+                    changed & TELLING or any(w[0].isdigit() for w in changed if w)):
+                return start + a, start + b, notes
+            left[run.b:run.b + run.size] = [TAKEN] * run.size
+        return None
+
+    def confirmed(self, block: list[str], limit: int) -> tuple | None:
+        """(first, end word, licence, reduction, rank, differences) of the first
+        template in rank that is confirmed."""
+        bag = Counter(block)
+        # A template with too few of its words in the block cannot be confirmed.
+        likely = {i for i, words in enumerate(self.bags)
+                  if words.total() - (bag & words).total()
+                  <= self.max_difference * words.total()}
+        for rank, (gain, i) in enumerate(self.reductions(block) if likely else [], 1):
+            place = self.aligned(i, block, limit) if i in likely else None
+            if place:
+                return *place[:2], self.templates[i][0], round(gain, 4), rank, place[2]
+        return None
 
     def judge(self, block: str) -> tuple[str, float, int, list[str]]:
         """(licence or 'unknown', reduction, rank of the winner, differences)."""
         if block in self.seen:
             return self.seen[block]
         words = words_of(block)
-        ranked = self.reductions(block) if words else []
-        found = ("unknown", round(ranked[0][0], 4) if ranked else 0.0, 0, [])
-        for rank, (gain, i) in enumerate(ranked, 1):
-            lost, notes = self.differences(i, words)
-            changed = {w for note in notes for w in re.split(r"[-+ ]", note)}
-            if lost <= self.max_difference * len(self.templates[i][1]) and not (
-                    changed & TELLING or any(w[0].isdigit() for w in changed if w)):
-                found = (self.templates[i][0], round(gain, 4), rank, notes)
-                break
+        place = self.confirmed(words, len(words)) if words else None
+        found = place[2:] if place else \
+            ("unknown", round(self.reductions(words)[0][0], 4) if words else 0.0, 0, [])
         if len(self.seen) >= 50_000:
             self.seen.clear()
         self.seen[block] = found
         return found
 
+    def scan(self, text: str) -> list[tuple[int, int, str, float, int, list[str]]]:
+        """(first line, last line, licence, reduction, rank, differences) of the
+        notices in a text, and of the mentions that no notice confirms."""
+        words = word_spans(text) if _speaks(text) else []
+        mentions = _mentions(text, words)
+        if not mentions:
+            return []
+        left, found = [w for w, _, _ in words], []
+        for first, end in _blocks(mentions, len(words), self.reach):
+            for at in range(first, max(first + 1, end - self.reach), (WINDOW - 1) * self.reach):
+                stop = min(end, at + WINDOW * self.reach)
+                # A place that starts in the overlap is whole in the next window.
+                limit = stop - at if stop == end else (WINDOW - 1) * self.reach
+                while place := self.confirmed(left[at:stop], limit):
+                    a, b = at + place[0], at + place[1]
+                    found.append((a, b, *place[2:]))
+                    left[a:b] = [TAKEN] * (b - a)
+        for a, b in mentions:
+            if not any(f[0] <= b and a < f[1] for f in found):
+                line = text.rfind("\n", 0, words[a][1]) + 1, text.find("\n", words[b][2])
+                block = text[max(line[0], words[a][1] - MAX_LINE):
+                             min(line[1] if line[1] >= 0 else len(text), words[b][2] + MAX_LINE)]
+                _, gain, _, _ = self.judge(block)
+                found.append((a, b + 1, "unknown", gain, 0, []))
+        return [(text.count("\n", 0, words[a][1]), text.count("\n", 0, words[b - 1][1]), *rest)
+                for a, b, *rest in sorted(found, key=lambda f: f[:2])]
+
 
 _FINDING = pa.struct([("license", pa.string()), ("first_line", pa.int32()),
                       ("last_line", pa.int32()), ("reduction", pa.float64()),
@@ -196,12 +315,9 @@ def _scan(templates, max_difference: float):
         for chunk in text_chunks(batches, "text"):
             rows = []
             for text in chunk.column("text").to_pylist():
-                found = []
-                for first, last, block in candidate_blocks(text or ""):
-                    name, gain, rank, notes = scanner.judge(block)
-                    found.append({"license": name, "first_line": first, "last_line": last,
-                                  "reduction": gain, "rank": rank, "differences": notes})
-                rows.append(found)
+                rows.append([dict(zip(_FINDING.names, f, strict=True)) for f in
+                             ((name, first, last, *rest)
+                              for first, last, name, *rest in scanner.scan(text or ""))])
             yield pa.RecordBatch.from_arrays(
                 [chunk.column("doc_id"), pa.array(rows, pa.list_(_FINDING))],
                 names=["doc_id", "findings"])
@@ -212,8 +328,8 @@ def _scan(templates, max_difference: float):
 def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None,
                  max_difference: float = MAX_DIFFERENCE) -> DataFrame:
     """``docs`` (doc_id, text) -> one row per document: doc_id and findings,
-    one for each candidate block in order: license (``unknown`` if no template
-    is confirmed), first_line, last_line, reduction (share of the compressed
+    one for each confirmed notice, and for each mention outside of them
+    (``unknown``), in order: license, first_line, last_line, reduction (share of the compressed
     size), rank of the winner, differences in wording. No shuffle.
 
     Cases: NULL and empty texts have no findings. Templates of one reduction

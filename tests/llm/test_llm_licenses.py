@@ -41,3 +41,30 @@ def test_fixture(spark, sf_small):
     for r in li.op1_license_scan(spark, sf_small).collect():
         want = {lines[x] for x in texts[r["doc_id"]].split("\n") if x in lines}
         assert set(filter(None, r["licenses"].split(","))) == want
+
+
+def wrapped(text, width, prefix=""):
+    import textwrap
+    return "\n".join(prefix + x for x in textwrap.wrap(text, width, break_on_hyphens=False,
+                                                       break_long_words=False))
+
+
+@pytest.mark.parametrize("name,wording", li.TEMPLATES)
+def test_wrapped_and_long_lines(name, wording):
+    scanner = li.Scanner()
+    prose = "some words of prose in which nothing is said about it "
+    for text in [wrapped(wording, w, p) for w in (12, 40, 72) for p in ("", " * ", "# ")]:
+        assert [f[2] for f in scanner.scan(f"{prose}.\n{text}\n{prose}")] == [name], text
+        assert name in [scanner.judge(b)[0] for *_, b in li.candidate_blocks(text)], text
+    for n in range(1200 - len(wording), 1203, 7):  # one line, notice around character 1200
+        assert [f[2] for f in scanner.scan((prose * 40)[:n] + ". " + wording)] == [name], n
+
+
+def test_list_numbers():
+    bsd = dict((n, w) for n, w in li.TEMPLATES if len(w) > 200)["BSD-2-Clause"]
+    a, b, c = bsd.replace("Redistributions", "\nRedistributions").split("\n")
+    text = "\n".join([wrapped(a, 72), "", wrapped("1. " + b, 72), wrapped("2. " + c, 72)])
+    first, last, name, *_ = li.Scanner().scan(text)[0]
+    assert (first, last, name) == (0, text.count("\n"), "BSD-2-Clause")
+    gpl = "This work is licensed under the GNU General Public License, version\n3. More prose."
+    assert [f[2] for f in li.Scanner().scan(gpl)] == ["GPL-3.0"]
