@@ -68,3 +68,13 @@ def test_list_numbers():
     assert (first, last, name) == (0, text.count("\n"), "BSD-2-Clause")
     gpl = "This work is licensed under the GNU General Public License, version\n3. More prose."
     assert [f[2] for f in li.Scanner().scan(gpl)] == ["GPL-3.0"]
+
+
+def test_several_notices_in_one_block():
+    two = ["Released under the MIT License.", "Licensed under CC BY-NC 4.0."]
+    for sep in ("\n", " ", " and words between them "):
+        found = li.Scanner().scan(sep.join(two))
+        assert [f[2] for f in found] == ["MIT", "CC-BY-NC-4.0"]
+    scanner = li.Scanner()
+    every = [f[2] for f in scanner.scan("\n".join(w for _, w in li.TEMPLATES))]
+    assert every == [n for n, _ in li.TEMPLATES]
