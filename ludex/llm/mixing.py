@@ -69,6 +69,30 @@ def _featured(docs: DataFrame, *keep: str) -> DataFrame:
                         F.concat("distinct", flags).alias("words"))
 
 
+def _quotas(held: dict[str, int], most: int) -> dict[str, int]:
+    """Rows to take of each domain, ``most`` in all: whole domains from the
+    smallest on, as long as they hold no more than an equal part of what is left."""
+    quotas, left = {}, most
+    for i, (domain, n) in enumerate(sorted(held.items(), key=lambda h: (h[1], h[0]))):
+        quotas[domain] = max(1, min(n, left // (len(held) - i)))
+        left = max(0, left - quotas[domain])
+    return quotas
+
+
+def _sampled(named: DataFrame, held: dict[str, int], most: int) -> DataFrame:
+    """At most about ``most`` rows of ``named`` (id, domain), by a hash of the
+    id; at least one of each domain."""
+    quotas, scale = _quotas(held, most), 1 << 40
+    at = F.pmod(F.xxhash64("id"), F.lit(scale))
+    share = F.lit(0).cast("bigint")
+    for domain, n in held.items():
+        share = F.when(F.col("domain") == domain, scale * quotas[domain] // n).otherwise(share)
+    # The row of the lowest hash of a domain is in it whatever the share.
+    first = (named.groupBy("domain").agg(F.min(F.struct(at.alias("at"), F.col("id"))).alias("f"))
+             .select("f.id", "domain"))
+    return named.where(at < share).unionByName(first.select("id", "domain")).distinct()
+
+
 def posteriors(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
                features: int = FEATURES) -> tuple[DataFrame, list[str]]:
     """One row per document: doc_id, rk, n_tokens and p0, p1, ... for the
@@ -77,11 +101,12 @@ def posteriors(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABEL
     named = (labels.where("doc_id is not null and quality is not null and toxic is not null")
              .groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("t"))
              .select(F.col("doc_id").alias("id"), domain_of(F.col("q"), F.col("t")).alias("domain")))
-    n = named.count()
-    scale = 1 << 24
-    share = min(scale, scale * max_labelled // max(n, 1))
-    sample = named.where(F.pmod(F.xxhash64("id"), F.lit(scale)) < share)
-    domains = [r[0] for r in sample.select("domain").distinct().sort("domain").collect()]
+    # All labels that name a document; equal ids are one label.
+    known_ids = docs.select(F.col("doc_id").alias("id")).where("id is not null").distinct()
+    named = stage_table(named.join(known_ids, "id", "left_semi"), "named")
+    held = {r["domain"]: r["count"] for r in named.groupBy("domain").count().collect()}
+    domains = sorted(held)
+    sample = _sampled(named, held, max_labelled)
     counted = _featured(docs, "doc_id", "rk")
     if len(domains) < 2:  # nothing to tell apart
         return (stage_table(counted.select("doc_id", "rk", "n_tokens", F.lit(1.0).alias("p0")),
@@ -93,16 +118,15 @@ def posteriors(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABEL
     known = _featured(labelled, "label")
     hashing = HashingTF(inputCol="words", outputCol="features", numFeatures=features, binary=True)
     train = stage_table(known, "labelled")
-    if train.select("label").distinct().count() < 2:
-        return (stage_table(counted.select("doc_id", "rk", "n_tokens", F.lit(1.0).alias("p0")),
-                            "posteriors"), ["unlabelled"])
-    # Rare domains weigh as much as common ones would at the square root.
-    sizes = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
-    total = sum(sizes.values())
+    # Rare domains weigh as much as common ones would at the square root; a row
+    # of the sample stands for as many labels as its domain has for each.
+    taken = {int(r["label"]): r["count"] for r in train.groupBy("label").count().collect()}
+    total, rows = sum(held.values()), sum(taken.values())
+    raw = {i: (held[d] / total / len(domains)) ** 0.5 / taken[i] for i, d in enumerate(domains)}
+    scale = rows / sum(w * taken[i] for i, w in raw.items())
     weight = F.lit(1.0)
-    for label, count in sizes.items():
-        weight = F.when(F.col("label") == label, (total / (len(sizes) * count)) ** 0.5) \
-            .otherwise(weight)
+    for i, w in raw.items():
+        weight = F.when(F.col("label") == i, w * scale).otherwise(weight)
     model = LogisticRegression(maxIter=25, regParam=0.002, weightCol="weight",
                                family="multinomial").fit(
         hashing.transform(train.withColumn("weight", weight)))

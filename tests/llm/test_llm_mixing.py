@@ -62,3 +62,34 @@ def test_edges(spark, edge_docs, edge_rows, no_docs):
     assert mx.mix(no_docs, two).count() == 0
     assert mx.mixed_docs(edge_docs, none).count() == len(edge_rows)
     assert mx.mixed_docs(edge_docs, two).columns == edge_docs.columns
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    words = {"good": "calm river", "bad": "cheap pills", "good_toxic": "angry shout"}
+    rows = [(i, "good" if i % 2 else "bad") for i in range(2000)]
+    rows += [(5000 + i, "good_toxic") for i in range(3)]
+    docs = spark.createDataFrame([(i, f"{words[d]} w{i % 5}") for i, d in rows],
+                                 "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, int(d != "bad"), int("toxic" in d)) for i, d in rows],
+                                   "doc_id bigint, quality int, toxic int")
+    return docs, labels
+
+
+def test_rare_domains_are_in_the_fit(skewed):
+    post, domains = mx.posteriors(*skewed, max_labelled=40)
+    assert domains == ["bad", "good", "good_toxic"]
+    rare = post.where("doc_id >= 5000").agg(F.min("p2")).first()[0]
+    assert rare > post.where("doc_id < 5000").agg(F.max("p2")).first()[0]
+
+
+def test_domains_without_documents(skewed):
+    docs, labels = skewed
+    out = mx.mix(docs.where("doc_id < 5000"), labels).collect()
+    assert {r["domain"] for r in out} == {"bad", "good"} and len(out) == 2000
+    assert all(r["rate"] >= 0 for r in out)
+
+
+def test_quotas():
+    assert mx._quotas({"a": 3, "b": 1000, "c": 1000}, 41) == {"a": 3, "b": 19, "c": 19}
+    assert mx._quotas({"a": 3, "b": 5}, 100) == {"a": 3, "b": 5}
