@@ -27,9 +27,13 @@ from ludex.llm.common import (byte_texts, columns_of, free_name, list_array, rea
 from ludex.session import stage_table
 
 WINDOW = 10
-BLOCK_WORDS = 500_000
+# Words of a benchmark block; WORD_BYTES bytes of text count as a word at least.
+BLOCK_WORDS, WORD_BYTES = 500_000, 8
 # Cleaning: longer hit spans are removed; a document covered more is dropped.
 MIN_SPAN, MAX_COVERAGE = 10, 0.5
+# Hit spans shorter than a window are whole short items; removed from this many
+# words on.
+MIN_ITEM = 4
 
 # Upper-case ASCII to lower case, every byte outside a word to a space.
 _NORMAL = bytes(c + 32 if 0x41 <= c <= 0x5A else
@@ -192,7 +196,9 @@ def _blocks(benchmark: DataFrame, block_words: int):
     spark = benchmark.sparkSession
     items = (benchmark.where("item_id is not null and text is not null")
              .select(F.col("item_id").cast("string").alias("item_id"), "text").distinct())
-    total = items.agg(F.sum(F.size(F.split("text", " ")))).first()[0] or 0
+    words = F.regexp_count("text", F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"))
+    total = items.agg(F.sum(F.greatest(words, F.ceil(F.octet_length("text") / WORD_BYTES)))) \
+        .first()[0] or 0
     n = max(1, -(-int(total) // block_words))
     keyed = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
     for i in range(n):
@@ -232,22 +238,24 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         F.coalesce("all_items", "items").alias("items"))
 
 
-def _clean(min_span: int):
+def _clean(min_span: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in text_chunks(batches, "text"):
             cleaned = []
             for text, hits in zip(byte_texts(chunk.column("text")), chunk.column("hits"),
                                   strict=True):
-                cleaned.append(remove_words(text, hits.values.to_numpy(), min_span))
+                cleaned.append(remove_words(text, hits.values.to_numpy(), min_span, window))
             yield pa.RecordBatch.from_arrays(
                 [chunk.column("rk"), pa.array(cleaned, pa.string())], names=["rk", "clean"])
 
     return run
 
 
-def remove_words(text: bytes, hits: np.ndarray, min_span: int = MIN_SPAN) -> str:
-    """The text without its hit spans of ``min_span`` words or more, from the
-    first byte of a span's first word to the last byte of its last."""
+def remove_words(text: bytes, hits: np.ndarray, min_span: int = MIN_SPAN,
+                 window: int = WINDOW) -> str:
+    """The text without its hit spans of ``min_span`` words or more, and without
+    shorter ones of whole items of MIN_ITEM words or more, from the first byte
+    of a span's first word to the last byte of its last."""
     plain = text.translate(_NORMAL)
     spans, at, bounds = [], 0, []
     for word in plain.split():
@@ -256,7 +264,7 @@ def remove_words(text: bytes, hits: np.ndarray, min_span: int = MIN_SPAN) -> str
         bounds.append((start, at))
     cuts = np.flatnonzero(np.diff(hits) > 1) + 1
     for run in np.split(hits, cuts):
-        if len(run) >= min_span:
+        if len(run) >= min_span or MIN_ITEM <= len(run) < window:
             spans.append((bounds[run[0]][0], bounds[run[-1]][1]))
     out, at = [], 0
     for start, stop in spans:
@@ -267,8 +275,8 @@ def remove_words(text: bytes, hits: np.ndarray, min_span: int = MIN_SPAN) -> str
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                   min_span: int = MIN_SPAN, max_coverage: float = MAX_COVERAGE) -> DataFrame:
-    """``docs`` (all columns) with hit spans of ``min_span`` words or more cut
-    out of ``text``; documents of which more than ``max_coverage`` of the
+    """``docs`` (all columns) with hit spans of ``min_span`` words or more, and
+    whole short items of MIN_ITEM words or more, cut out of ``text``; documents of which more than ``max_coverage`` of the
     words are hit go. ``n_chars``, if there is such a column, follows the
     text. Documents without hits stay as they are."""
     found = contamination(docs, benchmark, window).where("size(hits) > 0").dropDuplicates(["rk"])
@@ -277,7 +285,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     keyed = docs.withColumn(key, row_key("doc_id", "text"))
     hit = keyed.select(F.col(key).alias("rk"), "text").join(
         found.where(~covered).select("rk", "hits"), "rk")
-    clean = (hit.mapInArrow(_clean(min_span), "rk binary, clean string").dropDuplicates(["rk"])
+    clean = (hit.mapInArrow(_clean(min_span, window), "rk binary, clean string").dropDuplicates(["rk"])
              .select(F.col("rk").alias(other), F.col("clean").alias(cleaned)))
     gone = found.where(covered).select(F.col("rk").alias(key))
     out = (keyed.join(gone, key, "left_anti")

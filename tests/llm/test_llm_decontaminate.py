@@ -68,3 +68,17 @@ def test_cleaning(spark):
     assert set(out) == {1, 3, 4}
     assert out[1]["text"] == f"{filler} . End" and out[1]["n_chars"] == len(out[1]["text"])
     assert out[3]["n_chars"] == 9 and out[1]["_lx_rk"] == "en" and out[4]["text"] is None
+
+
+def test_short_items_are_cut_out(spark):
+    filler = " ".join(f"f{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, f"{filler} Who wrote the Odyssey? End"), (2, f"{filler} yes")],
+                                 "doc_id bigint, text string")
+    items = benchmark(spark, [(1, "who wrote the odyssey"), (2, "Yes")])
+    out = {r["doc_id"]: r["text"] for r in de.decontaminate(docs, items).collect()}
+    assert out == {1: f"{filler} ? End", 2: f"{filler} yes"}
+
+
+def test_blocks_of_texts_without_spaces(spark):
+    items = benchmark(spark, [(i, "a\nb,c\td;e.f\n" * 10) for i in range(10)] + [(10, "x" * 4800)])
+    assert len(list(de._blocks(items, 600))) == 2
