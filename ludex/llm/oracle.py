@@ -6,6 +6,7 @@ accuracies). They are tested against brute force in tests/llm."""
 from __future__ import annotations
 
 from ludex.llm.decontaminate import OP5_SQL
+from ludex.llm.merkle import OP12_SQL
 from ludex.llm.perspectives import OP4_SQL
 from ludex.llm.setsketch import OP3_SQL
 from ludex.llm.warc import OP6_SQL
@@ -17,4 +18,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_decontamination": OP5_SQL,
     "op6_warc": OP6_SQL,
     "op7_substring_dedup": OP7_SQL,
+    "op12_merkle_manifest": OP12_SQL,
 }
