@@ -5,6 +5,7 @@ accuracies). They are tested against brute force in tests/llm."""
 
 from __future__ import annotations
 
+from ludex.llm.collocations import OP13_SQL
 from ludex.llm.decontaminate import OP5_SQL
 from ludex.llm.merkle import OP12_SQL
 from ludex.llm.perspectives import OP4_SQL
@@ -19,4 +20,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_warc": OP6_SQL,
     "op7_substring_dedup": OP7_SQL,
     "op12_merkle_manifest": OP12_SQL,
+    "op13_collocations": OP13_SQL,
 }
