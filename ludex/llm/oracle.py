@@ -1,7 +1,7 @@
 """DuckDB SQL of the operators that SQL can express on whole tables. The
 others have none: 1 (zstandard), 2 (tokenizer and coder), 8 (classifier), 9 (Luhn
 test and corpus statistics over offsets), 10 (the verdict comes from fitted
-accuracies). They are tested against brute force in tests/llm."""
+accuracies), 11 (fitted regressions). They are tested against brute force in tests/llm."""
 
 from __future__ import annotations
 

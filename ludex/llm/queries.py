@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ludex.llm.collocations import op13_collocations
 from ludex.llm.decontaminate import op5_decontamination
+from ludex.llm.langid import op11_language_id
 from ludex.llm.licenses import op1_license_scan
 from ludex.llm.merkle import op12_merkle_manifest
 from ludex.llm.mixing import op8_mixing
@@ -24,6 +25,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_license_scan, op2_token_output, op3_near_dedup, op4_chat_perspectives,
         op5_decontamination, op6_warc, op7_substring_dedup, op8_mixing, op9_pii,
-        op10_quality_rules, op12_merkle_manifest,
-        op13_collocations)
+        op10_quality_rules, op11_language_id,
+        op12_merkle_manifest, op13_collocations)
 }
