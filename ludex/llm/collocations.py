@@ -5,9 +5,9 @@ Phrases are runs of words inside a piece of text. Which phrases occur at least
 
 1. The n-grams are dealt by their hash to partitions, each of which keeps one
    Misra-Gries summary: at most ``capacity`` counters, all reduced by the
-   smallest surplus whenever there are more. The reductions of a summary add up
-   to at most mass / (capacity + 1), whatever the order in which its parts are
-   merged, so with a capacity above mass / threshold every frequent n-gram
+   largest surplus one whenever there are more. The reductions of a summary add
+   up to at most mass / (capacity + 1), whatever the order in which its parts
+   are merged, so with a capacity above mass / threshold every frequent n-gram
    is still in it. Counters that cannot reach the threshold even with all
    reductions added back are left out.
 2. What survives is counted exactly, by its words.
@@ -35,8 +35,11 @@ from ludex.session import shuffle_partitions, stage_table
 THRESHOLD = 100
 MAX_WORDS = 5
 TOP = 2000
+TOP_SHARES = 32
 # Words that a task turns into arrays at once.
 BUFFER_WORDS = 1 << 20
+# Counters that a summary has at least.
+LEAST_COUNTERS = 1 << 12
 # Counters or phrases of a task's own part before it is passed on.
 PART_ROWS = 1 << 20
 # Bits of the survivors' filter: about 16 each, between these bounds.
@@ -49,11 +52,13 @@ _RADIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 class MisraGries:
-    """Counts of 64-bit keys in at most ``capacity`` counters; ``lost`` is the
-    most by which a count can be too low."""
+    """Counts of 64-bit keys in about ``capacity`` counters. ``lost`` is the most
+    by which a count can be too low, and stays below ``threshold``: a reduction
+    that would take it there (only possible where the keys hold more mass
+    than capacity * threshold) is put off and the capacity doubled instead."""
 
-    def __init__(self, capacity: int):
-        self.capacity, self.lost = capacity, 0
+    def __init__(self, capacity: int, threshold: int):
+        self.capacity, self.threshold, self.lost = capacity, threshold, 0
         self.keys, self.counts = np.empty(0, np.uint64), np.empty(0, np.int64)
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
@@ -62,19 +67,25 @@ class MisraGries:
         self.keys, at = np.unique(keys, return_inverse=True)
         self.counts = np.zeros(len(self.keys), np.int64)
         np.add.at(self.counts, at, counts)
-        if len(self.keys) > self.capacity:
+        while len(self.keys) > self.capacity:
             cut = len(self.counts) - self.capacity - 1
             least = int(np.partition(self.counts, cut)[cut])
+            if self.lost + least >= self.threshold:
+                self.capacity *= 2
+                continue
             keep = self.counts > least
             self.keys, self.counts = self.keys[keep], self.counts[keep] - least
             self.lost += least
 
     def merge(self, other: MisraGries) -> None:
-        self.add(other.keys, other.counts)
+        if self.lost + other.lost >= self.threshold:
+            raise ValueError("the reductions of both reach the threshold")
         self.lost += other.lost
+        self.add(other.keys, other.counts)
 
-    def at_least(self, threshold: int) -> np.ndarray:
-        return self.keys[self.counts + self.lost >= threshold]
+    def frequent(self) -> np.ndarray:
+        """All keys that may occur ``threshold`` times."""
+        return self.keys[self.counts + self.lost >= self.threshold]
 
 
 class _Ids(dict):
@@ -104,6 +115,8 @@ class Words:
                              len(self.vocabulary))
         seeds = np.array([xxhash.xxh64_intdigest(x.encode(), 1) for x in self.langs], np.uint64)
         self.hashes = mix64(hashes[self.ids] ^ seeds[self.lang])
+        # Places of surviving words and pairs, once known (see _places).
+        self.good = self.pairs = None
 
     def grams(self, size: int) -> np.ndarray:
         """Hash of the ``size`` words from each place on."""
@@ -150,57 +163,64 @@ class Filter:
 
 def _places(words: Words, size: int, filters: dict[int, Filter]) -> np.ndarray:
     """Where ``size`` words of one piece start whose words and pairs survived."""
-    good = words.ids > 0
-    if 1 in filters and size > 1:
-        good &= filters[1].has(words.hashes)
-    if 2 in filters and size > 2:
-        pairs = words.inside(good, 2)
-        pairs &= filters[2].has(words.grams(2))
-        return words.inside(pairs, size - 1)
-    return words.inside(good, size)
+    if size == 1 or 1 not in filters:
+        return words.inside(words.ids > 0, size)
+    if words.good is None:
+        words.good = (words.ids > 0) & filters[1].has(words.hashes)
+    if size == 2 or 2 not in filters:
+        return words.inside(words.good, size)
+    if words.pairs is None:
+        words.pairs = words.inside(words.good, 2)
+        words.pairs &= filters[2].has(words.grams(2))
+    return words.inside(words.pairs, size - 1)
 
 
 def _partial_counts(sizes: tuple[int, ...], filters, parts: int):
-    """Counts of n-grams inside a task: (part, key, n)."""
+    """Counts of n-grams inside a task, dealt by hash: (part, keys, counts)."""
     def rows(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
         part = (keys % np.uint64(parts)).astype(np.int32)
+        order = np.argsort(part, kind="stable")
+        part, keys, counts = part[order], keys[order], counts[order].astype(np.uint32)
+        edge = np.flatnonzero(np.diff(part)) + 1
+        starts = np.concatenate([[0], edge]) if len(part) else np.empty(0, np.int64)
         return pa.RecordBatch.from_arrays(
-            [pa.array(part), pa.array(keys.view(np.int64)), pa.array(counts)],
-            names=["part", "key", "n"])
+            [pa.array(part[starts]),
+             pa.array([k.tobytes() for k in np.split(keys, edge)][:len(starts)], pa.binary()),
+             pa.array([c.tobytes() for c in np.split(counts, edge)][:len(starts)], pa.binary())],
+            names=["part", "keys", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chosen = filters.value
-        # A summary that never has to reduce: a part is passed on before.
-        part = MisraGries(1 << 62)
+        held, total, mass = np.empty(0, np.uint64), np.empty(0, np.int64), 0
         for words in _buffers(batches):
-            keys = [words.grams(size)[_places(words, size, chosen)] for size in sizes]
-            part.add(*np.unique(np.concatenate(keys), return_counts=True))
-            if len(part.keys) >= PART_ROWS:
-                yield rows(part.keys, part.counts)
-                part = MisraGries(1 << 62)
-        if len(part.keys):
-            yield rows(part.keys, part.counts)
+            found = [words.grams(size)[_places(words, size, chosen)] for size in sizes]
+            keys, counts = np.unique(np.concatenate(found), return_counts=True)
+            mass += int(counts.sum())
+            held, at = np.unique(np.concatenate([held, keys]), return_inverse=True)
+            total = np.bincount(at, np.concatenate([total, counts]), len(held)).astype(np.int64)
+            if len(held) >= PART_ROWS or mass >= 1 << 31:
+                yield rows(held, total)
+                held, total, mass = np.empty(0, np.uint64), np.empty(0, np.int64), 0
+        if len(held):
+            yield rows(held, total)
 
     return run
 
 
-def _summaries(mass: dict[int, int], threshold: int):
-    """One summary for each part, from the tasks' parts of it: the keys that
-    may reach the threshold."""
+def _summaries(capacity: int, threshold: int):
+    """One summary for each part, merged from the tasks' counts: the keys that may
+    reach the threshold."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, MisraGries] = {}
         for batch in batches:
-            part = batch.column("part").to_numpy()
-            keys = batch.column("key").to_numpy().view(np.uint64)
-            counts = batch.column("n").to_numpy()
-            for p in np.unique(part).tolist():
-                if p not in found:
-                    found[p] = MisraGries(mass[p] // threshold + 1)
-                mine = part == p
-                found[p].add(keys[mine], counts[mine])
+            for part, keys, counts in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if part not in found:
+                    found[part] = MisraGries(capacity, threshold)
+                found[part].add(np.frombuffer(keys, np.uint64),
+                                np.frombuffer(counts, np.uint32).astype(np.int64))
         for summary in found.values():
-            keys = summary.at_least(threshold)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64))], names=["key"])
+            yield pa.RecordBatch.from_arrays([pa.array(summary.frequent().view(np.int64))],
+                                             names=["key"])
 
     return run
 
@@ -219,18 +239,17 @@ def _filter_of(survivors: DataFrame) -> Filter:
 
 
 def survivors(docs: DataFrame, sizes: tuple[int, ...], filters: dict[int, Filter],
-              threshold: int) -> DataFrame:
+              threshold: int, words: int) -> DataFrame:
     """Keys of the n-grams of ``sizes`` that may occur ``threshold`` times: all
-    that do, and at most one in ``threshold`` of the occurrences besides."""
+    that do and some that nearly do. ``words`` is a bound of the words of ``docs``;
+    the counters of all parts exceed the mass divided by the threshold."""
     spark = docs.sparkSession
     parts = shuffle_partitions(spark)
-    held = stage_table(docs.mapInArrow(
-        _partial_counts(sizes, spark.sparkContext.broadcast(filters), parts),
-        "part int, key bigint, n bigint"), "grams")
-    # One row per part.
-    mass = {r["part"]: r["m"] for r in held.groupBy("part").agg(F.sum("n").alias("m")).collect()}
+    capacity = 2 * len(sizes) * words // (threshold * parts) + LEAST_COUNTERS
+    held = docs.mapInArrow(_partial_counts(sizes, spark.sparkContext.broadcast(filters), parts),
+                           "part int, keys binary, counts binary")
     return stage_table(held.repartition(parts, "part").mapInArrow(
-        _summaries(mass, threshold), "key bigint"), "survivors")
+        _summaries(capacity, threshold), "key bigint"), "survivors")
 
 
 def _exact_counts(filters, max_words: int):
@@ -250,8 +269,8 @@ def _exact_counts(filters, max_words: int):
             # Numbers of the phrases one word shorter: no hash decides a count.
             shorter = words.lang.astype(np.int64)
             for size in range(1, max_words + 1):
-                here = _places(words, size, chosen)
-                here &= chosen[min(size, 3)].has(words.grams(size)) & (shorter[:len(here)] >= 0)
+                here = _places(words, size, chosen) & (shorter[:len(words.ids) - size + 1] >= 0)
+                here[here] = chosen[min(size, 3)].has(words.grams(size)[here])
                 at = np.flatnonzero(here)
                 code = (shorter[at] << 32) | words.ids[at + size - 1]
                 _, first, number, times = np.unique(code, return_index=True, return_inverse=True,
@@ -277,9 +296,12 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD,
     phrases of at most ``max_words`` words with f >= ``threshold``, and one row
     (lang, '', 0, all words) per lang. Eager."""
     docs = docs.select("text", F.coalesce("lang", F.lit("und")).alias("lang"))
+    # A word has at least a byte and one that ends it.
+    most = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
     filters: dict[int, Filter] = {}
     for level, sizes in ((1, (1,)), (2, (2,)), (3, tuple(range(3, max_words + 1)))):
-        filters[level] = _filter_of(survivors(docs, sizes, filters, threshold))
+        filters[level] = _filter_of(survivors(docs, sizes, filters, threshold,
+                                                most // 2))
     counts = docs.mapInArrow(
         _exact_counts(docs.sparkSession.sparkContext.broadcast(filters), max_words),
         "lang string, phrase string, m int, f bigint")
@@ -325,10 +347,14 @@ def collocations(docs: DataFrame, threshold: int = THRESHOLD, max_words: int = M
                         "(cast(l as decimal(38, 0)) * cast(r as decimal(38, 0)))"))
     best = cuts.groupBy("lang", "phrase", "a", "n").agg(
         F.min(F.struct("score", "k", "l", "r")).alias("cut"))
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(),
-                                               F.col("phrase").asc())
-    ranked = best.select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score") \
-        .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    best = best.select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score")
+    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
+    # First the best of each of some shares of a lang, then those of the lang.
+    share = F.pmod(F.xxhash64("phrase"), F.lit(TOP_SHARES))
+    first = Window.partitionBy("lang", share).orderBy(*order)
+    some = best.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= top)
+    ranked = some.withColumn("rank", F.row_number().over(
+        Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l",
                          "r", "n", "score")
 

@@ -79,22 +79,37 @@ def test_summaries_keep_every_frequent_key(parts):
     rng = np.random.default_rng(2)
     keys = np.minimum(rng.zipf(1.3, 40_000), 5000).astype(np.uint64)
     threshold = 60
-    merged = co.MisraGries(len(keys) // threshold + 1)
+    capacity = len(keys) // threshold + 1
+    merged = co.MisraGries(capacity, threshold)
     for share in np.array_split(rng.permutation(keys), parts):
-        one = co.MisraGries(merged.capacity)
+        one = co.MisraGries(capacity, threshold)
         for some in np.array_split(share, 40):
             one.add(*np.unique(some, return_counts=True))
-            assert len(one.keys) <= one.capacity
+            assert len(one.keys) <= one.capacity == capacity
         merged.merge(one)
-    assert merged.lost < threshold
+    assert 0 < merged.lost < threshold and merged.capacity == capacity
+    check(merged, keys, threshold)
+
+
+def check(summary, keys, threshold):
     true = Counter(keys.tolist())
-    held = dict(zip(merged.keys.tolist(), merged.counts.tolist(), strict=True))
-    assert all(held.get(k, 0) <= n <= held.get(k, 0) + merged.lost for k, n in true.items())
-    assert {k for k, n in true.items() if n >= threshold} <= set(
-        merged.at_least(threshold).tolist())
+    held = dict(zip(summary.keys.tolist(), summary.counts.tolist(), strict=True))
+    assert all(held.get(k, 0) <= n <= held.get(k, 0) + summary.lost for k, n in true.items())
+    assert {k for k, n in true.items() if n >= threshold} <= set(summary.frequent().tolist())
+
+
+def test_summary_with_too_few_counters_grows():
+    keys = np.random.default_rng(4).integers(0, 500, 30_000).astype(np.uint64)
+    summary = co.MisraGries(8, 50)
+    for some in np.array_split(keys, 30):
+        summary.add(*np.unique(some, return_counts=True))
+    assert summary.lost < 50 and summary.capacity > 8
+    check(summary, keys, 50)
 
 
-def test_small_summaries_suffice(spark):
+def test_small_summaries_suffice(spark, monkeypatch):
     # Far more distinct words than counters: the summaries have to reduce.
+    monkeypatch.setattr(co, "LEAST_COUNTERS", 4)
+    monkeypatch.setattr(co, "BUFFER_WORDS", 500)
     rows = [(" ".join(f"w{i}_{k}" for k in range(400)) + " often met", "en") for i in range(60)]
     assert [r[2] for r in result(co.collocations(table(spark, rows), 50))] == ["often met"]
