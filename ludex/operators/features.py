@@ -3,6 +3,8 @@ means, the rating ladder, user-mean centring and ALS residuals."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,22 +12,46 @@ from ludex.functions.columns import (
     conversion_weight, in_train, rating_ladder, steady_mean, transition_keep,
 )
 from ludex.operators.ranged import PART, SEQ, range_parts
-from ludex.session import stage_table
+from ludex.session import stage_only, stage_table
+
+# Rows of a user up to which its lag is a plain window.
+WINDOW_ROWS = 1 << 20
 
 
 def with_previous(log: DataFrame, value: str = "behaviour", out: str = "prev",
                   part: tuple[str, ...] = ("user_id",),
-                  order: tuple[str, ...] = ("ts", "event_id")) -> DataFrame:
+                  order: tuple[str, ...] = ("ts", "event_id"),
+                  window_rows: int = WINDOW_ROWS) -> DataFrame:
     """``lag(value)`` inside each user, ordered by time then event id: equal to
     ``lag(value) OVER (PARTITION BY user ORDER BY ts, event_id)``, NULL users
     and NULL times included (rows that are equal in user and order may follow
     each other either way, as in the window).
 
-    The log is read once and range-partitioned by (user, order), so a user of
-    any size is spread over partitions, as are rows of one time. The lag runs
-    inside a partition; the first row of a partition takes the last value of
-    the one before (one row per partition). Eager: the partitioned log is
-    written to the shared folder."""
+    Users of at most ``window_rows`` rows go through the window: one shuffle of
+    the log. The rows of larger users, if there are any, go by range
+    (``ranged_previous``), which spreads a user over partitions. Eager: the
+    larger users (a count per user, map-side combined) are written."""
+    keys = [F.col(c).asc_nulls_first() for c in order]
+    lag = F.lag(value).over(Window.partitionBy(*part).orderBy(*keys))
+    heavy = stage_table(log.groupBy(*[F.col(c).alias(f"_h{i}") for i, c in enumerate(part)])
+                        .agg(F.count(F.lit(1)).alias("_hn")).where(F.col("_hn") > window_rows),
+                        "heavy")
+    if heavy.isEmpty():
+        return log.select("*", lag.alias(out))
+    same = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_h{i}"))
+                                       for i, c in enumerate(part)))
+    few = log.join(heavy, same, "left_anti").select("*", lag.alias(out))
+    many = ranged_previous(log.join(heavy, same, "left_semi"), value, out, part, order)
+    return few.unionByName(many)
+
+
+def ranged_previous(log: DataFrame, value: str, out: str, part: tuple[str, ...],
+                    order: tuple[str, ...]) -> DataFrame:
+    """The lag of ``with_previous`` by range partitioning: rows are
+    range-partitioned by (user, order), so a user of any size is spread over
+    partitions, as are rows of one time. The lag runs inside a partition; the
+    first row of a partition takes the last value of the one before (one row per
+    partition). Eager: the partitioned log is written to the shared folder."""
     keys = [F.col(c).asc_nulls_first() for c in (*part, *order)]
     cut = range_parts(log, keys, "lag")
     inside = Window.partitionBy(PART).orderBy(SEQ)
@@ -72,36 +98,44 @@ def item_means(rows: DataFrame, value: str = "hours", out: str = "mean_hours") -
                                     F.count(F.lit(1)).alias("n_rows"))
 
 
-def _rated(kept: DataFrame, materialize: bool) -> DataFrame:
-    rated = (kept.join(item_means(kept).drop("n_rows"), "item", "inner")
-             .withColumn("rating", rating_ladder(F.col("hours"), F.col("mean_hours"),
-                                                 F.col("weight"))))
-    return stage_table(rated, "rated") if materialize else rated
+def _rated(kept: DataFrame) -> DataFrame:
+    # The means are written before they are joined back: AQE splits the rows of a
+    # hot item only in a join whose sides are both read from tables or shuffles.
+    means = stage_table(item_means(kept).drop("n_rows"), "means")
+    return (kept.join(means, "item", "inner")
+            .withColumn("rating", rating_ladder(F.col("hours"), F.col("mean_hours"),
+                                                F.col("weight"))))
 
 
 def rated_log(log: DataFrame, profile: str = "knn", keep_first: bool = False,
               materialize: bool = True) -> DataFrame:
     """Lag -> weight -> transition filter -> item mean hours -> 0..5 rating.
 
-    Eager: the lag writes the partitioned log, and with ``materialize`` the
-    rows are written with their rating, as every model reads them several
-    times (means, join and ladder then run once). The item means are joined
-    back (one row per item): AQE broadcasts them when they are small and
-    otherwise keeps a sort-merge join, whose output is written before any
-    aggregate by item."""
-    kept = with_train_flag(transitions(lagged_log(log), profile, keep_first).drop("ts"))
-    return _rated(kept, materialize)
+    Eager: the lagged rows are written, as the means and the join read them, and
+    with ``materialize`` the rated rows, which every model reads several times;
+    the tables on the way then go. The item means are written and joined back
+    (one row per item): AQE broadcasts them when they are small and otherwise
+    keeps a sort-merge join whose hot items it can split."""
+    def build() -> DataFrame:
+        kept = with_train_flag(transitions(lagged_log(log), profile, keep_first).drop("ts"))
+        return _rated(stage_table(kept, "kept"))
+
+    return stage_only(build, "rated") if materialize else build()
 
 
 def rated_purchases(log: DataFrame, materialize: bool = True) -> DataFrame:
     """``rated_log(log, 'als', keep_first=True)`` for a log whose rows are
     all purchases (the basket adapter): every transition is then kept and
     every weight is 1, so the lag is skipped. Same ratings, no window."""
-    return _rated(with_train_flag(log.drop("ts").withColumn("weight", F.lit(1))), materialize)
+    def build() -> DataFrame:
+        return _rated(with_train_flag(log.drop("ts").withColumn("weight", F.lit(1))))
+
+    return stage_only(build, "rated") if materialize else build()
 
 
 def user_means(ratings: DataFrame, value: str = "rating", out: str = "user_mean") -> DataFrame:
-    return ratings.groupBy("user_id").agg(F.avg(value).alias(out))
+    """One row per user, written (see ``_rated``)."""
+    return stage_table(ratings.groupBy("user_id").agg(F.avg(value).alias(out)), "means")
 
 
 def centred(ratings: DataFrame) -> DataFrame:
@@ -112,10 +146,10 @@ def centred(ratings: DataFrame) -> DataFrame:
 
 
 def train_means(train: DataFrame, item_col: str = "item"):
-    """Per-user mean, per-item mean (small tables) and the global mean (a
-    scalar subquery column) of the train ratings."""
-    um = train.groupBy("user_id").agg(F.avg("rating").alias("user_mean"))
-    im = train.groupBy(item_col).agg(F.avg("rating").alias("item_mean"))
+    """Per-user mean, per-item mean (both written, see ``_rated``) and the
+    global mean (a scalar subquery column) of the train ratings."""
+    um = user_means(train)
+    im = stage_table(train.groupBy(item_col).agg(F.avg("rating").alias("item_mean")), "means")
     gm = train.select(F.avg("rating")).scalar()
     return um, im, gm
 

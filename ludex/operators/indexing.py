@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ludex.operators.ranged import PART, SEQ, part_offsets, range_parts
+from ludex.session import stage_only
 
 
 def dense_index(df: DataFrame, col: str, out: str = "code") -> DataFrame:
@@ -14,10 +15,13 @@ def dense_index(df: DataFrame, col: str, out: str = "code") -> DataFrame:
 
     The distinct values are range-partitioned; a value's code is its rank in
     its partition plus the number of values in earlier partitions (one row per
-    partition). Eager: the partitioned values are written."""
-    values = df.select(col).where(F.col(col).isNotNull()).distinct()
-    parts = range_parts(values, [F.col(col).asc()], "codes")
-    # At most one row per partition.
-    before = F.broadcast(part_offsets(parts, F.lit(1), "_before"))
-    return parts.join(before, PART).select(
-        col, (F.col("_before") + F.col(SEQ)).cast("bigint").alias(out))
+    partition). Eager: the codes are written, so a join with them can be split."""
+    def build() -> DataFrame:
+        values = df.select(col).where(F.col(col).isNotNull()).distinct()
+        parts = range_parts(values, [F.col(col).asc()], "codes")
+        # At most one row per partition.
+        before = F.broadcast(part_offsets(parts, F.lit(1), "_before"))
+        return parts.join(before, PART).select(
+            col, (F.col("_before") + F.col(SEQ)).cast("bigint").alias(out))
+
+    return stage_only(build, "codes")

@@ -14,9 +14,10 @@ PART, SALT, SEQ = "_rg_part", "_rg_salt", "_rg_seq"
 def range_parts(df: DataFrame, order: list[Column], label: str = "ranged") -> DataFrame:
     """``df`` range-partitioned by ``order`` and written, with ``PART`` (the
     partition, in order) and ``SEQ`` (the row's rank inside it). Rows that are
-    equal in ``order`` may lie in neighbouring partitions, so the copies of a
-    value that holds a large share of the rows are spread as well."""
-    salted = df.withColumn(SALT, F.rand(17))
+    equal in ``order`` may lie in neighbouring partitions, in an order given by
+    a hash of all their columns, so the rows of a value that holds a large share
+    are spread as well, and a task that runs again deals them the same way."""
+    salted = df.withColumn(SALT, F.xxhash64(*df.columns))
     keys = [*order, F.col(SALT).asc()]
     cut = (salted.repartitionByRange(shuffle_partitions(df.sparkSession), *keys)
            .sortWithinPartitions(*keys)

@@ -61,18 +61,19 @@ def salted_self_join(c: DataFrame, left: list, right: list,
     into sums of deviations from the user's mean, which comes from the same
     per-user table, so a user's rows meet in no aggregate by user alone.
 
-    Eager: both sides read the cells, which are written once."""
+    Eager: the cells and the table per user are written, so that AQE can split
+    the rows of a hot user where the two are joined."""
+    c = stage_table(c, "cells")
     stats = [F.count(F.lit(1)).alias("_m")]
     if centre:
         stats.append((F.sum("s") / F.sum("n")).alias("_mu"))
-    per_user = c.groupBy("user_id").agg(*stats)
+    per_user = stage_table(c.groupBy("user_id").agg(*stats), "users")
     cs = c.join(per_user, "user_id", "inner").withColumn(
         "_k", F.when(F.col("_m") <= slice_items, 1)
         .otherwise(F.ceil(F.lit(2) * F.col("_m") / F.lit(slice_items))).cast("int"))
     if centre:
         n, s, q, mu = (F.col(x) for x in ("n", "s", "q", "_mu"))
         cs = cs.withColumns({"s": s - n * mu, "q": q - F.lit(2.0) * mu * s + n * mu * mu})
-    cs = stage_table(cs, "cells")
     parts = shuffle_partitions(c.sparkSession)
     own = F.pmod(F.xxhash64("item"), F.col("_k")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("_k") - F.lit(1)))
@@ -188,10 +189,12 @@ def l2_normalised(ratings: DataFrame) -> DataFrame:
     (item, user_id, value, norm, norm_value). A zero vector stays zero.
 
     The norm is a per-item aggregate joined back, not a window, so a hot
-    item is combined map-side instead of landing in one task.
+    item is combined map-side instead of landing in one task. Eager: cells and
+    norms are written, so that AQE can split the hot item in the join.
     """
-    u = utility_cells(ratings)
-    norms = u.groupBy("item").agg(F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm"))
+    u = stage_table(utility_cells(ratings), "utility")
+    norms = stage_table(u.groupBy("item").agg(
+        F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("norm")), "norms")
     return (u.join(norms, "item", "inner")
              .withColumn("norm_value", F.coalesce(safe_div(F.col("value"), F.col("norm")),
                                                   F.lit(0.0))))

@@ -216,10 +216,8 @@ def q28_als_topn(spark, d):
 def q29_als_topn_named(spark, d, n: int = rc.TOP_N):
     """Top-n unseen items per user on the rating scale, with the part name
     (exact; see ``als.recommend_unseen``)."""
-    basket = basket_log(spark, d)
-    run = _als_run(spark, d)
-    owned = basket.select("user_id", "item")
-    top = rc.unseen_top_n(als_op.recommend_unseen(run, owned, n), owned, n)
+    owned = basket_log(spark, d).select("user_id", "item")
+    top = als_op.recommend_unseen(_als_run(spark, d), owned, n)
     parts = read_table(spark, d, "part").select(F.col("p_partkey").alias("item"), "p_name")
     return top.join(parts, "item", "left").select(
         "user_id", "rank", "item", "p_name", rnd(F.col("score")).alias("score"))

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+_local = threading.local()
+
 # Used only where the session names no folder (a path of fs.defaultFS).
 DEFAULT_CHECKPOINT_DIR = "/tmp/checkpoints"
 
@@ -21,7 +25,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    # Remove checkpoint files once their DataFrame is garbage collected.
+    # For DataFrame.checkpoint(); tables of stage_table go with stage_only or
+    # release_checkpoints.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
@@ -82,22 +87,50 @@ def stage_table(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
+    if _recording():
+        _recording()[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _recording() -> list[list[str]]:
+    """Per thread: the paths staged inside each open ``stage_only``."""
+    if not hasattr(_local, "paths"):
+        _local.paths = []
+    return _local.paths
+
+
+def stage_only(build: Callable[[], DataFrame], label: str = "stage") -> DataFrame:
+    """``stage_table(build())``, after which every table that ``build`` staged
+    on the way is deleted: only the result reads on."""
+    stack = _recording()
+    stack.append([])
+    try:
+        df = build()
+        mine = stack.pop()
+        stack.append([])  # the result is not one of the tables to delete
+        out = stage_table(df, label)
+    finally:
+        last = stack.pop()
+    if stack:
+        stack[-1].extend(last)
+    for path in mine:
+        _delete(out.sparkSession, path)
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def release_checkpoints(spark: SparkSession) -> None:
     """Delete this application's own checkpoint subfolder (Spark makes one
-    per SparkContext under ``spark.checkpoint.dir``) at the end of a job.
-    Reference-tracked cleanup only covers DataFrames collected while the
-    application runs; this removes what is left."""
-    sc = spark.sparkContext
-    path = sc.getCheckpointDir()
-    if not path:
-        return
-    jvm = sc._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+    per SparkContext under ``spark.checkpoint.dir``) at the end of a job, with
+    the staged tables that the results still read."""
+    path = spark.sparkContext.getCheckpointDir()
+    if path:
+        _delete(spark, path)
