@@ -66,9 +66,12 @@ def test_lag_equals_plain_window(spark, sf_small):
 def same_as_window(log):
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     plain = log.withColumn("p2", F.lag("behaviour").over(w))
-    both = fe.with_previous(log).join(plain.select("event_id", "p2"), "event_id")
-    assert both.filter(~F.col("prev").eqNullSafe(F.col("p2"))).count() == 0
-    assert both.count() == log.count()
+    # All users by the window; the larger ones by range; all by range.
+    for rows in (1 << 20, 700, 0):
+        both = fe.with_previous(log, window_rows=rows).join(plain.select("event_id", "p2"),
+                                                            "event_id")
+        assert both.filter(~F.col("prev").eqNullSafe(F.col("p2"))).count() == 0
+        assert both.count() == log.count()
 
 
 def test_lag_with_null_users_null_times_and_one_time(spark):

@@ -56,11 +56,75 @@ def test_scan_pushdown_and_pruning(spark, sf_small):
     assert "value" not in read and "ts" not in read
 
 
-def test_lag_reads_the_log_once(spark, sf_small):
-    """The partitioned log is written; what is left reads that table only."""
+def test_lag_is_one_shuffle(spark, sf_small):
+    """Without users larger than a window, the log is shuffled once; the rows of
+    larger users come from a range-partitioned table."""
     from ludex.operators.features import with_previous
-    p = plan(with_previous(behaviour_log(spark, sf_small)))
-    assert "events.parquet" not in p and "hashpartitioning(user_id" not in p
+    log = behaviour_log(spark, sf_small)
+    p = plan(with_previous(log))
+    assert p.count("Exchange hashpartitioning(user_id") == 1 and "rangepartitioning" not in p
+    heavy = plan(with_previous(log, window_rows=0))
+    assert "_rg_part" in heavy
+
+
+@pytest.fixture
+def skewed(spark):
+    """Settings under which a join key with many rows is split."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def executed(df):
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_keys_are_split(spark, skewed):
+    """A hot item and a hot user: the joins of rows with per-item and per-user
+    tables are split by AQE."""
+    from pyspark.sql import functions as F
+
+    from ludex.operators import features as fe
+    from ludex.operators import similarity as si
+    rows = spark.range(60_000, numPartitions=12).select(
+        F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.col("id")).alias("user_id"),
+        F.when(F.col("id") % 2 > 0, F.lit(5)).otherwise(F.col("id")).alias("item"),
+        (F.col("id") % 11).cast("double").alias("hours"), (F.col("id") % 6).alias("rating"),
+        F.lit(1).alias("weight"), F.md5(F.col("id").cast("string")).alias("rkey"))
+    assert "skew=true" in executed(fe._rated(rows))
+    assert "skew=true" in executed(fe.centred(rows))
+    assert executed(fe.residuals(rows)).count("skew=true") >= 2
+    assert "skew=true" in executed(si.l2_normalised(
+        rows.withColumn("user_id", F.xxhash64("rkey"))))
+
+
+def test_tables_on_the_way_are_deleted(spark):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from ludex import session as se
+    root = se.ensure_checkpoint_dir(spark).removeprefix("file:") + "/tables"
+
+    def build():
+        first = se.stage_table(spark.range(10), "first")
+        second = se.stage_only(lambda: se.stage_table(first, "inner").where("id > 2"), "second")
+        return second.select((F.col("id") * 2).alias("id"))
+
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    out = se.stage_only(build, "out")
+    (left,) = set(os.listdir(root)) - before
+    assert left.startswith("out-") and out.count() == 7
 
 
 @pytest.mark.parametrize("name", ["q37_knn_scores", "q38_cosine_rmse", "q40_damped_pearson",
