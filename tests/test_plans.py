@@ -74,7 +74,8 @@ def skewed(spark):
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k"}
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+            "spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "16k"}
     old = {k: spark.conf.get(k, None) for k in conf}
     for k, v in conf.items():
         spark.conf.set(k, v)
