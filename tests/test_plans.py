@@ -96,7 +96,6 @@ def test_hot_keys_are_split(spark, skewed):
     from pyspark.sql import functions as F
 
     from ludex.operators import features as fe
-    from ludex.operators import similarity as si
     rows = spark.range(60_000, numPartitions=12).select(
         F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.col("id")).alias("user_id"),
         F.when(F.col("id") % 2 > 0, F.lit(5)).otherwise(F.col("id")).alias("item"),
@@ -105,8 +104,6 @@ def test_hot_keys_are_split(spark, skewed):
     assert "skew=true" in executed(fe._rated(rows))
     assert "skew=true" in executed(fe.centred(rows))
     assert executed(fe.residuals(rows)).count("skew=true") >= 2
-    assert "skew=true" in executed(si.l2_normalised(
-        rows.withColumn("user_id", F.xxhash64("rkey"))))
 
 
 def test_tables_on_the_way_are_deleted(spark):
