@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ludex.functions.columns import rnd
 from ludex.operators.ranged import PART, SEQ, part_offsets, range_parts
+from ludex.session import stage_table
 
 # Fixed value: the whisker / outlier multiple of the interquartile range.
 IQR_FACTOR = 1.5
@@ -122,6 +123,45 @@ def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float]) -> DataFra
     return run.agg(*aggs)
 
 
+def grouped_quantile(df: DataFrame, group: str, col: str, p: float, out: str) -> DataFrame:
+    """Exact discrete quantile of ``col`` per ``group`` (NULL is a group): the
+    value of rank ``max(1, ceil(p * n))``. Groups without a value have no row.
+
+    Distinct values with their counts are range-partitioned by (group, value),
+    so a group of any size is spread over partitions; a table of one row per
+    (partition, group) carries the counts of earlier partitions. Eager."""
+    values = (df.where(F.col(col).isNotNull()).groupBy(F.col(group).alias("_g"), F.col(col).alias("_v"))
+              .agg(F.count(F.lit(1)).alias("_c")))
+    parts = range_parts(values, [F.col("_g").asc_nulls_first(), F.col("_v").asc()], "quantiles")
+    runs = parts.groupBy(F.col(PART).alias("_p"), F.col("_g").alias("_h")).agg(F.sum("_c").alias("_s"))
+    mine = Window.partitionBy("_h")
+    earlier = mine.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    runs = stage_table(runs.select("_p", "_h", F.sum("_s").over(mine).alias("_n"),
+                                   F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_off")),
+                       "runs")
+    inside = Window.partitionBy(PART, "_g").orderBy(SEQ).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    rows = (parts.withColumn("_run", F.sum("_c").over(inside))
+            .join(runs, (F.col(PART) == F.col("_p")) & F.col("_g").eqNullSafe(F.col("_h"))))
+    rank = F.greatest(F.lit(1.0), F.ceil(F.lit(float(p)) * F.col("_n")).cast("double"))
+    upto = F.col("_off") + F.col("_run")
+    return rows.where((upto >= rank) & (upto - F.col("_c") < rank)).select(
+        F.col("_g").alias(group), F.col("_v").alias(out))
+
+
+def fill_by_group(df: DataFrame, group: str, col: str, known: Column, out: str,
+                  p: float = 0.5) -> DataFrame:
+    """``df`` with ``out``: ``col`` where ``known`` holds, else the median
+    (quantile ``p``) of the known values of the row's group, NULL if it has
+    none. Eager: the medians (one row per group) are written."""
+    held = df.where(known).select(F.col(group), F.col(col))
+    middle = stage_table(grouped_quantile(held, group, col, p, "_middle"), "medians")
+    middle = middle.withColumnRenamed(group, "_of")
+    return (df.join(middle, F.col(group).eqNullSafe(F.col("_of")), "left")
+            .withColumn(out, F.when(known & F.col(col).isNotNull(), F.col(col))
+                        .otherwise(F.col("_middle"))).drop("_of", "_middle"))
+
+
 def quartile_bounds(df: DataFrame, col: str) -> DataFrame:
     """Exact quartiles (values of the data, no interpolation) and the
     Tukey fences ``q1 - 1.5 iqr`` / ``q3 + 1.5 iqr``; one row."""

@@ -352,4 +352,73 @@ FROM basket GROUP BY user_id"""
 FROM (SELECT DISTINCT p_name FROM part WHERE p_name IS NOT NULL)"""
     q["q52_recommend_named"] = f"""SELECT r.user_id, r.rank, r.item, p.p_name, r.score
 FROM ({q["q45_recommend"]}) r LEFT JOIN part p ON r.item = p.p_partkey"""
+    # Table t of the hashing takes its four signs from hexadecimal digit t of the md5s.
+    q["q53_lsh_neighbours"] = with_(LOG, RATED_ALS, norm, """cells AS (
+  SELECT item, user_id, norm_value AS v,
+         md5(concat_ws('|', user_id, 0)) || md5(concat_ws('|', user_id, 1)) AS noise
+  FROM nv WHERE norm > 0),
+digits AS (SELECT item, v, t, CAST('0x' || noise[t + 1] AS BIGINT) AS d
+           FROM cells, (SELECT unnest(range(0, 48)) AS t)),
+sigs AS (
+  SELECT item, t, [round(sum(CASE WHEN d & 1 = 1 THEN v ELSE -v END), 9) > 0,
+                   round(sum(CASE WHEN d & 2 = 2 THEN v ELSE -v END), 9) > 0,
+                   round(sum(CASE WHEN d & 4 = 4 THEN v ELSE -v END), 9) > 0,
+                   round(sum(CASE WHEN d & 8 = 8 THEN v ELSE -v END), 9) > 0] AS sig
+  FROM digits GROUP BY item, t),
+met AS (SELECT DISTINCT a.item AS i1, b.item AS i2 FROM sigs a JOIN sigs b
+        ON a.t = b.t AND a.sig = b.sig AND a.item <> b.item),
+near AS (
+  SELECT a.item AS i1, b.item AS i2, sum(a.v * b.v) AS similarity
+  FROM cells a JOIN cells b ON a.user_id = b.user_id JOIN met ON met.i1 = a.item AND met.i2 = b.item
+  GROUP BY a.item, b.item)""") + f"""SELECT i1, i2, {R('similarity')} AS similarity, CAST(rank AS BIGINT) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY i1 ORDER BY round(similarity, 9) DESC, i2) AS rank
+      FROM near) WHERE rank <= 5"""
+    q["q54_als_folds"] = KNN.rstrip("\n") + """,
+fold AS (SELECT *, CAST('0x' || substr(md5('fold|' || rkey), 1, 8) AS BIGINT) % 3 AS fold FROM train)
+SELECT f.fold, count(*) AS n_held, (SELECT count(*) FROM fold g WHERE g.fold <> f.fold) AS n_fit,
+  count(*) FILTER (WHERE EXISTS (SELECT 1 FROM fold g WHERE g.fold <> f.fold AND g.user_id = f.user_id)
+                   AND EXISTS (SELECT 1 FROM fold g WHERE g.fold <> f.fold AND g.item = f.item)) AS n_scored
+FROM fold f GROUP BY f.fold"""
+    q["q56_behaviour_features"] = with_(LOG) + f"""SELECT event_id, behaviour,
+  {R('coalesce(hours, -1)')} AS hours,
+  CAST(CASE WHEN p1 IS NULL THEN -1 WHEN p1 = 'purchase' THEN 1 ELSE 0 END AS DOUBLE) AS prev_purchase,
+  CAST(CASE WHEN p2 IS NULL THEN -1 WHEN p2 = 'purchase' THEN 1 ELSE 0 END AS DOUBLE) AS prev2_purchase,
+  {R('coalesce(h1, -1)')} AS prev_hours,
+  {R('coalesce((epoch_us(ts) - epoch_us(t1)) / 3600000000.0, -1)')} AS gap_hours
+FROM (SELECT *, lag(behaviour) OVER w AS p1, lag(behaviour, 2) OVER w AS p2, lag(hours) OVER w AS h1,
+             lag(ts) OVER w AS t1 FROM log WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))"""
+    limits = [1580030169, 3160060337, 3950075422, 4213413783, 4279248374, 4292415292, 4294609778,
+              4294923276, 4294962463, 4294966817, 4294967253, 4294967292]
+    drawn = " + ".join(f"CASE WHEN bits >= {x} THEN 1 ELSE 0 END" for x in limits)
+    q["q58_model_difference"] = (
+        KNN.rstrip("\n") + ",\n" + COSINE + ",\n" + COS_SCORES + ",\n" + CENTRED + ",\n" + PEARSON
+        + ",\n" + pdev.rstrip() + f""",
+err AS (
+  SELECT x.rkey, c.score - x.rating AS a, u.user_mean + s.score - x.rating AS b
+  FROM test x JOIN cscored c ON c.user_id = x.user_id AND c.item = x.item
+  JOIN pdev s ON s.user_id = x.user_id AND s.item = x.item JOIN umean u ON u.user_id = x.user_id
+  WHERE c.score IS NOT NULL AND s.score IS NOT NULL),
+draw AS (SELECT a, b, r, CASE WHEN r = 0 THEN 1 ELSE {drawn} END AS w
+         FROM (SELECT a, b, r, CAST('0x' || substr(md5(concat_ws('|', rkey, r)), 1, 8) AS BIGINT) AS bits
+               FROM err, (SELECT unnest(range(0, 201)) AS r))),
+rep AS (SELECT r, CAST(sum(w) AS BIGINT) AS n, sqrt(sum(a * a * w) / nullif(sum(w), 0)) AS x,
+               sqrt(sum(b * b * w) / nullif(sum(w), 0)) AS y FROM draw GROUP BY r),
+ends AS (SELECT max(d) FILTER (p = 5) AS low, max(d) FILTER (p = 196) AS high
+         FROM (SELECT d, row_number() OVER (ORDER BY d) AS p
+               FROM (SELECT coalesce(x - y, 0) AS d FROM rep WHERE r > 0)))
+SELECT n, {R('x')} AS rmse_cosine, {R('y')} AS rmse_pearson, {R('x - y')} AS difference,
+  {R('low')} AS low, {R('high')} AS high, low > 0 OR high < 0 AS differ FROM rep, ends WHERE r = 0""")
+    q["q59_stable_codes"] = with_(BASKET) + """, title AS (
+  SELECT p_name || ' #' || p_partkey AS title,
+         EXISTS (SELECT 1 FROM basket b WHERE b.item = p.p_partkey AND b.ts < DATE '1995-01-01') AS old
+  FROM part p)
+SELECT title, CAST(row_number() OVER (ORDER BY NOT old, title) - 1 AS BIGINT) AS code FROM title"""
+    q["q60_recommend_active"] = f"""SELECT * FROM ({q["q45_recommend"]}) r
+WHERE EXISTS (SELECT 1 FROM events e WHERE e.event_type = 'click' AND e.user_id = r.user_id)"""
+    q["q61_csv_rejects"] = """SELECT CASE event_type WHEN 'error' THEN 'behaviour,hours' WHEN 'click' THEN 'user_id'
+  WHEN 'signup' THEN 'behaviour,hours' ELSE '' END AS reason, count(*) AS n FROM events GROUP BY 1"""
+    q["q62_median_fill"] = with_(LOG) + """SELECT l.event_id, l.item, l.behaviour, l.hours,
+  CASE WHEN l.behaviour = 'play' AND l.hours IS NOT NULL THEN l.hours ELSE m.mid END AS filled
+FROM log l LEFT JOIN (SELECT item, quantile_disc(hours, 0.5) AS mid FROM log WHERE behaviour = 'play'
+                      GROUP BY item) m ON l.item IS NOT DISTINCT FROM m.item"""
     return q

@@ -18,15 +18,18 @@ from pyspark.sql import functions as F
 
 from ludex.functions.columns import PLAY, PURCHASE, rnd
 from ludex.operators import als as als_op
+from ludex.operators import classify, tuning
 from ludex.operators import evaluate as ev
 from ludex.operators import features as fe
 from ludex.operators import profile as pr
 from ludex.operators import recommend as rc
 from ludex.operators import similarity as si
-from ludex.operators.indexing import dense_index
+from ludex.operators.indexing import dense_index, extend_index
+from ludex.operators.lsh import lsh_cosine
 from ludex.operators.split import train_test, with_split
 from ludex.sources.adapters import basket_log, behaviour_log
-from ludex.sources.readers import read_table
+from ludex.session import shared_path
+from ludex.sources.readers import read_behaviour_lines, read_table
 
 CORR_COLUMNS = ["user_id", "item", "hours", "weight", "mean_hours", "rating"]
 # Means of hours with few decimals often end in a 5 at the seventh place, where
@@ -458,6 +461,106 @@ def q52_recommend_named(spark, d):
         "user_id", "rank", "item", "p_name", "score")
 
 
+# ------------------------------------------------- search, tuning, checks
+
+def q53_lsh_neighbours(spark, d):
+    """The five nearest items by whole-vector cosine, among LSH candidates."""
+    return si.top_k(lsh_cosine(rated(spark, d, "als"))).select(
+        "i1", "i2", rnd(F.col("similarity")).alias("similarity"), "rank")
+
+
+def q54_als_folds(spark, d):
+    """Rows of the folds of the model search."""
+    train, _ = knn_train_test(spark, d)
+    return tuning.fold_rows(train)
+
+
+def q55_als_tuning(spark, d):
+    """The model search: RMSE of every fold and parameters, and of the best ones
+    fitted on all train rows on the test rows (fold -1)."""
+    trials, _, best = tuning.search(rated(spark, d, "knn"))
+    return spark.createDataFrame([(t.fold, t.rank, t.reg, t.rmse, t.n) for t in [*trials, best]],
+                                 "fold int, rank int, reg double, rmse double, n bigint")
+
+
+def q56_behaviour_features(spark, d):
+    f = classify.sequence_features(log(spark, d))
+    return f.select("event_id", "behaviour", *[rnd(F.col(c)).alias(c) for c in classify.FEATURES])
+
+
+def q57_behaviour_confusion(spark, d):
+    return classify.confusion(log(spark, d))
+
+
+def paired_errors(train: DataFrame, test: DataFrame) -> DataFrame:
+    """Errors of the cosine and the Pearson model on the held-out rows that both
+    can score: rkey, cosine, pearson."""
+    cos = rc.neighbour_scores(train, cosine_neighbours(train)).select(
+        "user_id", "item", F.col("score").alias("_c"))
+    dev = rc.neighbour_scores(fe.centred(train), pearson_neighbours(train), value="deviation")
+    pea = dev.join(fe.user_means(train), "user_id").select(
+        "user_id", "item", (F.col("user_mean") + F.col("score")).alias("_p"))
+    both = test.join(cos, ["user_id", "item"]).join(pea, ["user_id", "item"])
+    return both.where("_c is not null and _p is not null").select(
+        "rkey", (F.col("_c") - F.col("rating")).alias("cosine"),
+        (F.col("_p") - F.col("rating")).alias("pearson"))
+
+
+def q58_model_difference(spark, d):
+    """Is the RMSE of cosine and Pearson really different? A paired bootstrap."""
+    found = ev.compare_rmse(paired_errors(*knn_train_test(spark, d)), "cosine", "pearson")
+    return found.select("n", *[rnd(F.col(c)).alias(c) for c in
+                               ("rmse_cosine", "rmse_pearson", "difference", "low", "high")], "differ")
+
+
+# Titles of parts sold before this day make the first load of q59.
+FIRST_LOAD = "1995-01-01"
+
+
+def q59_stable_codes(spark, d):
+    """Codes of item titles after a second load: those of the first load (parts
+    sold before FIRST_LOAD) stay, the others follow."""
+    title = F.concat_ws(" #", "p_name", F.col("p_partkey").cast("string")).alias("title")
+    parts = read_table(spark, d, "part").select("p_partkey", title)
+    sold = basket_log(spark, d).where(F.col("ts") < F.lit(FIRST_LOAD).cast("date")).select(
+        F.col("item").alias("p_partkey"))
+    first = dense_index(parts.join(sold, "p_partkey", "left_semi"), "title", "code")
+    return extend_index(first, parts, "title", "code")
+
+
+def q60_recommend_active(spark, d):
+    """q45 for the users found among those with a click: a semi join."""
+    active = read_table(spark, d, "events").where("event_type = 'click'").select("user_id").distinct()
+    return recommend(spark, d).join(active, "user_id", "left_semi")
+
+
+def q61_csv_rejects(spark, d):
+    """The events as behaviour CSV lines, of which those of other types are
+    broken in different ways, read back: lines per reason ('' if none)."""
+    e, kind = read_table(spark, d, "events"), F.col("event_type")
+    user = F.col("user_id").cast("string")
+    title = F.concat(F.lit('"item, '), F.get_json_object("props", "$.k"), F.lit('"'))
+    hours = F.when(kind == "view", F.col("value").cast("string")).otherwise("1.0")
+    what = F.when(kind == "view", F.lit("play")).otherwise(F.lit("purchase"))
+    comma = F.lit(",")
+    line = (F.when(kind == "error", F.concat(user, comma, title))
+            .when(kind == "click", F.concat(F.lit("u"), user, comma, title, comma, what, comma, hours))
+            .when(kind == "signup", F.concat(user, comma, title, F.lit(",joined,n/a,0")))
+            .otherwise(F.concat(user, comma, title, comma, what, comma, hours, F.lit(",0"))))
+    path = shared_path(spark, "lines")
+    e.select(F.coalesce(line, F.lit("")).alias("value")).write.text(path)
+    rows, rejects = read_behaviour_lines(spark, path)
+    return (rows.select(F.lit("").alias("reason")).unionByName(rejects.select("reason"))
+            .groupBy("reason").agg(F.count(F.lit(1)).alias("n")))
+
+
+def q62_median_fill(spark, d):
+    """Hours of purchases (no more than a mark in the log) replaced by the
+    median hours of the item's plays."""
+    filled = pr.fill_by_group(log(spark, d), "item", "hours", F.col("behaviour") == PLAY, "filled")
+    return filled.select("event_id", "item", "behaviour", "hours", "filled")
+
+
 QUERIES: dict[str, Query] = {
     name: fn for name, fn in sorted(globals().items())
     if name.startswith("q") and name[1:3].isdigit() and callable(fn)
@@ -465,4 +568,4 @@ QUERIES: dict[str, Query] = {
 
 # Queries without an SQL oracle (model fitting); checked on rows only.
 MODEL_QUERIES = {"q26_als_predict", "q27_als_rmse", "q28_als_topn", "q29_als_topn_named",
-                 "q47_als_rmse_log"}
+                 "q47_als_rmse_log", "q55_als_tuning", "q57_behaviour_confusion"}
