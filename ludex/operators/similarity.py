@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludex.functions.columns import rank_key, safe_div
+from ludex.operators.profile import exact_quantiles
 from ludex.session import shuffle_partitions, stage_table
 
 # Fixed value: damping added to the denominator of the centred similarity.
@@ -46,6 +47,10 @@ RANK_DIGITS = 9
 PAIR_SLICE_ITEMS = 2048
 
 
+# Share of the items that every item is compared with first (see top_k_bounded).
+HUB_SHARE = 1 / 16
+
+
 def cells(rows: DataFrame, value: str) -> DataFrame:
     """Per (user, item): n rows, sum and sum of squares of ``value``."""
     v = F.col(value).cast("double")
@@ -54,12 +59,14 @@ def cells(rows: DataFrame, value: str) -> DataFrame:
 
 
 def salted_self_join(c: DataFrame, left: list, right: list,
-                     slice_items: int = PAIR_SLICE_ITEMS, centre: bool = False) -> DataFrame:
+                     slice_items: int = PAIR_SLICE_ITEMS, centre: bool = False,
+                     keep: tuple = (None, None)) -> DataFrame:
     """Join the per-user table ``c`` (user_id, item, ...) with itself on the
     user, by pairs of slices (columns _a, _b); ``left`` / ``right`` are the
     column expressions kept per side. ``centre`` turns the sums of ``cells``
     into sums of deviations from the user's mean, which comes from the same
     per-user table, so a user's rows meet in no aggregate by user alone.
+    ``keep`` are conditions on the rows of either side.
 
     Eager: the cells and the table per user are written, so that AQE can split
     the rows of a hot user where the two are joined."""
@@ -77,9 +84,10 @@ def salted_self_join(c: DataFrame, left: list, right: list,
     parts = shuffle_partitions(c.sparkSession)
     own = F.pmod(F.xxhash64("item"), F.col("_k")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("_k") - F.lit(1)))
-    a = (cs.select("user_id", *left, own.alias("_a"), every.alias("_b"))
+    ls, rs = (cs if k is None else cs.where(k) for k in keep)
+    a = (ls.select("user_id", *left, own.alias("_a"), every.alias("_b"))
            .repartition(parts, "user_id", "_a", "_b"))
-    b = (cs.select("user_id", *right, own.alias("_b"), every.alias("_a"))
+    b = (rs.select("user_id", *right, own.alias("_b"), every.alias("_a"))
            .repartition(parts, "user_id", "_a", "_b"))
     return a.join(b, ["user_id", "_a", "_b"], "inner")
 
@@ -177,6 +185,75 @@ def top_k(sims: DataFrame, k: int = TOP_K, digits: int | None = RANK_DIGITS) ->
                 .withColumn("rank", F.col("rank").cast("bigint")))
 
 
+def top_k_bounded(ratings: DataFrame, kind: str = "cosine", k: int = TOP_K,
+                  share: float = HUB_SHARE) -> DataFrame:
+    """``top_k`` of ``co_rated_cosine`` (``kind`` 'cosine') or of the intended
+    ``damped_pearson`` ('pearson'), without summing pairs that cannot enter it.
+
+    1. The hubs are the ``share`` of the items with the least ids. The pairs of
+       every item with the hubs are summed; the item's k-th best of them is a
+       lower bound of its k-th similarity.
+    2. No similarity of an item exceeds its bound: 1 for the cosine, for the
+       damped one p / (p + damping) with p the root of its whole squared norm
+       times the largest one. An item whose bound is below its k-th best, or
+       equal to it (ties go to the least id, and the hubs have the least), is
+       closed: no other item can enter its list.
+    3. Of the other pairs, only those with an item that is not closed are made.
+
+    Columns i1, i2, similarity, rank. Eager: cells, hub sums and the items that
+    are not closed are written."""
+    if kind not in ("cosine", "pearson"):
+        raise ValueError(kind)
+    centre = kind == "pearson"
+    value = cosine_from_sums if kind == "cosine" else damped_from_sums
+    sums = [F.sum(F.col("q1") * F.col("n2")).alias("sx"), F.sum(F.col("n1") * F.col("q2")).alias("sy"),
+            F.sum(F.col("s1") * F.col("s2")).alias("sxy")]
+    held = stage_table(cells(ratings, "rating"), "cells")
+    if centre:  # deviations from the user's mean, from the table per user
+        means = stage_table(held.groupBy("user_id").agg(
+            (F.sum("s") / F.sum("n")).alias("_mu")), "means")
+        n, sm, q, mu = (F.col(x) for x in ("n", "s", "q", "_mu"))
+        held = stage_table(held.join(means, "user_id").select(
+            "user_id", "item", "n", (sm - n * mu).alias("s"),
+            (q - F.lit(2.0) * mu * sm + n * mu * mu).alias("q")), "cells")
+    last_hub = exact_quantiles(held.select("item").distinct(), "item", {"h": share}).scalar()
+    held = stage_table(held.withColumn("hub", F.col("item") <= last_hub), "cells")
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        sim = value(F.col("sx"), F.col("sy"), F.col("sxy"))
+        if centre:  # rounding noise of centred sums is no similarity
+            sim = F.when(F.abs(sim) < F.lit(1e-12), F.lit(0.0)).otherwise(sim)
+        return pairs.groupBy("i1", "i2").agg(*sums).select("i1", "i2", sim.alias("similarity"))
+
+    def met(left_rows, right_rows) -> DataFrame:
+        side = lambda x: [F.col("item").alias(f"i{x}"), "hub" if x == 1 else F.col("hub").alias("hub2"),
+                          *[F.col(c).alias(f"{c}{x}") for c in ("n", "s", "q")]]
+        return salted_self_join(held, side(1), side(2), keep=(left_rows, right_rows))
+
+    # With the hubs: every item as i1, so lists of hubs hold their pairs among hubs.
+    near = stage_table(similar(met(F.lit(True), F.col("hub")).where("i1 <> i2")), "hubs")
+    kth = top_k(near, k).where(F.col("rank") == k).select(
+        F.col("i1").alias("item"), rank_key(F.col("similarity"), RANK_DIGITS).alias("kth"))
+    norms = stage_table(held.groupBy("item").agg(F.sum("q").alias("x"), F.first("hub").alias("hub")),
+                        "norms")
+    bound = F.lit(1.0)
+    if centre:
+        root = F.sqrt(F.greatest(F.col("x"), F.lit(0.0)) * norms.select(F.max("x")).scalar())
+        # A little more than the true bound, for the rounding of the sums.
+        bound = root / (root + F.lit(DAMPING)) * F.lit(1 + 1e-9) + F.lit(1e-9)
+    shut = (norms.join(stage_table(kth, "kth"), "item")
+            .where(F.col("kth") >= rank_key(bound, RANK_DIGITS)).select("item"))
+    open_ = stage_table(norms.join(shut, "item", "left_anti").where("not hub")
+                        .select("item", F.lit(True).alias("open")), "open")
+    held = stage_table(held.join(open_, "item", "left")
+                       .withColumn("open", F.col("open").isNotNull()), "cells")
+    # Open items with those that are no hubs. Nothing else enters a list.
+    rest = similar(met(F.col("open"), ~F.col("hub")).where("i1 <> i2"))
+    back = near.where(F.col("i1") > last_hub).select(F.col("i2").alias("i1"),
+                                                     F.col("i1").alias("i2"), "similarity")
+    return top_k(near.unionByName(back).unionByName(rest), k)
+
+
 def utility_cells(ratings: DataFrame) -> DataFrame:
     """Sparse utility matrix: avg rating per (item, user), NULL ratings dropped."""
     r = ratings.filter(F.col("user_id").isNotNull() & F.col("item").isNotNull()

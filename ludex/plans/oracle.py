@@ -421,4 +421,8 @@ WHERE EXISTS (SELECT 1 FROM events e WHERE e.event_type = 'click' AND e.user_id
   CASE WHEN l.behaviour = 'play' AND l.hours IS NOT NULL THEN l.hours ELSE m.mid END AS filled
 FROM log l LEFT JOIN (SELECT item, quantile_disc(hours, 0.5) AS mid FROM log WHERE behaviour = 'play'
                       GROUP BY item) m ON l.item IS NOT DISTINCT FROM m.item"""
+    q["q63_basket_topk"] = with_(BASKET, RATED_BASKET, split("rbas"), COSINE, CENTRED, PEARSON) + f"""
+SELECT 'cosine' AS model, i1, i2, {R('similarity')} AS similarity, CAST(rank AS BIGINT) AS rank FROM cos_nn
+UNION ALL
+SELECT 'pearson' AS model, i1, i2, {R('similarity')} AS similarity, CAST(rank AS BIGINT) AS rank FROM pea_nn"""
     return q

@@ -561,6 +561,18 @@ def q62_median_fill(spark, d):
     return filled.select("event_id", "item", "behaviour", "hours", "filled")
 
 
+def q63_basket_topk(spark, d):
+    """Top-5 neighbours of both models on the basket, whose many sparse items
+    close early (see ``similarity.top_k_bounded``)."""
+    train, _ = train_test(rated_basket(spark, d))
+    out = None
+    for kind in ("cosine", "pearson"):
+        top = si.top_k_bounded(train, kind).select(
+            F.lit(kind).alias("model"), "i1", "i2", rnd(F.col("similarity")).alias("similarity"), "rank")
+        out = top if out is None else out.unionByName(top)
+    return out
+
+
 QUERIES: dict[str, Query] = {
     name: fn for name, fn in sorted(globals().items())
     if name.startswith("q") and name[1:3].isdigit() and callable(fn)

@@ -132,3 +132,28 @@ def test_salted_pairs_hot_user(spark):
     b = si.pair_rows(si.cells(df, "rating"), slice_items=10**9)
     assert a.count() == b.count() == 39 * 38 // 2 + 10 * 6
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.mark.parametrize("kind", ["cosine", "pearson"])
+def test_bounded_top_k_equals_top_k(spark, kind):
+    """Sparse items that close early, dense ones that stay open, zero ratings,
+    ties at 1, NULL users and items, a hot user."""
+    import random
+    rnd = random.Random(8)
+    rows = [(u, rnd.randint(0, 39), rnd.randint(0, 5)) for u in range(120) for _ in range(2)]
+    rows += [(u, 100 + rnd.randint(0, 9), rnd.randint(0, 5)) for u in range(60) for _ in range(6)]
+    rows += [(999, i, rnd.randint(1, 5)) for i in range(60)] + [(None, 3, 4), (5, None, 4)]
+    ratings = spark.createDataFrame(rows, "user_id bigint, item bigint, rating bigint")
+    plain = si.co_rated_cosine(ratings) if kind == "cosine" else si.damped_pearson(ratings)
+    want = {(r.i1, r.rank): (r.i2, round(r.similarity, 8)) for r in si.top_k(plain, 3).collect()}
+    for share in (0.02, 0.3, 1.0):
+        got = {(r.i1, r.rank): (r.i2, round(r.similarity, 8))
+               for r in si.top_k_bounded(ratings, kind, 3, share).collect()}
+        assert got == want, share
+
+
+def test_bounded_top_k_of_nothing(spark):
+    none = spark.createDataFrame([], "user_id bigint, item bigint, rating bigint")
+    assert si.top_k_bounded(none).count() == 0
+    with pytest.raises(ValueError):
+        si.top_k_bounded(none, "jaccard")
