@@ -41,6 +41,8 @@ BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2
 # A pair is dropped when its estimate is this far below the threshold: 6.5
 # standard deviations of an estimate from 240 registers at 0.85.
 SLACK = 0.15
+# Bands whose stars are confirmed first.
+FIRST_BANDS = 4
 # Shingles of a block in the comparison of nodes that stars left apart.
 BLOCK_SHINGLES = 1 << 16
 
@@ -256,9 +258,9 @@ def _grouped(docs: DataFrame, percent: int, size: int) -> DataFrame:
         F.first("n").alias("n"), F.first("sketch").alias("sketch"),
         F.min("doc_id").alias("low"), F.min("tk").alias("rep_tk"))
     width = 2 * ROWS
-    bands = nodes.select("fp", F.explode(F.array(*[
+    bands = nodes.select("fp", F.posexplode(F.array(*[
         F.xxhash64(F.lit(i), F.substring("sketch", i * width + 1, width))
-        for i in range(BANDS)])).alias("band"))
+        for i in range(BANDS)])).alias("nth", "band"))
     shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("met")).where("met > 1")
     buckets = stage_table(bands.join(shared, "band"), "buckets")
     weight = buckets.groupBy("fp").agg(F.sum("met").alias("weight"))
@@ -273,13 +275,24 @@ def _grouped(docs: DataFrame, percent: int, size: int) -> DataFrame:
         F.min(F.struct(F.xxhash64("fp", "band").alias("h"), "fp"))["fp"].alias("other"))
         .withColumn("other", F.when(F.pmod("band", F.lit(4)) == 0, F.col("other"))
                     .otherwise(F.col("centre"))))
-    stars = (buckets.join(hubs, "band")
-             .select("fp", F.explode(F.array("centre", "other")).alias("hub"))
-             .where("fp <> hub")
-             .select(F.least("fp", "hub").alias("a"), F.greatest("fp", "hub").alias("b"))
-             .distinct())
-    links = _confirm(stars, members, sets, percent)
-    first = connected_components(links)
+    stars = stage_table(buckets.join(hubs, "band")
+                        .select("nth", "fp", F.explode(F.array("centre", "other")).alias("hub"))
+                        .where("fp <> hub").groupBy("fp", "hub").agg(F.min("nth").alias("nth")),
+                        "stars")
+    ordered = [F.least("fp", "hub").alias("a"), F.greatest("fp", "hub").alias("b")]
+    early = _confirm(stars.where(F.col("nth") < FIRST_BANDS).select(*ordered).distinct(),
+                     members, sets, percent)
+    first = connected_components(early)
+    # Of the other bands, pairs of nodes that are still apart, one for each
+    # component among a node's hubs.
+    of = first.select(F.col("node").alias("fp"), F.col("comp").alias("mine"))
+    to = first.select(F.col("node").alias("hub"), F.col("comp").alias("its"))
+    apart = (stars.where(F.col("nth") >= FIRST_BANDS).join(of, "fp", "left").join(to, "hub", "left")
+             .withColumn("its", F.coalesce("its", "hub"))
+             .where(F.col("its") != F.coalesce("mine", "fp"))
+             .groupBy("fp", "its").agg(F.min("hub").alias("hub")))
+    late = _confirm(apart.select(*ordered).distinct(), members, sets, percent)
+    first = connected_components(early.unionByName(late))
 
     # Buckets whose nodes are not all in one component yet.
     placed = buckets.select("band", "fp").join(first.withColumnRenamed("node", "fp"), "fp", "left")
@@ -314,7 +327,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
        members only: the one whose bands meet the most nodes over all bands
        (the likely original) and, in a quarter of the buckets, a
        pseudo-random one. Links confirmed on full
-       sets make first components.
+       sets make first components: those of the first ``FIRST_BANDS`` bands,
+       then those of the others between nodes that are still apart.
     3. The nodes of buckets that still hold several components are compared
        on full sets, in pairs of blocks of bounded size; only links between
        different components are put out. Pairs inside a component cannot
