@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 # Text handled at once inside a task; larger Arrow batches are cut.
 CHUNK_BYTES = 2 << 20
 # Entries of a worker's word-hash table before it is started anew.
-WORD_CACHE = 400_000
+WORD_CACHE = 100_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
