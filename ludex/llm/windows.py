@@ -12,6 +12,8 @@ windows have equal representatives at equal offsets. So a window can only
 repeat when its representative gram is selected at two or more positions of
 the corpus. Selected positions are a few percent of all; they are counted
 first, and only the windows whose representative repeats are counted then.
+Documents whose words are all equal are repeated whole; one of them stands for
+the others where grams and windows are counted.
 """
 
 from __future__ import annotations
@@ -178,34 +180,55 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
         _first_pass(window, gram),
         f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, rk binary, n_words bigint, "
         "sha string, grams array<bigint>"), "grams")
-    grams = first.select("rk", F.explode("grams").alias("gram"))
-    repeated = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    wanted = (grams.join(repeated.select("gram"), "gram")
-              .groupBy("rk").agg(F.collect_set("gram").alias("grams")))
+    # Documents of one word sequence go whole; one of them stands for all below,
+    # and whatever it holds is repeated already.
+    copies = stage_table(first.where(F.col("n_words") >= window).groupBy("sha")
+                         .agg(F.count(F.lit(1)).alias("n"), F.min("rk").alias("lead"))
+                         .where("n > 1").select("sha", "lead"), "copies")
+    marked = first.join(copies, "sha", "left")
+    grams = marked.where("lead is null or rk = lead").select(
+        "rk", F.col("lead").isNotNull().alias("copied"), F.explode("grams").alias("gram"))
+    weight = F.sum(F.when(F.col("copied"), 2).otherwise(1)).alias("n")
+    repeated = stage_table(grams.groupBy("gram").agg(weight).where("n > 1").select("gram"),
+                           "repeated")
+    wanted = (grams.join(repeated, "gram")
+              .groupBy("rk", "copied").agg(F.collect_set("gram").alias("grams")))
     # Rows are numbered as they are written; a place is 32 more bits of the
     # window's hash and the start, in one number, to keep the counted rows short.
-    held = docs.join(wanted, "rk").select(F.monotonically_increasing_id().alias("row"), "rk",
-                                          "text", "grams")
+    # Rows that stand for copies have odd numbers.
+    held = docs.join(wanted, "rk").select(
+        (F.monotonically_increasing_id() * 2 + F.col("copied").cast("int")).alias("row"), "rk",
+        "text", "grams")
     found = stage_table(held.mapInArrow(
         _window_rows(window, gram), "row bigint, rk binary, text string, hashes array<bigint>, "
         "places array<bigint>"), "windows")
     places = found.select("row", F.explode(F.arrays_zip("hashes", "places")).alias("w"))
     places = places.select("row", F.col("w.hashes").alias("hash"), F.col("w.places").alias("place"))
     extra = F.shiftright("place", 32)
-    twice = (places.groupBy("hash", extra.alias("extra")).agg(F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select(F.col("hash").alias("h"), "extra"))
-    starts = (places.join(twice, (F.col("hash") == F.col("h")) & (extra == F.col("extra")))
+    odd = F.col("row").bitwiseAND(1)
+    twice = stage_table(places.groupBy("hash", extra.alias("extra")).agg(F.sum(odd + 1).alias("n"))
+                        .where("n > 1").select(F.col("hash").alias("h"), "extra"), "twice")
+    starts = (places.where(odd == 0)
+              .join(twice, (F.col("hash") == F.col("h")) & (extra == F.col("extra")))
               .groupBy("row").agg(F.collect_set(F.col("place").bitwiseAND(0xFFFFFFFF).cast("int"))
                                   .alias("starts")))
     changed = (found.select("row", "rk", "text").join(starts, "row").select("rk", "text", "starts")
                .mapInArrow(_removal(window, with_text),
                            "rk binary, n_removed bigint, sha_kept string, kept_text string, "
                            "spans array<int>").dropDuplicates(["rk"]))
-    out = first.select("doc_id", "rk", "n_words", "sha").join(changed, "rk", "left")
-    columns = ["doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"),
-               F.coalesce("sha_kept", "sha").alias("kept_sha256"),
-               F.coalesce("spans", F.array().cast("array<int>")).alias("removed")]
-    return out.select(*columns, *(["kept_text"] if with_text else []))
+    out = marked.select("doc_id", "rk", "n_words", "sha", F.col("lead").isNotNull().alias("copied")) \
+        .join(changed, "rk", "left")
+
+    def whole(value, other):
+        return F.when(F.col("copied"), value).otherwise(other)
+
+    columns = ["doc_id", "n_words",
+               whole(F.col("n_words"), F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
+               whole(F.sha2(F.lit(""), 256), F.coalesce("sha_kept", "sha")).alias("kept_sha256"),
+               whole(F.array(F.lit(0), F.col("n_words").cast("int")),
+                     F.coalesce("spans", F.array().cast("array<int>"))).alias("removed")]
+    return out.select(*columns, *([whole(F.lit(""), F.col("kept_text")).alias("kept_text")]
+                                  if with_text else []))
 
 
 def op7_substring_dedup(spark, sf_dir: str) -> DataFrame:
