@@ -15,7 +15,7 @@ from ludex.llm.mixing import mixed_docs
 from ludex.llm.quality import keep_good
 from ludex.llm.setsketch import keep_one_per_group
 from ludex.llm.tokens import default_tokenizer, token_output
-from ludex.session import stage_table
+from ludex.session import stage_only
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -60,5 +60,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each but the last written and reread."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stage_table(stage(spark, docs, sf_dir), name)
+        # What a stage wrote on its way goes once its result is written.
+        docs = stage_only(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
