@@ -8,7 +8,7 @@ from ludex.llm import setsketch, tokens
 def test_registered():
     names = entry.queries()
     assert "pipeline" in names
-    assert sum(n.startswith("op") for n in names) == 10
+    assert sum(n.startswith("op") for n in names) == 13
 
 
 def test_stages(spark, sf_small):
