@@ -51,7 +51,8 @@ class Encoder:
     space or line break between other characters, and between a letter or digit
     and a mark. The parts between such places are coded independently, so their
     ids can be kept by part and looked up. A text in which white space touches
-    white space is encoded whole."""
+    white space, or that holds an added token (which then gets its own id), is
+    encoded whole."""
 
     def __init__(self, path: str):
         # Tasks run side by side already; threads would only cost memory.
@@ -59,11 +60,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             split = json.load(f).get("pre_tokenizer") or {}
         self.by_part = (split.get("type") == "ByteLevel" and split.get("use_regex", True)
                         and not split.get("add_prefix_space"))
+        # The tokenizer finds added tokens such as <|endoftext|> anywhere in a text.
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
+        self.by_part = self.by_part and not any(_ANY_BLANK.search(t) for t in added)
         (self.line_break,) = self.tokenizer.encode("\n").ids if self.by_part else (None,)
         self.parts: dict[str, bytes] = {}
 
@@ -105,7 +109,7 @@ class Encoder:
         """The ids of each text, with ``end_id`` at its end."""
         cut: list[list[str] | None] = []
         for text in texts:
-            odd = not self.by_part or _ODD_SPACE.search(text)
+            odd = not self.by_part or _ODD_SPACE.search(text) or self.added.search(text)
             cut.append(None if odd else
                        text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00"))
         known = self.parts

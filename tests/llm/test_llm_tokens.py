@@ -90,3 +90,15 @@ def test_documents(spark, encoder, edge_docs, edge_rows, no_docs):
         start += r["n_tokens"]
     assert spark.read.parquet(path).count() > 1  # several frames
     assert tk.token_output(no_docs, tk.default_tokenizer()).count() == 0
+
+
+def test_added_tokens_in_texts_are_coded_as_the_tokenizer_does():
+    from tokenizers import Tokenizer
+    path = tk.default_tokenizer()
+    plain, encoder = Tokenizer.from_file(path), tk.Encoder(path)
+    added = [t.content for t in plain.get_added_tokens_decoder().values()]
+    texts = [f"{a}b {t} c{t}{t}\nd {t}" for t in added for a in ("", "x ", "x")]
+    texts += ["<|endoftext|>", "a <|endoftext|> b", "end<|endoftext|", "a b c", *added]
+    for text in (texts, texts[::-1]):
+        got = [g.tolist() for g in encoder.encode(text, 2)]
+        assert got == [[*plain.encode(t, add_special_tokens=False).ids, 2] for t in text]
