@@ -1,7 +1,9 @@
+import functools
 import hashlib
+import itertools
 import math
+import random
 import re
-from collections import defaultdict
 
 import pytest
 
@@ -53,33 +55,56 @@ def test_base_spans_of_random_texts():
     check()
 
 
-def brute(rows, threshold=pii.THRESHOLD, support=pii.SUPPORT):
-    """{row number: terms} by the definition, over all documents."""
-    n = len(rows)
-    spans = [pii.base_spans(t or "") for _, t in rows]
-    near = [pii.mentions(t or "", s) for (_, t), s in zip(rows, spans, strict=True)]
-    df_entity, df_both, df_term = defaultdict(set), defaultdict(set), defaultdict(set)
-    for i, (_, t) in enumerate(rows):
-        for w in pii._WORD.findall(t or ""):
-            df_term[w.lower()].add(i)
-            df_term[pii.term_class(w)].add(i)
-        for e, w, c, _, _ in near[i]:
-            df_entity[e].add(i)
-            df_both[e, w].add(i)
-            df_both[e, c].add(i)
+def classed(word):
+    return "<number>" if any(c.isdigit() for c in word) else \
+        "<name>" if word[0].isupper() else "<word>"
+
+
+def words(text):
+    """(start, end, word) of the runs of letters and digits."""
+    found, at = [], 0
+    for is_word, run in itertools.groupby(text, str.isalnum):
+        run = "".join(run)
+        if is_word:
+            found.append((at, at + len(run), run))
+        at += len(run)
+    return found
+
+
+def entities(text):
+    """The protected values of a text: lower case, digits of cards and phones."""
+    found = set()
+    for a, b, kind in plain(text):
+        value = text[a:b].lower()
+        found.add((kind, re.sub("[^0-9]", "", value) if kind in ("card", "phone") else value))
+    return found
+
+
+def brute(rows, threshold=0.85, support=3):
+    """The spans and terms of every document by the definition: all pairs of
+    an entity and a term of one document, counted over all documents."""
+    texts = [t or "" for _, t in rows]
+    spans = [plain(t) for t in texts]
+    names = [entities(t) for t in texts]
+    terms = [{w.lower() for *_, w in words(t)} | {classed(w) for *_, w in words(t)} for t in texts]
 
     def tells(e, t):
-        both, ic = len(df_both[e, t]), -math.log2(len(df_entity[e]) / n)
-        return both >= support and ic > 0 and \
-            1 + math.log2(both / len(df_term[t])) / ic >= threshold
-
-    out = []
-    for i in range(n):
-        terms = {}
-        for e, w, c, a, b in near[i]:
-            if tells(e, w):
-                terms[a, b] = "" if terms.get((a, b)) == "" or tells(e, c) else c
-        out.append(sorted((a, b, to) for (a, b), to in terms.items()))
+        p = sum(e in have for have in names) / len(rows)
+        if p == 1:
+            return False
+        both = sum(e in have and t in told for have, told in zip(names, terms, strict=True))
+        alone, k = sum(t in told for told in terms), math.log(support)
+        return 1 + math.log2((both + k * p) / (alone + k)) / -math.log2(p) >= threshold
+
+    tells, out = functools.cache(tells), []
+    for text, found, here in zip(texts, spans, names, strict=True):
+        marked = []
+        for a, b, w in words(text) if here else ():
+            by = [e for e in here if tells(e, w.lower())]
+            if by and not any(a < end and start < b for start, end, _ in found):
+                gone = any(tells(e, classed(w)) for e in by)
+                marked.append((a, b, "" if gone else classed(w)))
+        out.append(marked)
     return spans, out
 
 
@@ -140,3 +165,33 @@ def test_rare_entities_have_terms(make_docs):
     # One document is little in a small corpus.
     out = {r["doc_id"]: r["text"] for r in pii.sanitise(make_docs(data[:20])).collect()}
     assert "Zorbian" in out[1]
+
+
+def test_random_corpora_against_the_definition(make_docs):
+    rnd = random.Random(5)
+    some = 0
+    for n, threshold, support in ((30, 0.85, 3), (300, 0.85, 3), (120, 0.5, 1), (120, 1.0, 1)):
+        data = []
+        for i in range(n):
+            text = [rnd.choice(["alpha", "beta", "Gamma9", "7", "the", "The", f"Rare{rnd.randint(0, n)}"])
+                    for _ in range(rnd.randint(0, 12))]
+            for _ in range(rnd.choice([0, 0, 0, 1, 3])):
+                text.insert(0, f"u{rnd.randint(0, n // 8)}@corp.example")
+            data += [(i, " ".join(text))] * rnd.choice([1, 1, 1, 2])
+        spans, terms = brute(data, threshold, support)
+        want = sorted((i, repr(s), repr(t)) for (i, _), s, t in zip(data, spans, terms, strict=True))
+        got = sorted((r["doc_id"], repr([(s["start"], s["end"], s["kind"]) for s in r["base"]]),
+                      repr([(t["start"], t["end"], t["to"]) for t in r["terms"]]))
+                     for r in pii.find(make_docs(data), threshold, support).collect())
+        assert got == want
+        some += sum(map(len, terms))
+    assert some
+
+
+def test_a_list_of_addresses_is_one_group(make_docs):
+    """Entities of the same documents meet the words of their documents once."""
+    addresses = " ".join(f"u{i}@corp.example" for i in range(2000))
+    data = [(1, addresses + " " + " ".join(f"Only{i}" for i in range(2000)))]
+    data += [(10 + i, "plain words of prose") for i in range(600)]
+    out = {r["doc_id"]: r["terms"] for r in pii.find(make_docs(data)).collect()}
+    assert len(out[1]) == 2000 and not any(out[i] for i in out if i != 1)
