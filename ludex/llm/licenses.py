@@ -4,10 +4,13 @@ Candidate blocks of a document (words that speak of licences, with as many words
 on either side as the longest template has) are compressed with zstandard
 twice: plainly, and with the wording of a template as raw dictionary. The less
 is left of a block given a template, the more of its wording comes from it.
-Templates are ranked by that size reduction; the first one in rank whose wording
-differs from the block by few words, none of them a word that tells licences
-apart, is confirmed, with the differences. Its words are taken out of the block
-and the rest is judged again, until no template is confirmed.
+Templates are ranked by that size reduction, those that save nothing are out;
+the first one in rank whose wording differs from the block by few words, none of
+them a word that tells licences apart, is confirmed, with the differences. So of
+two wordings that both are there, one being part of the other (BSD with two and
+with three clauses), the one that explains more of the block is found. Its words
+are taken out of the block and the rest is judged again, until no template is
+confirmed.
 """
 
 from __future__ import annotations
@@ -55,6 +58,7 @@ TEMPLATES = [
      'in writing, software distributed under the License is distributed on an "AS IS" BASIS, '
      "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
     ("MIT", "Released under the MIT License."),
+    ("MIT", "Licensed under the MIT License."),
     ("MIT",
      "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
      'software and associated documentation files (the "Software"), to deal in the Software '
@@ -72,12 +76,36 @@ TEMPLATES = [
      "disclaimer. Redistributions in binary form must reproduce the above copyright notice, this "
      "list of conditions and the following disclaimer in the documentation and/or other "
      "materials provided with the distribution."),
+    ("BSD-3-Clause",
+     "Redistribution and use in source and binary forms, with or without modification, are "
+     "permitted provided that the following conditions are met: Redistributions of source code "
+     "must retain the above copyright notice, this list of conditions and the following "
+     "disclaimer. Redistributions in binary form must reproduce the above copyright notice, this "
+     "list of conditions and the following disclaimer in the documentation and/or other "
+     "materials provided with the distribution. Neither the name of the copyright holder nor the "
+     "names of its contributors may be used to endorse or promote products derived from this "
+     "software without specific prior written permission."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
-    ("GPL-3.0",
+    ("GPL-3.0-or-later",
      "This program is free software: you can redistribute it and/or modify it under the terms of "
      "the GNU General Public License as published by the Free Software Foundation, either version "
      "3 of the License, or (at your option) any later version."),
+    ("GPL-2.0-or-later",
+     "This program is free software; you can redistribute it and/or modify it under the terms of "
+     "the GNU General Public License as published by the Free Software Foundation; either version "
+     "2 of the License, or (at your option) any later version."),
+    ("GPL-2.0",
+     "This program is free software; you can redistribute it and/or modify it under the terms of "
+     "the GNU General Public License version 2 as published by the Free Software Foundation."),
+    ("LGPL-2.1-or-later",
+     "This library is free software; you can redistribute it and/or modify it under the terms of "
+     "the GNU Lesser General Public License as published by the Free Software Foundation; either "
+     "version 2.1 of the License, or (at your option) any later version."),
+    ("AGPL-3.0-or-later",
+     "This program is free software: you can redistribute it and/or modify it under the terms of "
+     "the GNU Affero General Public License as published by the Free Software Foundation, either "
+     "version 3 of the License, or (at your option) any later version."),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("MPL-2.0",
@@ -99,12 +127,25 @@ TEMPLATES = [
     ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal."),
     ("Unlicense",
      "This is free and unencumbered software released into the public domain."),
+    ("EPL-2.0",
+     "This program and the accompanying materials are made available under the terms of the "
+     "Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
 ]
+# Identifiers that are found in SPDX lines.
+SPDX_IDS = ["0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause",
+            "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "EPL-2.0",
+            "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "ISC",
+            "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MIT",
+            "MPL-2.0", "Unlicense"]
+TEMPLATES += [(name, f"SPDX-License-Identifier: {name}") for name in SPDX_IDS]
 
 _WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 # Numbers of list items: after the start, a mark or "and" / "or", before a blank.
 _ITEM = re.compile(r"(?:\A|[.:;]|[;,]\s*(?:and|or)\b)[\s*/#>;%-]*"
                    r"(\(?[0-9]{1,2}[.)]|\(?[A-Za-z]\))(?=[ \t])")
+# The (first) identifier of an SPDX line, which is one word.
+_SPDX = re.compile(r"(?i:license-identifier):[\s*/#>;%(-]*([A-Za-z0-9](?:[A-Za-z0-9.+-]*[A-Za-z0-9+])?)")
 # Triggers; those of two words may be parted by a line break (and comment signs).
 _BREAK = r"(?: |[ \t\r]*\n[\s*/#>;%-]*)"
 _TRIGGER = re.compile("|".join(_BREAK.join(map(re.escape, t.split(" "))) for t in TRIGGERS),
@@ -114,10 +155,21 @@ _BROKEN = re.compile("|".join((_BREAK.join(map(re.escape, t.split(" ")))) for t
 
 
 def word_spans(text: str) -> list[tuple[str, int, int]]:
-    """(word in lower case, start, end), without the numbers of list items."""
+    """(word in lower case, start, end), without the numbers of list items; an
+    SPDX identifier is one word."""
     items = {m.start(1) + m[1].startswith("(") for m in _ITEM.finditer(text)}
-    return [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text)
-            if m.start() not in items]
+    words = [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text)
+             if m.start() not in items]
+    ids = {m.start(1): m for m in _SPDX.finditer(text)}
+    if not ids:
+        return words
+    out: list[tuple[str, int, int]] = []
+    for w, a, b in words:
+        if a in ids:
+            out.append((ids[a][1].lower(), *ids[a].span(1)))
+        elif not out or a >= out[-1][2]:
+            out.append((w, a, b))
+    return out
 
 
 def words_of(text: str) -> list[str]:
@@ -252,13 +304,10 @@ class Scanner:
     def confirmed(self, block: list[str], limit: int) -> tuple | None:
         """(first, end word, licence, reduction, rank, differences) of the first
         template in rank that is confirmed."""
-        bag = Counter(block)
-        # A template with too few of its words in the block cannot be confirmed.
-        likely = {i for i, words in enumerate(self.bags)
-                  if words.total() - (bag & words).total()
-                  <= self.max_difference * words.total()}
-        for rank, (gain, i) in enumerate(self.reductions(block) if likely else [], 1):
-            place = self.aligned(i, block, limit) if i in likely else None
+        for rank, (gain, i) in enumerate(self.reductions(block), 1):
+            if gain <= 0:
+                break
+            place = self.aligned(i, block, limit)
             if place:
                 return *place[:2], self.templates[i][0], round(gain, 4), rank, place[2]
         return None
@@ -329,7 +378,7 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None
                  max_difference: float = MAX_DIFFERENCE) -> DataFrame:
     """``docs`` (doc_id, text) -> one row per document: doc_id and findings,
     one for each confirmed notice, and for each mention outside of them
-    (``unknown``), in order: license, first_line, last_line, reduction (share of the compressed
+    (``unknown``), in order (of an SPDX expression the first identifier counts): license, first_line, last_line, reduction (share of the compressed
     size), rank of the winner, differences in wording. No shuffle.
 
     Cases: NULL and empty texts have no findings. Templates of one reduction

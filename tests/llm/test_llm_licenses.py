@@ -78,3 +78,70 @@ def test_several_notices_in_one_block():
     scanner = li.Scanner()
     every = [f[2] for f in scanner.scan("\n".join(w for _, w in li.TEMPLATES))]
     assert every == [n for n, _ in li.TEMPLATES]
+
+
+LONG = {n: w for n, w in li.TEMPLATES if len(w) > 200}
+PROSE = ["The copyright of nothing is told here.", "Some plain words.", "It comes without warranty",
+         "To redistribute software in source and binary form is allowed.", "version 2 or 3 of it"]
+
+
+def found(text, kind=li.Scanner):
+    return [f[2] for f in kind().scan(text) if f[2] != "unknown"]
+
+
+class InOrder(li.Scanner):
+    """Templates in their order instead of by size reduction."""
+
+    def reductions(self, words):
+        return [(1.0, i) for i in range(len(self.templates))]
+
+
+class Exhaustive(li.Scanner):
+    """Without compression: of all templates that are confirmed, the one with
+    the most words in the block wins."""
+
+    def reductions(self, words):
+        def fits(i):
+            place = self.aligned(i, words, len(words))
+            return place[1] - place[0] if place else 0
+        return sorted(((1.0 + fits(i), i) for i in range(len(self.templates))),
+                      key=lambda g: (-g[0], g[1]))
+
+
+def test_compression_decides_between_wordings():
+    bsd3, apache = LONG["BSD-3-Clause"], LONG["Apache-2.0"]
+    assert found(bsd3) == ["BSD-3-Clause"] and found(bsd3, InOrder) == ["BSD-2-Clause"]
+    assert len(li.Scanner().scan(apache)) == 1
+    assert found(LONG["BSD-2-Clause"]) == ["BSD-2-Clause"]
+
+
+def test_every_template_against_the_exhaustive_scan():
+    import random
+    rnd = random.Random(3)
+    some = 0
+    for _ in range(40):
+        parts = []
+        for name, wording in rnd.sample(li.TEMPLATES, 4):
+            words = wording.split(" ")
+            for _ in range(rnd.choice([0, 0, len(words) // 20, len(words) // 5])):
+                words[rnd.randrange(len(words))] = rnd.choice(["other", "", "wholly new"])
+            parts += [" ".join(words), *rnd.sample(PROSE, rnd.randint(0, 2))]
+        text = rnd.choice(["\n", "\n\n\n\n\n", ". "]).join(parts)
+        assert found(text) == found(text, Exhaustive), text
+        some += len(found(text))
+    assert some > 60
+
+
+@pytest.mark.parametrize("text,names", [
+    ("/* SPDX-License-Identifier: GPL-2.0-only */", ["GPL-2.0-only"]),
+    ("# SPDX-License-Identifier: MIT", ["MIT"]), ("SPDX-License-Identifier: MIT-0", []),
+    ("SPDX-License-Identifier: (MIT OR Apache-2.0)", ["MIT"]),
+    ("SPDX-License-Identifier: BSD-3-Clause-Clear", []),
+    ("SPDX-License-Identifier: GPL-2.0-or-later.", ["GPL-2.0-or-later"]),
+    ("Licensed under the MIT license.", ["MIT"]),
+    (LONG["GPL-2.0-or-later"].replace("; either version 2 ", ", either version 3 "),
+     ["GPL-3.0-or-later"]),
+    (LONG["LGPL-2.1-or-later"], ["LGPL-2.1-or-later"]),
+    (LONG["LGPL-2.1-or-later"].replace("2.1", "2.2"), [])])
+def test_versions_and_identifiers(text, names):
+    assert found(text) == names
