@@ -206,8 +206,17 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     quality and the worst toxicity count. With labels of one domain or none,
     all documents are of one domain. Equal rows have one rate, each. Other
     columns are ignored. An empty table gives an empty table."""
+    return mix_with_totals(docs, labels, targets, budget, max_labelled)[0]
+
+
+def mix_with_totals(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None,
+                    budget: float = BUDGET,
+                    max_labelled: int = MAX_LABELLED) -> tuple[DataFrame, dict[str, float]]:
+    """``mix`` and the expected token total of each domain that its rates reach,
+    as shares of the corpus' tokens (targets that no nonnegative rates meet are
+    met as nearly as the least squares allow)."""
     post, domains = posteriors(docs, labels, max_labelled)
-    rated, _ = fit_rates(post, domains, targets, budget)
+    rated, reached = fit_rates(post, domains, targets, budget)
     best = F.greatest(*[F.col(f"p{i}") for i in range(len(domains))]) if len(domains) > 1 \
         else F.col("p0")
     domain = F.lit(domains[0])
@@ -217,7 +226,7 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     return rated.select(
         "doc_id", "rk", "n_tokens", domain.alias("domain"), best.alias("p_domain"), "rate",
         (F.floor("rate") + F.when(chance < F.col("rate") - F.floor("rate"), 1).otherwise(0))
-        .cast("bigint").alias("copies"))
+        .cast("bigint").alias("copies")), dict(zip(domains, reached, strict=True))
 
 
 def mixed_docs(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None,

@@ -93,3 +93,47 @@ def test_domains_without_documents(skewed):
 def test_quotas():
     assert mx._quotas({"a": 3, "b": 1000, "c": 1000}, 41) == {"a": 3, "b": 19, "c": 19}
     assert mx._quotas({"a": 3, "b": 5}, 100) == {"a": 3, "b": 5}
+
+
+def least_squares(tokens, p, goal, rounds=20000):
+    """Domain totals of the nonnegative least squares, by plain projected
+    gradient on the documents until it stands still."""
+    import numpy as np
+
+    share = tokens / tokens.sum()
+    sizes = share @ p
+    rate = np.ones(len(tokens))
+    for _ in range(rounds):
+        error = (share * rate) @ p - goal
+        rate = np.maximum(0.0, rate - p @ (error / sizes))
+    return (share * rate) @ p
+
+
+@pytest.mark.parametrize("targets", [
+    None, {"bad": 0.5, "bad_toxic": 0.1, "good": 0.3, "good_toxic": 0.1},
+    {"bad": 0.0, "bad_toxic": 0.0, "good": 1.0, "good_toxic": 0.0}])
+def test_rates_against_least_squares(spark, fitted, targets):
+    import numpy as np
+
+    post, domains = fitted
+    rows = post.toPandas()
+    p = rows[[f"p{i}" for i in range(len(domains))]].to_numpy()
+    tokens = rows["n_tokens"].to_numpy(float)
+    sizes = list((tokens / tokens.sum()) @ p)
+    goal = mx.BUDGET * np.array(mx.target_shares(domains, sizes, targets))
+    _, got = mx.fit_rates(post, domains, targets)
+    assert got == pytest.approx(least_squares(tokens, p, goal), abs=5e-3)
+
+
+@pytest.fixture(scope="module")
+def fitted(spark, sf_small):
+    docs, labels = (spark.read.parquet(f"{sf_small}/{t}.parquet") for t in ("documents", "labels"))
+    return mx.posteriors(docs, labels)
+
+
+def test_reached_totals(skewed):
+    targets = {"good": 0.7, "bad": 0.3}
+    rows, reached = mx.mix_with_totals(*skewed, targets, budget=0.9)
+    assert reached["good"] == pytest.approx(0.63, abs=5e-3)
+    assert reached["bad"] == pytest.approx(0.27, abs=5e-3)
+    assert rows.count() == 2003

@@ -81,3 +81,71 @@ def test_edges(edge_docs, edge_rows, no_docs):
     assert kept.columns == edge_docs.columns
     assert all(r["rk"] == "x" and r["_lx_rk"] == "k" for r in kept.collect())
     assert qu.keep_good(no_docs).count() == 0
+
+
+def plain_votes(text):
+    """The eight votes of a document, from its text."""
+    import unicodedata
+
+    text = text or ""
+    n_words, word_chars, n_symbols, n_dup_lines, n_repeat = brute(text)
+    words, lines = WORD.findall(text), [x for x in text.split("\n") if WORD.search(x)]
+    kinds = [unicodedata.category(c) for c in text]
+    letters, upper = sum(k[0] == "L" for k in kinds), kinds.count("Lu")
+    given = [(n_symbols, n_words, None, 0.10), (text.count("|"), n_words, None, 0.15),
+             (word_chars - letters, word_chars, 0.06, 0.12), (upper, letters, None, 0.40),
+             (sum(c in "!?.,;:" for c in text), n_words, None, 0.80),
+             (n_repeat, n_words, None, 0.30), (n_dup_lines, len(lines), None, 0.30),
+             (n_words - len(set(words)), n_words, None, 0.85)]
+    return [0 if not whole else -1 if part / whole >= bad else
+            1 if good is not None and part / whole <= good else 0
+            for part, whole, good, bad in given]
+
+
+def plain_em(votes, rounds=30):
+    """P(good) per document by expectation-maximisation over the documents
+    themselves; returns a scorer."""
+    import numpy as np
+
+    v = np.array(votes)
+    prior = {1: (0.4, 0.1), -1: (0.1, 0.4)}
+    p_good = 0.8
+    p = {(j, x): prior[x] for j in range(8) for x in prior}
+
+    def score(v):
+        total = np.full(len(v), np.log(p_good / (1 - p_good)))
+        for j in range(8):
+            up, down = p[j, 1], p[j, -1]
+            none = [1 - up[k] - down[k] for k in (0, 1)]
+            for x, (a, b) in ((1, up), (-1, down), (0, none)):
+                total[v[:, j] == x] += np.log(a / b)
+        return 1 / (1 + np.exp(-total))
+
+    for _ in range(rounds):
+        g = score(v)
+        was = [p_good, *(x for k in p.values() for x in k)]
+        new = {}
+        for j, x in p:
+            at = v[:, j] == x
+            new[j, x] = ((g[at].sum() + 20 * prior[x][0]) / (g.sum() + 20),
+                         ((1 - g[at]).sum() + 20 * prior[x][1]) / ((1 - g).sum() + 20))
+        p_good, p = (g.sum() + 16) / (len(v) + 20), new
+        if max(abs(a - b) for a, b in zip(was, [p_good, *(x for k in p.values() for x in k)],
+                                          strict=True)) < 1e-5:
+            break
+    return score
+
+
+def test_verdict_against_brute_force(spark, sf_small):
+    import numpy as np
+
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    given = {i: plain_votes(t) for i, t in texts.items()}
+    score = plain_em([v for i, v in given.items() if brute(texts[i])[0] >= 50])
+    rows = qu.op10_quality_rules(spark, sf_small).collect()
+    want = score(np.array([given[r["doc_id"]] for r in rows]))
+    assert [r["p_good"] for r in rows] == pytest.approx(list(want), abs=1e-6)
+    assert [r["kept"] for r in rows] == [not r["base_failed"] and w >= 0.5
+                                         for r, w in zip(rows, want, strict=True)]
+    assert len({r["kept"] for r in rows if not r["base_failed"]}) == 2
