@@ -425,4 +425,23 @@ FROM log l LEFT JOIN (SELECT item, quantile_disc(hours, 0.5) AS mid FROM log WHE
 SELECT 'cosine' AS model, i1, i2, {R('similarity')} AS similarity, CAST(rank AS BIGINT) AS rank FROM cos_nn
 UNION ALL
 SELECT 'pearson' AS model, i1, i2, {R('similarity')} AS similarity, CAST(rank AS BIGINT) AS rank FROM pea_nn"""
+    q["q64_owned_bitmaps"] = with_(LOG) + """, coded AS (
+  SELECT DISTINCT user_id, dense_rank() OVER (ORDER BY item) - 1 AS code
+  FROM log WHERE item IS NOT NULL),
+word AS (
+  SELECT user_id, code // 32768 AS chunk, code % 32768 // 64 AS w, count(*) AS n,
+         bit_or(CAST(1 AS UBIGINT) << CAST(code % 64 AS UBIGINT)) AS bits
+  FROM coded WHERE user_id IS NOT NULL GROUP BY ALL)
+SELECT user_id, CAST(chunk AS BIGINT) AS chunk, CAST(sum(n) AS BIGINT) AS n_items, count(*) AS n_words,
+       string_agg(w || ':' || to_hex(bits), ',' ORDER BY w) AS words
+FROM word GROUP BY user_id, chunk"""
+    q["q65_recommend_bitmaps"] = q["q45_recommend"]
+    q["q66_bought_and_played"] = with_(LOG) + """, have AS (
+  SELECT user_id, item, count(*) FILTER (behaviour = 'purchase') AS b,
+         count(*) FILTER (behaviour = 'play') AS p
+  FROM log WHERE user_id IS NOT NULL AND item IS NOT NULL GROUP BY user_id, item)
+SELECT user_id, count(*) FILTER (b > 0) AS n_bought, count(*) FILTER (p > 0) AS n_played,
+       count(*) FILTER (b > 0 AND p > 0) AS n_both,
+       CAST(coalesce(sum(b) FILTER (p > 0), 0) AS BIGINT) AS n_lines
+FROM have GROUP BY user_id"""
     return q

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ludex.functions.columns import PLAY, PURCHASE, rnd
 from ludex.operators import als as als_op
+from ludex.operators import bitmaps as bm
 from ludex.operators import classify, tuning
 from ludex.operators import evaluate as ev
 from ludex.operators import features as fe
@@ -573,6 +574,43 @@ def q63_basket_topk(spark, d):
     return out
 
 
+def q64_owned_bitmaps(spark, d):
+    """What each user has in the log as bitmaps of item codes: per chunk its
+    items, its non-empty words and these (number:hexadecimal bits)."""
+    lg = log(spark, d)
+    held = bm.bitmaps(lg, dense_index(lg, "item"))
+    words = F.transform(F.array_sort(F.map_entries("words")), lambda w: F.concat_ws(
+        ":", w["key"].cast("string"), F.hex(w["value"])))
+    return held.select("user_id", "chunk", bm.size(F.col("words")).alias("n_items"),
+                       F.size("words").cast("bigint").alias("n_words"),
+                       F.array_join(words, ",").alias("words"))
+
+
+def q65_recommend_bitmaps(spark, d):
+    """q45 with the owned items taken out by bit tests."""
+    lg = log(spark, d)
+    codes = dense_index(lg, "item")
+    train, _ = train_test(fe.rated_log(lg, "knn"))
+    scores = rc.neighbour_scores(train, cosine_neighbours(train)).dropna(subset=["score"])
+    top = rc.best_n(bm.lacking(scores, bm.bitmaps(lg, codes), codes))
+    return top.select("user_id", "item", rnd(F.col("score")).alias("score"), "rank")
+
+
+def q66_bought_and_played(spark, d):
+    """Per user: items bought, played, and both, from two sets of bitmaps; and
+    purchase lines of items that the user also plays (a semi join by bit tests)."""
+    lg = log(spark, d)
+    codes = dense_index(lg, "item")
+    bought, played = (lg.where(F.col("behaviour") == b) for b in (PURCHASE, PLAY))
+    plays = bm.bitmaps(played, codes)
+    sets = bm.set_sizes(bm.bitmaps(bought, codes), plays)
+    lines = (bm.having(bought.select("user_id", "item"), plays, codes)
+             .groupBy("user_id").agg(F.count(F.lit(1)).alias("n_lines")))
+    return sets.join(lines, "user_id", "left").select(
+        "user_id", F.col("n_left").alias("n_bought"), F.col("n_right").alias("n_played"), "n_both",
+        F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
+
+
 QUERIES: dict[str, Query] = {
     name: fn for name, fn in sorted(globals().items())
     if name.startswith("q") and name[1:3].isdigit() and callable(fn)

@@ -14,7 +14,8 @@ SUBSET = ["q02_null_profile", "q05_cardinalities", "q11_iqr_bounds", "q13_box_su
           "q45_recommend", "q46_model_comparison", "q48_als_scored", "q49_bias_rmse",
           "q50_als_candidates", "q51_name_codes", "q52_recommend_named", "q54_als_folds",
           "q56_behaviour_features", "q58_model_difference", "q59_stable_codes",
-          "q60_recommend_active", "q61_csv_rejects", "q62_median_fill", "q63_basket_topk"]
+          "q60_recommend_active", "q61_csv_rejects", "q62_median_fill", "q63_basket_topk",
+          "q64_owned_bitmaps", "q65_recommend_bitmaps", "q66_bought_and_played"]
 
 
 @pytest.fixture(scope="module")
