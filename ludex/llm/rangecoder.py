@@ -1,15 +1,21 @@
 """Adaptive context-mixing range coder for token ids.
 
 Ids are cut into blocks that are coded independently: each starts from the
-same empty model and carries a checksum. Within a block the model predicts the
+same model and carries a checksum. Within a block the model predicts the
 next id twice, from the last two ids (order 2) and from the last one (order 1),
 each prediction with a confidence from its past success. The coder codes
 
     order 2 is right | order 1 is right | neither
 
 with probabilities mixed from two sets of adaptive counters (one by both
-confidences, one by the last two outcomes), and in the last case the id itself: its
-magnitude (bit length) with adaptive order-0 frequencies, then the lower bits.
+confidences, one by the last two outcomes), and in the last case the id itself by
+order 0: the class of the id (its bit length) with frequencies that adapt in the
+block, then the id in its class.
+
+The model that every block starts from is a ``Start``: the frequencies of ids
+(quantised) and the usual follower of each, of all blocks that are kept together.
+It is stored once beside them. Without one, ids of a class are equally likely and
+nothing is predicted at first.
 
 The range coder is carry-less with a 64-bit state and 32-bit output words. The
 blocks of a call go in lockstep, one array element each, so that the coder's
@@ -34,6 +40,13 @@ _LOW = _U(1 << 31)
 _WORD = _U(1 << 32)
 _TABLE_BITS = 10
 _SHIFT = _V(32 - _TABLE_BITS)
+# Frequencies in a class, out of 2 ** 16; a class of more ids than may share them
+# has equally likely ids.
+_SHARE_BITS, _MAX_SHARED = 16, 1 << 14
+# 1024 * 2 ** (i / 8), the steps of quantised frequencies.
+_EIGHTHS = np.array([1024, 1117, 1218, 1328, 1448, 1579, 1722, 1878], np.int64)
+# What the classes' frequencies of a start weigh, in 24ths of an id.
+_START_WEIGHT = 1200
 _K1, _K2 = _V(0x9E3779B1), _V(0x85EBCA77)
 # Contexts: both confidences (0 to 3) and whether the predictions agree; the
 # last two outcomes.
@@ -50,10 +63,108 @@ for _i in range(ID_BITS):
     _MAGNITUDE[1 << _i: 2 << _i] = _i + 1
 
 
+class Start:
+    """What blocks know before their first id: ``ids`` (rising), ``levels``
+    (8 * log2 of their counts), ``followers`` (the usual next id of each) and
+    ``trust`` (0 to 3, how often it does follow)."""
+
+    def __init__(self, ids: np.ndarray, levels: np.ndarray, followers: np.ndarray,
+                 trust: np.ndarray):
+        self.ids, self.levels, self.followers, self.trust = ids, levels, followers, trust
+        size = int(ids[-1]) + 1
+        classes = _MAGNITUDE[ids]
+        weights = _EIGHTHS[levels & 7] << (levels >> 3).astype(np.int64)
+        first, share = np.zeros(len(ids), np.int64), np.ones(len(ids), np.int64)
+        lower = np.maximum(np.arange(_CLASSES) - 1, 0)
+        self.shift = lower.astype(_U)
+        self.counts = np.ones(_CLASSES, np.int64)
+        self.slots = np.zeros((_CLASSES, 1 << _SHARE_BITS), _V)
+        self.shared = np.zeros(_CLASSES, bool)
+        for c in np.unique(classes).tolist():
+            a, b = np.searchsorted(classes, [c, c + 1])
+            self.counts[c] += int(weights[a:b].sum() * _START_WEIGHT // weights.sum())
+            if b - a > _MAX_SHARED:
+                first[a:b] = ids[a:b] - (1 << lower[c] if c else 0)
+                continue
+            spare = (1 << _SHARE_BITS) - (b - a)
+            share[a:b] += weights[a:b] * spare // weights[a:b].sum()
+            stop = np.cumsum(share[a:b])
+            first[a:b] = stop - share[a:b]
+            self.slots[c, : stop[-1]] = np.repeat(ids[a:b], share[a:b])
+            self.slots[c, stop[-1]:] = ids[b - 1]
+            self.shift[c], self.shared[c] = _SHARE_BITS, True
+        self.first, self.share = np.zeros(size, _U), np.zeros(size, _U)
+        self.first[ids], self.share[ids] = first, share
+        self.next = np.zeros(size, _V)
+        self.next[ids] = (followers << _V(2)) | trust
+
+    @classmethod
+    def fit(cls, ids: np.ndarray) -> Start:
+        """The start of blocks that hold ``ids`` (one at least)."""
+        known, counts = np.unique(ids, return_counts=True)
+        levels = np.round(8 * np.log2(counts)).astype(np.uint8)
+        followers, trust = np.zeros(len(known), _V), np.zeros(len(known), np.uint8)
+        pairs, often = np.unique((ids[:-1].astype(_U) << _U(ID_BITS)) | ids[1:],
+                                 return_counts=True)
+        if len(pairs):
+            before = (pairs >> _U(ID_BITS)).astype(_V)
+            # The last of an id's pairs by (count, follower) is the usual one.
+            order = np.lexsort((pairs, often, before))
+            ends = np.flatnonzero(np.append(before[order][1:] != before[order][:-1], True))
+            best = order[ends]
+            at = np.searchsorted(known, before[best])
+            followers[at] = pairs[best] & _U((1 << ID_BITS) - 1)
+            trust[at] = np.minimum(4 * often[best] // counts[at], 3)
+        return cls(known.astype(_V), levels, followers, trust)
+
+    @classmethod
+    def plain(cls) -> Start:
+        """Nothing known: all ids of a class are equally likely."""
+        every = np.arange(1 << ID_BITS, dtype=_V)
+        out = cls.__new__(cls)
+        lower = np.maximum(np.arange(_CLASSES) - 1, 0)
+        out.shift, out.counts = lower.astype(_U), np.ones(_CLASSES, np.int64)
+        out.first = every - np.where(every > 0, 1 << lower[_MAGNITUDE], 0).astype(_U)
+        out.share = np.ones(1 << ID_BITS, _U)
+        out.slots, out.shared = np.zeros((_CLASSES, 1), _V), np.zeros(_CLASSES, bool)
+        out.next = np.zeros(1, _V)
+        return out
+
+    def to_bytes(self) -> bytes:
+        """By column, compressed; followers as places among the ids."""
+        columns = [np.diff(self.ids, prepend=_V(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T,
+                   self.levels, self.trust,
+                   np.searchsorted(self.ids, self.followers).astype("<u4").view(np.uint8)
+                   .reshape(-1, 4).T]
+        return zlib.compress(b"".join(c.tobytes() for c in columns), 9)
+
+    @classmethod
+    def from_bytes(cls, raw: bytes) -> Start:
+        try:
+            flat = np.frombuffer(zlib.decompress(raw), np.uint8)
+        except zlib.error as damage:
+            raise ValueError("the start of a frame is damaged") from damage
+        n = len(flat) // 10
+        wide = lambda a: np.ascontiguousarray(a.reshape(4, n).T).view("<u4")[:, 0]
+        ids = np.cumsum(wide(flat[: 4 * n])).astype(_V)
+        places = np.minimum(wide(flat[6 * n:]), n - 1)
+        return cls(ids, flat[4 * n: 5 * n], ids[places], flat[5 * n: 6 * n])
+
+
+_plain: list[Start] = []
+
+
+def _start(start: Start | None) -> Start:
+    if start is None and not _plain:
+        _plain.append(Start.plain())
+    return start or _plain[0]
+
+
 class _Model:
     """The models of all lanes; lanes never read each other's state."""
 
-    def __init__(self, lanes: int):
+    def __init__(self, lanes: int, start: Start):
+        self.start = start
         self.two = np.zeros(lanes << _TABLE_BITS, _V)
         self.one = np.zeros(lanes << _TABLE_BITS, _V)
         lane = np.arange(lanes, dtype=np.int64)
@@ -63,11 +174,11 @@ class _Model:
         self.recent = np.full(lanes * _PASTS, even, _V)
         self.past = np.zeros(lanes, np.int64)
         self.last, self.prior = np.zeros(lanes, _V), np.zeros(lanes, _V)
-        self.counts = np.ones((lanes, _CLASSES), np.int32)
+        self.counts = np.tile(start.counts.astype(np.int32), (lanes, 1))
         self.refresh(lanes)
 
     def refresh(self, active: int) -> None:
-        """Cumulative frequencies of the magnitudes, out of 4096."""
+        """Cumulative frequencies of the classes, out of 4096."""
         counts = self.counts[:active]
         steps = np.zeros((active, _CLASSES + 1), np.int32)
         np.cumsum(counts, axis=1, out=steps[:, 1:])
@@ -84,6 +195,7 @@ class _Model:
         mixed ^= self.prior[:n] * _K2
         self.at2 = self.base[:n] + (mixed >> _SHIFT)
         e1, e2 = self.one.take(self.at1), self.two.take(self.at2)
+        e1 = np.where(e1 == 0, self.start.next.take(self.last[:n], mode="clip"), e1)
         self.x = self.base_x[:n] + (((e2 & _V(3)) << _V(3)) + ((e1 & _V(3)) << _V(1))
                                     + ((e1 ^ e2) < _V(4)))
         self.y = self.base_y[:n] + self.past[:n]
@@ -104,7 +216,10 @@ class _Model:
         fresh = ids << _V(2)
         e1, e2 = self.e1, self.e2
         self.two[self.at2] = np.where(right2, e2 + ((e2 & _V(3)) != 3), fresh)
-        self.one[self.at1] = np.where(right1, e1 + ((e1 & _V(3)) != 3), fresh)
+        # A trusted follower survives a miss.
+        trust1 = e1 & _V(3)
+        self.one[self.at1] = np.where(right1, e1 + (trust1 != 3),
+                                      np.where(trust1 > 1, e1 - _V(1), fresh))
         self.past[:n] = ((self.past[:n] << 2) & 15) | outcome
         self.prior[:n] = self.last[:n]
         self.last[:n] = ids
@@ -188,13 +303,13 @@ def _active(lengths: np.ndarray) -> list[int]:
                                            side="right")).tolist()
 
 
-def _encode_lanes(blocks: list[np.ndarray]) -> list[bytes]:
+def _encode_lanes(blocks: list[np.ndarray], start: Start) -> list[bytes]:
     """``blocks`` by falling length."""
     lengths = np.array([len(b) for b in blocks])
     grid = np.zeros((int(lengths[0]), len(blocks)), _V)
     for i, block in enumerate(blocks):
         grid[: len(block), i] = block
-    model, coder = _Model(len(blocks)), _Encoder(len(blocks), len(grid))
+    model, coder = _Model(len(blocks), start), _Encoder(len(blocks), len(grid))
     for t, n in enumerate(_active(lengths)):
         ids = grid[t, :n]
         if t and t % _REFRESH == 0:
@@ -215,9 +330,9 @@ def _encode_lanes(blocks: list[np.ndarray]) -> list[bytes]:
             part = wide >> _U(_PROB)
             low += part * first.astype(_U)
             part *= (model.cumulative.take(at + 1) - first).astype(_U)
-            lower = (magnitude - (magnitude > 0)).astype(_U)
-            part >>= lower
-            low += part * (new & ((_U(1) << lower) - _U(1)))
+            part >>= start.shift.take(magnitude)
+            low += part * start.first.take(new)
+            part *= start.share.take(new)
             coder.settle(low, part, miss)
             coder.low[miss], coder.range[miss] = low, part
             model.count(miss, magnitude)
@@ -225,9 +340,9 @@ def _encode_lanes(blocks: list[np.ndarray]) -> list[bytes]:
     return coder.finish()
 
 
-def _decode_lanes(payloads: list[bytes], lengths: np.ndarray) -> list[np.ndarray]:
+def _decode_lanes(payloads: list[bytes], lengths: np.ndarray, start: Start) -> list[np.ndarray]:
     grid = np.zeros((int(lengths[0]), len(payloads)), _V)
-    model, coder = _Model(len(payloads)), _Decoder(payloads)
+    model, coder = _Model(len(payloads), start), _Decoder(payloads)
     for t, n in enumerate(_active(lengths)):
         if t and t % _REFRESH == 0:
             model.refresh(n)
@@ -250,45 +365,56 @@ def _decode_lanes(payloads: list[bytes], lengths: np.ndarray) -> list[np.ndarray
             first = model.cumulative.take(at)
             low += part * first.astype(_U)
             part *= (model.cumulative.take(at + 1) - first).astype(_U)
-            lower = (magnitude - (magnitude > 0)).astype(_U)
-            part >>= lower
-            top = _U(1) << lower
-            low_part = np.minimum((code - low) // np.maximum(part, _U(1)), top - _U(1))
-            low += part * low_part
+            shift = start.shift.take(magnitude)
+            part >>= shift
+            top = _U(1) << shift
+            place = np.minimum((code - low) // np.maximum(part, _U(1)), top - _U(1)).astype(np.int64)
+            new = np.where(start.shared.take(magnitude),
+                           start.slots[magnitude, np.minimum(place, start.slots.shape[1] - 1)],
+                           np.where(magnitude > 0, top.astype(np.int64) + place, 0)).astype(_V)
+            known = np.minimum(new, len(start.first) - 1)
+            low += part * start.first.take(known)
+            part *= start.share.take(known)
+            part = np.maximum(part, _U(1))  # only in a damaged block
             coder.settle(low, part, miss)
             coder.low[miss], coder.range[miss] = low, part
-            ids[miss] = np.where(magnitude > 0, top + low_part, _U(0))
+            ids[miss] = new
             model.count(miss, magnitude)
         grid[t, :n] = ids
         model.update(n, ids, outcome, ids == id2, ids == id1)
     return [grid[:k, i] for i, k in enumerate(lengths.tolist())]
 
 
-def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
-    """Code each block (a non-empty array of ids below 2 ** 20) on its own."""
+def encode_blocks(blocks: list[np.ndarray], start: Start | None = None) -> list[bytes]:
+    """Code each block (a non-empty array of ids below 2 ** 20) on its own, all
+    from ``start``, which has to know all their ids."""
+    start = _start(start)
     for block in blocks:
         if not len(block) or int(block.max()) >= 1 << ID_BITS:
             raise ValueError("a block needs ids below 2 ** 20, at least one")
+        if int(block.max()) >= len(start.share) or not start.share.take(block).all():
+            raise ValueError("a block holds an id that the start does not know")
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     out: list[bytes] = [b""] * len(blocks)
     for at in range(0, len(order), LANES):
         lanes = order[at: at + LANES]
-        for i, payload in zip(lanes, _encode_lanes([blocks[i] for i in lanes]), strict=True):
+        for i, payload in zip(lanes, _encode_lanes([blocks[i] for i in lanes], start), strict=True):
             out[i] = payload
     return out
 
 
 def decode_blocks(payloads: list[bytes], lengths: list[int],
-                  checksums: list[int]) -> list[np.ndarray]:
-    """The ids of each block; a block whose ids do not have its checksum
-    raises ValueError."""
+                  checksums: list[int], start: Start | None = None) -> list[np.ndarray]:
+    """The ids of each block, coded from ``start``; a block whose ids do not have
+    its checksum raises ValueError."""
+    start = _start(start)
     order = sorted(range(len(payloads)), key=lambda i: -lengths[i])
     out: list[np.ndarray] = [np.empty(0, np.uint32)] * len(payloads)
     for at in range(0, len(order), LANES):
         lanes = order[at: at + LANES]
         with np.errstate(over="ignore"):
             found = _decode_lanes([payloads[i] for i in lanes],
-                                  np.array([lengths[i] for i in lanes]))
+                                  np.array([lengths[i] for i in lanes]), start)
         for i, ids in zip(lanes, found, strict=True):
             if checksum(ids) != checksums[i]:
                 raise ValueError(f"block {i} is damaged")

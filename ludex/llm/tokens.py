@@ -2,9 +2,9 @@
 
 Format: Parquet files of frames, in ascending doc_id order over the files. A
 frame holds whole documents of about ``FRAME_TOKENS`` tokens (one document at
-least): their ids and lengths, and the concatenated ids cut into blocks of
-``BLOCK`` ids, each coded independently (see ``rangecoder``) and kept with its
-length and crc32. Columns first_doc and last_doc let a reader skip frames, and
+least): their ids and lengths, the start of its blocks (frequencies and usual
+followers of its ids, see ``rangecoder``), and the concatenated ids cut into blocks
+of ``BLOCK`` ids, each coded independently and kept with its length and crc32. Columns first_doc and last_doc let a reader skip frames, and
 a frame can be decoded alone. The frames go through Spark's writer, so only
 files of committed tasks appear, in any file system.
 """
@@ -25,13 +25,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ludex.llm.common import read_table, text_chunks
-from ludex.llm.rangecoder import BLOCK, checksum, decode_blocks, encode_blocks
+from ludex.llm.rangecoder import BLOCK, Start, checksum, decode_blocks, encode_blocks
 from ludex.operators.ranged import PART, part_offsets
 from ludex.session import shared_path, shuffle_partitions
 
 FRAME_TOKENS = 1 << 20
 END_ID = 2
-MAGIC = b"LXT1"
+MAGIC = b"LXT2"
 # Entries of a worker's table of words and their ids.
 WORD_CACHE = 300_000
 
@@ -139,8 +139,10 @@ def pack_frame(docs: list[tuple[int | None, np.ndarray]]) -> dict:
     """A frame row of documents (doc_id, ids)."""
     ids = np.concatenate([d[1] for d in docs]).astype(np.uint32)
     blocks = [ids[a:a + BLOCK] for a in range(0, len(ids), BLOCK)]
-    coded = encode_blocks(blocks)
-    payload = b"".join([MAGIC, struct.pack("<I", len(blocks)), *[
+    start = Start.fit(ids)
+    head = start.to_bytes()
+    coded = encode_blocks(blocks, start)
+    payload = b"".join([MAGIC, struct.pack("<II", len(blocks), len(head)), head, *[
         struct.pack("<III", len(b), len(c), checksum(b)) + c
         for b, c in zip(blocks, coded, strict=True)]])
     present = [d[0] for d in docs if d[0] is not None]
@@ -149,24 +151,21 @@ def pack_frame(docs: list[tuple[int | None, np.ndarray]]) -> dict:
             "lengths": [len(d[1]) for d in docs], "payload": payload}
 
 
-def unpack_frames(payloads: list[bytes]) -> list[np.ndarray]:
-    """The ids of each frame; blocks of all frames are decoded together."""
-    coded, lengths, sums, counts = [], [], [], []
-    for payload in payloads:
-        if payload[:4] != MAGIC:
-            raise ValueError("not a frame")
-        (n,) = struct.unpack_from("<I", payload, 4)
-        at = 8
-        for _ in range(n):
-            size, held, crc = struct.unpack_from("<III", payload, at)
-            coded.append(payload[at + 12: at + 12 + held])
-            lengths.append(size)
-            sums.append(crc)
-            at += 12 + held
-        counts.append(n)
-    blocks = iter(decode_blocks(coded, lengths, sums))
-    return [np.concatenate([next(blocks) for _ in range(n)]) if n else np.empty(0, np.uint32)
-            for n in counts]
+def unpack_frame(payload: bytes) -> np.ndarray:
+    """The ids of a frame. Damage anywhere in it raises ValueError."""
+    if payload[:4] != MAGIC:
+        raise ValueError("not a frame")
+    n, size = struct.unpack_from("<II", payload, 4)
+    at = 12 + size
+    start = Start.from_bytes(payload[12:at])
+    coded, lengths, sums = [], [], []
+    for _ in range(n):
+        length, held, crc = struct.unpack_from("<III", payload, at)
+        coded.append(payload[at + 12: at + 12 + held])
+        lengths.append(length)
+        sums.append(crc)
+        at += 12 + held
+    return np.concatenate(decode_blocks(coded, lengths, sums, start))
 
 
 _FRAME = pa.schema([
@@ -208,8 +207,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     file of the tokenizers library that every executor has. NULL text counts
     as empty; repeated rows are documents of their own."""
     order = [F.col("doc_id").asc_nulls_first(), F.col("salt").asc()]
-    # The salt spreads an id that many rows share; each partition is one task.
-    placed = (docs.select(F.col("doc_id").cast("bigint"), "text", F.rand(17).alias("salt"))
+    # The salt spreads an id that many rows share; a task that runs again deals
+    # its rows the same way. Each partition is one task.
+    placed = (docs.select(F.col("doc_id").cast("bigint"), "text",
+                          F.xxhash64("doc_id", "text").alias("salt"))
               .repartitionByRange(shuffle_partitions(docs.sparkSession), *order)
               .sortWithinPartitions(*order))
     frames = placed.select("doc_id", "text").mapInArrow(
@@ -219,20 +220,19 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, 4):
-            rows = batch.slice(at, 4).to_pylist()
-            for row, ids in zip(rows, unpack_frames([r["payload"] for r in rows]), strict=True):
-                ends = np.cumsum(row["lengths"])
-                pieces = np.split(ids.astype("<u4"), ends[:-1])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["part"]] * len(ends), pa.int32()),
-                     pa.array([row["frame"]] * len(ends), pa.int64()),
-                     pa.array(row["doc_ids"], pa.int64()),
-                     pa.array(ends - row["lengths"], pa.int64()),
-                     pa.array(row["lengths"], pa.int64()),
-                     pa.array([zlib.crc32(p.tobytes()) for p in pieces], pa.int64()),
-                     pa.array([p.tobytes() for p in pieces], pa.binary())],
-                    names=["part", "frame", "doc_id", "offset", "n_tokens", "ids_crc32", "ids"])
+        for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
+            ids = unpack_frame(row["payload"]).astype("<u4")
+            ends = np.cumsum(row["lengths"])
+            pieces = [p.tobytes() for p in np.split(ids, ends[:-1])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row["part"]] * len(ends), pa.int32()),
+                 pa.array([row["frame"]] * len(ends), pa.int64()),
+                 pa.array(row["doc_ids"], pa.int64()),
+                 pa.array(ends - row["lengths"], pa.int64()),
+                 pa.array(row["lengths"], pa.int64()),
+                 pa.array(list(map(zlib.crc32, pieces)), pa.int64()),
+                 pa.array(pieces, pa.binary())],
+                names=["part", "frame", "doc_id", "offset", "n_tokens", "ids_crc32", "ids"])
 
 
 def read_tokens(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:

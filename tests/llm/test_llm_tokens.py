@@ -11,10 +11,15 @@ from ludex.session import shared_path
 
 
 def round_trip(ids):
-    blocks = [np.array(ids[a:a + 300], np.uint32) for a in range(0, len(ids), 300)]
-    coded = rc.encode_blocks(blocks)
-    back = rc.decode_blocks(coded, [len(b) for b in blocks], [rc.checksum(b) for b in blocks])
-    assert all((a == b).all() for a, b in zip(blocks, back, strict=True))
+    """With nothing known at first, and from the start fitted on the ids."""
+    ids = np.array(ids, np.uint32)
+    blocks = [ids[a:a + 300] for a in range(0, len(ids), 300)]
+    sums = [rc.checksum(b) for b in blocks]
+    fitted = rc.Start.fit(ids)
+    for start, read in ((fitted, rc.Start.from_bytes(fitted.to_bytes())), (None, None)):
+        coded = rc.encode_blocks(blocks, start)
+        back = rc.decode_blocks(coded, [len(b) for b in blocks], sums, read)
+        assert all((a == b).all() for a, b in zip(blocks, back, strict=True))
     return coded, blocks
 
 
@@ -51,6 +56,59 @@ def test_blocks_are_independent_and_checked():
         rc.encode_blocks([np.array([1 << 20], np.uint32)])
 
 
+def test_class_of_more_ids_than_share_frequencies():
+    ids = np.random.default_rng(4).integers(1 << 19, 1 << 20, 40_000)
+    assert len(set(ids.tolist())) > rc._MAX_SHARED
+    round_trip(ids)
+
+
+def test_starts():
+    ids = np.array([7, 900, 7, 900, 7, 3, 50_000] * 40, np.uint32)
+    start = rc.Start.fit(ids)
+    assert start.ids.tolist() == [3, 7, 900, 50_000]
+    assert start.followers.tolist() == [50_000, 900, 7, 7]
+    assert start.trust.tolist() == [3, 2, 3, 3]  # 900 follows two of three 7s
+    raw = start.to_bytes()
+    again = rc.Start.from_bytes(raw)
+    assert (again.share == start.share).all() and (again.next == start.next).all()
+    for unknown in (4, 60_000):
+        with pytest.raises(ValueError):
+            rc.encode_blocks([np.array([7, unknown], np.uint32)], start)
+    with pytest.raises(ValueError):
+        rc.Start.from_bytes(raw[:-3])
+
+
+def test_damage_anywhere_in_a_frame_is_found():
+    ids = np.random.default_rng(5).zipf(1.4, 4000).clip(0, 50_000).astype(np.uint32)
+    payload = tk.pack_frame([(1, ids)])["payload"]
+    assert (tk.unpack_frame(payload) == ids).all()
+    for at in range(12, len(payload), len(payload) // 40):
+        bad = bytearray(payload)
+        bad[at] ^= 0x10
+        try:
+            same = len(got := tk.unpack_frame(bytes(bad))) == len(ids) and (got == ids).all()
+        except ValueError:
+            continue
+        assert same  # a bit that no id depends on
+
+
+def test_frames_are_smaller_than_those_of_a_general_compressor(encoder):
+    """Frame with its start against zstandard on the same blocks of 16-bit ids,
+    and against the entropy of the ids."""
+    import pyarrow.parquet as pq
+    import zstandard
+
+    table = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])
+    ids = np.concatenate(encoder.encode([t or "" for t in table.column(0).to_pylist()], 2))
+    size = len(tk.pack_frame([(1, ids)])["payload"])
+    plain = zstandard.ZstdCompressor(level=3)
+    others = sum(len(plain.compress(ids[a:a + rc.BLOCK].astype("<u2").tobytes()))
+                 for a in range(0, len(ids), rc.BLOCK))
+    share = np.unique(ids, return_counts=True)[1] / len(ids)
+    entropy = -(share * np.log2(share)).sum() * len(ids) / 8
+    assert size < 0.8 * others and size < entropy
+
+
 @pytest.fixture(scope="module")
 def encoder():
     return tk.Encoder(tk.default_tokenizer())
