@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ludex.llm.common import read_table
-from ludex.operators.ranged import group_positions
+from ludex.llm.positions import group_positions
 from ludex.session import stage_table
 
 # A block has 2**BLOCK_BITS nodes: the most that one sweep holds.

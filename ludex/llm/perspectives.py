@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ludex.llm.common import read_table
-from ludex.operators.ranged import group_positions
+from ludex.llm.positions import group_positions
 from ludex.session import stage_table
 
 PART_TURNS = 256
