@@ -10,9 +10,14 @@ Plan shape (for every similarity):
    each match into the three products that the pair sums need. The products
    of repeated rows are exact: sum over row pairs of x*y = S1*S2, of x*x =
    Q1*N2, of y*y = N1*Q2.
-3. group by (i1, i2) and sum. Spark runs the partial aggregate inside the
-   join's stage, so matched pairs are summed in the task that makes them and
-   only one partial row per (task, pair) is shuffled.
+3. group by (i1, i2) and sum, in one of two ways (``summed_pairs``):
+   * Items that are dense (many more pairs than items): Spark runs the partial
+     aggregate inside the join's stage, so matched pairs are summed in the task
+     that makes them and only one partial row per (task, pair) is shuffled.
+   * All others, whose pairs hardly repeat, so that partial sums would be as
+     many as pairs: not the pairs are shuffled but each cell with the list of
+     its user's items, by i1. Pairs are made after that shuffle and summed where
+     they are made; a list holds some bytes per item, as it is sorted by value.
 4. emit both orders of each pair in one pass (an explode, no second
    evaluation of the sums).
 
@@ -28,7 +33,9 @@ parallelism even when its input is small.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludex.functions.columns import rank_key, safe_div
@@ -47,6 +54,12 @@ RANK_DIGITS = 9
 PAIR_SLICE_ITEMS = 2048
 
 
+# An item with more pair rows than this is summed partially before the shuffle,
+# as its pairs by one key would be one task's work (see summed_pairs).
+ITEM_PAIR_ROWS = 1 << 22
+# Pair rows that one task makes and sums behind the shuffle of lists.
+TASK_PAIR_ROWS = 1 << 20
+
 # Share of the items that every item is compared with first (see top_k_bounded).
 HUB_SHARE = 1 / 16
 
@@ -58,18 +71,9 @@ def cells(rows: DataFrame, value: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum(v).alias("s"), F.sum(v * v).alias("q"))
 
 
-def salted_self_join(c: DataFrame, left: list, right: list,
-                     slice_items: int = PAIR_SLICE_ITEMS, centre: bool = False,
-                     keep: tuple = (None, None)) -> DataFrame:
-    """Join the per-user table ``c`` (user_id, item, ...) with itself on the
-    user, by pairs of slices (columns _a, _b); ``left`` / ``right`` are the
-    column expressions kept per side. ``centre`` turns the sums of ``cells``
-    into sums of deviations from the user's mean, which comes from the same
-    per-user table, so a user's rows meet in no aggregate by user alone.
-    ``keep`` are conditions on the rows of either side.
-
-    Eager: the cells and the table per user are written, so that AQE can split
-    the rows of a hot user where the two are joined."""
+def _sliced(c: DataFrame, slice_items: int, centre: bool = False) -> DataFrame:
+    """The per-user table ``c`` with ``_m`` (items of the user) and ``_k`` (slices
+    they are cut into); ``centre``: see ``salted_self_join``. Eager."""
     c = stage_table(c, "cells")
     stats = [F.count(F.lit(1)).alias("_m")]
     if centre:
@@ -81,17 +85,121 @@ def salted_self_join(c: DataFrame, left: list, right: list,
     if centre:
         n, s, q, mu = (F.col(x) for x in ("n", "s", "q", "_mu"))
         cs = cs.withColumns({"s": s - n * mu, "q": q - F.lit(2.0) * mu * s + n * mu * mu})
-    parts = shuffle_partitions(c.sparkSession)
+    return cs
+
+
+def _sides(cs: DataFrame, left: list, right: list,
+           keep: tuple = (None, None)) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the join of a ``_sliced`` table with itself, partitioned by
+    number on its key (user_id, _a, _b)."""
+    parts = shuffle_partitions(cs.sparkSession)
     own = F.pmod(F.xxhash64("item"), F.col("_k")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("_k") - F.lit(1)))
     ls, rs = (cs if k is None else cs.where(k) for k in keep)
-    a = (ls.select("user_id", *left, own.alias("_a"), every.alias("_b"))
-           .repartition(parts, "user_id", "_a", "_b"))
-    b = (rs.select("user_id", *right, own.alias("_b"), every.alias("_a"))
-           .repartition(parts, "user_id", "_a", "_b"))
+    return (ls.select("user_id", *left, own.alias("_a"), every.alias("_b"))
+              .repartition(parts, "user_id", "_a", "_b"),
+            rs.select("user_id", *right, own.alias("_b"), every.alias("_a"))
+              .repartition(parts, "user_id", "_a", "_b"))
+
+
+def salted_self_join(c: DataFrame, left: list, right: list,
+                     slice_items: int = PAIR_SLICE_ITEMS, centre: bool = False,
+                     keep: tuple = (None, None)) -> DataFrame:
+    """Join the per-user table ``c`` (user_id, item, ...) with itself on the
+    user, by pairs of slices (columns _a, _b); ``left`` / ``right`` are the
+    column expressions kept per side. ``centre`` turns the sums of ``cells``
+    into sums of deviations from the user's mean, which comes from the same
+    per-user table, so a user's rows meet in no aggregate by user alone.
+    ``keep`` are conditions on the rows of either side.
+
+    Eager: the cells and the table per user are written, so that AQE can split
+    the rows of a hot user where the two are joined."""
+    a, b = _sides(_sliced(c, slice_items, centre), left, right, keep)
     return a.join(b, ["user_id", "_a", "_b"], "inner")
 
 
+def _pair_totals() -> list:
+    """The sums of a pair, from its sides' n, s, q (``left_side``, ``right_side``)."""
+    return [F.sum(F.col("q1") * F.col("n2")).alias("sx"), F.sum(F.col("n1") * F.col("q2")).alias("sy"),
+            F.sum(F.col("s1") * F.col("s2")).alias("sxy"), F.count(F.lit(1)).alias("n_users")]
+
+
+def _side(x: int) -> list:
+    return [F.col("item").alias(f"i{x}"), *[F.col(c).alias(f"{c}{x}") for c in ("n", "s", "q")]]
+
+
+def summed_pairs(c: DataFrame, centre: bool = False, only: str = "half",
+                 keep: Column | None = None, slice_items: int = PAIR_SLICE_ITEMS,
+                 item_rows: int = ITEM_PAIR_ROWS, task_rows: int = TASK_PAIR_ROWS) -> DataFrame:
+    """(i1, i2, sx, sy, sxy, n_users) of the pairs of different items that a user
+    has both, summed over the users. ``c`` comes from ``cells``, ``centre`` is that
+    of ``salted_self_join``, ``keep`` a condition on i1's rows. ``only``: 'all'
+    pairs, the 'half' with i1 < i2, or the 'near' or 'far' ones, whose i2 is at
+    most or above the column ``top`` of i1's row (NULL: all are near).
+
+    An item's pair rows are at most the items of its users, summed. Where they
+    exceed the items there are, once per map task, partial sums are fewer rows
+    than pairs: such items, and those with over ``item_rows`` of them, are joined
+    and summed by (i1, i2) with a shuffle. Of the others each cell goes to the
+    partition of its item with the list of its user's items (slices of
+    them); grouping by (i1, i2) then needs no further shuffle. Lists are sorted
+    by value, so that values compress to runs. Eager, as ``salted_self_join``."""
+    spark = c.sparkSession
+    # A row without an item counts in its user's mean only.
+    cs = _sliced(c, slice_items, centre).where("item is not null")
+    load = stage_table(cs.groupBy("item").agg(F.sum("_m").alias("_load")), "load")
+    n_items, total, low, high = load.agg(F.count(F.lit(1)), F.coalesce(F.sum("_load"), F.lit(0)),
+                                         F.min("item"), F.max("item")).first()
+    most = min(item_rows, n_items * shuffle_partitions(spark))
+    dense = load.where(F.col("_load") > most).select("item", F.lit(True).alias("_dense"))
+    any_dense = not dense.isEmpty()
+    if any_dense:
+        cs = stage_table(cs.join(dense, "item", "left")
+                         .withColumn("_dense", F.col("_dense").isNotNull()), "cells")
+    kept = F.lit(True) if keep is None else keep
+    left = [*_side(1), *([F.col("top")] if only in ("near", "far") else [])]
+
+    def wanted(i2: Column) -> Column:
+        if only == "near":
+            return (i2 != F.col("i1")) & (F.col("top").isNull() | (i2 <= F.col("top")))
+        if only == "far":
+            return (i2 != F.col("i1")) & (i2 > F.col("top"))
+        return i2 > F.col("i1") if only == "half" else i2 != F.col("i1")
+
+    a, b = _sides(cs, left, [F.struct("n", "s", "q", "item").alias("cell")],
+                  (kept & ~F.col("_dense") if any_dense else kept, None))
+    lists = b.groupBy("user_id", "_a", "_b").agg(F.sort_array(F.collect_list("cell")).alias("cells"))
+    parts = max(shuffle_partitions(spark), math.ceil(total / (2 if only == "half" else 1) / task_rows))
+    cell = F.filter("cells", lambda x: wanted(x["item"]))
+    # Columns of their own: values of one kind lie side by side in the shuffle. Long
+    # items go as int where all fit; lists without repeated ratings go without n
+    # and q (1 and s * s).
+    kind = c.schema["item"].dataType.simpleString()
+    short = kind == "bigint" and n_items and -2 ** 31 <= low and high < 2 ** 31
+    repeated = F.exists("cells", lambda x: x["n"] != 1)
+    field = {f: F.col("cells")[f] for f in ("item", "n", "s", "q")}
+    sent = (a.join(lists, ["user_id", "_a", "_b"]).select("i1", "n1", "s1", "q1", cell.alias("cells"))
+            .where(F.size("cells") > 0)
+            .select("i1", "n1", "s1", "q1",
+                    field["item"].cast("array<int>" if short else f"array<{kind}>").alias("item"),
+                    field["s"].alias("s"), F.when(repeated, field["n"]).alias("n"),
+                    F.when(repeated, field["q"]).alias("q"))
+            .repartition(parts, "i1"))
+    whole = [F.col("item"), F.col("s"),
+             F.coalesce("n", F.transform("s", lambda x: F.lit(1).cast("bigint"))).alias("n"),
+             F.coalesce("q", F.transform("s", lambda x: x * x)).alias("q")]
+    pairs = (sent.select("i1", "n1", "s1", "q1", *whole)
+             .select("i1", "n1", "s1", "q1", F.explode(F.arrays_zip("item", "n", "s", "q")).alias("_c")))
+    pairs = pairs.select("i1", "n1", "s1", "q1", F.col("_c.item").cast(kind).alias("i2"),
+                         F.col("_c.n").alias("n2"), F.col("_c.s").alias("s2"), F.col("_c.q").alias("q2"))
+    out = pairs.groupBy("i1", "i2").agg(*_pair_totals())
+    if any_dense:
+        a, b = _sides(cs, left, _side(2), (kept & F.col("_dense"), None))
+        out = out.unionByName(a.join(b, ["user_id", "_a", "_b"]).where(wanted(F.col("i2")))
+                              .groupBy("i1", "i2").agg(*_pair_totals()))
+    return out
+
+
 def pair_rows(c: DataFrame, slice_items: int = PAIR_SLICE_ITEMS,
               centre: bool = False) -> DataFrame:
     """One row per (user, i1 < i2) co-rating, with its contributions
@@ -110,10 +218,7 @@ def pair_rows(c: DataFrame, slice_items: int = PAIR_SLICE_ITEMS,
 def pair_sums(rows: DataFrame, value: str, centre: bool = False) -> DataFrame:
     """(i1 < i2, sx, sy, sxy, n_users): sums over the users who rated both, of
     ``value`` or (``centre``) of its deviation from the user's mean."""
-    p = pair_rows(cells(rows, value), centre=centre)
-    return p.groupBy("i1", "i2").agg(
-        F.sum("xx").alias("sx"), F.sum("yy").alias("sy"), F.sum("xy").alias("sxy"),
-        F.count(F.lit(1)).alias("n_users"))
+    return summed_pairs(cells(rows, value), centre)
 
 
 def mirror(half: DataFrame, swap: dict[str, str] | None = None) -> DataFrame:

@@ -157,3 +157,38 @@ def test_bounded_top_k_of_nothing(spark):
     assert si.top_k_bounded(none).count() == 0
     with pytest.raises(ValueError):
         si.top_k_bounded(none, "jaccard")
+
+
+def _sums(df):
+    return {(r.i1, r.i2): tuple(round(x, 6) for x in (r.sx, r.sy, r.sxy, r.n_users)) for r in df.collect()}
+
+
+@pytest.mark.parametrize("centre", [False, True])
+@pytest.mark.parametrize("limits", [{}, {"slice_items": 3}, {"item_rows": 40}, {"item_rows": 0},
+                                    {"task_rows": 7}])
+def test_summed_pairs_equal_sums_of_pair_rows(spark, centre, limits):
+    """Items by lists, by partial sums and by both, lists in slices, repeated
+    ratings, NULL users and items: the sums of the plain pair rows."""
+    rows = [(u, (u * 7 + j * j) % 23, (u + j) % 6) for u in range(30) for j in range(4)]
+    rows += [(77, i, i % 5) for i in range(20)] + [(77, 3, 4), (None, 3, 4), (5, None, 4), (5, 2, 1)]
+    c = si.cells(spark.createDataFrame(rows, "user_id bigint, item bigint, rating int"), "rating")
+    plain = si.pair_rows(c, centre=centre).groupBy("i1", "i2").agg(
+        F.sum("xx").alias("sx"), F.sum("yy").alias("sy"), F.sum("xy").alias("sxy"),
+        F.count(F.lit(1)).alias("n_users"))
+    want = _sums(plain)
+    assert _sums(si.summed_pairs(c, centre, **limits)) == want
+    both = _sums(si.summed_pairs(c, centre, only="all", **limits))
+    assert both == want | {(b, a): (y, x, p, n) for (a, b), (x, y, p, n) in want.items()}
+
+
+def test_sparse_pairs_are_not_shuffled(spark):
+    """Items of few users: behind the pairs no exchange; only lists are sent."""
+    import contextlib
+    import io
+    rows = [(u, (u * 13 + j * 7) % 400, 1 + j % 5) for u in range(60) for j in range(8)]
+    df = spark.createDataFrame(rows, "user_id bigint, item bigint, rating int")
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        si.pair_sums(df, "rating").explain("simple")
+    plan = text.getvalue()
+    assert "explode" in plan and "Exchange" not in plan[:plan.index("explode")]
