@@ -39,7 +39,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ludex.functions.columns import rank_key, safe_div
-from ludex.operators.profile import exact_quantiles
 from ludex.session import shuffle_partitions, stage_table
 
 # Fixed value: damping added to the denominator of the centred similarity.
@@ -60,7 +59,7 @@ ITEM_PAIR_ROWS = 1 << 22
 # Pair rows that one task makes and sums behind the shuffle of lists.
 TASK_PAIR_ROWS = 1 << 20
 
-# Share of the items that every item is compared with first (see top_k_bounded).
+# Share of a user's items up to which pairs are made first (see top_k_bounded).
 HUB_SHARE = 1 / 16
 
 
@@ -295,24 +294,26 @@ def top_k_bounded(ratings: DataFrame, kind: str = "cosine", k: int = TOP_K,
     """``top_k`` of ``co_rated_cosine`` (``kind`` 'cosine') or of the intended
     ``damped_pearson`` ('pearson'), without summing pairs that cannot enter it.
 
-    1. The hubs are the ``share`` of the items with the least ids. The pairs of
-       every item with the hubs are summed; the item's k-th best of them is a
-       lower bound of its k-th similarity.
+    1. Every item has a top: the least, over its users with more than k items, of
+       a user's item number k + 1 or about at ``share`` of its items, whichever is
+       further by id (no top if there is no such user). The
+       pairs of the item with all items up to its top are summed, whichever
+       users they share; the k-th best is a lower bound of its k-th similarity.
     2. No similarity of an item exceeds its bound: 1 for the cosine, for the
        damped one p / (p + damping) with p the root of its whole squared norm
        times the largest one. An item whose bound is below its k-th best, or
-       equal to it (ties go to the least id, and the hubs have the least), is
-       closed: no other item can enter its list.
-    3. Of the other pairs, only those with an item that is not closed are made.
-
-    Columns i1, i2, similarity, rank. Eager: cells, hub sums and the items that
-    are not closed are written."""
+       equal to it (ties go to the least id, and those up to the top have the
+       least), is closed: no other item can enter its list.
+    3. Of the other pairs, only those of items that are not closed are made.
+
+    A top depends on the item's own users only, so the share of items that close
+    does not fall when tables grow by other users and items. Columns i1, i2,
+    similarity, rank. Eager: cells, the first sums and the items that are not
+    closed are written."""
     if kind not in ("cosine", "pearson"):
         raise ValueError(kind)
     centre = kind == "pearson"
     value = cosine_from_sums if kind == "cosine" else damped_from_sums
-    sums = [F.sum(F.col("q1") * F.col("n2")).alias("sx"), F.sum(F.col("n1") * F.col("q2")).alias("sy"),
-            F.sum(F.col("s1") * F.col("s2")).alias("sxy")]
     held = stage_table(cells(ratings, "rating"), "cells")
     if centre:  # deviations from the user's mean, from the table per user
         means = stage_table(held.groupBy("user_id").agg(
@@ -321,26 +322,28 @@ def top_k_bounded(ratings: DataFrame, kind: str = "cosine", k: int = TOP_K,
         held = stage_table(held.join(means, "user_id").select(
             "user_id", "item", "n", (sm - n * mu).alias("s"),
             (q - F.lit(2.0) * mu * sm + n * mu * mu).alias("q")), "cells")
-    last_hub = exact_quantiles(held.select("item").distinct(), "item", {"h": share}).scalar()
-    held = stage_table(held.withColumn("hub", F.col("item") <= last_hub), "cells")
-
-    def similar(pairs: DataFrame) -> DataFrame:
+    # Of a hot user a task sends k + 1 rows and one sketch; any top would be right.
+    first = (held.where("item is not null").select("user_id", "item", F.row_number().over(
+        Window.partitionBy("user_id").orderBy("item")).alias("_at")).where(F.col("_at") <= k + 1)
+        .where(F.col("_at") == k + 1).select("user_id", F.col("item").alias("least")))
+    shares = held.groupBy("user_id").agg(F.percentile_approx("item", share).alias("part"))
+    limits = stage_table(first.join(shares, "user_id").select(
+        "user_id", F.greatest("least", "part").alias("limit")), "limits")
+    tops = stage_table(held.join(limits, "user_id").groupBy("item").agg(F.min("limit").alias("top")),
+                       "tops")
+    held = stage_table(held.join(tops, "item", "left"), "cells")
+
+    def similar(only: str, keep: Column | None = None) -> DataFrame:
         sim = value(F.col("sx"), F.col("sy"), F.col("sxy"))
         if centre:  # rounding noise of centred sums is no similarity
             sim = F.when(F.abs(sim) < F.lit(1e-12), F.lit(0.0)).otherwise(sim)
-        return pairs.groupBy("i1", "i2").agg(*sums).select("i1", "i2", sim.alias("similarity"))
-
-    def met(left_rows, right_rows) -> DataFrame:
-        side = lambda x: [F.col("item").alias(f"i{x}"), "hub" if x == 1 else F.col("hub").alias("hub2"),
-                          *[F.col(c).alias(f"{c}{x}") for c in ("n", "s", "q")]]
-        return salted_self_join(held, side(1), side(2), keep=(left_rows, right_rows))
+        return summed_pairs(held, only=only, keep=keep).select(
+            "i1", "i2", sim.alias("similarity"))
 
-    # With the hubs: every item as i1, so lists of hubs hold their pairs among hubs.
-    near = stage_table(similar(met(F.lit(True), F.col("hub")).where("i1 <> i2")), "hubs")
+    near = stage_table(similar("near"), "near")
     kth = top_k(near, k).where(F.col("rank") == k).select(
         F.col("i1").alias("item"), rank_key(F.col("similarity"), RANK_DIGITS).alias("kth"))
-    norms = stage_table(held.groupBy("item").agg(F.sum("q").alias("x"), F.first("hub").alias("hub")),
-                        "norms")
+    norms = stage_table(held.groupBy("item").agg(F.sum("q").alias("x")), "norms")
     bound = F.lit(1.0)
     if centre:
         root = F.sqrt(F.greatest(F.col("x"), F.lit(0.0)) * norms.select(F.max("x")).scalar())
@@ -348,15 +351,12 @@ def top_k_bounded(ratings: DataFrame, kind: str = "cosine", k: int = TOP_K,
         bound = root / (root + F.lit(DAMPING)) * F.lit(1 + 1e-9) + F.lit(1e-9)
     shut = (norms.join(stage_table(kth, "kth"), "item")
             .where(F.col("kth") >= rank_key(bound, RANK_DIGITS)).select("item"))
-    open_ = stage_table(norms.join(shut, "item", "left_anti").where("not hub")
+    open_ = stage_table(norms.join(shut, "item", "left_anti")
                         .select("item", F.lit(True).alias("open")), "open")
     held = stage_table(held.join(open_, "item", "left")
                        .withColumn("open", F.col("open").isNotNull()), "cells")
-    # Open items with those that are no hubs. Nothing else enters a list.
-    rest = similar(met(F.col("open"), ~F.col("hub")).where("i1 <> i2"))
-    back = near.where(F.col("i1") > last_hub).select(F.col("i2").alias("i1"),
-                                                     F.col("i1").alias("i2"), "similarity")
-    return top_k(near.unionByName(back).unionByName(rest), k)
+    # Open items with those above their top. Nothing else enters a list.
+    return top_k(near.unionByName(similar("far", F.col("open"))), k)
 
 
 def utility_cells(ratings: DataFrame) -> DataFrame:

@@ -192,3 +192,26 @@ def test_sparse_pairs_are_not_shuffled(spark):
         si.pair_sums(df, "rating").explain("simple")
     plan = text.getvalue()
     assert "explode" in plan and "Exchange" not in plan[:plan.index("explode")]
+
+
+def test_bounded_pairs_grow_with_the_rows(spark, monkeypatch):
+    """Copies of the rows with other users and items leave the share of items
+    that stay open as it is: the second pass is no larger than the copies."""
+    made = {}
+    plain = si.summed_pairs
+
+    def counted(c, centre=False, only="half", keep=None, **more):
+        out = plain(c, centre, only, keep, **more)
+        made[only] = made.get(only, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(si, "summed_pairs", counted)
+    base = [(u, (u * u * 3 + j * 17) % 300, 1 + (u + j) % 5) for u in range(60) for j in range(12)]
+    seen = []
+    for copies in (1, 6):
+        rows = [(u + 1000 * x, i + 1000 * x, r) for x in range(copies) for u, i, r in base]
+        si.top_k_bounded(spark.createDataFrame(rows, "user_id bigint, item bigint, rating bigint"))
+        seen.append(dict(made))
+        made.clear()
+    assert seen[1] == {kind: 6 * n for kind, n in seen[0].items()}
+    assert seen[0]["far"] < 60 * 12 * 11 / 2
