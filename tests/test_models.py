@@ -59,6 +59,11 @@ def test_block_count():
     assert als_op.block_count(10**12, 400) < 46_340
 
 
+def test_blocks_are_no_more_than_the_ratings_need():
+    assert als_op.block_count(40_000_000, 12) == 12
+    assert als_op.block_count(216_000_000, 12) == 21
+
+
 def test_dense_encoding_is_a_bijection(spark, sf_small):
     base = q.rated_basket(spark, sf_small)
     coded, n = als_op.encode(base), base.count()
