@@ -12,31 +12,47 @@ def connected_components(links: DataFrame) -> DataFrame:
     """``links`` (a, b) -> one row (node, comp) per linked node; ``comp`` is
     the least node reachable.
 
-    Each round gives every node the least label among itself and its
-    neighbours and then the label of that label (pointer jumping), so the
-    number of rounds grows with the logarithm of the longest chain. Labels
-    and edges stay distributed; a round's labels are written to the shared
-    folder. Nodes may be of any orderable type. An empty table gives an empty
-    table."""
-    edges = stage_table(
-        links.select("a", "b").unionByName(links.select(F.col("b").alias("a"),
-                                                        F.col("a").alias("b")))
-        .where("a <> b").distinct(), "edges")
-    labels = stage_table(edges.groupBy(F.col("a").alias("node"))
-                         .agg(F.min("b").alias("low"))
-                         .select("node", F.least("node", "low").alias("comp")), "labels")
+    In a round every node points to the least of itself and its neighbours,
+    pointers are followed to their ends, and the edges are rewritten between
+    these ends. Edges inside an end's tree go, so the edges of a star are read
+    in one round or two, and later rounds read only what is still apart. The
+    least node of a component is always an end and remains. Pointers, edges
+    and labels stay distributed, each step written to the shared folder. Nodes
+    may be of any orderable type. An empty table gives an empty table."""
+    ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    edges = stage_table(links.select(*ordered).where("a <> b").distinct(), "edges")
+    rounds: list[DataFrame] = []
+    while edges.limit(1).count():
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        ends = _ends(stage_table(
+            both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
+            .select("node", F.least("node", "low").alias("comp")), "pointers"))
+        rounds.append(ends)
+        side = lambda s: ends.select(F.col("node").alias(s), F.col("comp").alias(f"end_{s}"))  # noqa: B023, E731
+        edges = stage_table(
+            edges.join(side("a"), "a").join(side("b"), "b")
+            .select(F.least("end_a", "end_b").alias("a"), F.greatest("end_a", "end_b").alias("b"))
+            .where("a <> b").distinct(), "edges")
+    if not rounds:
+        return edges.select(F.col("a").alias("node"), F.col("b").alias("comp"))
+    labels = rounds.pop()
+    while rounds:  # the label of an end is that of all nodes that ended there
+        last = labels.select(F.col("node").alias("comp"), F.col("comp").alias("last"))
+        labels = stage_table(rounds.pop().join(last, "comp", "left").select(
+            "node", F.coalesce("last", "comp").alias("comp")), "labels")
+    return labels
+
+
+def _ends(pointers: DataFrame) -> DataFrame:
+    """``pointers`` (node, comp), where every comp is a node and not greater
+    than its node: comp becomes the end of the node's chain. A step triples
+    how far a pointer reaches."""
     while True:
-        heard = (edges.join(labels.withColumnRenamed("node", "b"), "b")
-                 .groupBy(F.col("a").alias("node")).agg(F.min("comp").alias("heard")))
-        nearer = labels.join(heard, "node").select(
-            "node", "comp", F.least("comp", "heard").alias("next"))
-        jump = labels.select(F.col("node").alias("next"), F.col("comp").alias("far"))
-        moved = stage_table(
-            nearer.join(jump, "next", "left")
-            .select("node", F.least("next", F.coalesce("far", "next")).alias("comp"),
-                    (F.least("next", F.coalesce("far", "next")) < F.col("comp")).alias("moved")),
-            "labels")
-        changed = moved.where("moved").limit(1).count()
-        labels = moved.select("node", "comp")
-        if not changed:
-            return labels
+        hop = lambda a, b: pointers.select(F.col("node").alias(a), F.col("comp").alias(b))  # noqa: B023, E731
+        reached = stage_table(
+            pointers.join(hop("comp", "second"), "comp").join(hop("second", "third"), "second")
+            .select("node", F.col("third").alias("comp"),
+                    (F.col("third") != F.col("second")).alias("moved")), "pointers")
+        pointers = reached.select("node", "comp")
+        if not reached.where("moved").limit(1).count():
+            return pointers
