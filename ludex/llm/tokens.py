@@ -17,9 +17,11 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,19 +31,57 @@ from ludex.llm.rangecoder import BLOCK, Start, checksum, decode_blocks, encode_b
 from ludex.operators.ranged import PART, part_offsets
 from ludex.session import shared_path, shuffle_partitions
 
-FRAME_TOKENS = 1 << 20
+FRAME_TOKENS = 1 << 22
 END_ID = 2
 MAGIC = b"LXT2"
-# Entries of a worker's table of words and their ids.
-WORD_CACHE = 300_000
+# Entries of a worker's table of words and their ids, in two generations.
+WORD_CACHE = 600_000
 
 # White space next to white space, or a space at an end of the text.
 _BLANK = r"[\s\x1c-\x1f\x85\u180e\u200b\ufeff]"
 _ANY_BLANK = re.compile(_BLANK)
 _ODD_SPACE = re.compile(f"{_BLANK}{_BLANK}|^ | $|\x00")
-# Marks cut off the end of a part that is not known yet (no apostrophe: it may
-# start a contraction).
-_TAIL = ".,;:!?|$%&*#)"
+# Marks cut off a letter or digit in front of them (no apostrophe: it may start a
+# contraction).
+_MARKS = ".,;:!?|$%&*#)"
+# A word of letters that every version of Unicode knows, with a space in front.
+_WORD = re.compile(" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u02af]+")
+
+
+def _bytes_in(chars: str) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[np.frombuffer(chars.encode("latin-1"), np.uint8)] = True
+    return out
+
+
+_IS_BLANK = _bytes_in("\t\n\v\f\r\x1c\x1d\x1e\x1f ")
+_IS_MARK = _bytes_in(_MARKS)
+_IS_ALNUM = _bytes_in("".join(chr(i) for i in range(128) if chr(i).isalnum()))
+# First bytes of characters that may be white space beyond ASCII, and NUL.
+_MAY_BE_ODD = _bytes_in("\x00\xc2\xe1\xe2\xe3\xef")
+
+
+def _byte_letters() -> list[str]:
+    """The character by which a byte-level vocabulary writes each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = iter(range(256, 512))
+    return [chr(i) if i in shown else chr(next(other)) for i in range(256)]
+
+
+# NUL is in no part that is looked up; it separates them.
+_BYTE_LETTERS = str.maketrans(dict(enumerate(_byte_letters())) | {0: " "})
+# New words encoded as one text: longer texts take more time a word.
+_TOGETHER = 64
+
+
+def _bounds(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all values, where each starts and the last ends) of an array of
+    large strings or binaries without nulls."""
+    _, offsets, data = column.buffers()
+    if not len(column) or data is None:
+        return np.zeros(0, np.uint8), np.zeros(len(column) + 1, np.int64)
+    at = np.frombuffer(offsets, np.int64)[column.offset: column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[at[0]: at[-1]], at - at[0]
 
 
 class Encoder:
@@ -50,7 +90,8 @@ class Encoder:
     The pre-tokenizer of a byte-level vocabulary starts a new piece at a single
     space or line break between other characters, and between a letter or digit
     and a mark. The parts between such places are coded independently, so their
-    ids can be kept by part and looked up. A text in which white space touches
+    ids can be kept by part and looked up: a batch is cut and its distinct parts
+    are found by array operations. A text in which white space touches
     white space, or that holds an added token (which then gets its own id), is
     encoded whole."""
 
@@ -58,6 +99,7 @@ class Encoder:
         # Tasks run side by side already; threads would only cost memory.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
@@ -65,16 +107,42 @@ class Encoder:
         self.by_part = (split.get("type") == "ByteLevel" and split.get("use_regex", True)
                         and not split.get("add_prefix_space"))
         # The tokenizer finds added tokens such as <|endoftext|> anywhere in a text.
-        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")
-        self.by_part = self.by_part and not any(_ANY_BLANK.search(t) for t in added)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.by_part = self.by_part and not any(_ANY_BLANK.search(t) for t in self.added)
         (self.line_break,) = self.tokenizer.encode("\n").ids if self.by_part else (None,)
+        # The same tokenizer for parts that are one piece each: it cuts at spaces only,
+        # which the letters of the vocabulary do not have.
+        self.words = None
+        if (self.by_part and self.tokenizer.normalizer is None
+                and all(re.search("[!-/:-@[-`{-~]", t) for t in self.added)):
+            self.words = Tokenizer.from_file(path)
+            self.words.pre_tokenizer = WhitespaceSplit()
+            vocabulary = self.words.get_vocab()
+            self.spelt = np.zeros(max(vocabulary.values()) + 1, np.int64)
+            self.spelt[list(vocabulary.values())] = list(map(len, vocabulary))
         self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """The ids of parts that are one piece each, encoded in the letters of the
+        vocabulary as words of texts of a few each."""
+        letters = "\x00".join(words).encode().decode("latin-1").translate(_BYTE_LETTERS).split(" ")
+        texts = [" ".join(letters[a: a + _TOGETHER]) for a in range(0, len(letters), _TOGETHER)]
+        found = self.words.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.array(list(chain.from_iterable([e.ids for e in found])), "<u4")
+        # The ids of a word spell it.
+        reached = np.cumsum(self.spelt[ids])
+        ends = np.cumsum(list(map(len, letters)))
+        stops = np.searchsorted(reached, ends)
+        if stops[-1] + 1 != len(ids) or (reached[stops] != ends).any():
+            return self._encode(words)
+        raw, stops = ids.tobytes(), (4 * stops + 4).tolist()
+        return [raw[a:b] for a, b in zip([0, *stops], stops)]
+
     def _encode_lines(self, parts: list[str]) -> list[bytes]:
         """The ids of parts without white space (but a space in front): they are
         encoded as lines of one text, as a line break is a piece of its own."""
@@ -85,43 +153,94 @@ class Encoder:
         return [raw[a:b] for a, b in zip([0, *(b + 4 for b in breaks)], [*breaks, len(raw)],
                                          strict=True)]
 
-    def _learn(self, new: set[str]) -> None:
+    def _learn(self, new: list[str]) -> None:
         """Add the ids of parts."""
-        known = self.parts
-        split = {}
+        known, words, plain, rest = self.parts, [], [], []
         for part in new:
-            stem = part.rstrip(_TAIL)
-            if 0 < len(stem) < len(part) and stem[-1].isalnum():
-                split[part] = stem, part[len(stem):]
-        pieces = (new - split.keys()).union(*split.values()) if split else new
-        fresh = [p for p in pieces if p not in known]
-        plain = [p for p in fresh if (w := p.removeprefix(" ")).isalnum()
-                 or w and not _ANY_BLANK.search(w)]
-        for at in range(0, len(plain), 4096):
-            some = plain[at: at + 4096]
-            known.update(zip(some, self._encode_lines(some), strict=True))
-        rest = [p for p in fresh if p not in known]
-        known.update(zip(rest, self._encode(rest), strict=True))
-        for part, (stem, tail) in split.items():
-            known[part] = known[stem] + known[tail]
-
-    def encode(self, texts: list[str], end_id: int) -> list[np.ndarray]:
-        """The ids of each text, with ``end_id`` at its end."""
-        cut: list[list[str] | None] = []
-        for text in texts:
-            odd = not self.by_part or _ODD_SPACE.search(text) or self.added.search(text)
-            cut.append(None if odd else
-                       text.replace("\n", "\x00\n\x00").replace(" ", "\x00 ").split("\x00"))
-        known = self.parts
-        if len(known) > WORD_CACHE:
-            known.clear()
-        self._learn({p for parts in cut if parts for p in parts if p not in known})
-        whole = iter(self._encode([t for t, parts in zip(texts, cut, strict=True)
-                                   if parts is None]))
-        end = struct.pack("<I", end_id)
-        look = known.__getitem__
-        return [np.frombuffer((next(whole) if parts is None else b"".join(map(look, parts))) + end,
-                              "<u4") for parts in cut]
+            if self.words and _WORD.fullmatch(part):
+                words.append(part)
+            elif (w := part.removeprefix(" ")) and not _ANY_BLANK.search(w):
+                plain.append(part)
+            else:
+                rest.append(part)
+        for parts, encode in ((words, self._encode_words), (plain, self._encode_lines),
+                              (rest, self._encode)):
+            for at in range(0, len(parts), 4096):
+                some = parts[at: at + 4096]
+                known.update(zip(some, encode(some), strict=True))
+
+    def _look_up(self, parts: list[str]) -> list[bytes]:
+        """The ids of distinct parts. Those not met for a generation are forgotten."""
+        if len(self.parts) > WORD_CACHE // 2:
+            self.parts, self.older = {}, self.parts
+        known, older = self.parts, self.older
+        new = []
+        for part in [p for p in parts if p not in known]:
+            if part in older:
+                known[part] = older[part]
+            else:
+                new.append(part)
+        self._learn(new)
+        return list(map(known.__getitem__, parts))
+
+    def _whole(self, column: pa.Array) -> np.ndarray:
+        """Which texts have to be encoded whole."""
+        if not self.by_part:
+            return np.ones(len(column), bool)
+        data, at = _bounds(column)
+        blank, odd = _IS_BLANK[data], _MAY_BE_ODD[data]
+        flag = odd.copy()
+        flag[1:] |= blank[1:] & blank[:-1]
+        # Of the characters of two bytes, U+0085 and U+00A0 are white space.
+        two = np.flatnonzero(data[:-1] == 0xC2)
+        flag[two] = (data[two + 1] == 0x85) | (data[two + 1] == 0xA0)
+        some = at[:-1] < at[1:]
+        maybe = np.zeros(len(column), bool)
+        maybe[np.searchsorted(at, np.flatnonzero(flag), side="right") - 1] = True
+        maybe[some] |= (data[at[:-1][some]] == 32) | (data[at[1:][some] - 1] == 32)
+        for i in np.flatnonzero(maybe).tolist():
+            maybe[i] = _ODD_SPACE.search(column[i].as_py()) is not None
+        for token in self.added:
+            maybe |= pc.match_substring(column, token).to_numpy(zero_copy_only=False)
+        return maybe
+
+    def _by_part(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, where those of each start and the last end)."""
+        data, at = _bounds(column)
+        if not len(data):
+            return np.zeros(0, "<u4"), np.zeros(len(column) + 1, np.int64)
+        cut = data == 32
+        breaks = data == 10
+        cut |= breaks
+        cut[1:] |= breaks[:-1]
+        # After a letter or digit: ASCII, or of U+00C0 to U+00FF.
+        after = _IS_ALNUM[data]
+        after[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        cut[1:] |= _IS_MARK[data[1:]] & after[:-1]
+        cut[at[:-1][at[:-1] < len(data)]] = True
+        starts = np.flatnonzero(cut)
+        offsets = np.append(starts, len(data))
+        parts = pa.LargeStringArray.from_buffers(
+            len(starts), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
+        found = self._look_up(parts.dictionary.to_numpy(zero_copy_only=False).tolist())
+        held, at_bytes = _bounds(pa.array(found, pa.large_binary()).take(parts.indices))
+        return held.view("<u4"), at_bytes[np.searchsorted(starts, at)] >> 2
+
+    def encode(self, texts: list[str | None] | pa.Array, end_id: int) -> list[np.ndarray]:
+        """The ids of each text (null: empty), with ``end_id`` at its end."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        column = pc.fill_null(column.cast(pa.large_string()), "")
+        whole = self._whole(column)
+        odd = np.flatnonzero(whole)
+        others = pc.if_else(pa.array(whole), pa.scalar("", pa.large_string()), column) \
+            if len(odd) else column
+        ids, at = self._by_part(others)
+        end = np.array([end_id], "<u4")
+        out = [np.concatenate([ids[a:b], end]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+        for i, raw in zip(odd.tolist(), self._encode([column[i].as_py() for i in odd.tolist()]),
+                          strict=True):
+            out[i] = np.concatenate([np.frombuffer(raw, "<u4"), end])
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -187,7 +306,7 @@ def _frames(tokenizer: str, end_id: int, frame_tokens: int):
             return pa.RecordBatch.from_pylist([row], _FRAME)
 
         for chunk in text_chunks(batches, "text"):
-            ids = encoder.encode([t or "" for t in chunk.column("text").to_pylist()], end_id)
+            ids = encoder.encode(chunk.column("text"), end_id)
             for doc_id, doc in zip(chunk.column("doc_id").to_pylist(), ids, strict=True):
                 if held and size + len(doc) > frame_tokens:
                     yield frame(held)

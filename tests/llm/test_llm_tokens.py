@@ -160,3 +160,52 @@ def test_added_tokens_in_texts_are_coded_as_the_tokenizer_does():
     for text in (texts, texts[::-1]):
         got = [g.tolist() for g in encoder.encode(text, 2)]
         assert got == [[*plain.encode(t, add_special_tokens=False).ids, 2] for t in text]
+
+
+def counted(encoder, monkeypatch):
+    """The parts that the encoder hands to the library from now on."""
+    seen = []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda new: (seen.extend(new), learn(new))[1])
+    return seen
+
+
+def test_a_word_is_kept_once_whatever_marks_follow(encoder, monkeypatch):
+    fresh = tk.Encoder(tk.default_tokenizer())
+    seen = counted(fresh, monkeypatch)
+    text = "a zorgel, zorgel. (zorgel) zorgel!! zorgel;\nzorgel: Élève, Élève."
+    assert fresh.encode([text], 2)[0].tolist() == whole(encoder, text)
+    assert sorted(seen).count(" zorgel") == 1
+    assert not [p for p in seen if "zorgel" in p and p[-1] in ",.!;:"]
+
+
+def test_words_in_use_outlast_a_full_table(encoder, monkeypatch):
+    monkeypatch.setattr(tk, "WORD_CACHE", 40)
+    fresh = tk.Encoder(tk.default_tokenizer())
+    seen = counted(fresh, monkeypatch)
+    for i in range(40):
+        text = "the usual words " + " ".join(f"q{i}x{j}" for j in range(12))
+        assert fresh.encode([text], 2)[0].tolist() == whole(encoder, text)
+    assert sorted(seen).count(" usual") == 1 and len(fresh.parts) + len(fresh.older) < 80
+
+
+def test_columns_with_nulls_and_slices(encoder):
+    import pyarrow as pa
+    texts = ["skipped", None, "", "a b,c\nd", " odd  space", "x’s \xa0y", "<|endoftext|>", "été.",
+             "×.÷.", "skipped"]
+    for kind in (pa.string(), pa.large_string()):
+        got = encoder.encode(pa.array(texts, kind).slice(1, 8), 2)
+        assert [g.tolist() for g in got] == [whole(encoder, t or "") for t in texts[1:9]]
+
+
+def test_blocks_of_many_lanes_and_lengths():
+    rng = np.random.default_rng(6)
+    ids = rng.zipf(1.3, 60_000).clip(0, 50_000).astype(np.uint32)
+    cuts = np.sort(rng.choice(np.arange(1, len(ids)), 5000, replace=False))
+    blocks, start = np.split(ids, cuts), rc.Start.fit(ids)
+    assert len(blocks) > rc.LANES
+    coded = rc.encode_blocks(blocks, start)
+    back = rc.decode_blocks(coded, [len(b) for b in blocks], [rc.checksum(b) for b in blocks], start)
+    assert all((a == b).all() for a, b in zip(blocks, back, strict=True))
+    # The format: what a block alone gives does not depend on its neighbours.
+    assert [rc.encode_blocks([blocks[i]], start)[0] for i in (0, 77)] == [coded[0], coded[77]]
