@@ -46,19 +46,8 @@ _ODD_SPACE = re.compile(f"{_BLANK}{_BLANK}|^ | $|\x00")
 _MARKS = ".,;:!?|$%&*#)"
 # A word of letters that every version of Unicode knows, with a space in front.
 _WORD = re.compile(" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u02af]+")
-
-
-def _bytes_in(chars: str) -> np.ndarray:
-    out = np.zeros(256, bool)
-    out[np.frombuffer(chars.encode("latin-1"), np.uint8)] = True
-    return out
-
-
-_IS_BLANK = _bytes_in("\t\n\v\f\r\x1c\x1d\x1e\x1f ")
-_IS_MARK = _bytes_in(_MARKS)
-_IS_ALNUM = _bytes_in("".join(chr(i) for i in range(128) if chr(i).isalnum()))
-# First bytes of characters that may be white space beyond ASCII, and NUL.
-_MAY_BE_ODD = _bytes_in("\x00\xc2\xe1\xe2\xe3\xef")
+_IS_MARK = np.zeros(256, bool)
+_IS_MARK[np.frombuffer(_MARKS.encode(), np.uint8)] = True
 
 
 def _byte_letters() -> list[str]:
@@ -130,7 +119,11 @@ class Encoder:
     def _encode_words(self, words: list[str]) -> list[bytes]:
         """The ids of parts that are one piece each, encoded in the letters of the
         vocabulary as words of texts of a few each."""
-        letters = "\x00".join(words).encode().decode("latin-1").translate(_BYTE_LETTERS).split(" ")
+        letters = "\x00".join(words)
+        if letters.isascii():
+            letters = letters.replace(" ", _BYTE_LETTERS[32]).replace("\x00", " ").split(" ")
+        else:
+            letters = letters.encode().decode("latin-1").translate(_BYTE_LETTERS).split(" ")
         texts = [" ".join(letters[a: a + _TOGETHER]) for a in range(0, len(letters), _TOGETHER)]
         found = self.words.encode_batch_fast(texts, add_special_tokens=False)
         ids = np.array(list(chain.from_iterable([e.ids for e in found])), "<u4")
@@ -155,15 +148,16 @@ class Encoder:
 
     def _learn(self, new: list[str]) -> None:
         """Add the ids of parts."""
-        known, words, plain, rest = self.parts, [], [], []
+        known, words, accented, plain, rest = self.parts, [], [], [], []
         for part in new:
             if self.words and _WORD.fullmatch(part):
-                words.append(part)
+                (words if part.isascii() else accented).append(part)
             elif (w := part.removeprefix(" ")) and not _ANY_BLANK.search(w):
                 plain.append(part)
             else:
                 rest.append(part)
-        for parts, encode in ((words, self._encode_words), (plain, self._encode_lines),
+        for parts, encode in ((words, self._encode_words), (accented, self._encode_words),
+                              (plain, self._encode_lines),
                               (rest, self._encode)):
             for at in range(0, len(parts), 4096):
                 some = parts[at: at + 4096]
@@ -174,23 +168,31 @@ class Encoder:
         if len(self.parts) > WORD_CACHE // 2:
             self.parts, self.older = {}, self.parts
         known, older = self.parts, self.older
+        found = list(map(known.get, parts))
+        missing = [i for i, ids in enumerate(found) if ids is None]
         new = []
-        for part in [p for p in parts if p not in known]:
+        for part in [parts[i] for i in missing]:
             if part in older:
                 known[part] = older[part]
             else:
                 new.append(part)
         self._learn(new)
-        return list(map(known.__getitem__, parts))
+        for i in missing:
+            found[i] = known[parts[i]]
+        return found
 
     def _whole(self, column: pa.Array) -> np.ndarray:
         """Which texts have to be encoded whole."""
         if not self.by_part:
             return np.ones(len(column), bool)
         data, at = _bounds(column)
-        blank, odd = _IS_BLANK[data], _MAY_BE_ODD[data]
-        flag = odd.copy()
-        flag[1:] |= blank[1:] & blank[:-1]
+        # Two bytes up to the space side by side, NUL, and the first bytes of characters
+        # that may be white space: what is flagged here is looked at below.
+        low = data <= 32
+        flag = data == 0
+        flag[1:] |= low[1:] & low[:-1]
+        for first in (0xE1, 0xE2, 0xE3, 0xEF):
+            flag |= data == first
         # Of the characters of two bytes, U+0085 and U+00A0 are white space.
         two = np.flatnonzero(data[:-1] == 0xC2)
         flag[two] = (data[two + 1] == 0x85) | (data[two + 1] == 0xA0)
@@ -213,10 +215,11 @@ class Encoder:
         breaks = data == 10
         cut |= breaks
         cut[1:] |= breaks[:-1]
-        # After a letter or digit: ASCII, or of U+00C0 to U+00FF.
-        after = _IS_ALNUM[data]
-        after[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
-        cut[1:] |= _IS_MARK[data[1:]] & after[:-1]
+        # Letters and digits: ASCII, or of U+00C0 to U+00FF. A mark behind one starts a part.
+        alnum = ((data | 32) - np.uint8(97) < 26) | (data - np.uint8(48) < 10)
+        alnum[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+        ends = np.flatnonzero(alnum[:-1] > alnum[1:]) + 1
+        cut[ends[_IS_MARK[data[ends]]]] = True
         cut[at[:-1][at[:-1] < len(data)]] = True
         starts = np.flatnonzero(cut)
         offsets = np.append(starts, len(data))
