@@ -34,12 +34,16 @@ parallelism even when its input is small.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ludex.functions.columns import rank_key, safe_div
-from ludex.session import shuffle_partitions, stage_table
+from ludex.operators import pairlists
+from ludex.operators.indexing import dense_index
+from ludex.session import drop_tables, shuffle_partitions, stage_table, staged_paths
 
 # Fixed value: damping added to the denominator of the centred similarity.
 DAMPING = 0.5
@@ -55,9 +59,9 @@ PAIR_SLICE_ITEMS = 2048
 
 # An item with more pair rows than this is summed partially before the shuffle,
 # as its pairs by one key would be one task's work (see summed_pairs).
-ITEM_PAIR_ROWS = 1 << 22
-# Pair rows that one task makes and sums behind the shuffle of lists.
-TASK_PAIR_ROWS = 1 << 20
+ITEM_PAIR_ROWS = 1 << 21
+# Pair rows that are summed at once behind the shuffle of lists.
+TASK_PAIR_ROWS = 1 << 21
 
 # Share of a user's items up to which pairs are made first (see top_k_bounded).
 HUB_SHARE = 1 / 16
@@ -127,76 +131,168 @@ def _side(x: int) -> list:
     return [F.col("item").alias(f"i{x}"), *[F.col(c).alias(f"{c}{x}") for c in ("n", "s", "q")]]
 
 
+_FACTS = ("total", "number", "_m")
+
+
+def _facts() -> list[Column]:
+    """Of a user: sum and number of ratings, cells."""
+    return [F.sum("s").alias("total"), F.sum("n").alias("number"), F.count(F.lit(1)).alias("_m")]
+
+
+def _heavy_users(c: DataFrame, slice_items: int) -> DataFrame | None:
+    """The users of ``c`` with more than ``slice_items`` cells, written."""
+    heavy = stage_table(c.where("user_id is not null").groupBy("user_id").agg(*_facts())
+                        .where(F.col("_m") > slice_items), "heavy")
+    return None if heavy.isEmpty() else heavy
+
+
+def _user_lists(c: DataFrame, cell: Column, slice_items: int, heavy: DataFrame | None,
+                keep: str | None = None) -> DataFrame:
+    """Cells of a user as lists, for ``pairlists.send``: left, right (NULL: the same
+    cells), the user's ``total`` and ``number``; of ``_heavy_users`` all pairs of
+    slices. With ``keep`` (a field of ``cell``) only lists with such a left cell. Lists
+    are written."""
+    parts = shuffle_partitions(c.sparkSession)
+    known = c.where("user_id is not null")
+    listed = F.collect_list(F.when(F.col("item").isNotNull(), cell)).alias("left")
+
+    def used(lists: DataFrame) -> DataFrame:
+        return lists.where(F.exists("left", lambda x: x[keep])) if keep else lists
+
+    light = known if heavy is None else known.join(heavy.select("user_id"), "user_id", "left_anti")
+    few = stage_table(used(light.groupBy("user_id").agg(*_facts(), listed)), "lists")
+    few = few.select("left", F.lit(None).cast(few.schema["left"].dataType).alias("right"), *_FACTS[:2])
+    if heavy is None:
+        return few
+    cut = heavy.withColumn("_k", F.ceil(F.lit(2) * F.col("_m") / F.lit(slice_items)).cast("int"))
+    own = F.pmod(F.xxhash64("item"), F.col("_k")).cast("int")
+    slices = stage_table(
+        known.where("item is not null").join(cut, "user_id").withColumn("_a", own)
+        .repartition(parts, "user_id", "_a").groupBy("user_id", "_a")
+        .agg(*[F.first(x).alias(x) for x in ("total", "number", "_k")], listed), "lists")
+    every = F.explode(F.sequence(F.lit(0), F.col("_k") - F.lit(1)))
+    a = (used(slices).select("user_id", "_a", "left", "total", "number", every.alias("_b"))
+         .repartition(parts, "user_id", "_a", "_b"))
+    b = (slices.select("user_id", F.col("_a").alias("_b"), F.col("left").alias("right"), every.alias("_a"))
+         .repartition(parts, "user_id", "_a", "_b"))
+    return few.unionByName(a.join(b, ["user_id", "_a", "_b"]).select(*few.columns))
+
+
+def _coded_pairs(c: DataFrame, centre: bool, only: str, keep: Column | None, **limits) -> DataFrame:
+    """``summed_pairs`` of items that are no whole numbers: by codes in their order."""
+    codes = dense_index(c, "item", "_code")
+    held = c.join(codes, "item", "left").withColumnRenamed("item", "_item").withColumn("item", F.col("_code"))
+    if only in ("near", "far"):
+        held = held.drop("_code").join(codes.select(F.col("item").alias("top"), "_code"), "top", "left")
+        held = held.withColumn("top", F.col("_code"))
+    out = summed_pairs(held.drop("_code", "_item"), centre, only, keep, **limits)
+    for x in ("i1", "i2"):
+        out = out.join(codes.select(F.col("_code").alias(x), F.col("item").alias(f"_{x}")), x)
+    sums = ("sx", "sy", "sxy", "n_users")
+    return out.select(F.col("_i1").alias("i1"), F.col("_i2").alias("i2"), *sums)
+
+
+@dataclass
+class PairLists:
+    """What ``summed_pairs`` reads (see ``pair_lists``)."""
+
+    lists: DataFrame
+    cells: DataFrame  # with _kept and _dense
+    dense: bool       # some items are dense
+    listed: bool      # some items are not
+    total: int        # at least the pairs of the lists, both orders
+    low: int
+
+
+def pair_lists(c: DataFrame, tops: bool = False, keep: Column | None = None,
+               slice_items: int = PAIR_SLICE_ITEMS, item_rows: int = ITEM_PAIR_ROWS,
+               heavy: tuple | None = None) -> PairLists:
+    """The cells ``c`` for ``summed_pairs``; ``tops``: with the column ``top``. ``heavy``
+    holds the ``_heavy_users`` if they are known. Eager: cells and lists are written;
+    of the tables on the way only those that are read later stay."""
+    spark = c.sparkSession
+    kept = F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))
+    with staged_paths() as paths:
+        held = stage_table(c.withColumn("_kept", kept), "cells")
+        many = heavy[0] if heavy else _heavy_users(held, slice_items)
+
+        def lists_of(cells: DataFrame, kept: Column) -> DataFrame:
+            cell = F.struct(F.col("item").cast("bigint").alias("item"), "n", "s", "q", kept.alias("kept"),
+                            *([F.col("top").cast("bigint").alias("top")] if tops else []))
+            return _user_lists(cells, cell, slice_items, many, "kept")
+
+        lists = lists_of(held, F.col("_kept"))
+        load = stage_table(lists.select(
+            F.explode(F.filter("left", lambda x: x["kept"])["item"]).alias("item"),
+            F.size(F.coalesce("right", "left")).alias("_m"))
+            .groupBy("item").agg(F.sum("_m").alias("_load")), "load")
+        n_items, total, low = load.agg(F.count(F.lit(1)), F.coalesce(F.sum("_load"), F.lit(0)),
+                                       F.min("item")).first()
+        most = min(item_rows, n_items * shuffle_partitions(spark))
+        # Sums leave out NULLs, which lists of numbers don't hold.
+        if not held.where("s is null or q is null").isEmpty():
+            most = -1
+        dense = load.where(F.col("_load") > most).select("item", F.lit(True).alias("_dense"))
+        any_dense = not dense.isEmpty()
+        if any_dense:
+            held = stage_table(held.join(dense, "item", "left")
+                               .withColumn("_dense", F.col("_dense").isNotNull()), "cells")
+            if most >= 0:
+                lists = lists_of(held, F.col("_kept") & ~F.col("_dense"))
+    if not any_dense:
+        drop_tables(spark, [x for x in paths if "/lists-" not in x])
+    return PairLists(lists, held, any_dense, most >= 0 or not any_dense, total, low or 0)
+
+
 def summed_pairs(c: DataFrame, centre: bool = False, only: str = "half",
                  keep: Column | None = None, slice_items: int = PAIR_SLICE_ITEMS,
-                 item_rows: int = ITEM_PAIR_ROWS, task_rows: int = TASK_PAIR_ROWS) -> DataFrame:
+                 item_rows: int = ITEM_PAIR_ROWS, task_rows: int = TASK_PAIR_ROWS,
+                 best: tuple | None = None, lists: PairLists | None = None) -> DataFrame:
     """(i1, i2, sx, sy, sxy, n_users) of the pairs of different items that a user
     has both, summed over the users. ``c`` comes from ``cells``, ``centre`` is that
     of ``salted_self_join``, ``keep`` a condition on i1's rows. ``only``: 'all'
     pairs, the 'half' with i1 < i2, or the 'near' or 'far' ones, whose i2 is at
-    most or above the column ``top`` of i1's row (NULL: all are near).
+    most or above the column ``top`` of i1's row (NULL: all are near). With ``best``
+    (kind, k) pairs that are not among i1's k most similar ones (those that ``top_k``
+    keeps of 'cosine' or 'pearson') may be left out. ``lists`` are the ``pair_lists``
+    of ``c`` and ``keep``, if they are made already.
 
     An item's pair rows are at most the items of its users, summed. Where they
     exceed the items there are, once per map task, partial sums are fewer rows
     than pairs: such items, and those with over ``item_rows`` of them, are joined
     and summed by (i1, i2) with a shuffle. Of the others each cell goes to the
-    partition of its item with the list of its user's items (slices of
-    them); grouping by (i1, i2) then needs no further shuffle. Lists are sorted
-    by value, so that values compress to runs. Eager, as ``salted_self_join``."""
-    spark = c.sparkSession
-    # A row without an item counts in its user's mean only.
-    cs = _sliced(c, slice_items, centre).where("item is not null")
-    load = stage_table(cs.groupBy("item").agg(F.sum("_m").alias("_load")), "load")
-    n_items, total, low, high = load.agg(F.count(F.lit(1)), F.coalesce(F.sum("_load"), F.lit(0)),
-                                         F.min("item"), F.max("item")).first()
-    most = min(item_rows, n_items * shuffle_partitions(spark))
-    dense = load.where(F.col("_load") > most).select("item", F.lit(True).alias("_dense"))
-    any_dense = not dense.isEmpty()
-    if any_dense:
-        cs = stage_table(cs.join(dense, "item", "left")
-                         .withColumn("_dense", F.col("_dense").isNotNull()), "cells")
-    kept = F.lit(True) if keep is None else keep
-    left = [*_side(1), *([F.col("top")] if only in ("near", "far") else [])]
-
-    def wanted(i2: Column) -> Column:
-        if only == "near":
-            return (i2 != F.col("i1")) & (F.col("top").isNull() | (i2 <= F.col("top")))
-        if only == "far":
-            return (i2 != F.col("i1")) & (i2 > F.col("top"))
-        return i2 > F.col("i1") if only == "half" else i2 != F.col("i1")
-
-    a, b = _sides(cs, left, [F.struct("n", "s", "q", "item").alias("cell")],
-                  (kept & ~F.col("_dense") if any_dense else kept, None))
-    lists = b.groupBy("user_id", "_a", "_b").agg(F.sort_array(F.collect_list("cell")).alias("cells"))
-    parts = max(shuffle_partitions(spark), math.ceil(total / (2 if only == "half" else 1) / task_rows))
-    cell = F.filter("cells", lambda x: wanted(x["item"]))
-    # Columns of their own: values of one kind lie side by side in the shuffle. Long
-    # items go as int where all fit; lists without repeated ratings go without n
-    # and q (1 and s * s).
-    kind = c.schema["item"].dataType.simpleString()
-    short = kind == "bigint" and n_items and -2 ** 31 <= low and high < 2 ** 31
-    repeated = F.exists("cells", lambda x: x["n"] != 1)
-    field = {f: F.col("cells")[f] for f in ("item", "n", "s", "q")}
-    sent = (a.join(lists, ["user_id", "_a", "_b"]).select("i1", "n1", "s1", "q1", cell.alias("cells"))
-            .where(F.size("cells") > 0)
-            .select("i1", "n1", "s1", "q1",
-                    field["item"].cast("array<int>" if short else f"array<{kind}>").alias("item"),
-                    field["s"].alias("s"), F.when(repeated, field["n"]).alias("n"),
-                    F.when(repeated, field["q"]).alias("q"))
-            .repartition(parts, "i1"))
-    whole = [F.col("item"), F.col("s"),
-             F.coalesce("n", F.transform("s", lambda x: F.lit(1).cast("bigint"))).alias("n"),
-             F.coalesce("q", F.transform("s", lambda x: x * x)).alias("q")]
-    pairs = (sent.select("i1", "n1", "s1", "q1", *whole)
-             .select("i1", "n1", "s1", "q1", F.explode(F.arrays_zip("item", "n", "s", "q")).alias("_c")))
-    pairs = pairs.select("i1", "n1", "s1", "q1", F.col("_c.item").cast(kind).alias("i2"),
-                         F.col("_c.n").alias("n2"), F.col("_c.s").alias("s2"), F.col("_c.q").alias("q2"))
-    out = pairs.groupBy("i1", "i2").agg(*_pair_totals())
-    if any_dense:
-        a, b = _sides(cs, left, _side(2), (kept & F.col("_dense"), None))
-        out = out.unionByName(a.join(b, ["user_id", "_a", "_b"]).where(wanted(F.col("i2")))
-                              .groupBy("i1", "i2").agg(*_pair_totals()))
-    return out
+    bucket of its item with the list of its user's items, packed (``pairlists``);
+    about ``task_rows`` pairs of a bucket are summed where they are unpacked. Eager
+    (``pair_lists``)."""
+    spark, kind = c.sparkSession, c.schema["item"].dataType
+    if not isinstance(kind, IntegralType):
+        return _coded_pairs(c, centre, only, keep, slice_items=slice_items, item_rows=item_rows,
+                            task_rows=task_rows)
+    tops = only in ("near", "far")
+    made = lists or pair_lists(c, tops, keep, slice_items, item_rows)
+    buckets = max(shuffle_partitions(spark),
+                  math.ceil(made.total / (2 if only == "half" else 1) / task_rows))
+    ranking = best and (best[0], DAMPING, RANK_DIGITS, best[1])
+    sent = (made.lists.mapInArrow(pairlists.send(only, buckets, made.low, centre), pairlists.SENT)
+            .repartition(max(shuffle_partitions(spark), math.ceil(buckets / 16)), "bucket")
+            .sortWithinPartitions("bucket"))
+    pairs = (sent.mapInArrow(pairlists.receive(only, made.low, centre, ranking), pairlists.SUMS)
+             .select("i1", F.explode("pairs").alias("_p")))
+    out = pairs.select(F.col("i1").cast(kind).alias("i1"), F.col("_p.i2").cast(kind).alias("i2"),
+                       *[F.col(f"_p.{x}").alias(x) for x in ("sx", "sy", "sxy", "n_users")])
+    if not made.dense:
+        return out
+    left = [*_side(1), *([F.col("top")] if tops else [])]
+    a, b = _sides(_sliced(made.cells, slice_items, centre).where("item is not null"), left, _side(2),
+                  (F.col("_kept") & F.col("_dense"), None))
+    i1, i2 = F.col("i1"), F.col("i2")
+    wanted = i2 > i1 if only == "half" else i2 != i1
+    if tops:
+        near = F.col("top").isNull() | (i2 <= F.col("top"))
+        wanted &= near if only == "near" else ~near
+    sums = (a.join(b, ["user_id", "_a", "_b"]).where(wanted)
+            .groupBy("i1", "i2").agg(*_pair_totals()))
+    return out.unionByName(sums) if made.listed else sums
 
 
 def pair_rows(c: DataFrame, slice_items: int = PAIR_SLICE_ITEMS,
@@ -289,8 +385,35 @@ def top_k(sims: DataFrame, k: int = TOP_K, digits: int | None = RANK_DIGITS) ->
                 .withColumn("rank", F.col("rank").cast("bigint")))
 
 
+@dataclass
+class Hubs:
+    """Cells with their items' tops, for ``top_k_bounded`` of any kind."""
+
+    cells: DataFrame
+    tops: DataFrame
+    heavy: DataFrame | None
+    lists: PairLists
+
+
+def hubs_of(ratings: DataFrame, k: int = TOP_K, share: float = HUB_SHARE) -> Hubs:
+    """Step 1 of ``top_k_bounded`` up to the lists of cells. Eager."""
+    held = stage_table(cells(ratings, "rating"), "cells")
+    heavy = _heavy_users(held, PAIR_SLICE_ITEMS)
+    # Of a user in slices each slice has a limit of its own: any top would be right.
+    with staged_paths() as paths:
+        order = F.sort_array(F.col("left.item"))
+        at = F.greatest(F.lit(k), F.ceil(F.lit(share) * F.size("left")).cast("int") - F.lit(1))
+        limits = (_user_lists(held, F.struct("item"), PAIR_SLICE_ITEMS, heavy)
+                  .where(F.size("left") > k).select(order.alias("items"), F.get(order, at).alias("limit")))
+        tops = stage_table(limits.select(F.explode("items").alias("item"), "limit")
+                           .groupBy("item").agg(F.min("limit").alias("top")), "tops")
+    drop_tables(held.sparkSession, [x for x in paths if "/tops-" not in x])
+    lists = pair_lists(held.join(tops, "item", "left"), True, heavy=(heavy,))
+    return Hubs(held, tops, heavy, lists)
+
+
 def top_k_bounded(ratings: DataFrame, kind: str = "cosine", k: int = TOP_K,
-                  share: float = HUB_SHARE) -> DataFrame:
+                  share: float = HUB_SHARE, hubs: Hubs | None = None) -> DataFrame:
     """``top_k`` of ``co_rated_cosine`` (``kind`` 'cosine') or of the intended
     ``damped_pearson`` ('pearson'), without summing pairs that cannot enter it.
 
@@ -304,59 +427,54 @@ def top_k_bounded(ratings: DataFrame, kind: str = "cosine", k: int = TOP_K,
        times the largest one. An item whose bound is below its k-th best, or
        equal to it (ties go to the least id, and those up to the top have the
        least), is closed: no other item can enter its list.
-    3. Of the other pairs, only those of items that are not closed are made.
+    3. Of the other pairs, only those of items that are not closed are made. Where
+       nothing closes, the lists of step 1 are read again.
 
     A top depends on the item's own users only, so the share of items that close
     does not fall when tables grow by other users and items. Columns i1, i2,
-    similarity, rank. Eager: cells, the first sums and the items that are not
+    similarity, rank. ``hubs`` are those of the same ratings, k and share, which
+    serve both kinds. Eager: cells, the first sums and the items that are not
     closed are written."""
     if kind not in ("cosine", "pearson"):
         raise ValueError(kind)
     centre = kind == "pearson"
     value = cosine_from_sums if kind == "cosine" else damped_from_sums
-    held = stage_table(cells(ratings, "rating"), "cells")
-    if centre:  # deviations from the user's mean, from the table per user
-        means = stage_table(held.groupBy("user_id").agg(
-            (F.sum("s") / F.sum("n")).alias("_mu")), "means")
-        n, sm, q, mu = (F.col(x) for x in ("n", "s", "q", "_mu"))
-        held = stage_table(held.join(means, "user_id").select(
-            "user_id", "item", "n", (sm - n * mu).alias("s"),
-            (q - F.lit(2.0) * mu * sm + n * mu * mu).alias("q")), "cells")
-    # Of a hot user a task sends k + 1 rows and one sketch; any top would be right.
-    first = (held.where("item is not null").select("user_id", "item", F.row_number().over(
-        Window.partitionBy("user_id").orderBy("item")).alias("_at")).where(F.col("_at") <= k + 1)
-        .where(F.col("_at") == k + 1).select("user_id", F.col("item").alias("least")))
-    shares = held.groupBy("user_id").agg(F.percentile_approx("item", share).alias("part"))
-    limits = stage_table(first.join(shares, "user_id").select(
-        "user_id", F.greatest("least", "part").alias("limit")), "limits")
-    tops = stage_table(held.join(limits, "user_id").groupBy("item").agg(F.min("limit").alias("top")),
-                       "tops")
-    held = stage_table(held.join(tops, "item", "left"), "cells")
-
-    def similar(only: str, keep: Column | None = None) -> DataFrame:
+    hubs = hubs or hubs_of(ratings, k, share)
+    held, tops = hubs.cells, hubs.tops
+
+    def similar(c: DataFrame, only: str, keep: Column | None, lists: PairLists) -> DataFrame:
         sim = value(F.col("sx"), F.col("sy"), F.col("sxy"))
         if centre:  # rounding noise of centred sums is no similarity
             sim = F.when(F.abs(sim) < F.lit(1e-12), F.lit(0.0)).otherwise(sim)
-        return summed_pairs(held, only=only, keep=keep).select(
+        return summed_pairs(c, centre, only, keep, best=(kind, k), lists=lists).select(
             "i1", "i2", sim.alias("similarity"))
 
-    near = stage_table(similar("near"), "near")
-    kth = top_k(near, k).where(F.col("rank") == k).select(
-        F.col("i1").alias("item"), rank_key(F.col("similarity"), RANK_DIGITS).alias("kth"))
-    norms = stage_table(held.groupBy("item").agg(F.sum("q").alias("x")), "norms")
-    bound = F.lit(1.0)
-    if centre:
-        root = F.sqrt(F.greatest(F.col("x"), F.lit(0.0)) * norms.select(F.max("x")).scalar())
-        # A little more than the true bound, for the rounding of the sums.
-        bound = root / (root + F.lit(DAMPING)) * F.lit(1 + 1e-9) + F.lit(1e-9)
-    shut = (norms.join(stage_table(kth, "kth"), "item")
-            .where(F.col("kth") >= rank_key(bound, RANK_DIGITS)).select("item"))
-    open_ = stage_table(norms.join(shut, "item", "left_anti")
-                        .select("item", F.lit(True).alias("open")), "open")
-    held = stage_table(held.join(open_, "item", "left")
-                       .withColumn("open", F.col("open").isNotNull()), "cells")
-    # Open items with those above their top. Nothing else enters a list.
-    return top_k(near.unionByName(similar("far", F.col("open"))), k)
+    with staged_paths() as paths:
+        near = stage_table(top_k(similar(held, "near", None, hubs.lists), k), "near")
+        kth = stage_table(near.where(F.col("rank") == k).select(
+            F.col("i1").alias("item"), rank_key(F.col("similarity"), RANK_DIGITS).alias("kth")), "kth")
+        if centre:  # squares of deviations from the user's mean, from the table per user
+            means = stage_table(held.groupBy("user_id").agg(
+                (F.sum("s") / F.sum("n")).alias("_mu")), "means")
+            n, sm, q, mu = (F.col(x) for x in ("n", "s", "q", "_mu"))
+            norms = stage_table(held.join(means, "user_id").groupBy("item").agg(
+                F.sum(q - F.lit(2.0) * mu * sm + n * mu * mu).alias("x")), "norms")
+            root = F.sqrt(F.greatest(F.col("x"), F.lit(0.0)) * norms.select(F.max("x")).scalar())
+            # A little more than the true bound, for the rounding of the sums.
+            bound = root / (root + F.lit(DAMPING)) * F.lit(1 + 1e-9) + F.lit(1e-9)
+            shut = norms.join(kth, "item").where(F.col("kth") >= rank_key(bound, RANK_DIGITS))
+        else:
+            shut = kth.where(F.col("kth") >= rank_key(F.lit(1.0), RANK_DIGITS))
+        shut = stage_table(shut.select("item", F.lit(False).alias("open")), "shut")
+        # Open items with those above their top. Nothing else enters a list.
+        c, keep, lists = held, None, hubs.lists
+        if not shut.isEmpty():
+            c = held.join(tops, "item", "left").join(shut, "item", "left")
+            keep = F.col("open").isNull()
+            lists = pair_lists(c, True, keep, heavy=(hubs.heavy,))
+    drop_tables(held.sparkSession, [x for x in paths if "/lists-" not in x and "/near-" not in x
+                                    and (not lists.dense or "/cells-" not in x)])
+    return top_k(near.drop("rank").unionByName(similar(c, "far", keep, lists)), k)
 
 
 def utility_cells(ratings: DataFrame) -> DataFrame:

@@ -274,7 +274,7 @@ def q35_cosine_pairs(spark, d):
 
 def q35b_cosine_pairs_basket(spark, d):
     """The same operator on the purchase basket (many more pairs per user)."""
-    train, _ = train_test(rated_basket(spark, d))
+    train, _ = train_test(rated_basket(spark, d, materialize=False))
     return si.co_rated_cosine(train).select(
         "i1", "i2", "sx", "sy", "sxy", rnd(F.col("similarity")).alias("similarity"))
 

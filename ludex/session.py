@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +14,9 @@ _local = threading.local()
 # Used only where the session names no folder (a path of fs.defaultFS).
 DEFAULT_CHECKPOINT_DIR = "/tmp/checkpoints"
 
+# Spark's setting that removes the shuffle files of a query at its end.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Settings every job relies on. AQE re-plans joins at runtime: a side is
 # broadcast only when its measured size is under the threshold, otherwise
 # the join stays a sort-merge join and skewed partitions are split.
@@ -83,10 +87,16 @@ def shared_path(spark: SparkSession, label: str) -> str:
 def stage_table(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it
     back: cuts the lineage like ``checkpoint()``, compressed and by column.
-    The write is an action; lost executors only rerun their own tasks."""
+    The write is an action; lost executors only rerun their own tasks. Its shuffle
+    files go with it, as nothing reads them after the write."""
     spark = df.sparkSession
     path = shared_path(spark, label)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     if _recording():
         _recording()[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -118,6 +128,26 @@ def stage_only(build: Callable[[], DataFrame], label: str = "stage") -> DataFram
     return out
 
 
+@contextmanager
+def staged_paths() -> Iterator[list[str]]:
+    """The paths of the tables staged inside, for ``drop_tables``. Those that are
+    not dropped are the enclosing ``stage_only``'s to delete."""
+    stack = _recording()
+    stack.append(paths := [])
+    try:
+        yield paths
+    finally:
+        stack.pop()
+        if stack:
+            stack[-1].extend(paths)
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for path in paths:
+        _delete(spark, path)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -215,3 +215,62 @@ def test_bounded_pairs_grow_with_the_rows(spark, monkeypatch):
         made.clear()
     assert seen[1] == {kind: 6 * n for kind, n in seen[0].items()}
     assert seen[0]["far"] < 60 * 12 * 11 / 2
+
+
+def test_lists_are_packed(spark):
+    """A pair takes few bytes on its way to the task that sums it."""
+    rows = [(u, (u * 7919 + j * j * 104729) % 1_000_003, 1 + j % 5) for u in range(300) for j in range(30)]
+    c = si.cells(spark.createDataFrame(rows, "user_id bigint, item bigint, rating int"), "rating")
+    made = si.pair_lists(c)
+    sent = made.lists.mapInArrow(si.pairlists.send("half", 4, made.low, False), si.pairlists.SENT)
+    size, pairs = sent.agg(F.sum(F.length("blob")), F.sum("pairs")).first()
+    assert pairs == 300 * 30 * 29 / 2
+    assert size < 4 * pairs
+
+
+@pytest.mark.parametrize("centre", [False, True])
+def test_pairs_of_odd_rows(spark, centre):
+    """Names as items, far apart and negative items, fractions, NULL ratings."""
+    rows = [(u, (u * 7 + j * j) % 23, None if (u + j) % 9 == 0 else (u * j % 7) / 3) for u in range(30)
+            for j in range(5)]
+    for kind, name in (("string", "i{}".format), ("bigint", lambda i: (i - 11) * 2 ** 58),
+                       ("smallint", lambda i: i - 11)):
+        for part in (rows, [r for r in rows if r[2] is not None]):
+            c = si.cells(spark.createDataFrame([(u, name(i), v) for u, i, v in part],
+                                               f"user_id bigint, item {kind}, rating double"), "rating")
+            want = si.pair_rows(c, centre=centre).groupBy("i1", "i2").agg(
+                F.sum("xx").alias("sx"), F.sum("yy").alias("sy"), F.sum("xy").alias("sxy"),
+                F.count(F.lit(1)).alias("n_users"))
+            got = si.summed_pairs(c, centre)
+            assert got.schema["i1"].dataType == c.schema["item"].dataType
+            assert _nulls(got) == _nulls(want)
+
+
+def _nulls(df):
+    return {(r.i1, r.i2): tuple(None if x is None else round(x, 6) for x in (r.sx, r.sy, r.sxy, r.n_users))
+            for r in df.collect()}
+
+
+def test_best_pairs_are_those_of_top_k():
+    """The k largest of each group, the first of equal ones."""
+    import numpy as np
+    i1 = np.array([0, 0, 0, 0, 2, 3, 3, 3])
+    key = np.array([1., 5, 5, 5, -3, 2, np.inf, 2])
+    assert si.pairlists._best(i1, key.copy(), 2).tolist() == [1, 2, 4, 5, 6]
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    """A staged table leaves no shuffle files behind."""
+    from ludex.session import stage_table
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    import os
+    dirs = [str(d) for d in manager.localDirs()]
+
+    def files():
+        return {f for d in dirs for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+
+    before = files()
+    staged = stage_table(spark.range(1000).repartition(5).groupBy((F.col("id") % 7).alias("k")).count(), "t")
+    assert files() <= before
+    assert staged.count() == 7
