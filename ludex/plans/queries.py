@@ -565,10 +565,11 @@ def q62_median_fill(spark, d):
 def q63_basket_topk(spark, d):
     """Top-5 neighbours of both models on the basket, whose many sparse items
     close early (see ``similarity.top_k_bounded``)."""
-    train, _ = train_test(rated_basket(spark, d))
+    train, _ = train_test(rated_basket(spark, d, materialize=False))
+    hubs = si.hubs_of(train)  # both models read them
     out = None
     for kind in ("cosine", "pearson"):
-        top = si.top_k_bounded(train, kind).select(
+        top = si.top_k_bounded(train, kind, hubs=hubs).select(
             F.lit(kind).alias("model"), "i1", "i2", rnd(F.col("similarity")).alias("similarity"), "rank")
         out = top if out is None else out.unionByName(top)
     return out
