@@ -131,3 +131,22 @@ def test_als_unseen_topn_matches_brute_force(spark, sf_small):
         # Factors are 32-bit floats: scores decide, not the order of ties.
         mine = [at[got[user][k]] for k in range(1, len(best) + 1)]
         assert np.allclose(mine, best, atol=1e-5)
+
+
+def test_fit_leaves_its_tables_behind(spark, sf_small):
+    """The factors are read back and the fit's own rows are gone: only what is read
+    later stays; train rows carry no key where nothing asks for it."""
+    import glob
+    from ludex.session import ensure_checkpoint_dir
+
+    def held():
+        return {p.rsplit("/", 1)[1].rsplit("-", 1)[0] + p[-32:]
+                for p in glob.glob(ensure_checkpoint_dir(spark).removeprefix("file:") + "/tables/*")}
+
+    before = held()
+    run = als_op.fit(q.rated_basket(spark, sf_small, materialize=False, train_keys=False))
+    kinds = {p[:-32] for p in held() - before}
+    assert "coded" in kinds and not kinds & {"ratings", "half", "fit"}
+    assert run.train.where("rkey is not null").isEmpty()
+    assert run.test.where("rkey is null").isEmpty()
+    assert "FileScan parquet" in run.model.userFactors._jdf.queryExecution().toString()
