@@ -17,7 +17,7 @@ Plan shape (for every similarity):
    * All others, whose pairs hardly repeat, so that partial sums would be as
      many as pairs: not the pairs are shuffled but each cell with the list of
      its user's items, by i1. Pairs are made after that shuffle and summed where
-     they are made; a list holds some bytes per item, as it is sorted by value.
+     they are made; a list is packed (see ``pairlists``) and holds some bytes per item.
 4. emit both orders of each pair in one pass (an explode, no second
    evaluation of the sums).
 
