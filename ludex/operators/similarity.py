@@ -139,14 +139,13 @@ def _facts() -> list[Column]:
     return [F.sum("s").alias("total"), F.sum("n").alias("number"), F.count(F.lit(1)).alias("_m")]
 
 
-def _heavy_users(c: DataFrame, slice_items: int) -> DataFrame | None:
+def _heavy_users(c: DataFrame, slice_items: int) -> DataFrame:
     """The users of ``c`` with more than ``slice_items`` cells, written."""
-    heavy = stage_table(c.where("user_id is not null").groupBy("user_id").agg(*_facts())
-                        .where(F.col("_m") > slice_items), "heavy")
-    return None if heavy.isEmpty() else heavy
+    return stage_table(c.where("user_id is not null").groupBy("user_id").agg(*_facts())
+                       .where(F.col("_m") > slice_items), "heavy")
 
 
-def _user_lists(c: DataFrame, cell: Column, slice_items: int, heavy: DataFrame | None,
+def _user_lists(c: DataFrame, cell: Column, slice_items: int, heavy: DataFrame,
                 keep: str | None = None) -> DataFrame:
     """Cells of a user as lists, for ``pairlists.send``: left, right (NULL: the same
     cells), the user's ``total`` and ``number``; of ``_heavy_users`` all pairs of
@@ -159,15 +158,15 @@ def _user_lists(c: DataFrame, cell: Column, slice_items: int, heavy: DataFrame |
     def used(lists: DataFrame) -> DataFrame:
         return lists.where(F.exists("left", lambda x: x[keep])) if keep else lists
 
-    light = known if heavy is None else known.join(heavy.select("user_id"), "user_id", "left_anti")
+    none = heavy.isEmpty()
+    light = known if none else known.join(heavy.select("user_id"), "user_id", "left_anti")
     few = stage_table(used(light.groupBy("user_id").agg(*_facts(), listed)), "lists")
     few = few.select("left", F.lit(None).cast(few.schema["left"].dataType).alias("right"), *_FACTS[:2])
-    if heavy is None:
-        return few
     cut = heavy.withColumn("_k", F.ceil(F.lit(2) * F.col("_m") / F.lit(slice_items)).cast("int"))
     own = F.pmod(F.xxhash64("item"), F.col("_k")).cast("int")
     slices = stage_table(
-        known.where("item is not null").join(cut, "user_id").withColumn("_a", own)
+        known.where(F.lit(False) if none else F.col("item").isNotNull())
+        .join(cut, "user_id").withColumn("_a", own)
         .repartition(parts, "user_id", "_a").groupBy("user_id", "_a")
         .agg(*[F.first(x).alias(x) for x in ("total", "number", "_k")], listed), "lists")
     every = F.explode(F.sequence(F.lit(0), F.col("_k") - F.lit(1)))
@@ -206,15 +205,15 @@ class PairLists:
 
 def pair_lists(c: DataFrame, tops: bool = False, keep: Column | None = None,
                slice_items: int = PAIR_SLICE_ITEMS, item_rows: int = ITEM_PAIR_ROWS,
-               heavy: tuple | None = None) -> PairLists:
+               heavy: DataFrame | None = None) -> PairLists:
     """The cells ``c`` for ``summed_pairs``; ``tops``: with the column ``top``. ``heavy``
-    holds the ``_heavy_users`` if they are known. Eager: cells and lists are written;
+    are the ``_heavy_users`` if they are known. Eager: cells and lists are written;
     of the tables on the way only those that are read later stay."""
     spark = c.sparkSession
     kept = F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))
     with staged_paths() as paths:
         held = stage_table(c.withColumn("_kept", kept), "cells")
-        many = heavy[0] if heavy else _heavy_users(held, slice_items)
+        many = _heavy_users(held, slice_items) if heavy is None else heavy
 
         def lists_of(cells: DataFrame, kept: Column) -> DataFrame:
             cell = F.struct(F.col("item").cast("bigint").alias("item"), "n", "s", "q", kept.alias("kept"),
@@ -391,7 +390,7 @@ class Hubs:
 
     cells: DataFrame
     tops: DataFrame
-    heavy: DataFrame | None
+    heavy: DataFrame
     lists: PairLists
 
 
@@ -408,7 +407,7 @@ def hubs_of(ratings: DataFrame, k: int = TOP_K, share: float = HUB_SHARE) -> Hub
         tops = stage_table(limits.select(F.explode("items").alias("item"), "limit")
                            .groupBy("item").agg(F.min("limit").alias("top")), "tops")
     drop_tables(held.sparkSession, [x for x in paths if "/tops-" not in x])
-    lists = pair_lists(held.join(tops, "item", "left"), True, heavy=(heavy,))
+    lists = pair_lists(held.join(tops, "item", "left"), True, heavy=heavy)
     return Hubs(held, tops, heavy, lists)
 
 
@@ -471,7 +470,7 @@ def top_k_bounded(ratings: DataFrame, kind: str = "cosine", k: int = TOP_K,
         if not shut.isEmpty():
             c = held.join(tops, "item", "left").join(shut, "item", "left")
             keep = F.col("open").isNull()
-            lists = pair_lists(c, True, keep, heavy=(hubs.heavy,))
+            lists = pair_lists(c, True, keep, heavy=hubs.heavy)
     drop_tables(held.sparkSession, [x for x in paths if "/lists-" not in x and "/near-" not in x
                                     and (not lists.dense or "/cells-" not in x)])
     return top_k(near.drop("rank").unionByName(similar(c, "far", keep, lists)), k)
